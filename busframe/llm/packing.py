@@ -27,7 +27,7 @@ WORDS_KEPT = 800_000
 
 # Characters that normalisation leaves alone but for case; the apostrophe starts contractions and isn't among them.
 _ODD = re.compile(r"[^\t\n\r -&(-~À-ÖØ-öø-ÿ]")
-_RUNS = re.compile(r"[a-zà-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+_RUNS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 _SPACE = re.compile(r"[ \t\n\r]+")
 
 
