@@ -17,5 +17,45 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_harmonic_packing,)}
-ORACLES: dict[str, str] = {}
+def op3_line_block_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from busframe.llm.html_text import extract
+
+    return extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+def op5_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from busframe.llm.mixing import mix
+
+    mixed = mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op9_reply_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from busframe.llm.chat import format_replies, read_back, thread
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = r"\### Assistant: </turn> ok"
+    rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string"))
+    talks = read_back(format_replies(thread(rows)))
+    said = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return talks.select(
+        F.col("tree_id").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op3_line_block_text, op5_budget_mix, op9_reply_tree_chat)}
+#: Null texts and roles count as empty, as in the operator; an escaped character is one code point longer.
+ORACLES: dict[str, str] = {
+    "op9_reply_tree_chat": r"""
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(4 + length(role) + len(regexp_extract_all(role, '[\\<#:]')) + 2 + length(text) + len(regexp_extract_all(text, '[\\<#]')) + 8)::BIGINT AS formatted_chars
+        FROM said GROUP BY conv_id""",
+}
