@@ -17,12 +17,25 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from busframe.llm.fingerprint import fingerprints
+
+    found = fingerprints(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op3_line_block_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from busframe.llm.html_text import extract
 
     return extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
+def op4_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from busframe.llm.topk import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op5_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from busframe.llm.mixing import mix
 
@@ -30,6 +43,14 @@ def op5_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from busframe.llm.langid import held_out, predict, train, train_fold
+
+    docs = table(spark, sf_dir, "documents")
+    found = predict(docs, train(train_fold(docs)), keep=["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_reply_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from busframe.llm.chat import format_replies, read_back, thread
 
@@ -44,9 +65,19 @@ def op9_reply_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op3_line_block_text, op5_budget_mix, op9_reply_tree_chat)}
+QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_multiset_fingerprint, op3_line_block_text, op4_threshold_topk, op5_budget_mix, op7_language_id, op9_reply_tree_chat)}
 #: Null texts and roles count as empty, as in the operator; an escaped character is one code point longer.
 ORACLES: dict[str, str] = {
+    "op4_threshold_topk": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op9_reply_tree_chat": r"""
         WITH said AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
