@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from busframe.llm.common import Scratch, need
+from busframe.llm.common import need
 
 EQUAL, SIGNS = 4, 2
 _48 = (1 << 48) - 1
@@ -34,19 +34,26 @@ def _minus(a: Column, b: Column) -> Column:
     return low.bitwiseXOR(a.bitwiseXOR(F.bitwise_not(b)).bitwiseAND(F.lit(_HIGH)))
 
 
-def lanes(text: Column) -> Column:
-    """The fingerprint of a text as array<long>: EQUAL + 1 lanes modulo 2^48, then 16 * SIGNS longs of four lanes each."""
-    paragraphs = F.split(F.coalesce(text, F.lit("")), "\n")
-    clauses = F.filter(F.split(F.coalesce(text, F.lit("")), r"\n|(?<=[.,;:!?|])[ \t]+"), lambda x: x != "")
+def with_lanes(df: DataFrame, text_col: str, out: str) -> DataFrame:
+    """Adds column `out`, the fingerprint of a text: array<long> of EQUAL + 1 lanes modulo 2^48, then 16 * SIGNS longs of four lanes each.
 
-    def equal(i: int) -> Column:
-        return F.aggregate(paragraphs, F.lit(0).cast("long"), lambda a, x: (a + F.xxhash64(x, F.lit(i)).bitwiseAND(F.lit(_48))).bitwiseAND(F.lit(_48)))
+    The steps are columns of their own, so that a text is split and hashed once.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    df = df.withColumns({"__p": F.split(text, "\n"), "__c": F.filter(F.split(text, r"\n|(?<=[.,;:!?|])[ \t]+"), lambda x: x != "")})
+
+    def hashed(column: str, seed: int) -> Column:
+        return F.transform(column, lambda x: F.xxhash64(x, F.lit(seed)))
+
+    def equal(column: str) -> Column:
+        return F.aggregate(column, F.lit(0).cast("long"), lambda a, x: (a + x.bitwiseAND(F.lit(_48))).bitwiseAND(F.lit(_48)))
 
-    def signs(h: Column, j: int) -> Column:
-        return F.aggregate(h, F.lit(0).cast("long"), lambda a, x: _plus(a, F.shiftrightunsigned(x, j).bitwiseAND(F.lit(_ONES))))
+    def signs(column: str, j: int) -> Column:
+        return F.aggregate(column, F.lit(0).cast("long"), lambda a, x: _plus(a, F.shiftrightunsigned(x, j).bitwiseAND(F.lit(_ONES))))
 
-    sums = [signs(F.transform(clauses, lambda x, s=s: F.xxhash64(x, F.lit(100 + s))), j) for s in range(SIGNS) for j in range(16)]
-    return F.array(*[equal(i) for i in range(EQUAL)], F.size(clauses).cast("long"), *sums)
+    df = df.withColumns({f"__h{s}": hashed("__c", 100 + s) for s in range(SIGNS)} | {f"__q{i}": hashed("__p", i) for i in range(EQUAL)})
+    df = df.withColumn(out, F.array(*[equal(f"__q{i}") for i in range(EQUAL)], F.size("__c").cast("long"), *[signs(f"__h{s}", j) for s in range(SIGNS) for j in range(16)]))
+    return df.drop("__p", "__c", *[f"__h{s}" for s in range(SIGNS)], *[f"__q{i}" for i in range(EQUAL)])
 
 
 def _each(a: Column, b: Column, whole, packed) -> Column:
@@ -121,11 +128,13 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     heads = heads.withColumn("n", F.row_number().over(Window.partitionBy("range").orderBy(*order))).where("n = 1")
     follows = [(a["range"], b["range"]) for a, b in zip(tops, tops[1:] + tops[:1], strict=True)]
     follows = spark.createDataFrame(follows, "before int, range int")
-    heads = heads.join(follows, "range").select(F.col("before").alias("range"), F.col("text").alias("head_text"))
-    rows = docs.withColumn("range", place).withColumn("next", F.lead("text").over(Window.partitionBy("range").orderBy(*order)))
-    rows = rows.join(heads, "range", "left").withColumn("next", F.coalesce("next", "head_text"))
+    heads = with_lanes(heads.join(follows, "range").select(F.col("before").alias("range"), F.col("text").alias("head_text")), "head_text", "head_lanes")
+    window = Window.partitionBy("range").orderBy(*order)
+    rows = with_lanes(docs.withColumn("range", place), "text", "own")
+    rows = rows.withColumns({"next": F.lead("text").over(window), "other": F.lead("own").over(window)})
+    rows = rows.join(heads, "range", "left").withColumns({"next": F.coalesce("next", "head_text"), "other": F.coalesce("other", "head_lanes")})
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
-    rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited_text", F.concat(F.substring("text", F.lit(1), n - third), F.substring("next", F.lit(1), third)))
-    rows = rows.select("doc_id", "n_chars", "edited_text", lanes(F.col("text")).alias("own"), lanes(F.col("edited_text")).alias("edited"), lanes(F.col("next")).alias("other"))
+    edited = F.concat(F.substring("text", F.lit(1), n - third), F.substring("next", F.lit(1), third))
+    rows = with_lanes(rows.select("doc_id", n.cast("long").alias("n_chars"), "own", "other", edited.alias("edited_text")), "edited_text", "edited")
     return rows.select("doc_id", "n_chars", "edited_text", text_form(F.col("own")).alias("fingerprint"), text_form(F.col("edited")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("edited")).alias("near_edited"), likeness(F.col("own"), F.col("other")).alias("near_next"))

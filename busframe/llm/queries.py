@@ -65,7 +65,20 @@ def op9_reply_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_multiset_fingerprint, op3_line_block_text, op4_threshold_topk, op5_budget_mix, op7_language_id, op9_reply_tree_chat)}
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from busframe.llm.jaccard import components
+
+    return components(table(spark, sf_dir, "documents"))
+
+
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from busframe.llm.suffix_dedup import dedup
+
+    found = dedup(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_multiset_fingerprint, op3_line_block_text, op4_threshold_topk, op5_budget_mix, op7_language_id, op8_ngram_jaccard, op9_reply_tree_chat, op10_suffix_array_dedup)}
 #: Null texts and roles count as empty, as in the operator; an escaped character is one code point longer.
 ORACLES: dict[str, str] = {
     "op4_threshold_topk": """
