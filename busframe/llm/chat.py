@@ -51,11 +51,12 @@ def reply_paths(messages: DataFrame, scratch: Scratch) -> DataFrame:
     links, at = scratch.write(links, "links-0"), 0
     open_ = links.where("up is not null").count()
     while open_ and at < 40:
+        # Only paths that haven't reached a root take part; each becomes twice as long, or ends.
         above = links.select(F.col("tree_id").alias("t"), F.col("msg_id").alias("m"), F.col("up").alias("up2"), F.col("path").alias("path2"), F.col("path_score").alias("score2"))
-        far = links.join(above, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("up") == F.col("m")), "left")
-        far = far.select("tree_id", "msg_id", F.col("up2").alias("up"), F.when(F.col("m").isNull(), F.col("path")).otherwise(F.concat("path2", "path")).alias("path"), (F.col("path_score") + F.coalesce("score2", F.lit(0.0))).alias("path_score"))
+        far = links.where("up is not null").join(above, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("up") == F.col("m")))
+        far = far.select("tree_id", "msg_id", F.col("up2").alias("up"), F.concat("path2", "path").alias("path"), (F.col("path_score") + F.col("score2")).alias("path_score"))
         at += 1
-        links = scratch.write(far, f"links-{at}")
+        links = scratch.write(links.where("up is null").unionByName(far), f"links-{at}")
         scratch.drop(f"links-{at - 1}")
         now = links.where("up is not null").count()
         if now == open_:  # only cycles are left
