@@ -34,7 +34,7 @@ _powers: list[np.ndarray] = []
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         size = 1 << max(16, int(n - 1).bit_length())
-        _powers[:] = [np.concatenate(([1], np.multiply.accumulate(np.full(size - 1, c, "u8")))).astype("u8") for c in (_C, pow(_C, -1, 1 << 64))]
+        _powers[:] = [np.multiply.accumulate(np.concatenate((np.ones(1, "u8"), np.full(size - 1, c, "u8")))) for c in (_C, pow(_C, -1, 1 << 64))]
     return _powers[0][:n], _powers[1][:n]
 
 
@@ -291,14 +291,16 @@ def dedup(docs: DataFrame, *, keep: list[str], text_col: str = "text") -> DataFr
     place = F.xxhash64("key", "first")
     around = found.groupBy("anchor", "around").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
     around = scratch.write(around, "around")
-    several = around.groupBy("anchor").agg(F.min("lo").alias("x"), F.max("hi").alias("y"), F.count("*").alias("n")).where("x <> y").select("anchor", (F.col("n") > HOT).alias("hot"))
-    marked = around.join(several, "anchor").select("anchor", "around", (F.col("lo") != F.col("hi")).alias("whole"), "hot")
-    marked = scratch.write(found.join(marked, ["anchor", "around"]).select("key", "first", "last", "anchor", "whole", "hot"), "marked")
+    several = around.groupBy("anchor").agg(F.min("lo").alias("x"), F.max("hi").alias("y"), F.count("*").alias("n")).where("x <> y").select("anchor", "n")
+    marked = around.join(several, "anchor").select("anchor", "around", (F.col("lo") != F.col("hi")).alias("whole"), "lo", "n")
+    # Surroundings that occur again repeat as a whole; one of their places stays to be compared with other surroundings.
+    compared = ~F.col("whole") | (F.col("n") > 1) & (place == F.col("lo"))
+    marked = scratch.write(found.join(marked, ["anchor", "around"]).select("key", "first", "last", "anchor", "whole", compared.alias("compared"), (F.col("n") > HOT).alias("hot")), "marked")
     scratch.drop("anchors", "around")
     marked = marked.distinct()  # tasks repeat texts
     spans = marked.where("whole").select("key", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
 
-    open_ = scratch.write(marked.where("not whole").groupBy("key").agg(F.collect_list(F.struct("anchor", "hot", "first", "last")).alias("found")), "open")
+    open_ = scratch.write(marked.where("compared").groupBy("key").agg(F.collect_list(F.struct("anchor", "hot", "first", "last")).alias("found")), "open")
     hit = open_.select(F.pmod("key", F.lit(FILTER)).alias("x")).distinct().toPandas()["x"].to_numpy()  # FILTER at most
     if len(hit):
         mask = np.zeros(FILTER, bool)
