@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from busframe.llm.common import table
+from corpus_pipeline import ORACLE_SQL, run
 
 
 def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +44,13 @@ def op5_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op6_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from busframe.llm.kneser_ney import classify
+
+    trusted = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0")
+    return classify(table(spark, sf_dir, "documents"), trusted)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from busframe.llm.langid import held_out, predict, train, train_fold
 
@@ -78,7 +86,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_multiset_fingerprint, op3_line_block_text, op4_threshold_topk, op5_budget_mix, op7_language_id, op8_ngram_jaccard, op9_reply_tree_chat, op10_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_multiset_fingerprint, op3_line_block_text, op4_threshold_topk, op5_budget_mix, op6_kneser_ney_quality, op7_language_id, op8_ngram_jaccard, op9_reply_tree_chat, op10_suffix_array_dedup)} | {"pipeline": run}
 #: Null texts and roles count as empty, as in the operator; an escaped character is one code point longer.
 ORACLES: dict[str, str] = {
     "op4_threshold_topk": """
@@ -103,3 +111,5 @@ ORACLES: dict[str, str] = {
             sum(4 + length(role) + len(regexp_extract_all(role, '[\\<#:]')) + 2 + length(text) + len(regexp_extract_all(text, '[\\<#]')) + 8)::BIGINT AS formatted_chars
         FROM said GROUP BY conv_id""",
 }
+if ORACLE_SQL:
+    ORACLES["pipeline"] = ORACLE_SQL
