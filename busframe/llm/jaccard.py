@@ -18,7 +18,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from busframe.llm.common import Scratch, connected_components, need
@@ -29,7 +29,7 @@ NUM, DEN = 3, 4
 #: Buckets that count how frequent tokens are (only their order depends on it), and of the filter of nodes that share a tile.
 COUNTERS, FILTER = 1 << 22, 1 << 20
 #: Rounds of neighbour tests, at most.
-ROUNDS = 6
+ROUNDS = 3
 _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -85,9 +85,9 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counters that are well above one in this task, and (as bucket -1) how many hashes it saw."""
     count = np.zeros(COUNTERS, "i8")
     for b in batches:
-        for h in b.column(0):
-            count += np.bincount((np.frombuffer(h.as_buffer(), "u8") & np.uint64(COUNTERS - 1)).astype("i8"), minlength=COUNTERS) if False else 0
-            np.add.at(count, (np.frombuffer(h.as_buffer(), "u8") & np.uint64(COUNTERS - 1)).astype("i8"), 1)
+        for i in range(0, b.num_rows, 4000):
+            h = np.concatenate([np.frombuffer(x.as_buffer(), "u8") for x in b.column(0).slice(i, 4000)])
+            count += np.bincount((h & np.uint64(COUNTERS - 1)).astype("i8"), minlength=COUNTERS)
     at = np.flatnonzero(count >= 8)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(count[at], count.sum()))], names=["bucket", "n"])
 
@@ -141,7 +141,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of nodes next to each other by size in a tile that lie in different components."""
+    """Pairs of nodes next to each other by size in a tile that lie in different components, with in how many tiles."""
     t = _gather(batches)
     if t is None:
         return
@@ -149,8 +149,11 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order = np.lexsort((node, n, token))
     token, node, n, root = token[order], node[order], n[order], root[order]
     pair = np.flatnonzero((token[1:] == token[:-1]) & (root[1:] != root[:-1]) & (n[:-1].astype("i8") * DEN >= n[1:].astype("i8") * NUM))
-    found = np.unique(np.sort(np.stack((node[pair], node[pair + 1]), axis=1), axis=1), axis=0)
-    yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+    pairs = np.sort(np.stack((node[pair], node[pair + 1]), axis=1), axis=1)
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    pairs = pairs[order]
+    first = np.flatnonzero(np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(axis=1)))) if len(pairs) else np.empty(0, "i8")
+    yield pa.RecordBatch.from_arrays([pa.array(pairs[first, 0]), pa.array(pairs[first, 1]), pa.array(np.diff(np.append(first, len(pairs))))], names=["a", "b", "tiles"])
 
 
 def _apart(every: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +221,7 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     sets = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_sets, "doc_id long, n long, node long, hashes binary, bits binary")
     sets = scratch.write(sets, "sets")
     own = sets.where("hashes is not null")
-    members = sets.select("doc_id", "n", "node")
+    members = scratch.write(sets.select("doc_id", "n", "node"), "members")
 
     counts = own.select("hashes").mapInArrow(_frequent, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     counts = scratch.write(counts, "frequent")
@@ -248,38 +251,40 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     some = own.select("node", "hashes", "bits").mapInArrow(sift, "node long, hashes binary, bits binary")
     first = some.groupBy("node").agg(F.min(F.struct("hashes", "bits")).alias("s"))
     detail = scratch.write(first.join(shared.select("node").distinct(), "node", "left_semi").select("node", "s.hashes", "s.bits"), "detail")
+    scratch.drop("sets")
 
-    links: DataFrame | None = None
     roots: DataFrame | None = None
+    rows = shared.withColumn("root", F.col("node"))
 
-    def labelled() -> DataFrame:
-        """Rows of the tiles that still hold more than one component."""
-        if roots is None:
-            return shared.withColumn("root", F.col("node"))
-        rows = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = rows.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
-        return rows.join(mixed, "token", "left_semi")
-
-    def settle(pairs: DataFrame, name: str) -> int:
-        """Tests pairs exactly; the number of links found. Updates links and roots."""
-        nonlocal links, roots
+    def settle(pairs: DataFrame, name: str) -> bool:
+        """Tests pairs exactly. If some link, roots follow, and rows become those of tiles that still hold several components."""
+        nonlocal roots, rows
         pairs = pairs.join(detail.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a").join(detail.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
         tested = scratch.write(pairs.select("a", "b", "ha", "hb").mapInArrow(_verify, "a long, b long, linked boolean"), f"tested-{name}")
         found = tested.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if n := found.count():
-            links = found if links is None else links.unionByName(found)
-            roots = connected_components(scratch, links, f"roots-{name}")
-        return n
+        if found.isEmpty():
+            return False
+        if roots is None:
+            roots = connected_components(scratch, found, f"roots-{name}")
+        else:  # components join by links between their roots
+            for end in ("u", "v"):
+                found = found.join(roots.select(F.col("node").alias(end), F.col("root").alias("r")), end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
+            more = connected_components(scratch, found, f"more-{name}")
+            old = roots.join(more.select(F.col("node").alias("root"), F.col("root").alias("r")), "root", "left").select("node", F.coalesce("r", "root").alias("root"))
+            roots = scratch.write(old.unionByName(more.join(roots, "node", "left_anti")), f"roots-{name}")
+        now = rows.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = now.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
+        rows = scratch.write(now.join(mixed, "token", "left_semi").select("token", "node", "n", "root"), f"rows-{name}")
+        return True
 
     for i in range(ROUNDS):
-        pairs = labelled().repartition(parts, "token").mapInArrow(_neighbours, "a long, b long").distinct()
-        both = pairs.union(pairs.select("b", "a"))
-        one = both.groupBy("a").agg(F.min_by("b", F.xxhash64("a", "b", F.lit(i))).alias("b"))  # each node tests one
+        pairs = rows.repartition(parts, "token").mapInArrow(_neighbours, "a long, b long, tiles long").groupBy("a", "b").agg(F.sum("tiles").alias("tiles"))
+        both = pairs.union(pairs.select("b", "a", "tiles"))
+        one = both.groupBy("a").agg(F.max_by("b", F.struct("tiles", "b")).alias("b"))  # each node tests its nearest
         if not settle(scratch.write(one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"near-{i}"), f"near-{i}"):
             break
     for every in (False, True):
-        rows = labelled().join(detail.select("node", "bits"), "node")
-        pairs = rows.repartition(parts, "token").mapInArrow(partial(_apart, every), "a long, b long").distinct()
+        pairs = rows.join(detail.select("node", "bits"), "node").repartition(parts, "token").mapInArrow(partial(_apart, every), "a long, b long").distinct()
         settle(scratch.write(pairs, f"apart-{every}"), f"apart-{every}")
 
     least = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
