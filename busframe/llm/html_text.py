@@ -111,7 +111,7 @@ def lines(page: str) -> list[tuple[str, int, tuple[int, ...], bool]]:
                 if name not in _VOID:
                     number += 1
                     inside = any(x in ("article", "main") for x, *_ in stack)
-                    stack.append((name, (number * 4 + {"article": 1, "main": 2}.get(name, 0)) if name in _HOLD else -1, _dropped(name, attrs, inside)))
+                    stack.append((name, (number * 4 + {"article": 1, "main": 2, "body": 3}.get(name, 0)) if name in _HOLD else -1, _dropped(name, attrs, inside)))
     flush()
     return out
 
@@ -143,12 +143,14 @@ def main_text(page: str) -> str:
             for d, k in enumerate(found[i][2]):
                 inside[k] = inside.get(k, 0) + lengths[i]
                 depth[k] = d
-    around = [k for k, n in inside.items() if n >= 0.9 * total]
-    chosen = max(around, key=lambda k: depth[k], default=None)
-    marked = [k for k in around if k % 4]
+    deepest = lambda share: max((k for k, n in inside.items() if n >= share * total), key=lambda k: depth[k], default=None)
+    chosen = deepest(1)
+    if chosen is None or chosen % 4 == 3:  # text beside the article reached the core
+        chosen = deepest(0.9)
+    marked = [k for k, n in inside.items() if n >= 0.5 * total and k % 4 in (1, 2)]
     if marked:  # an article, or else the main element, is the whole of the text
         chosen = min((k for k in marked if k % 4 == 1), key=lambda k: depth[k], default=max(marked, key=lambda k: depth[k]))
-    whole = chosen is not None and chosen % 4 > 0
+    whole = chosen is not None and chosen % 4 in (1, 2)
     return " ".join(t for t, linked, path, d in found if not d and (chosen is None or chosen in path) and (whole or 2 * linked <= len(t)))
 
 

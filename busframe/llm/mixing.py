@@ -28,12 +28,13 @@ def words(text: Column) -> Column:
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each size to take so that their words come to `budget`, or to as much below as can be.
 
-    The same share of every size first, then large sizes while over EXACT words are left, then the bounded knapsack.
+    The same share of every size first, then large sizes, while over EXACT words are left; the bounded knapsack does the rest.
     """
     total = int((sizes * counts).sum())
     if budget >= total:
         return counts.copy()
-    taken = counts * budget // total  # exact: int64 holds counts * budget below 9e18, checked by the caller
+    part = max(0, budget - EXACT)
+    taken = np.array([int(c) * part // total for c in counts], "int64")
     rest = budget - int((taken * sizes).sum())
     order = np.argsort(-sizes, kind="stable")
     for i in order:
