@@ -66,7 +66,7 @@ def compare_unordered(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def compare_files(spark: SparkSession, a: str, b: str, glob: str = "*") -> DataFrame:
-    """(name, sha_a, sha_b, equal) of the files under two directories, by name."""
+    """(name, sha_a, sha_b, equal) of the files under two directories, by name. Spark lists no empty files."""
 
     def listed(path: str, side: str) -> DataFrame:
         files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)

@@ -35,7 +35,7 @@ def _elements_1553(doc: dict) -> Iterator[tuple]:
         names = [*(d.get("lru_name") or []), "", ""]
         for kind in ("word_elem", "bit_elem"):
             for elem, e in (body[kind] or {}).items():
-                offset = e["offset"] if "offset" in e else e["off"]
+                offset = e.get("offset", e.get("off", e.get(False)))  # YAML reads a bare off as false
                 yield (
                     msg, elem, command[0], command[1], d["wrdcnt"], d["bus"], names[0], addr[0], names[1], addr[1], sub[0], sub[1], float(d["rate"]), offset, e["cnt"], e["schema"], kind == "bit_elem",
                     bool(e.get("multifmt")), e.get("msb", 0), e.get("lsb", 0), e.get("bitcnt", 0), e.get("class"), e.get("desc"), float(e["msbval"]), e.get("uom"),

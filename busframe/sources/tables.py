@@ -25,7 +25,7 @@ def read_parsed(spark: SparkSession, path: str, schema: str | None = None, colum
 
 def same_schema(spark: SparkSession, paths: list[str]) -> bool:
     """Whether Parquet files or directories have one schema; only footers are read."""
-    first, *rest = [spark.read.parquet(p).schema for p in paths]
+    first, *rest = [spark.read.option("pathGlobFilter", "*.parquet").parquet(p).schema for p in paths]
     return all([(f.name, f.dataType) for f in s] == [(f.name, f.dataType) for f in first] for s in rest)
 
 
