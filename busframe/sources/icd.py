@@ -18,7 +18,7 @@ def read_icd_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     head = spark.read.text(path).first()
     if not head or not head[0].startswith("msg_name,elem_name"):
         raise ValueError("the header must begin with msg_name,elem_name")
-    rows = spark.read.csv(path, schema=f"{ICD_1553}, {_BAD} string", header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, enforceSchema=True)
+    rows = spark.read.csv(path, schema=f"{ICD_1553}, {_BAD} string", header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, enforceSchema=True).cache()  # thousands of rows; Spark can't select malformed lines alone unless parsed rows are kept
     return rows.where(F.col(_BAD).isNull()).drop(_BAD), rows.where(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
 
 
