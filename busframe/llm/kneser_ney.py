@@ -59,6 +59,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     number = TaskContext.get().partitionId() << 32
     open_: dict[str | None, tuple[list, list[str], int]] = {}
+    held = 0
 
     def close(lang: str | None) -> pa.RecordBatch:
         nonlocal number
@@ -75,8 +76,11 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ids.append(doc_id)
                 texts.append(text)
                 open_[lang] = (ids, texts, size + len(text))
-                if size + len(text) >= CHUNK:
-                    yield close(lang)
+                held += len(text)
+                if size + len(text) >= CHUNK or held >= 4 * CHUNK:  # many languages: the largest goes first
+                    largest = lang if size + len(text) >= CHUNK else max(open_, key=lambda x: open_[x][2])
+                    held -= open_[largest][2]
+                    yield close(largest)
     for lang in list(open_):
         yield close(lang)
 
