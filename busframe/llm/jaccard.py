@@ -29,7 +29,7 @@ NUM, DEN = 3, 4
 #: Buckets that count how frequent tokens are (only their order depends on it), and of the filter of nodes that share a tile.
 COUNTERS, FILTER = 1 << 22, 1 << 20
 #: Rounds of neighbour tests, at most.
-ROUNDS = 3
+ROUNDS = 5
 _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,8 +49,8 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """Signature: the parity of how many hashes fall on each of 2^k bits, at least 4 a hash and 64."""
-    bits = 1 << max(6, int(4 * len(hashes) - 1).bit_length())
+    """Signature: the parity of how many hashes fall on each of 2^k bits, at least one a hash and 64."""
+    bits = 1 << max(6, int(len(hashes) - 1).bit_length())
     return np.packbits(np.bincount((hashes >> np.uint64(20)).astype("i8") & (bits - 1), minlength=bits).astype("u1") & 1).tobytes()
 
 
@@ -61,57 +61,77 @@ def _fold(bits: np.ndarray, width: int) -> np.ndarray:
     return bits
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents to (doc_id, n, node, hashes, bits); a task gives a node's hashes and signature once only."""
-    seen: set[int] = set()
-    for b in batches:
-        for i in range(0, b.num_rows, 1000):
-            part = b.slice(i, 1000)
-            sizes, nodes, hashes, bits = [], [], [], []
-            for text in part.column(1).to_pylist():
-                s = shingles(text)
-                sizes.append(len(s))
-                node = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None
-                nodes.append(node)
-                new = node is not None and node not in seen
-                if new:
-                    seen.add(node)
-                hashes.append(s.tobytes() if new else None)
-                bits.append(bitmap(s) if new else None)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(bits, pa.binary())], names=["doc_id", "n", "node", "hashes", "bits"])
+def _node(hashes: np.ndarray) -> int | None:
+    """Name of a set."""
+    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63) if len(hashes) else None
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counters that are well above one in this task, and (as bucket -1) how many hashes it saw."""
     count = np.zeros(COUNTERS, "i8")
     for b in batches:
-        for i in range(0, b.num_rows, 4000):
-            h = np.concatenate([np.frombuffer(x.as_buffer(), "u8") for x in b.column(0).slice(i, 4000)])
+        for i in range(0, b.num_rows, 2000):
+            h = np.concatenate([shingles(t) for t in b.column(0).slice(i, 2000).to_pylist()])
             count += np.bincount((h & np.uint64(COUNTERS - 1)).astype("i8"), minlength=COUNTERS)
     at = np.flatnonzero(count >= 8)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(count[at], count.sum()))], names=["bucket", "n"])
 
 
-def _prefixes(frequent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, node, n) of each node's prefix."""
+def _prefix(h: np.ndarray, late: np.ndarray | None) -> np.ndarray:
+    """The tokens by one of which a set must meet any set it links with."""
+    length = len(h) - -(-len(h) * NUM // DEN) + 1
+    if late is None:
+        return h[:length]
+    is_late = late[(h & np.uint64(COUNTERS - 1)).astype("i8")]
+    early = h[~is_late][:length]
+    return np.concatenate((early, h[is_late][: length - len(early)]))
+
+
+def _nodes(frequent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, key, text) to (doc_id, key, n, node, prefix, bits); a task gives a node's prefix and signature once only."""
     late = np.unpackbits(frequent.value).astype(bool) if frequent.value is not None else None
+    seen: set[int] = set()
+    for b in batches:
+        for i in range(0, b.num_rows, 1000):
+            part = b.slice(i, 1000)
+            sizes, nodes, prefix, bits = [], [], [], []
+            for text in part.column(2).to_pylist():
+                s = shingles(text)
+                node = _node(s)
+                new = node is not None and node not in seen
+                seen.add(node)
+                sizes.append(len(s))
+                nodes.append(node)
+                prefix.append(_prefix(s, late).tobytes() if new else None)
+                bits.append(bitmap(s) if new else None)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(prefix, pa.binary()), pa.array(bits, pa.binary())], names=["doc_id", "key", "n", "node", "prefix", "bits"])
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, n, prefix) to (token, node, n)."""
     for b in batches:
         for i in range(0, b.num_rows, 500):
             part = b.slice(i, 500)
-            tokens, nodes, sizes = [], [], []
-            for node, h in zip(part.column(0).to_numpy(), part.column(1), strict=True):
-                h = np.frombuffer(h.as_buffer(), "u8")
-                n = len(h)
-                length = n - -(-n * NUM // DEN) + 1
-                if late is not None:
-                    is_late = late[(h & np.uint64(COUNTERS - 1)).astype("i8")]
-                    early = h[~is_late][:length]
-                    h = np.concatenate((early, h[is_late][: length - len(early)])) if len(early) < length else early
-                tokens.append(h[:length])
-                nodes.append(np.full(length, node))
-                sizes.append(np.full(length, n, "i4"))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view("i8")), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))], names=["token", "node", "n"])
+            tokens = [np.frombuffer(x.as_buffer(), "i8") for x in part.column(2)]
+            times = [len(t) for t in tokens]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.repeat(part.column(0).to_numpy(), times)), pa.array(np.repeat(part.column(1).to_numpy(), times).astype("i4"))], names=["token", "node", "n"])
+
+
+def _sift(mask, column: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose number hits a filter of fixed size."""
+    bits = np.unpackbits(mask.value).astype(bool)
+    for b in batches:
+        yield b.filter(pa.array(bits[np.mod(b.column(column).to_numpy(), FILTER)]))
+
+
+def _sets(mask, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, text) to (node, hashes) of the texts that hit the filter, each once in a task."""
+    seen: set[int] = set()
+    for b in _sift(mask, 0, batches):
+        for i in range(0, b.num_rows, 1000):
+            sets = [shingles(t) for k, t in zip(b.column(0).slice(i, 1000).to_pylist(), b.column(1).slice(i, 1000).to_pylist(), strict=True) if not (k in seen or seen.add(k))]
+            if sets:
+                yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "hashes"])
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
@@ -140,13 +160,13 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, node, n)], names=["token", "node", "n"])
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _neighbours(turn: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of nodes next to each other by size in a tile that lie in different components, with in how many tiles."""
     t = _gather(batches)
     if t is None:
         return
     token, node, n, root = (t.column(c).to_numpy() for c in ("token", "node", "n", "root"))
-    order = np.lexsort((node, n, token))
+    order = np.lexsort((node * np.int64(2 * turn + 1), n, token))  # another order of equal sizes each time
     token, node, n, root = token[order], node[order], n[order], root[order]
     pair = np.flatnonzero((token[1:] == token[:-1]) & (root[1:] != root[:-1]) & (n[:-1].astype("i8") * DEN >= n[1:].astype("i8") * NUM))
     pairs = np.sort(np.stack((node[pair], node[pair + 1]), axis=1), axis=1)
@@ -156,8 +176,14 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(pairs[first, 0]), pa.array(pairs[first, 1]), pa.array(np.diff(np.append(first, len(pairs))))], names=["a", "b", "tiles"])
 
 
-def _apart(every: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs in different components that the signatures allow: every one, or for each node and other component the likeliest."""
+def _allowed(x: np.ndarray, y: np.ndarray, both: np.ndarray | int) -> np.ndarray:
+    """Whether signatures of one width (a row each) allow a link between sets with `both` elements together."""
+    most = (both - np.bitwise_count(x ^ y).sum(axis=-1, dtype="i8")) // 2
+    return most * (NUM + DEN) >= NUM * both
+
+
+def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs in different components that their signatures allow."""
     t = _gather(batches)
     if t is None:
         return
@@ -165,7 +191,7 @@ def _apart(every: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     order = np.lexsort((node, n, token))
     token, node, root, n = token[order], node[order], root[order], n[order].astype("i8")
     bits = t.column("bits").take(pa.array(order)).to_pylist()
-    found: dict[tuple[int, int], tuple[float, int]] = {}
+    found: set[tuple[int, int]] = set()
     for s, e in zip(*_runs(token), strict=True):
         if e - s < 2 or (root[s:e] == root[s]).all():
             continue
@@ -179,20 +205,20 @@ def _apart(every: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             w = len(words[i])
             if w not in cut:  # those of this width or above, cut to it
                 cut[w] = np.stack([_fold(x, w) if len(x) >= w else np.zeros(w, "u8") for x in words])
-            differ = np.bitwise_count(cut[w][js] ^ words[i]).sum(axis=1, dtype="i8")
-            both = n[s + i] + n[s + js]
-            most = (both - differ) // 2
-            ok = most * (NUM + DEN) >= NUM * both
-            for j, like in zip(js[ok].tolist(), (most[ok] / both[ok]).tolist(), strict=True):
-                a, b = int(node[s + i]), int(node[s + j])
-                if every:
-                    found[min(a, b), max(a, b)] = (0, 0)
-                    continue
-                for x, y, other in ((a, b, int(root[s + j])), (b, a, int(root[s + i]))):
-                    if found.get((x, other), (-1.0, 0))[0] < like:
-                        found[x, other] = (like, y)
-    pairs = list(found) if every else list({(min(x, y), max(x, y)) for (x, _), (_, y) in found.items()})
-    yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
+            ok = _allowed(cut[w][js], words[i], n[s + i] + n[s + js])
+            found.update((min(a, b), max(a, b)) for a, b in ((int(node[s + i]), int(node[s + j])) for j in js[ok]))
+    yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
+
+
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that their signatures allow."""
+    for b in batches:
+        ok = []
+        for x, y, m, n in zip(*(b.column(c).to_pylist() for c in ("bits_a", "bits_b", "n_a", "n_b")), strict=True):
+            x, y = np.frombuffer(x, "u8"), np.frombuffer(y, "u8")
+            w = min(len(x), len(y))
+            ok.append(bool(_allowed(_fold(x, w), _fold(y, w), m + n)))
+        yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,13 +244,10 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     need(docs, id_col, text_col)
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
-    sets = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_sets, "doc_id long, n long, node long, hashes binary, bits binary")
-    sets = scratch.write(sets, "sets")
-    own = sets.where("hashes is not null")
-    members = scratch.write(sets.select("doc_id", "n", "node"), "members")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
 
-    counts = own.select("hashes").mapInArrow(_frequent, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counts = scratch.write(counts, "frequent")
+    counts = scratch.write(texts.select("text").mapInArrow(_frequent, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "frequent")
     total = counts.where("bucket < 0").agg(F.sum("n")).first()[0] or 0
     often = counts.where((F.col("bucket") >= 0) & (F.col("n") > max(64, 4 * total // COUNTERS))).select("bucket").toPandas()["bucket"].to_numpy()  # COUNTERS / 4 at most
     late = None
@@ -233,59 +256,64 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         late[often] = True
         late = np.packbits(late)
     late = spark.sparkContext.broadcast(late)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index = own.select("node", "hashes").mapInArrow(partial(_prefixes, late), "token long, node long, n int")
+    nodes = scratch.write(texts.mapInArrow(partial(_nodes, late), "doc_id long, key long, n long, node long, prefix binary, bits binary"), "nodes")
+    members, own = nodes.select("doc_id", "n", "node"), nodes.where("prefix is not null")
+    index = own.select("node", "n", "prefix").mapInArrow(_tokens, "token long, node long, n int")
     shared = scratch.write(index.repartition(parts, "token").mapInArrow(_shared, "token long, node long, n int"), "shared")
 
-    # Sets of the nodes that share a tile; most others are sifted out before the join by a filter of fixed size.
-    hit = shared.select(F.pmod("node", F.lit(FILTER)).alias("x")).distinct().toPandas()["x"].to_numpy()
-    mask = np.zeros(FILTER, bool)
-    mask[hit] = True
-    mask = spark.sparkContext.broadcast(np.packbits(mask))
-
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(mask.value).astype(bool)
-        for b in batches:
-            yield b.filter(pa.array(bits[np.mod(b.column(0).to_numpy(), FILTER)]))
-
-    some = own.select("node", "hashes", "bits").mapInArrow(sift, "node long, hashes binary, bits binary")
-    first = some.groupBy("node").agg(F.min(F.struct("hashes", "bits")).alias("s"))
-    detail = scratch.write(first.join(shared.select("node").distinct(), "node", "left_semi").select("node", "s.hashes", "s.bits"), "detail")
-    scratch.drop("sets")
+    def filter_of(numbers: DataFrame, column: str):
+        """A filter of fixed size that the numbers hit."""
+        mask = np.zeros(FILTER, bool)
+        mask[numbers.select(F.pmod(column, F.lit(FILTER)).alias("x")).distinct().toPandas()["x"].to_numpy("int64")] = True
+        return spark.sparkContext.broadcast(np.packbits(mask))
 
+    met = shared.select("node").distinct()
+    some = own.select("node", "n", "bits", "key").mapInArrow(partial(_sift, filter_of(met, "node"), 0), "node long, n long, bits binary, key long")
+    detail = scratch.write(some.groupBy("node").agg(F.min(F.struct("n", "bits", "key")).alias("s")).join(met, "node", "left_semi").select("node", "s.*"), "detail")
     roots: DataFrame | None = None
-    rows = shared.withColumn("root", F.col("node"))
 
     def settle(pairs: DataFrame, name: str) -> bool:
-        """Tests pairs exactly. If some link, roots follow, and rows become those of tiles that still hold several components."""
-        nonlocal roots, rows
-        pairs = pairs.join(detail.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a").join(detail.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
-        tested = scratch.write(pairs.select("a", "b", "ha", "hb").mapInArrow(_verify, "a long, b long, linked boolean"), f"tested-{name}")
+        """Tests pairs exactly, on the sets of their texts; whether some link. If so, roots follow."""
+        nonlocal roots
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if ends.isEmpty():
+            return False
+        sets = texts.select("key", "text").where("text is not null").mapInArrow(partial(_sets, filter_of(detail.join(ends, "node", "left_semi"), "key")), "node long, hashes binary")
+        sets = scratch.write(sets.where("node is not null").groupBy("node").agg(F.min("hashes").alias("hashes")).join(ends, "node", "left_semi"), f"sets-{name}")
+        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
+        tested = scratch.write(both.select("a", "b", "ha", "hb").mapInArrow(_verify, "a long, b long, linked boolean"), f"tested-{name}")
+        scratch.drop(f"sets-{name}")
         found = tested.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         if found.isEmpty():
             return False
         if roots is None:
             roots = connected_components(scratch, found, f"roots-{name}")
-        else:  # components join by links between their roots
-            for end in ("u", "v"):
-                found = found.join(roots.select(F.col("node").alias(end), F.col("root").alias("r")), end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
-            more = connected_components(scratch, found, f"more-{name}")
-            old = roots.join(more.select(F.col("node").alias("root"), F.col("root").alias("r")), "root", "left").select("node", F.coalesce("r", "root").alias("root"))
-            roots = scratch.write(old.unionByName(more.join(roots, "node", "left_anti")), f"roots-{name}")
-        now = rows.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = now.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
-        rows = scratch.write(now.join(mixed, "token", "left_semi").select("token", "node", "n", "root"), f"rows-{name}")
+            return True
+        for end in ("u", "v"):  # components join by links between their roots
+            found = found.join(roots.select(F.col("node").alias(end), F.col("root").alias("r")), end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
+        more = connected_components(scratch, found, f"more-{name}")
+        old = roots.join(more.select(F.col("node").alias("root"), F.col("root").alias("r")), "root", "left").select("node", F.coalesce("r", "root").alias("root"))
+        roots = scratch.write(old.unionByName(more.join(roots, "node", "left_anti")), f"roots-{name}")
         return True
 
+    rows = shared.withColumn("root", F.col("node"))
     for i in range(ROUNDS):
-        pairs = rows.repartition(parts, "token").mapInArrow(_neighbours, "a long, b long, tiles long").groupBy("a", "b").agg(F.sum("tiles").alias("tiles"))
+        pairs = rows.repartition(parts, "token").mapInArrow(partial(_neighbours, i), "a long, b long, tiles long").groupBy("a", "b").agg(F.sum("tiles").alias("tiles"))
         both = pairs.union(pairs.select("b", "a", "tiles"))
-        one = both.groupBy("a").agg(F.max_by("b", F.struct("tiles", "b")).alias("b"))  # each node tests its nearest
-        if not settle(scratch.write(one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"near-{i}"), f"near-{i}"):
+        best = F.struct("tiles", "b") if i == 0 else F.struct(F.xxhash64("a", "b", F.lit(i)), "b")
+        one = both.groupBy("a").agg(F.max_by("b", best).alias("b"))  # each node tests one other
+        one = one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        for end in ("a", "b"):
+            one = one.join(detail.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}")), end)
+        one = scratch.write(one.mapInArrow(_plausible, "a long, b long"), f"near-{i}")
+        if not settle(one, f"near-{i}"):
             break
-    for every in (False, True):
-        pairs = rows.join(detail.select("node", "bits"), "node").repartition(parts, "token").mapInArrow(partial(_apart, every), "a long, b long").distinct()
-        settle(scratch.write(pairs, f"apart-{every}"), f"apart-{every}")
+        # From now on only nodes that have a link: they alone come in groups that pairs would square.
+        rows = scratch.write(shared.join(roots, "node") if i == 0 else rows.drop("root").join(roots, "node"), f"rows-{i}")
+    known = detail if roots is None else detail.join(roots, "node", "left")
+    known = known.select("node", "bits", (F.col("node") if roots is None else F.coalesce("root", "node")).alias("root"))
+    pairs = shared.join(known, "node").repartition(parts, "token").mapInArrow(_apart, "a long, b long").distinct()
+    settle(scratch.write(pairs, "apart"), "apart")
 
     least = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     if roots is not None:
