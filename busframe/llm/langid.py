@@ -100,11 +100,12 @@ def train(labelled: DataFrame, *, lang_col: str = "lang", text_col: str = "text"
     """
     need(labelled, lang_col, text_col, id_col)
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    n = {r["lang"]: r["n"] for r in counts.limit(LANGUAGES + 1).collect()}
+    n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
     if len(n) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    chosen = rows.join(counts, "lang").where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) * F.col("n") < sample * (1 << 30)).select("lang", "text")
+    of_language = F.element_at(F.create_map(*[F.lit(x) for pair in n.items() for x in pair]), F.col("lang")) if n else F.lit(0)
+    chosen = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) * of_language < sample * (1 << 30)).select("lang", "text")
+    chosen = chosen.repartition(1 + sum(min(x, sample) for x in n.values()) // 1000)  # each task returns a whole vector per language
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
