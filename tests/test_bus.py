@@ -261,3 +261,40 @@ def test_every_query_has_sql():
     from busframe.plans.catalog import ORACLES, QUERIES
 
     assert set(QUERIES) == set(ORACLES)
+
+
+def test_parse(spark, tmp_path):
+    from busframe.plans import parse
+
+    digits = struct.pack("<4H", 0x0312, 0x0102, 0x0229, 0x2020)  # 120 ms, 3 s, 2 min, 1 h, 29 February 2020
+    clock = encode(0x11, struct.pack("<I", 0x200) + digits, rtc=1000)
+    stamp = (1500).to_bytes(6, "little") + b"\0\0"
+    receive = stamp + struct.pack("<3H", 0, 0x0201, 8) + struct.pack("<4H", 0x0822, 7, 8, 0x0800)  # two words to unit 1, then its status
+    transmit = stamp + struct.pack("<3H", 0x2008, 0, 6) + struct.pack("<3H", 0x1442, 0x1000, 9)
+    frame = bytes.fromhex("001122334455" "66778899aabb" "0800" "45000020000100004011" "0000" "0a000001" "0a000002" "04d2162e000c0000" "deadbeef")
+    word = lambda label, data: label | 1 << 8 | data << 10 | 3 << 29
+    stream = [
+        encode(0x19, struct.pack("<I", 1) + receive, rtc=900), clock, encode(0x19, struct.pack("<I", 2 | 1 << 30) + receive + transmit, rtc=2000),
+        encode(0x38, struct.pack("<I", 3) + struct.pack("<6I", 5, word(0x51, 77), 6 | 2 << 24, word(0x51, 78), 1 << 22, word(1, 1)), rtc=2000),
+        encode(0x68, struct.pack("<I", 1) + stamp + struct.pack("<I", len(frame)) + frame, rtc=2000), encode(0x40, struct.pack("<I", 1 << 28) + b"\x47\x01" * 94, rtc=2000),
+    ]
+    (tmp_path / "r.ch10").write_bytes(b"".join(stream))
+    spark.dataSource.register(packets.PacketSource)
+    df = spark.read.format("ch10").load(f"{tmp_path}/r.ch10").cache()
+    at = 1582938123 * 10**9 + 120 * 10**6
+    fix = parse.time_fixes(df).first()
+    assert (fix.time, fix.src, fix.time_fmt, fix.date_fmt) == (at, 0, 0, True)
+    m = parse.parse_1553(df).orderBy("txcommwrd").collect()
+    assert len(m) == 2 and m[0].time == at + 500 * 100 and m[0].ttb == 1 and not m[0].doy
+    assert (m[0].rxcommwrd, m[0].rxrtaddr, m[0].rxsubaddr, m[0].calcwrdcnt, m[0].incomplete, m[0].data[:3]) == (0x0822, 1, 1, 2, False, [7, 8, 0])
+    assert (m[0].statwrd1, m[0].status_rtaddr1, m[0].statwrd2, m[0].gap1, m[0].gap2) == (0x0800, 1, -1, 1, 2)
+    w = parse.parse_429(df).orderBy("time").collect()
+    assert [(r.time - at - 100_000, r.bus, r.data, r.SDI, r.SSM) for r in w] == [(500, 0, 77, 1, 3), (1100, 2, 78, 1, 3)]
+    e = parse.parse_ethernet(df).first()
+    assert (e.time, e.dstport, e.payload_sz, e.payload[:5], len(e.payload)) == (at + 50_000, 5678, 4, [0xDE, 0xAD, 0xBE, 0xEF, 0], 1490)
+    v = parse.parse_video(df).first()
+    assert (v.time, v.KLV, v.IPH, v.data[0], len(v.data), v.unit_idx) == (at + 100_000, True, False, 0x0147, 94, 0)
+    parse.write_parsed(parse.parse_429(df), f"{tmp_path}/out", ["time"])
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 2
+    parse.write_attributes(spark.createDataFrame([("a",)], "text string"), f"{tmp_path}/text")
+    assert spark.read.text(f"{tmp_path}/text").first()[0] == "a"
