@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from busframe.llm.common import Scratch, table
@@ -19,16 +19,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one whose id names the group (of rows with one id, the first by text)."""
+    """One document of each group of near copies: the one whose id names the group (of rows with one id, the first by text hash)."""
     from busframe.llm.jaccard import components
 
     groups = components(docs)
     chosen = groups.where("doc_id = component_id").select("doc_id").distinct()
     # A null id names no group; rows without one stay where their whole group has none.
-    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
+    kept = docs.join(chosen, "doc_id", "left_semi").withColumn("row", first).where("row = 1")
     if groups.where("component_id is null").isEmpty():
         return kept.select(*COLUMNS)
-    return kept.unionByName(docs.where("doc_id is null").dropDuplicates(["text"])).select(*COLUMNS)
+    return kept.select(*COLUMNS).unionByName(docs.where("doc_id is null").dropDuplicates(["text"])).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
