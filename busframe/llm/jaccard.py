@@ -28,8 +28,8 @@ WORDS = 5
 NUM, DEN = 3, 4
 #: Buckets that count how frequent tokens are (only their order depends on it), and of the filter of nodes that share a tile.
 COUNTERS, FILTER = 1 << 22, 1 << 20
-#: Rounds of neighbour tests, at most.
-ROUNDS = 5
+#: Rounds of neighbour tests, at most, and how many places away by size a neighbour may be.
+ROUNDS, LAG = 3, 4
 _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -160,22 +160,6 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, node, n)], names=["token", "node", "n"])
 
 
-def _neighbours(turn: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of nodes next to each other by size in a tile that lie in different components, with in how many tiles."""
-    t = _gather(batches)
-    if t is None:
-        return
-    token, node, n, root = (t.column(c).to_numpy() for c in ("token", "node", "n", "root"))
-    order = np.lexsort((node * np.int64(2 * turn + 1), n, token))  # another order of equal sizes each time
-    token, node, n, root = token[order], node[order], n[order], root[order]
-    pair = np.flatnonzero((token[1:] == token[:-1]) & (root[1:] != root[:-1]) & (n[:-1].astype("i8") * DEN >= n[1:].astype("i8") * NUM))
-    pairs = np.sort(np.stack((node[pair], node[pair + 1]), axis=1), axis=1)
-    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-    pairs = pairs[order]
-    first = np.flatnonzero(np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(axis=1)))) if len(pairs) else np.empty(0, "i8")
-    yield pa.RecordBatch.from_arrays([pa.array(pairs[first, 0]), pa.array(pairs[first, 1]), pa.array(np.diff(np.append(first, len(pairs))))], names=["a", "b", "tiles"])
-
-
 def _allowed(x: np.ndarray, y: np.ndarray, both: np.ndarray | int) -> np.ndarray:
     """Whether signatures of one width (a row each) allow a link between sets with `both` elements together."""
     most = (both - np.bitwise_count(x ^ y).sum(axis=-1, dtype="i8")) // 2
@@ -210,15 +194,35 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
 
 
-def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that their signatures allow."""
-    for b in batches:
-        ok = []
-        for x, y, m, n in zip(*(b.column(c).to_pylist() for c in ("bits_a", "bits_b", "n_a", "n_b")), strict=True):
-            x, y = np.frombuffer(x, "u8"), np.frombuffer(y, "u8")
-            w = min(len(x), len(y))
-            ok.append(bool(_allowed(_fold(x, w), _fold(y, w), m + n)))
-        yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+def _near(turn: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of nodes up to LAG places from each other by size in a tile, in different components, that their signatures allow; with their likeness by the signatures in thousandths."""
+    t = _gather(batches)
+    if t is None:
+        return
+    token, node, n, root = (t.column(c).to_numpy() for c in ("token", "node", "n", "root"))
+    order = np.lexsort((node * np.int64(2 * turn + 1), n, token))  # another order of equal sizes each time
+    token, node, root, n = token[order], node[order], root[order], n[order].astype("i8")
+    bits = t.column("bits").take(pa.array(order)).to_pylist()
+    width = np.array([len(x) for x in bits]) // 8
+    place, table = np.zeros(len(bits), "i8"), {}
+    for w in np.unique(width):
+        at = np.flatnonzero(width == w)
+        place[at] = np.arange(len(at))
+        table[w] = np.frombuffer(b"".join(bits[i] for i in at), "u8").reshape(-1, w)
+    found = []
+    for lag in range(1, LAG + 1):
+        i = np.flatnonzero((token[lag:] == token[:-lag]) & (root[lag:] != root[:-lag]) & (n[:-lag] * DEN >= n[lag:] * NUM))
+        for w in np.unique(width[i]):
+            for v in (w, 2 * w):
+                x = i[(width[i] == w) & (width[i + lag] == v)]
+                for x in np.array_split(x, 1 + len(x) * w // 1_000_000):
+                    other = table[v][place[x + lag]] if len(x) else np.empty((0, v), "u8")
+                    both = n[x] + n[x + lag]
+                    most = (both - np.bitwise_count(table[w][place[x]] ^ (other if v == w else other[:, :w] ^ other[:, w:])).sum(axis=1, dtype="i8")) // 2
+                    ok = most * (NUM + DEN) >= NUM * both
+                    found.append(np.stack((np.minimum(node[x], node[x + lag]), np.maximum(node[x], node[x + lag]), 1000 * most // both), axis=1)[ok])
+    pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 3), "i8")
+    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in range(3)], names=["a", "b", "like"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,23 +300,25 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         roots = scratch.write(old.unionByName(more.join(roots, "node", "left_anti")), f"roots-{name}")
         return True
 
-    rows = shared.withColumn("root", F.col("node"))
+    def with_roots(rows: DataFrame, known: DataFrame) -> DataFrame:
+        if roots is None:
+            return rows.join(known.select("node", "bits", F.col("node").alias("root")), "node")
+        return rows.join(known.join(roots, "node", "left").select("node", "bits", F.coalesce("root", "node").alias("root")), "node")
+
+    rows, known = shared, detail.select("node", "bits")
     for i in range(ROUNDS):
-        pairs = rows.repartition(parts, "token").mapInArrow(partial(_neighbours, i), "a long, b long, tiles long").groupBy("a", "b").agg(F.sum("tiles").alias("tiles"))
-        both = pairs.union(pairs.select("b", "a", "tiles"))
-        best = F.struct("tiles", "b") if i == 0 else F.struct(F.xxhash64("a", "b", F.lit(i)), "b")
+        pairs = with_roots(rows, known).repartition(parts, "token").mapInArrow(partial(_near, i), "a long, b long, like long").distinct()
+        pairs = scratch.write(pairs, f"near-{i}")
+        both = pairs.union(pairs.select("b", "a", "like"))
+        best = F.struct("like", "b") if i == 0 else F.struct(F.xxhash64("a", "b", F.lit(i)), "b")
         one = both.groupBy("a").agg(F.max_by("b", best).alias("b"))  # each node tests one other
-        one = one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        for end in ("a", "b"):
-            one = one.join(detail.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}")), end)
-        one = scratch.write(one.mapInArrow(_plausible, "a long, b long"), f"near-{i}")
-        if not settle(one, f"near-{i}"):
+        if i == 0:  # later rounds take the nodes that have found someone: they alone come in groups that pairs would square
+            active = scratch.write(one.select(F.col("a").alias("node")), "active")
+            known = scratch.write(known.join(active, "node", "left_semi"), "known")
+            rows = scratch.write(shared.join(active, "node", "left_semi"), "rows")
+        if not settle(scratch.write(one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"one-{i}"), f"near-{i}"):
             break
-        # From now on only nodes that have a link: they alone come in groups that pairs would square.
-        rows = scratch.write(shared.join(roots, "node") if i == 0 else rows.drop("root").join(roots, "node"), f"rows-{i}")
-    known = detail if roots is None else detail.join(roots, "node", "left")
-    known = known.select("node", "bits", (F.col("node") if roots is None else F.coalesce("root", "node")).alias("root"))
-    pairs = shared.join(known, "node").repartition(parts, "token").mapInArrow(_apart, "a long, b long").distinct()
+    pairs = with_roots(shared, detail.select("node", "bits")).repartition(parts, "token").mapInArrow(_apart, "a long, b long").distinct()
     settle(scratch.write(pairs, "apart"), "apart")
 
     least = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
