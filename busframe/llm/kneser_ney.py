@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from busframe.llm.common import Scratch, need
 
 ORDER = 4
-#: Code points of a chunk, about; a longer text is a chunk of its own.
-CHUNK = 1 << 22
+#: Code points of a chunk, about; a longer text is a chunk of its own. And of what is taken up in numpy at once.
+CHUNK, BLOCK = 12_000_000, 1_000_000
 FILTER = 1 << 22
 #: One trusted document in FOLDS sets thresholds, the others train.
 FOLDS = 5
@@ -77,7 +77,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 texts.append(text)
                 open_[lang] = (ids, texts, size + len(text))
                 held += len(text)
-                if size + len(text) >= CHUNK or held >= 4 * CHUNK:  # many languages: the largest goes first
+                if size + len(text) >= CHUNK or held >= 2 * CHUNK:  # many languages: the largest goes first
                     largest = lang if size + len(text) >= CHUNK else max(open_, key=lambda x: open_[x][2])
                     held -= open_[largest][2]
                     yield close(largest)
@@ -86,24 +86,40 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, text) to counts of n-grams, one per block of texts."""
+    """(lang, text or packed text) to counts of n-grams, one per block of texts."""
     for b in batches:
-        langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+        langs, texts = b.column(0).to_pylist(), [t if isinstance(t, str) else _unpack(t)[0] for t in b.column(1).to_pylist()]
         for lang in sorted(set(langs)):
             own = [t for x, t in zip(langs, texts, strict=True) if x == lang and t]
             while own:
                 size, n = 0, 0
-                while n < len(own) and size < CHUNK:
+                while n < len(own) and size < BLOCK:
                     size, n = size + len(own[n]), n + 1
                 g, c = np.unique(grams(own[:n])[0], return_counts=True)
                 own = own[n:]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g)), pa.array(g), pa.array(c.astype("i8"))], names=["lang", "gram", "c"])
 
 
+def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about BLOCK code points together."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= BLOCK:
+            yield first, i + 1
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for row in b.to_pylist():
-            g = np.unique(grams(_unpack(row["texts"]))[0])
+        for i in range(b.num_rows):
+            row = b.slice(i, 1).to_pylist()[0]
+            texts = _unpack(row["texts"])
+            g = np.empty(0, "i8")
+            for x, y in _blocks(texts):
+                g = np.union1d(g, grams(texts[x:y])[0])
             if len(g):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), row["chunk"])), pa.array([row["lang"]] * len(g), pa.string()), pa.array(g)], names=["chunk", "lang", "gram"])
 
@@ -113,17 +129,16 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i in range(b.num_rows):
             row = b.slice(i, 1)
-            ids, known = row.column(2)[0].as_py(), row.column(4)[0]
-            g, lengths = grams(_unpack(row.column(3)[0].as_py()))
-            log = np.full(len(lengths), np.nan)
-            if known.is_valid and len(g):
-                pairs = known.values
-                gram, p = pairs.field(0).to_numpy(), pairs.field(1).to_numpy()
+            ids, known, texts = row.column(2)[0].as_py(), row.column(4)[0], _unpack(row.column(3)[0].as_py())
+            lengths, log = np.array([len(t) for t in texts], "i8"), np.full(len(texts), np.nan)
+            if known.is_valid:
+                gram, p = known.values.field(0).to_numpy(), known.values.field(1).to_numpy()
                 order = np.argsort(gram)
-                value = p[order][np.searchsorted(gram[order], g)]
-                ends = np.cumsum(lengths)
-                sums = np.concatenate(([0.0], np.cumsum(value)))
-                log = sums[ends] - sums[ends - lengths]
+                gram, p = gram[order], p[order]
+                for x, y in _blocks(texts):
+                    g, n = grams(texts[x:y])
+                    ends, sums = np.cumsum(n), np.concatenate(([0.0], np.cumsum(p[np.searchsorted(gram, g)])))
+                    log[x:y] = sums[ends] - sums[ends - n]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([row.column(1)[0].as_py()] * len(ids), pa.string()), pa.array(lengths), pa.array(log, from_pandas=True)], names=["doc_id", "lang", "n", "log_p"])
 
 
@@ -197,9 +212,10 @@ def classify(docs: DataFrame, trusted: DataFrame, *, quantile: float = 0.995, id
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(slots.value).astype(bool)
         for b in batches:
-            yield b.filter(pa.array(bits[np.mod(b.column(0).to_numpy(zero_copy_only=False).astype("i8"), FILTER)]))
+            b = b.filter(pa.array(bits[np.mod(b.column(0).to_numpy(zero_copy_only=False).astype("i8"), FILTER)]))
+            yield b.set_column(2, "text", pa.array([_pack([t]) for t in b.column(2).to_pylist()], pa.binary()))
 
-    text = docs.where("doc_id is not null and text is not null").mapInArrow(sift, "doc_id long, lang string, text string").join(teach, "doc_id", "left_semi").select("lang", "text")
+    text = docs.where("doc_id is not null and text is not null").mapInArrow(sift, "doc_id long, lang string, text binary").join(teach, "doc_id", "left_semi").select("lang", "text")
     levels = model(scratch, text)
     chunks = scratch.write(docs.mapInArrow(_chunks, "chunk long, lang string, ids array<long>, texts binary"), "chunks")
     listed = scratch.write(chunks.select("chunk", "lang", "texts").mapInArrow(_listed, "chunk long, lang string, gram long"), "listed")
