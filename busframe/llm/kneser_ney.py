@@ -21,7 +21,7 @@ from busframe.llm.common import Scratch, need
 
 ORDER = 4
 #: Code points of a chunk, about; a longer text is a chunk of its own. And of what is taken up in numpy at once.
-CHUNK, BLOCK = 12_000_000, 1_000_000
+CHUNK, BLOCK = 6_000_000, 300_000
 FILTER = 1 << 22
 #: One trusted document in FOLDS sets thresholds, the others train.
 FOLDS = 5
@@ -46,7 +46,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pack(texts: list[str]) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress("\0".join(t.replace("\0", " ") for t in texts).encode("utf-8", "surrogatepass"))
+    return zstandard.ZstdCompressor(level=9).compress("\0".join(t.replace("\0", " ") for t in texts).encode("utf-8", "surrogatepass"))
 
 
 def _unpack(blob: bytes) -> list[str]:
