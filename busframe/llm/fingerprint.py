@@ -1,74 +1,74 @@
 """Homomorphic multiset hash of texts, in DataFrame functions only.
 
 A text is a multiset of paragraphs (lines). Each paragraph is hashed to a wide vector, and a text's fingerprint is the sum of
-its paragraphs' vectors, lane by lane modulo powers of two. So the order of paragraphs doesn't matter, equal multisets have
-equal fingerprints, and a paragraph is added or removed by adding or subtracting its vector (add, subtract).
-
-Lanes: EQUAL lanes modulo 2^48 with hashes of the whole paragraph; a count modulo 2^48 and 64 * SIGNS lanes modulo 2^16
-that count, over the paragraph's clauses, how many of them have a given bit set in their hashes. The squared distance of
-two texts' sign lanes, each read as 2 * bits - count, estimates how many clauses they don't share; hence a likeness from 0
-to 1 that needs the fingerprints alone. The hashes are not keyed; the fingerprint isn't meant to withstand forgery.
+its paragraphs' vectors, lane by lane modulo 2^48. So the order of paragraphs doesn't matter, equal multisets have equal
+fingerprints, and a paragraph is added or removed by adding or subtracting its vector (add, subtract).
+
+Lanes: EQUAL lanes with hashes of the whole paragraph; the count of the paragraph's parts; and GROUPS * WIDE lanes for
+likeness. A part is a piece of a few words that ends where its own characters say so (PARTS), whatever stands before it. A
+part's hash picks its group, and gives a number of a Cauchy distribution for each lane of it. A weighted sum of such numbers
+is Cauchy distributed again, its scale the sum of absolute weights. So the lanes of two texts, subtracted, are spread by how
+many parts the two multisets don't share, also where a part occurs many times; hence a likeness from 0 to 1 that needs the
+fingerprints alone. The hashes are not keyed; the fingerprint isn't meant to withstand forgery.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from busframe.llm.common import need
 
-EQUAL, SIGNS = 4, 2
+EQUAL, GROUPS, WIDE = 4, 8, 16
 _48 = (1 << 48) - 1
-#: Four 16-bit lanes lie in one long: its lowest bits, and all but the top bit of each lane.
-_ONES, _LOW, _HIGH = 0x0001000100010001, 0x7FFF7FFF7FFF7FFF, -0x7FFF7FFF7FFF8000
-
-
-def _plus(a: Column, b: Column) -> Column:
-    """Sum of four 16-bit lanes, each modulo 2^16, without a carry into the next."""
-    low = a.bitwiseAND(F.lit(_LOW)) + b.bitwiseAND(F.lit(_LOW))
-    return low.bitwiseXOR(a.bitwiseXOR(b).bitwiseAND(F.lit(_HIGH)))
-
-
-def _minus(a: Column, b: Column) -> Column:
-    low = a.bitwiseOR(F.lit(_HIGH)) - b.bitwiseAND(F.lit(_LOW))
-    return low.bitwiseXOR(a.bitwiseXOR(F.bitwise_not(b)).bitwiseAND(F.lit(_HIGH)))
+#: Cuts: line ends; white space after punctuation or a letter of about half the alphabet; in unbroken runs after vowels and
+#: the like, and after each character of scripts without spaces; 48 characters after the last cut at the latest.
+PARTS = r"\n|(?<=[.,;:!?|a-mA-M0-4])[ \t]+|(?<=\S{16}[aeiouAEIOU0-3])|(?<=[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uD7A3\uF900-\uFAFF])|(?<=\G.{48})"
+#: Lane values are whole multiples of 1 / UNIT. A lane's number is the tangent of its factor times the hash as an angle.
+UNIT = 256.0
+_FACTORS = [float((7919 * (j + 1) * (j + 3)) % 32749 | 1) for j in range(WIDE)]
 
 
 def with_lanes(df: DataFrame, text_col: str, out: str) -> DataFrame:
-    """Adds column `out`, the fingerprint of a text: array<long> of EQUAL + 1 lanes modulo 2^48, then 16 * SIGNS longs of four lanes each.
+    """Adds column `out`, the fingerprint of a text: array<long> of EQUAL + 1 + GROUPS * WIDE lanes modulo 2^48.
 
     The steps are columns of their own, so that a text is split and hashed once.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    df = df.withColumns({"__p": F.split(text, "\n"), "__c": F.filter(F.split(text, r"\n|(?<=[.,;:!?|])[ \t]+"), lambda x: x != "")})
-
-    def hashed(column: str, seed: int) -> Column:
-        return F.transform(column, lambda x: F.xxhash64(x, F.lit(seed)))
+    df = df.withColumns({"__p": F.split(text, "\n"), "__c": F.transform(F.filter(F.split(text, PARTS), lambda x: x != ""), lambda x: F.xxhash64(x, F.lit(100)))})
 
     def equal(column: str) -> Column:
         return F.aggregate(column, F.lit(0).cast("long"), lambda a, x: (a + x.bitwiseAND(F.lit(_48))).bitwiseAND(F.lit(_48)))
 
-    def signs(column: str, j: int) -> Column:
-        return F.aggregate(column, F.lit(0).cast("long"), lambda a, x: _plus(a, F.shiftrightunsigned(x, j).bitwiseAND(F.lit(_ONES))))
+    def angles(g: int) -> Column:
+        own = F.filter("__c", lambda x: x.bitwiseAND(F.lit(GROUPS - 1)) == g)
+        return F.transform(own, lambda x: F.shiftrightunsigned(x, 8).bitwiseAND(F.lit((1 << 24) - 1)).cast("double") * (math.pi / 2**24) + math.pi / 2**25)
 
-    df = df.withColumns({f"__h{s}": hashed("__c", 100 + s) for s in range(SIGNS)} | {f"__q{i}": hashed("__p", i) for i in range(EQUAL)})
-    df = df.withColumn(out, F.array(*[equal(f"__q{i}") for i in range(EQUAL)], F.size("__c").cast("long"), *[signs(f"__h{s}", j) for s in range(SIGNS) for j in range(16)]))
-    return df.drop("__p", "__c", *[f"__h{s}" for s in range(SIGNS)], *[f"__q{i}" for i in range(EQUAL)])
+    def spread(own: Column) -> Column:
+        # An odd multiple of pi / 2^25 isn't near a pole: whole numbers below 2^32, whose sum is exact in any order.
+        return F.transform(F.lit(_FACTORS), lambda k: F.aggregate(own, F.lit(0.0), lambda a, x: a + F.rint(F.tan(x * k) * F.lit(UNIT))))
 
+    def hashed(seed: int) -> Column:
+        return F.transform("__p", lambda x: F.xxhash64(x, F.lit(seed)))
 
-def _each(a: Column, b: Column, whole, packed) -> Column:
-    head = F.zip_with(F.slice(a, 1, EQUAL + 1), F.slice(b, 1, EQUAL + 1), lambda x, y: whole(x, y).bitwiseAND(F.lit(_48)))
-    return F.concat(head, F.zip_with(F.slice(a, EQUAL + 2, 16 * SIGNS), F.slice(b, EQUAL + 2, 16 * SIGNS), packed))
+    df = df.withColumns({f"__q{i}": hashed(i) for i in range(EQUAL)})
+    # A group's angles are a lambda's argument, so that they are made once, not for each factor.
+    lanes = F.transform(F.flatten(F.transform(F.array(*map(angles, range(GROUPS))), spread)), lambda v: v.cast("long").bitwiseAND(F.lit(_48)))
+    df = df.withColumn(out, F.concat(F.array(*[equal(f"__q{i}") for i in range(EQUAL)], F.size("__c").cast("long")), lanes))
+    return df.drop("__p", "__c", *[f"__q{i}" for i in range(EQUAL)])
 
 
 def add(a: Column, b: Column) -> Column:
     """The lanes of the two multisets together."""
-    return _each(a, b, lambda x, y: x + y, _plus)
+    return F.zip_with(a, b, lambda x, y: (x + y).bitwiseAND(F.lit(_48)))
 
 
 def subtract(a: Column, b: Column) -> Column:
     """The lanes of multiset a without the paragraphs of b."""
-    return _each(a, b, lambda x, y: x - y, _minus)
+    return F.zip_with(a, b, lambda x, y: (x - y).bitwiseAND(F.lit(_48)))
 
 
 def text_form(fingerprint: Column) -> Column:
@@ -77,17 +77,24 @@ def text_form(fingerprint: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: estimated shared clauses over all clauses of two texts, from their lanes; 1 for equal fingerprints."""
+    """0 to 1: estimated shared parts over all parts of two texts as multisets, from their lanes; 1 for equal fingerprints.
+
+    A group's share of what isn't shared is the geometric mean of its lanes' distances, made unbiased.
+    """
     m, n = F.element_at(a, EQUAL + 1), F.element_at(b, EQUAL + 1)
 
-    def gap(x: Column, y: Column, j: int) -> Column:
-        lane = lambda v: F.shiftrightunsigned(v, 16 * j).bitwiseAND(F.lit(0xFFFF))
-        d = 2 * (lane(x) - lane(y)) - (m - n)
-        return (d * d).cast("double")
+    def log_gap(x: Column, y: Column) -> Column:
+        d = F.shiftright(F.shiftleft(x - y, 16), 16)  # the difference modulo 2^48, signed
+        return F.log(F.greatest(F.abs(d).cast("double") / UNIT, F.lit(0.5 / UNIT)))
+
+    def unshared(g: int) -> Column:
+        x, y = (F.slice(v, EQUAL + 2 + g * WIDE, WIDE) for v in (a, b))
+        mean = F.aggregate(F.zip_with(x, y, log_gap), F.lit(0.0), lambda s, v: s + v) / WIDE
+        return F.when(x == y, F.lit(0.0)).otherwise(F.exp(mean) * math.cos(math.pi / (2 * WIDE)) ** WIDE)
 
-    gaps = F.zip_with(F.slice(a, EQUAL + 2, 16 * SIGNS), F.slice(b, EQUAL + 2, 16 * SIGNS), lambda x, y: gap(x, y, 0) + gap(x, y, 1) + gap(x, y, 2) + gap(x, y, 3))
-    apart = F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x) / (64 * SIGNS)
-    return F.when(a == b, F.lit(1.0)).when(m + n == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), (m + n - apart) / (m + n + apart)))
+    apart = reduce(Column.__add__, [unshared(g) for g in range(GROUPS)])
+    apart = F.least(F.greatest(apart, F.abs(m - n).cast("double")), (m + n).cast("double"))
+    return F.when(a == b, F.lit(1.0)).when(m + n == 0, F.lit(0.0)).otherwise((m + n - apart) / (m + n + apart))
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

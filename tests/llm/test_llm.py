@@ -100,6 +100,28 @@ def test_fingerprint(spark, docs, none):
     assert r["sum"] == r.both == r.mixed and r.less == r.a
 
 
+def test_fingerprint_repeats(spark):
+    from busframe.llm.fingerprint import PARTS, likeness, with_lanes
+
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(2, 9)))
+    clauses = [" ".join(word() for _ in range(6)) + "." for _ in range(30)]
+    line, other = (" ".join(word() for _ in range(500)) for _ in range(2))
+    solid = "".join(r.choice("天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏") for _ in range(900))
+    blob, blob2 = ("".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(3000)) for _ in range(2))
+    pairs = [(" ".join(clauses[:20] * k), " ".join((clauses[:14] + clauses[24:]) * k)) for k in (1, 5, 20, 100)]
+    pairs += [(x, x[: len(x) * 2 // 3] + y[: len(x) // 3]) for x, y in ((line, other), (solid, solid[::-1]), (blob, blob2), (blob, "!" + blob), (clauses[0] * 200, clauses[1] * 200))]
+    pairs += [(line, other), (" ".join(clauses[:3] * 9000), " ".join(clauses[3:6] * 9000)), ("x" * 5000, "x" * 4000)]
+    d = spark.createDataFrame(pairs, "a string, b string").withColumns({c + "p": F.filter(F.split(c, PARTS), lambda x: x != "") for c in "ab"})
+    d = with_lanes(with_lanes(d, "a", "_a"), "b", "_b").withColumn("like", likeness(F.col("_a"), F.col("_b")))
+    wants = []
+    for x in d.select("ap", "bp", "like").collect():
+        a, b = Counter(x.ap), Counter(x.bp)
+        wants.append((a & b).total() / (a | b).total())
+        assert abs(x.like - wants[-1]) < 0.2, (wants, x.like)
+    assert min(wants[:8]) > 0.3 and max(wants[9:11]) < 0.1
+
+
 PAGE = """<!DOCTYPE html><html><head><title>Site</title><script>var x="</p><p>no";</script></head><body class="has-sidebar"><header>Site name</header><nav><ul><li><a href=/>Home</a><li><a href=/b>More</a></ul></nav>
 <div class="cookie-notice">We use cookies on this site, please accept all of them now.</div><div id="content"><h1>Title &amp; more</h1><div class="post-body"><p>First <b>para</b>graph with &eacute; and&nbsp;space,
 which is rather long so that it counts as text.<p>Second paragraph, also long enough to be taken as part of the main text, with a <a href="/x">link</a>.<br>After a break.</div></div><aside>Other things</aside>
