@@ -245,6 +245,11 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     Repeated rows are linked to each other as equal texts are, and returned each. Null ids count as larger than any; a
     component of such rows only has a null id. Other columns are ignored; an empty table gives no rows.
     """
+    return groups(docs, id_col=id_col, text_col=text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of components() with key (xxhash64 of the text) and root: the number of the component, whether its rows have ids or not; null for an empty set, which is alone."""
     need(docs, id_col, text_col)
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
@@ -261,7 +266,7 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         late = np.packbits(late)
     late = spark.sparkContext.broadcast(late)
     nodes = scratch.write(texts.mapInArrow(partial(_nodes, late), "doc_id long, key long, n long, node long, prefix binary, bits binary"), "nodes")
-    members, own = nodes.select("doc_id", "n", "node"), nodes.where("prefix is not null")
+    members, own = nodes.select("doc_id", "key", "n", "node"), nodes.where("prefix is not null")
     index = own.select("node", "n", "prefix").mapInArrow(_tokens, "token long, node long, n int")
     shared = scratch.write(index.repartition(parts, "token").mapInArrow(_shared, "token long, node long, n int"), "shared")
 
@@ -321,12 +326,12 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     pairs = with_roots(shared, detail.select("node", "bits")).repartition(parts, "token").mapInArrow(_apart, "a long, b long").distinct()
     settle(scratch.write(pairs, "apart"), "apart")
 
-    least = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
+    least = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).withColumn("root", F.col("node"))
     if roots is not None:
-        in_group = least.join(roots, "node")
+        in_group = least.drop("root").join(roots, "node")
         group = in_group.groupBy("root").agg(F.min("least").alias("smallest"))
-        moved = in_group.join(group, "root").select("node", "smallest")
-        least = least.join(moved, "node", "left").select("node", F.coalesce("smallest", "least").alias("least"))
+        moved = in_group.join(group, "root").select("node", "smallest", F.col("root").alias("r"))
+        least = least.join(moved, "node", "left").select("node", F.when(F.col("r").isNull(), F.col("least")).otherwise(F.col("smallest")).alias("least"), F.coalesce("r", "root").alias("root"))
     least = scratch.write(least, "least")
-    out = members.where("node is not null").join(least, "node").select("doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
-    return out.unionByName(members.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    out = members.where("node is not null").join(least, "node").select("doc_id", "key", F.col("n").alias("n_shingles"), "root", F.col("least").alias("component_id"))
+    return out.unionByName(members.where("node is null").select("doc_id", "key", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component_id")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from busframe.llm.common import Scratch, table
@@ -19,17 +19,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one whose id names the group (of rows with one id, the first by text hash)."""
-    from busframe.llm.jaccard import components
-
-    groups = components(docs)
-    chosen = groups.where("doc_id = component_id").select("doc_id").distinct()
-    # A null id names no group; rows without one stay where their whole group has none.
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-    kept = docs.join(chosen, "doc_id", "left_semi").withColumn("row", first).where("row = 1")
-    if groups.where("component_id is null").isEmpty():
-        return kept.select(*COLUMNS)
-    return kept.select(*COLUMNS).unionByName(docs.where("doc_id is null").dropDuplicates(["text"])).select(*COLUMNS)
+    """One document of each group of near copies: the least id (null ids last), of rows with one id the least text hash.
+
+    Null ids and repeated ids make no difference to what is a copy of what. An empty text is a copy of none; of rows that
+    repeat both its id and text one stays.
+    """
+    from busframe.llm.jaccard import groups
+
+    found = groups(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    chosen = found.where("root is not null").groupBy("root").agg(F.min(order).alias("s")).select("s.doc_id", "s.key")
+    chosen = chosen.unionByName(found.where("root is null").select("doc_id", "key").distinct())
+    chosen = chosen.select(F.col("doc_id").alias("id"), F.col("key").alias("name"))
+    kept = docs.select(*COLUMNS, F.xxhash64("text").alias("key"))
+    kept = kept.join(chosen, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("name")), "left_semi")
+    rest = [c for c in COLUMNS if c != "doc_id"]
+    return kept.groupBy("doc_id", "key").agg(F.min(F.struct(*rest)).alias("s")).select("doc_id", "s.*").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -397,3 +397,17 @@ def test_pipeline(spark, tmp_path):
             total = at.agg(F.sum(F.length("text"))).first()[0]
             assert total > 0
     assert counts[0] < len(rows()) and counts[-1] > 0
+
+
+def test_near_duplicates_ids(spark):
+    from corpus_pipeline import COLUMNS, near_duplicates
+
+    r = random.Random(8)
+    a, b, c, d = (" ".join(f"w{r.randrange(999)}" for _ in range(90)) for _ in range(4))
+    near = lambda t: t + " more"
+    items = [(3, a), (5, near(a)), (5, b), (None, c), (None, near(c)), (None, near(a)), (7, d), (7, "only this"), (8, None), (None, None), (None, None), (9, " ")]
+    docs = spark.createDataFrame([(i, t, "a", "s", 1) for i, t in items], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(x.doc_id, x.text) for x in near_duplicates(spark, docs, "").select(*COLUMNS).collect()]
+    alone = [x for x in got if x not in ((None, c), (None, near(c)))]
+    assert len(got) == len(alone) + 1
+    assert Counter(alone) == Counter([(3, a), (5, b), (7, d), (7, "only this"), (8, None), (None, None), (9, " ")])
