@@ -31,17 +31,22 @@ def percent_encode(text: Column) -> Column:
 
 
 def is_integer(text: Column) -> Column:
-    return text.rlike(r"^[+-]?[0-9]+$")
+    return text.rlike(r"^[+-]?[0-9]+\z")
 
 
 def is_number(text: Column) -> Column:
-    return text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$")
+    return text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z")
 
 
 def is_ascii(text: Column) -> Column:
     return F.octet_length(text) == F.length(text)
 
 
+def is_valid_utf8(data: Column) -> Column:
+    """Whether bytes are well-formed UTF-8; false if there are none."""
+    return (F.octet_length(data) > 0) & F.is_valid_utf8(data.cast("string"))
+
+
 def uid(*parts: Column) -> Column:
     return F.sha2(F.concat(*parts), 256)
 

@@ -492,6 +492,27 @@ def _str5(spark, sf_dir):
     return docs.select("doc_id", text.uid(F.sha2("text", 256), F.lit("2020-01-01"), F.lit("1.0"), F.col("source")).alias("uid"))
 
 
+_VALUES = "(SELECT doc_id, 'text' AS kind, text AS value FROM documents UNION ALL SELECT doc_id, 'int', (-n_chars)::VARCHAR FROM documents UNION ALL SELECT doc_id, 'float', n_chars::VARCHAR || '.5e-2' FROM documents)"
+_VALID = "CASE WHEN {0} IS NOT NULL THEN octet_length({0}) > 0 AND TRY(decode({0})) IS NOT NULL END"
+
+
+@query("STR4_whole", rf"SELECT doc_id, kind, regexp_matches(value, '^[+-]?[0-9]+$') AS is_int, regexp_matches(value, '^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$') AS is_float, value <> '' AND strlen(value) = length(value) AS is_ascii, {_VALID.format('encode(value)')} AS is_utf8, {_VALID.format('encode(value)[1:50]')} AS is_utf8_cut FROM {_VALUES}")
+def _str4_whole(spark, sf_dir):
+    """All predicates over whole texts and numbers as text; is_utf8_cut is that of the first 50 bytes, which may end within a character."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    number = F.col("n_chars").cast("string")
+    kinds = {"text": F.col("text"), "int": (-F.col("n_chars")).cast("string"), "float": F.concat(number, F.lit(".5e-2"))}
+    rows = docs.select("doc_id", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in kinds.items()])).alias("v")).select("doc_id", "v.*")
+    value, data = F.col("value"), F.col("value").cast("binary")
+    return rows.select("doc_id", "kind", text.is_integer(value).alias("is_int"), text.is_number(value).alias("is_float"), ((value != "") & text.is_ascii(value)).alias("is_ascii"), text.is_valid_utf8(data).alias("is_utf8"), text.is_valid_utf8(F.substring(data, 1, 50)).alias("is_utf8_cut"))
+
+
+@query("STR5_nulls", "SELECT doc_id, sha256(sha256(text) || '2020-01-01' || '1.0' || source) AS uid FROM documents")
+def _str5_nulls(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return docs.select("doc_id", text.uid(F.sha2("text", 256), F.lit("2020-01-01"), F.lit("1.0"), F.col("source")).alias("uid"))
+
+
 @query("ARR1", f"WITH {fx.BUS1553} SELECT time, data[3] AS one, array_to_string(data[5:8], ',') AS part, array_to_string(list_concat(data[1:l_linenumber], list_transform(range(8 - l_linenumber), lambda i: 0)), ',') AS pad FROM bus1553")
 def _arr1(spark, sf_dir):
     join = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")

@@ -257,6 +257,26 @@ def test_queries(spark, name):
     assert rows(got) == rows(want) and len(got)
 
 
+@pytest.mark.parametrize("name", ["STR4_whole", "STR5_nulls"])
+def test_whole_texts(spark, tmp_path, name):
+    import duckdb
+
+    from busframe.plans.catalog import ORACLES, QUERIES
+
+    texts = ["123 Main street", "123", "-7", "1.5e3", "1.", ".", "123\n", "é" * 40, "x" + "é" * 40, "", None, " 12", "1\n2"]
+    rows = [(i, t, None if i == 1 else "s", 7 * i) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got, want = QUERIES[name](spark, str(tmp_path)), con.sql(ORACLES[name])
+    result = {tuple(r) for r in got.collect()}
+    assert got.columns == want.columns and result == set(want.fetchall()) and len(result) == len(rows) * (3 if "4" in name else 1)
+    if name == "STR4_whole":
+        by = {r[0]: r[2:] for r in result if r[1] == "text"}
+        assert by[0] == (False, False, True, True, True) and by[1][:2] == (True, True) and by[3][:2] == (False, True) and by[6][0] is False
+        assert by[7] == (False, False, False, True, True) and by[8] == (False, False, False, True, False) and by[10] == (None,) * 5
+
+
 def test_every_query_has_sql():
     from busframe.plans.catalog import ORACLES, QUERIES
 
