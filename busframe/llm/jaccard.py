@@ -2,12 +2,14 @@
 
 Equal sets are one node. A tile holds the nodes that share a token of their prefixes (the least n - ceil(3n/4) + 1 tokens
 of a set in one global order, frequent tokens last): two sets that link must meet in a tile. Within a tile, nodes compare
-only inside the band of sizes that a link allows; hashed bitmap signatures bound the overlap from above by their counts of
-differing bits; pairs that stay possible are settled by intersecting the exact sorted arrays.
-
-Only components are wanted, so pairs inside one component need no test. First each node tests a neighbour in its tiles by
-size, round after round, which joins groups of near copies in time linear in their size; what still lies apart afterwards
-is compared in full by the signatures. So no link between different components is missed, and no group is paired out.
+only inside the band of sizes that a link allows, by hashed bitmap signatures, whose counts of differing bits bound the
+overlap from above. A tile gives no pairs: it gives each node the least node that allowed pairs lead it to. So a cluster,
+which is what is connected by allowed pairs, holds every link of its nodes, at a row per node and task.
+
+Within clusters links are settled by intersecting the exact sorted arrays, which are dealt out once, by cluster. A cluster
+too large for a task is cut by hash into parts: parts are settled alone, twice with other cuts, which joins most of its nodes;
+then only what lies outside its largest component is compared with the rest, block by block. Here too a task gives a row per
+node, never its pairs.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from busframe.llm.common import Scratch, connected_components, need
@@ -26,10 +28,16 @@ from busframe.llm.common import Scratch, connected_components, need
 WORDS = 5
 #: Least likeness, as a fraction.
 NUM, DEN = 3, 4
-#: Buckets that count how frequent tokens are (only their order depends on it), and of the filter of nodes that share a tile.
-COUNTERS, FILTER = 1 << 22, 1 << 20
-#: Rounds of neighbour tests, at most, and how many places away by size a neighbour may be.
-ROUNDS, LAG = 3, 4
+#: Buckets that mark frequent tokens (only their order depends on it), and of the filter of texts whose sets are compared.
+COUNTERS, FILTER = 1 << 22, 1 << 22
+#: A token counts as frequent if it occurs so often in SAMPLE hashes of a task, and WIDESPREAD times over all tasks.
+SAMPLE, OFTEN, WIDESPREAD = 1 << 21, 8, 64
+#: Bits of a signature at most: those of longer sets allow more, but a set's rows grow with its length only.
+WIDEST = 1 << 14
+#: Rows of a tile from which it is cut into blocks; sets and bytes of sets from which a cluster is cut into parts; bytes taken up at once.
+HOT, MANY, PART, BYTES = 1 << 14, 1 << 13, 1 << 23, 1 << 23
+#: Places by size up to which all tiles are compared at once.
+LAG = 4
 _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,8 +57,8 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """Signature: the parity of how many hashes fall on each of 2^k bits, at least one a hash and 64."""
-    bits = 1 << max(6, int(len(hashes) - 1).bit_length())
+    """Signature: the parity of how many hashes fall on each of 2^k bits, at least one a hash and 64, at most WIDEST."""
+    bits = min(WIDEST, 1 << max(6, int(len(hashes) - 1).bit_length()))
     return np.packbits(np.bincount((hashes >> np.uint64(20)).astype("i8") & (bits - 1), minlength=bits).astype("u1") & 1).tobytes()
 
 
@@ -67,14 +75,24 @@ def _node(hashes: np.ndarray) -> int | None:
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counters that are well above one in this task, and (as bucket -1) how many hashes it saw."""
-    count = np.zeros(COUNTERS, "i8")
+    """Buckets of the tokens that occur often within SAMPLE hashes or so, and how often they do."""
+    held: list[np.ndarray] = []
+
+    def often() -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        at = n >= OFTEN
+        return pa.RecordBatch.from_arrays([pa.array((h[at] & np.uint64(COUNTERS - 1)).astype("i8")), pa.array(n[at])], names=["bucket", "n"])
+
+    size = 0
     for b in batches:
-        for i in range(0, b.num_rows, 2000):
-            h = np.concatenate([shingles(t) for t in b.column(0).slice(i, 2000).to_pylist()])
-            count += np.bincount((h & np.uint64(COUNTERS - 1)).astype("i8"), minlength=COUNTERS)
-    at = np.flatnonzero(count >= 8)
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(count[at], count.sum()))], names=["bucket", "n"])
+        for t in b.column(0):
+            held.append(shingles(t.as_py()))
+            size += len(held[-1])
+            if size >= SAMPLE:
+                yield often()
+                held, size = [], 0
+    if held:
+        yield often()
 
 
 def _prefix(h: np.ndarray, late: np.ndarray | None) -> np.ndarray:
@@ -134,30 +152,32 @@ def _sets(mask, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "hashes"])
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
-    got = [b for b in batches if b.num_rows]
-    return pa.Table.from_batches(got) if got else None
-
-
-def _runs(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of each run of equal tokens."""
-    starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-    return starts, np.append(starts[1:], len(token))
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each run of equal keys."""
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return starts, np.append(starts[1:], len(key))
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of tiles in which a node has another within its band of sizes."""
-    t = _gather(batches)
-    if t is None:
-        return
-    token, node, n = (t.column(c).to_numpy() for c in ("token", "node", "n"))
-    order = np.lexsort((node, n, token))
-    token, node, n = token[order], node[order], n[order]
-    new = np.concatenate(([True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])))  # tasks repeat nodes
-    token, node, n = token[new], node[new], n[new]
-    near = (token[1:] == token[:-1]) & (n[:-1].astype("i8") * DEN >= n[1:].astype("i8") * NUM)
-    keep = np.concatenate((near, [False])) | np.concatenate(([False], near))
-    yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, node, n)], names=["token", "node", "n"])
+    """Of rows in order of token, n and node those that have another node of their tile within their band of sizes, each once."""
+    last = [np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0, "i4")]  # token, node, n of the row before
+    waits = False  # whether that row hasn't been given
+
+    def pick(rows: list[np.ndarray]) -> pa.RecordBatch:
+        nonlocal last, waits
+        token, node, n = (np.concatenate((x, y)) for x, y in zip(last, rows, strict=True))
+        new = np.concatenate(([True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])))  # tasks repeat nodes
+        token, node, n = token[new], node[new], n[new]
+        near = (token[1:] == token[:-1]) & (n[:-1].astype("i8") * DEN >= n[1:].astype("i8") * NUM)
+        keep = np.concatenate((near, [False])) | np.concatenate(([False], near))
+        given = bool(len(last[0])) and not waits  # the first of these rows
+        last, waits = [x[-1:] for x in (token, node, n)], not (keep[-1] or len(token) == 1 and given)
+        keep[0] &= not given
+        return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, node, n)], names=["token", "node", "n"])
+
+    for b in batches:
+        if b.num_rows:
+            yield pick([b.column(c).to_numpy() for c in ("token", "node", "n")])
 
 
 def _allowed(x: np.ndarray, y: np.ndarray, both: np.ndarray | int) -> np.ndarray:
@@ -166,75 +186,194 @@ def _allowed(x: np.ndarray, y: np.ndarray, both: np.ndarray | int) -> np.ndarray
     return most * (NUM + DEN) >= NUM * both
 
 
-def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs in different components that their signatures allow."""
-    t = _gather(batches)
-    if t is None:
-        return
-    token, node, n, root = (t.column(c).to_numpy() for c in ("token", "node", "n", "root"))
-    order = np.lexsort((node, n, token))
-    token, node, root, n = token[order], node[order], root[order], n[order].astype("i8")
-    bits = t.column("bits").take(pa.array(order)).to_pylist()
-    found: set[tuple[int, int]] = set()
-    for s, e in zip(*_runs(token), strict=True):
-        if e - s < 2 or (root[s:e] == root[s]).all():
-            continue
-        words = [np.frombuffer(x, "u8") for x in bits[s:e]]
-        cut: dict[int, np.ndarray] = {}
-        for i in range(e - s - 1):
-            stop = int(np.searchsorted(n[s:e], n[s + i] * DEN // NUM, "right"))
-            js = i + 1 + np.flatnonzero(root[s + i + 1 : s + stop] != root[s + i])
-            if not len(js):
-                continue
-            w = len(words[i])
-            if w not in cut:  # those of this width or above, cut to it
-                cut[w] = np.stack([_fold(x, w) if len(x) >= w else np.zeros(w, "u8") for x in words])
-            ok = _allowed(cut[w][js], words[i], n[s + i] + n[s + js])
-            found.update((min(a, b), max(a, b)) for a, b in ((int(node[s + i]), int(node[s + j])) for j in js[ok]))
-    yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
-
-
-def _near(turn: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of nodes up to LAG places from each other by size in a tile, in different components, that their signatures allow; with their likeness by the signatures in thousandths."""
-    t = _gather(batches)
-    if t is None:
-        return
-    token, node, n, root = (t.column(c).to_numpy() for c in ("token", "node", "n", "root"))
-    order = np.lexsort((node * np.int64(2 * turn + 1), n, token))  # another order of equal sizes each time
-    token, node, root, n = token[order], node[order], root[order], n[order].astype("i8")
-    bits = t.column("bits").take(pa.array(order)).to_pylist()
+class _Union:
+    """Disjoint sets of numbers 0 to n - 1; a set's root is its least number."""
+
+    def __init__(self, n: int):
+        self.up = np.arange(n)
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Joins pairs."""
+        up = self.up
+        while len(a):
+            a, b = up[a], up[b]
+            while True:
+                x, y = up[a], up[b]
+                if (x == a).all() and (y == b).all():
+                    break
+                a, b = x, y
+            apart = a != b
+            a, b = np.minimum(a[apart], b[apart]), np.maximum(a[apart], b[apart])
+            np.minimum.at(up, b, a)
+
+    def find(self, i: int) -> int:
+        up = self.up
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return int(i)
+
+    def roots(self) -> np.ndarray:
+        while True:
+            over = self.up[self.up]
+            if (over == self.up).all():
+                return over
+            self.up = over
+
+
+def _cut_to(words: list[np.ndarray], width: int) -> np.ndarray:
+    """Signatures of this width or above cut to it, a row each; zeros for narrower ones."""
+    return np.stack([_fold(x, width) if len(x) >= width else np.zeros(width, "u8") for x in words])
+
+
+def _join_tiles(tile: np.ndarray, node: np.ndarray, n: np.ndarray, bits: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in order of tile and n to (node, least node that allowed pairs of these tiles lead to), of nodes that have one.
+
+    Pairs a few places apart are compared for all tiles at once; in larger tiles, what is in different sets after that is.
+    """
+    names, at = np.unique(node, return_inverse=True)
+    union = _Union(len(names))
     width = np.array([len(x) for x in bits]) // 8
     place, table = np.zeros(len(bits), "i8"), {}
     for w in np.unique(width):
-        at = np.flatnonzero(width == w)
-        place[at] = np.arange(len(at))
-        table[w] = np.frombuffer(b"".join(bits[i] for i in at), "u8").reshape(-1, w)
-    found = []
+        own = np.flatnonzero(width == w)
+        place[own] = np.arange(len(own))
+        table[w] = np.frombuffer(b"".join(bits[i] for i in own), "u8").reshape(-1, w)
     for lag in range(1, LAG + 1):
-        i = np.flatnonzero((token[lag:] == token[:-lag]) & (root[lag:] != root[:-lag]) & (n[:-lag] * DEN >= n[lag:] * NUM))
+        i = np.flatnonzero((tile[lag:] == tile[:-lag]) & (n[:-lag] * DEN >= n[lag:] * NUM))
+        if lag > 1:
+            known = union.roots()
+            i = i[known[at[i]] != known[at[i + lag]]]
         for w in np.unique(width[i]):
             for v in (w, 2 * w):
-                x = i[(width[i] == w) & (width[i + lag] == v)]
-                for x in np.array_split(x, 1 + len(x) * w // 1_000_000):
-                    other = table[v][place[x + lag]] if len(x) else np.empty((0, v), "u8")
-                    both = n[x] + n[x + lag]
-                    most = (both - np.bitwise_count(table[w][place[x]] ^ (other if v == w else other[:, :w] ^ other[:, w:])).sum(axis=1, dtype="i8")) // 2
-                    ok = most * (NUM + DEN) >= NUM * both
-                    found.append(np.stack((np.minimum(node[x], node[x + lag]), np.maximum(node[x], node[x + lag]), 1000 * most // both), axis=1)[ok])
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 3), "i8")
-    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in range(3)], names=["a", "b", "like"])
-
-
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                chosen = i[(width[i] == w) & (width[i + lag] == v)]
+                for x in np.array_split(chosen, 1 + len(chosen) * w // 500_000) if len(chosen) else ():
+                    other = table[v][place[x + lag]]
+                    ok = _allowed(table[w][place[x]], other if v == w else other[:, :w] ^ other[:, w:], n[x] + n[x + lag])
+                    union.add(at[x[ok]], at[x[ok] + lag])
+    for s, e in zip(*_runs(tile), strict=True):
+        if e - s <= LAG + 1:
+            continue
+        root = np.array([union.find(i) for i in at[s:e]])
+        if (root == root[0]).all():
+            continue
+        kinds, many = np.unique(root, return_counts=True)
+        outside = root != kinds[many.argmax()]
+        words = [np.frombuffer(x, "u8") for x in bits[s:e]]
+        sizes, wide, cut = n[s:e], width[s:e], {}
+        for i in np.flatnonzero(outside):
+            low, high = np.searchsorted(sizes, [-(-sizes[i] * NUM // DEN), sizes[i] * DEN // NUM + 1])
+            js = low + np.flatnonzero(root[low:high] != root[i])
+            js = js[(js > i) | ~outside[js]]
+            for w in np.unique(np.minimum(wide[js], wide[i])).tolist() if len(js) else ():
+                mine = js[np.minimum(wide[js], wide[i]) == w]
+                if w not in cut:
+                    cut[w] = _cut_to(words, w)
+                for r in np.unique(root[mine[_allowed(cut[w][mine], cut[w][i], sizes[i] + sizes[mine])]]).tolist():
+                    x, y = union.find(root[i]), union.find(r)
+                    union.up[max(x, y)] = min(x, y)
+                    root[root == r] = root[i]
+    root = union.roots()
+    moved = root != np.arange(len(root))
+    return names[moved], names[root[moved]]
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of tile (token, block), n to (u, v): nodes, and the least one that allowed pairs of some tiles lead them to."""
+
+    def joined(t: pa.Table) -> pa.RecordBatch:
+        token, block, node, n = (t.column(c).to_numpy() for c in ("token", "block", "node", "n"))
+        tile = np.cumsum(np.concatenate(([False], (token[1:] != token[:-1]) | (block[1:] != block[:-1]))))
+        u, v = _join_tiles(tile, node, n.astype("i8"), t.column("bits").to_pylist())
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+    yield from map(joined, _whole_runs(batches, ("token", "block")))
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Sorted rows in tables of about BYTES or more; a table ends where the key changes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for b in batches:
-        ok = []
-        for x, y in zip(b.column("ha"), b.column("hb"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), "u8"), np.frombuffer(y.as_buffer(), "u8")
-            both = np.concatenate((x, y))
-            both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            ok.append(common * DEN >= NUM * (len(x) + len(y) - common))
-        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(ok, pa.bool_())], names=["a", "b", "linked"])
+        if not b.num_rows:
+            continue
+        held.append(b)
+        size += b.nbytes
+        if size < BYTES:
+            continue
+        t = pa.Table.from_batches(held)
+        changes = np.zeros(len(t) - 1, bool)
+        for c in key:
+            x = t.column(c).to_numpy()
+            changes |= x[1:] != x[:-1]
+        if not (ends := np.flatnonzero(changes)).size:
+            continue
+        yield t.slice(0, int(ends[-1]) + 1)
+        held = t.slice(int(ends[-1]) + 1).to_batches()
+        size = sum(x.nbytes for x in held)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _common(x: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of a sorted array with others."""
+    y = np.concatenate(sets)
+    hit = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
+    return np.add.reduceat(hit, np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1])), dtype="i8")
+
+
+def _links(sets: list[np.ndarray], known: np.ndarray, asks: np.ndarray) -> np.ndarray:
+    """The components of sets in order of size: the number of the first set of each. Exact, but for what `known` components are given.
+
+    Sets that ask are compared with those that aren't in their component yet, so what is found early saves most of the work.
+    """
+    n = np.array([len(s) for s in sets])
+    _, known = np.unique(known, return_inverse=True)
+    union = _Union(len(sets))
+    first = np.full(known.max() + 1, len(sets))
+    np.minimum.at(first, known, np.arange(len(sets)))
+    union.add(np.arange(len(sets)), first[known])
+    bits = [np.frombuffer(bitmap(s), "u8") for s in sets]
+    width, cut = np.array([len(b) for b in bits]), {}
+    done = np.zeros(len(sets), bool)
+    root = union.roots()
+    waiting = np.flatnonzero(asks).tolist()[::-1]
+    while waiting:
+        i = waiting.pop()
+        if done[i]:
+            continue
+        done[i] = True
+        low, high = np.searchsorted(n, [-(-n[i] * NUM // DEN), n[i] * DEN // NUM + 1])
+        js = low + np.flatnonzero((root[low:high] != root[i]) & ~done[low:high])
+        linked = []
+        for w in np.unique(np.minimum(width[js], width[i])).tolist() if len(js) else ():
+            mine = js[np.minimum(width[js], width[i]) == w]
+            if w not in cut:
+                cut[w] = _cut_to(bits, w)
+            mine = mine[_allowed(cut[w][mine], cut[w][i], n[i] + n[mine])]
+            if len(mine):
+                common = _common(sets[i], [sets[j] for j in mine])
+                linked.append(mine[common * DEN >= NUM * (n[i] + n[mine] - common)])
+        if linked and len(hit := np.concatenate(linked)):
+            union.add(np.full(len(hit), i), hit)
+            root = union.roots()
+            waiting.extend(j for j in hit.tolist() if asks[j])  # those that it has reached come next
+    return root
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cluster, part, n, node, root, asks, hashes) in order of the first three to (u, v): nodes, and the first one that links of their part lead them to."""
+    for t in _whole_runs(batches, ("cluster", "part")):
+        cluster, part, node, root, asks = (t.column(c).to_numpy() for c in ("cluster", "part", "node", "root", "asks"))
+        sets = [np.frombuffer(x.as_buffer(), "u8") for x in t.column("hashes")]
+        key = np.cumsum(np.concatenate(([False], (cluster[1:] != cluster[:-1]) | (part[1:] != part[:-1]))))
+        u, v = [], []
+        for s, e in zip(*_runs(key), strict=True):
+            first = _links(sets[s:e], root[s:e], asks[s:e])
+            moved = np.flatnonzero(first != np.arange(e - s))
+            u.append(node[s:e][moved])
+            v.append(node[s:e][first[moved]])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
 
 
 def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -248,7 +387,57 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return groups(docs, id_col=id_col, text_col=text_col).select("doc_id", "n_shingles", "component_id")
 
 
-def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def tile_blocks(rows: DataFrame, hot_rows: int) -> DataFrame:
+    """Adds `block` to (token, ...). A tile of over hot_rows rows is cut by node into parts, and each pair of parts is a block, so that any two nodes meet in one."""
+    hot = rows.groupBy("token").count().where(F.col("count") > hot_rows).select("token", F.ceil(F.col("count") / hot_rows).cast("int").alias("parts"))
+    if hot.isEmpty():
+        return rows.withColumn("block", F.lit(0))
+    rows = rows.join(hot, "token", "left")
+    mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.least(x, mine) * F.col("parts") + F.greatest(x, mine))
+    return rows.withColumn("block", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(pairs))).drop("parts")
+
+
+def clusters_to_links(scratch: Scratch, sets: DataFrame, part_bytes: int) -> DataFrame | None:
+    """The (node, root) of linked nodes. sets: (cluster, node, n, hashes), each node once."""
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def tasks(size: Column, nodes: Column) -> Column:
+        return F.ceil(F.greatest(size / part_bytes, nodes / MANY)).cast("int")
+
+    large = sets.groupBy("cluster").agg(tasks(F.sum(F.octet_length("hashes")), F.count("*")).alias("parts")).where("parts > 1")
+    large = scratch.write(large, "large")
+    split = not large.isEmpty()
+
+    def settle(rows: DataFrame, name: str) -> DataFrame:
+        rows = rows.select("cluster", "part", "n", "node", "root", "asks", "hashes")
+        rows = rows.repartition(parts, "cluster", "part").sortWithinPartitions("cluster", "part", "n", "node")
+        return scratch.write(rows.mapInArrow(_settle, "u long, v long"), name)
+
+    def cut(rows: DataFrame, salt: int) -> DataFrame:
+        part = F.pmod(F.xxhash64("node", F.lit(salt)), F.coalesce("parts", F.lit(1))).cast("int")
+        return rows.withColumns({"part": part, "root": F.col("node"), "asks": F.lit(True)})
+
+    if not split:
+        found = settle(cut(sets.withColumn("parts", F.lit(1)), 0), "links-0")
+        return None if found.isEmpty() else connected_components(scratch, found, "roots")
+    found = settle(cut(sets.join(large, "cluster", "left"), 0), "links-0").unionByName(settle(cut(sets.join(large, "cluster"), 1), "links-1"))
+    roots = connected_components(scratch, found, "early")
+    rows = sets.join(large, "cluster").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = scratch.write(rows, "open")
+    by_root = rows.groupBy("cluster", "root").agg(F.count("*").alias("n"), F.sum(F.octet_length("hashes")).alias("bytes"))
+    outside = by_root.groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("major"), F.sum("bytes").alias("bytes"), F.sum("n").alias("n"), F.max(F.struct("n", "root", "bytes")).alias("most"))
+    outside = outside.select("cluster", "major", tasks(F.col("bytes") - F.col("most.bytes"), F.col("n") - F.col("most.n")).alias("asking")).where("asking > 0")
+    rows = rows.join(outside, "cluster")
+    own = F.pmod(F.xxhash64("node", F.lit(2)), F.col("asking")).cast("int")
+    target = F.pmod(F.xxhash64("node", F.lit(3)), F.col("parts")).cast("int")
+    asks = rows.where("root <> major").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("part", own * F.col("parts") + F.col("part")).withColumn("asks", F.lit(True))
+    told = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("asking") - 1))).withColumn("part", F.col("part") * F.col("parts") + target).withColumn("asks", F.lit(False))
+    found = found.unionByName(settle(asks.unionByName(told), "links-2"))
+    return None if found.isEmpty() else connected_components(scratch, found, "roots")
+
+
+def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", hot_rows: int = HOT, part_bytes: int = PART) -> DataFrame:
     """The rows of components() with key (xxhash64 of the text) and root: the number of the component, whether its rows have ids or not; null for an empty set, which is alone."""
     need(docs, id_col, text_col)
     spark = docs.sparkSession
@@ -256,9 +445,8 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
 
-    counts = scratch.write(texts.select("text").mapInArrow(_frequent, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "frequent")
-    total = counts.where("bucket < 0").agg(F.sum("n")).first()[0] or 0
-    often = counts.where((F.col("bucket") >= 0) & (F.col("n") > max(64, 4 * total // COUNTERS))).select("bucket").toPandas()["bucket"].to_numpy()  # COUNTERS / 4 at most
+    counts = texts.select("text").mapInArrow(_frequent, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= WIDESPREAD)
+    often = counts.select("bucket").toPandas()["bucket"].to_numpy("int64")  # COUNTERS at most
     late = None
     if len(often):
         late = np.zeros(COUNTERS, bool)
@@ -268,63 +456,25 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     nodes = scratch.write(texts.mapInArrow(partial(_nodes, late), "doc_id long, key long, n long, node long, prefix binary, bits binary"), "nodes")
     members, own = nodes.select("doc_id", "key", "n", "node"), nodes.where("prefix is not null")
     index = own.select("node", "n", "prefix").mapInArrow(_tokens, "token long, node long, n int")
-    shared = scratch.write(index.repartition(parts, "token").mapInArrow(_shared, "token long, node long, n int"), "shared")
-
-    def filter_of(numbers: DataFrame, column: str):
-        """A filter of fixed size that the numbers hit."""
+    shared = scratch.write(index.repartition(parts, "token").sortWithinPartitions("token", "n", "node").mapInArrow(_shared, "token long, node long, n int"), "shared")
+    detail = own.groupBy("node").agg(F.min(F.struct("bits", "key")).alias("s"))
+    detail = scratch.write(detail.join(shared.select("node").distinct(), "node", "left_semi").select("node", "s.*"), "detail")
+    tiles = tile_blocks(shared, hot_rows).join(detail.select("node", "bits"), "node").select("token", "block", "node", "n", "bits")
+    met = tiles.repartition(parts, "token", "block").sortWithinPartitions("token", "block", "n", "node").mapInArrow(_met, "u long, v long")
+    met = scratch.write(met.distinct(), "met")
+    roots = None
+    if not met.isEmpty():
+        clusters = connected_components(scratch, met, "clusters")
+        scratch.drop("shared", "met")
+        clusters = scratch.write(clusters.join(detail.select("node", "key"), "node").select("node", "key", F.col("root").alias("cluster")), "cluster")
         mask = np.zeros(FILTER, bool)
-        mask[numbers.select(F.pmod(column, F.lit(FILTER)).alias("x")).distinct().toPandas()["x"].to_numpy("int64")] = True
-        return spark.sparkContext.broadcast(np.packbits(mask))
-
-    met = shared.select("node").distinct()
-    some = own.select("node", "n", "bits", "key").mapInArrow(partial(_sift, filter_of(met, "node"), 0), "node long, n long, bits binary, key long")
-    detail = scratch.write(some.groupBy("node").agg(F.min(F.struct("n", "bits", "key")).alias("s")).join(met, "node", "left_semi").select("node", "s.*"), "detail")
-    roots: DataFrame | None = None
-
-    def settle(pairs: DataFrame, name: str) -> bool:
-        """Tests pairs exactly, on the sets of their texts; whether some link. If so, roots follow."""
-        nonlocal roots
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        if ends.isEmpty():
-            return False
-        sets = texts.select("key", "text").where("text is not null").mapInArrow(partial(_sets, filter_of(detail.join(ends, "node", "left_semi"), "key")), "node long, hashes binary")
-        sets = scratch.write(sets.where("node is not null").groupBy("node").agg(F.min("hashes").alias("hashes")).join(ends, "node", "left_semi"), f"sets-{name}")
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
-        tested = scratch.write(both.select("a", "b", "ha", "hb").mapInArrow(_verify, "a long, b long, linked boolean"), f"tested-{name}")
-        scratch.drop(f"sets-{name}")
-        found = tested.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if found.isEmpty():
-            return False
-        if roots is None:
-            roots = connected_components(scratch, found, f"roots-{name}")
-            return True
-        for end in ("u", "v"):  # components join by links between their roots
-            found = found.join(roots.select(F.col("node").alias(end), F.col("root").alias("r")), end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
-        more = connected_components(scratch, found, f"more-{name}")
-        old = roots.join(more.select(F.col("node").alias("root"), F.col("root").alias("r")), "root", "left").select("node", F.coalesce("r", "root").alias("root"))
-        roots = scratch.write(old.unionByName(more.join(roots, "node", "left_anti")), f"roots-{name}")
-        return True
-
-    def with_roots(rows: DataFrame, known: DataFrame) -> DataFrame:
-        if roots is None:
-            return rows.join(known.select("node", "bits", F.col("node").alias("root")), "node")
-        return rows.join(known.join(roots, "node", "left").select("node", "bits", F.coalesce("root", "node").alias("root")), "node")
-
-    rows, known = shared, detail.select("node", "bits")
-    for i in range(ROUNDS):
-        pairs = with_roots(rows, known).repartition(parts, "token").mapInArrow(partial(_near, i), "a long, b long, like long").distinct()
-        pairs = scratch.write(pairs, f"near-{i}")
-        both = pairs.union(pairs.select("b", "a", "like"))
-        best = F.struct("like", "b") if i == 0 else F.struct(F.xxhash64("a", "b", F.lit(i)), "b")
-        one = both.groupBy("a").agg(F.max_by("b", best).alias("b"))  # each node tests one other
-        if i == 0:  # later rounds take the nodes that have found someone: they alone come in groups that pairs would square
-            active = scratch.write(one.select(F.col("a").alias("node")), "active")
-            known = scratch.write(known.join(active, "node", "left_semi"), "known")
-            rows = scratch.write(shared.join(active, "node", "left_semi"), "rows")
-        if not settle(scratch.write(one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"one-{i}"), f"near-{i}"):
-            break
-    pairs = with_roots(shared, detail.select("node", "bits")).repartition(parts, "token").mapInArrow(_apart, "a long, b long").distinct()
-    settle(scratch.write(pairs, "apart"), "apart")
+        mask[clusters.select(F.pmod("key", F.lit(FILTER)).alias("x")).distinct().toPandas()["x"].to_numpy("int64")] = True  # FILTER at most
+        mask = spark.sparkContext.broadcast(np.packbits(mask))
+        sets = texts.select("key", "text").where("text is not null").mapInArrow(partial(_sets, mask), "node long, hashes binary").where("node is not null")
+        sets = sets.join(clusters.select("node", "cluster"), "node").groupBy("cluster", "node").agg(F.min("hashes").alias("hashes"))
+        sets = scratch.write(sets.withColumn("n", (F.octet_length("hashes") / 8).cast("int")), "sets")
+        roots = clusters_to_links(scratch, sets, part_bytes)
+        scratch.drop("detail", "cluster", "sets", "open", "links-0", "links-1", "links-2")
 
     least = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).withColumn("root", F.col("node"))
     if roots is not None:

@@ -110,6 +110,40 @@ ORACLES: dict[str, str] = {
             sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
             sum(4 + length(role) + len(regexp_extract_all(role, '[\\<#:]')) + 2 + length(text) + len(regexp_extract_all(text, '[\\<#]')) + 8)::BIGINT AS formatted_chars
         FROM said GROUP BY conv_id""",
+    "op8_ngram_jaccard": r"""
+        WITH RECURSIVE said AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT r, doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM said),
+        each AS (SELECT r, len(s) AS n, unnest(s) AS x FROM sets),
+        links AS (
+            SELECT a.r AS a, b.r AS b FROM each a JOIN each b ON a.x = b.x
+            GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+        reached AS (SELECT a, b FROM links UNION SELECT x.a, y.b FROM reached x JOIN links y ON x.b = y.a),
+        least AS (SELECT a, min(doc_id) AS m FROM reached JOIN sets ON r = b GROUP BY a)
+        SELECT doc_id, len(s)::BIGINT AS n_shingles, CASE WHEN len(s) = 0 THEN doc_id ELSE m END AS component_id
+        FROM sets LEFT JOIN least ON a = r""".replace(r"\\x", r"\x"),
+    "op10_suffix_array_dedup": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        chunks AS (SELECT r, h, unnest(range(0, length(h) // 2 - 199, 500)) AS c FROM d WHERE length(h) >= 400),
+        parts AS (SELECT r, c, substr(h, 2 * c + 1, 1398) AS p FROM chunks),
+        starts AS (SELECT r, c, p, unnest(range(0, length(p) // 2 - 199)) AS i FROM parts),
+        strings AS (SELECT r, c + i AS i, hash(substr(p, 2 * i + 1, 400)) AS m FROM starts),
+        twice AS (SELECT m FROM strings GROUP BY m HAVING count(*) > 1),
+        hit AS (SELECT r, i FROM strings SEMI JOIN twice USING (m)),
+        new AS (SELECT r, i, coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i) > 200, true)::INT AS first FROM hit),
+        runs AS (SELECT r, i, sum(first) OVER (PARTITION BY r ORDER BY i) AS run FROM new),
+        spans AS (SELECT r, min(i) AS s, max(i) + 200 AS e FROM runs GROUP BY r, run),
+        pieces AS (SELECT r, s, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS before FROM spans),
+        cut AS (
+            SELECT r, sum(e - s) AS removed, count(*) AS n, max(e) AS last, string_agg(substr(h, 2 * before + 1, 2 * (s - before)), '' ORDER BY s) AS kept
+            FROM pieces JOIN d USING (r) GROUP BY r)
+        SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+            sha256(unhex(CASE WHEN n IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+        FROM d LEFT JOIN cut USING (r)""",
 }
 if ORACLE_SQL:
     ORACLES["pipeline"] = ORACLE_SQL
