@@ -6,7 +6,10 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +17,11 @@ _local_base: dict[str, str] = {}
 
 
 def _base(spark: SparkSession) -> str:
-    """The folder that all executors share. Only where the session names none (tests, one machine) a new one is made."""
+    """The folder that all executors share. Where the session names none, a local master gets a new one; others get a ValueError."""
     if base := spark.conf.get("spark.checkpoint.dir", None):
         return base.rstrip("/")
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_base:
         _local_base[app] = tempfile.mkdtemp(prefix="spark-")
@@ -24,20 +29,38 @@ def _base(spark: SparkSession) -> str:
     return "file://" + _local_base[app]
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's size of Arrow batches to 8 MB, where it is Spark's default of 64: rows here hold whole texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("67108864b", "67108864", "64m", "64MB"):
+        spark.conf.set(key, "8m")
+
+
 class Scratch:
     """Intermediate tables of one run, as Parquet in the shared folder: a lost executor costs no recomputation of what was written."""
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root = spark, f"{_base(spark)}/busframe-{label}-{uuid.uuid4().hex[:12]}"
+        self._known: dict[str, str] = {}
+        bound_batches(spark)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.option("compression", "zstd").mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_dealt(self, df: DataFrame, name: str, key: str, parts: int) -> DataFrame:
+        """As write, in buckets by `key`: a join on it in as many partitions doesn't shuffle this side."""
+        path, known = f"{self.root}/{name}", "busframe_" + self.root.rpartition("-")[2] + "_" + name.replace("-", "_")
+        df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(parts, key).saveAsTable(known)
+        self._known[name] = known
+        return self.spark.table(known)
+
     def drop(self, *names: str) -> None:
         """Deletes tables that no later step reads."""
         for name in names:
+            if known := self._known.pop(name, None):
+                self.spark.sql(f"DROP TABLE IF EXISTS {known}")
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -52,6 +75,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_runs(batches: Iterator[pa.RecordBatch], key: tuple[str, ...], enough: int) -> Iterator[pa.Table]:
+    """Sorted rows in tables of about `enough` bytes or more; a table ends where the key changes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        size += b.nbytes
+        if size < enough:
+            continue
+        t = pa.Table.from_batches(held)
+        changes = np.zeros(len(t) - 1, bool)
+        for c in key:
+            x = t.column(c).to_numpy()
+            changes |= x[1:] != x[:-1]
+        if not (ends := np.flatnonzero(changes)).size:
+            continue
+        yield t.slice(0, int(ends[-1]) + 1)
+        held = t.slice(int(ends[-1]) + 1).to_batches()
+        size = sum(x.nbytes for x in held)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def connected_components(scratch: Scratch, edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
     """Components of undirected links (u, v), both long: (node, root) for each linked node; root is the component's smallest node.
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from busframe.llm.common import Scratch, connected_components, need
+from busframe.llm.common import Scratch, connected_components, need, whole_runs
 
 WORDS = 5
 #: Least likeness, as a fraction.
@@ -287,32 +287,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         u, v = _join_tiles(tile, node, n.astype("i8"), t.column("bits").to_pylist())
         return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
-    yield from map(joined, _whole_runs(batches, ("token", "block")))
-
-
-def _whole_runs(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[pa.Table]:
-    """Sorted rows in tables of about BYTES or more; a table ends where the key changes."""
-    held: list[pa.RecordBatch] = []
-    size = 0
-    for b in batches:
-        if not b.num_rows:
-            continue
-        held.append(b)
-        size += b.nbytes
-        if size < BYTES:
-            continue
-        t = pa.Table.from_batches(held)
-        changes = np.zeros(len(t) - 1, bool)
-        for c in key:
-            x = t.column(c).to_numpy()
-            changes |= x[1:] != x[:-1]
-        if not (ends := np.flatnonzero(changes)).size:
-            continue
-        yield t.slice(0, int(ends[-1]) + 1)
-        held = t.slice(int(ends[-1]) + 1).to_batches()
-        size = sum(x.nbytes for x in held)
-    if held:
-        yield pa.Table.from_batches(held)
+    yield from map(joined, whole_runs(batches, ("token", "block"), BYTES))
 
 
 def _common(x: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
@@ -363,7 +338,7 @@ def _links(sets: list[np.ndarray], known: np.ndarray, asks: np.ndarray) -> np.nd
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (cluster, part, n, node, root, asks, hashes) in order of the first three to (u, v): nodes, and the first one that links of their part lead them to."""
-    for t in _whole_runs(batches, ("cluster", "part")):
+    for t in whole_runs(batches, ("cluster", "part"), BYTES):
         cluster, part, node, root, asks = (t.column(c).to_numpy() for c in ("cluster", "part", "node", "root", "asks"))
         sets = [np.frombuffer(x.as_buffer(), "u8") for x in t.column("hashes")]
         key = np.cumsum(np.concatenate(([False], (cluster[1:] != cluster[:-1]) | (part[1:] != part[:-1]))))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from busframe.llm.common import Scratch, need
+from busframe.llm.common import Scratch, need, whole_runs
 
 LENGTH, GRAM = 200, 64
 HOT, BLOCK = 4096, 1 << 20
@@ -207,22 +207,8 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Surroundings, whole groups of an anchor together, to the stretches that repeat."""
-    got = [b for b in batches if b.num_rows]
-    if not got:
-        return
-    t = pa.Table.from_batches(got).sort_by("anchor")
-    group = t.column("anchor").to_numpy()
-    cut = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True])))
-    sizes = np.array([len(x.as_buffer()) for x in t.column("segment")])
-    ends = np.concatenate(([0], np.cumsum(sizes)))
-    at = 0
-    while at < len(cut) - 1:
-        to = at + 1
-        while to < len(cut) - 1 and ends[cut[to + 1]] - ends[cut[at]] <= BLOCK:
-            to += 1
-        part = t.slice(cut[at], cut[to] - cut[at])
-        at = to
+    """Surroundings in order of their anchors to the stretches that repeat; a suffix array is of BLOCK bytes or so, and of whole groups."""
+    for part in whole_runs(batches, ("anchor",), BLOCK):
         pieces = [x.as_py() for x in part.column("segment")]
         starts = np.concatenate(([0], np.cumsum([len(x) for x in pieces])))
         text = np.frombuffer(b"".join(pieces), "u1")
@@ -247,7 +233,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = [len(s) - LENGTH + 1 for s in segments]
             w = np.fromiter((xxhash.xxh3_64_intdigest(s[j : j + LENGTH]) for s, n in zip(segments, counts, strict=True) for j in range(n)), "u8", sum(counts)).view("i8")
             start = np.concatenate([f + np.arange(n) for f, n in zip(part.column("first").to_pylist(), counts, strict=True)])
-            yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(np.repeat(part.column("key").to_numpy(), counts)), pa.array(start)], names=["w", "key", "start"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column("anchor").to_numpy(), counts)), pa.array(w), pa.array(np.repeat(part.column("key").to_numpy(), counts)), pa.array(start)], names=["anchor", "w", "key", "start"])
 
 
 def _cut(names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +265,8 @@ def dedup(docs: DataFrame, *, keep: list[str], text_col: str = "text") -> DataFr
     (binary: the bytes that stay). Columns of `keep` with these names are replaced. Strings are judged on the input and
     don't cross texts; all their places are removed, none is spared. Null texts are empty; texts under LENGTH bytes stay.
     Repeated rows are repeated texts, so from LENGTH bytes on nothing of them stays. An empty table gives no rows.
-    Texts are told apart by their 64-bit hash.
+    Places in texts are told apart by a 64-bit hash of the text; a text is taken for a copy only if a second hash and its
+    length agree too.
     """
     need(docs, text_col, *keep)
     keep = [c for c in keep if c not in ("n_bytes", "n_removed", "n_spans", "kept")]
@@ -321,16 +308,19 @@ def dedup(docs: DataFrame, *, keep: list[str], text_col: str = "text") -> DataFr
         some = texts.mapInArrow(sift, "key long, text binary").groupBy("key").agg(F.min("text").alias("text"))
         segments = scratch.write(some.join(open_, "key").select("key", "text", "found").mapInArrow(_segments, _SEGMENT), "segments")
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spans = spans.unionByName(segments.where("not hot").repartition(parts, "anchor").mapInArrow(_compare, "key long, start long, stop long"))
-        windows = segments.where("hot").mapInArrow(_windows, "w long, key long, start long")
-        twice = windows.groupBy("w").agg(F.min(F.xxhash64("key", "start")).alias("x"), F.max(F.xxhash64("key", "start")).alias("y")).where("x <> y").select("w")
-        spans = spans.unionByName(windows.join(twice, "w", "left_semi").select("key", "start", (F.col("start") + LENGTH).alias("stop")))
-
-    copies = texts.groupBy("key").agg((F.count("*") > 1).alias("whole")).where("whole")
+        spans = spans.unionByName(segments.where("not hot").repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_compare, "key long, start long, stop long"))
+        windows = segments.where("hot").mapInArrow(_windows, "anchor long, w long, key long, start long")
+        twice = windows.groupBy("anchor", "w").agg(F.min(F.xxhash64("key", "start")).alias("x"), F.max(F.xxhash64("key", "start")).alias("y")).where("x <> y").select("anchor", "w")
+        spans = spans.unionByName(windows.join(twice, ["anchor", "w"], "left_semi").select("key", "start", (F.col("start") + LENGTH).alias("stop")))
+
+    other = F.xxhash64(F.lit(9), F.col("text"))  # a text goes as a copy if both hashes and its length are another's
+    copies = texts.groupBy("key", F.octet_length("text").alias("n"), other.alias("other")).count().where("count > 1")
+    copies = copies.groupBy("key").agg(F.collect_set(F.struct("n", "other")).alias("copies"))
     cuts = spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).join(copies, "key", "full")
     cuts = scratch.write(cuts, "cuts")
     rows = docs.select(text.cast("binary").alias("__text"), F.xxhash64(text).alias("__key"), *[docs[c].alias(f"__keep_{i}") for i, c in enumerate(keep)])
-    rows = rows.join(cuts.select(F.col("key").alias("__key"), "whole", "spans"), "__key", "left")
-    rows = rows.select("__text", F.coalesce("whole", F.lit(False)).alias("whole"), "spans", *[F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep)])
+    rows = rows.join(cuts.select(F.col("key").alias("__key"), "copies", "spans"), "__key", "left")
+    whole = F.array_contains("copies", F.struct(F.octet_length("__text").alias("n"), F.xxhash64(F.lit(9), F.col("__text")).alias("other")))
+    rows = rows.select("__text", F.coalesce(whole, F.lit(False)).alias("whole"), "spans", *[F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep)])
     schema = docs.select(*keep).schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
     return rows.mapInArrow(partial(_cut, [f.name for f in schema.fields]), schema)
