@@ -113,7 +113,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, *, scale: int = 256
     spark = vectors.sparkSession
     scratch = Scratch(spark, "topk")
     rows = whole_vectors(vectors, scale, id_col=id_col, vector_col=vector_col)
-    asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
+    asked = scratch.write(rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")), "asked")
     total = asked.count()
     rounds = max(1, -(-total // QUERIES))
     found = None
