@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,32 @@ def _base(spark: SparkSession) -> str:
     return "file://" + _local_base[app]
 
 
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from one task to the next, until a task comes that doesn't name it."""
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
+def _lean(f: Callable, uses: tuple[str, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for name in [n for n in _kept if n not in uses]:
+        del _kept[name]
+    try:
+        yield from f(batches)
+    finally:  # workers live on: what is free goes back to the system
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+
+def lean(f: Callable, *uses: str) -> Callable:
+    """f for mapInArrow, in a worker that keeps nothing but `uses` (names of kept()) of earlier tasks and gives memory back at its end."""
+    return partial(_lean, f, uses)
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Lowers the session's size of Arrow batches to 8 MB, where it is Spark's default of 64: rows here hold whole texts."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from busframe.llm.common import Scratch, need
+from busframe.llm.common import lean, need, Scratch
 
 ORDER = 4
 #: Code points of a chunk, about; a longer text is a chunk of its own. And of what is taken up in numpy at once.
@@ -31,14 +31,18 @@ _START = 0xFFFF
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """An n-gram of ORDER characters for every code point of the texts (16 bits a character, the last lowest), and each text's length."""
+    """An n-gram of ORDER characters for every UTF-16 unit of the texts (16 bits a unit, the last lowest), and how many each text has.
+
+    A character beyond U+FFFF is two units; U+FFFF, which marks a text's start, counts as U+FFFE.
+    """
     lengths = np.array([len(t) for t in texts], "i8")
-    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
-    codes = np.where(codes < _START, codes, (codes ^ (codes >> np.uint32(16))) & np.uint32(0xFFF)).astype("u8")
+    codes = np.frombuffer("".join(texts).encode("utf-16-le", "surrogatepass"), "<u2")
+    if len(codes) > lengths.sum():
+        lengths = np.array([len(t.encode("utf-16-le", "surrogatepass")) // 2 for t in texts], "i8")
     pad = ORDER - 1
     full = np.full(len(codes) + pad * len(texts), _START, "u8")
     at = np.arange(len(codes)) + pad * (np.repeat(np.arange(len(texts)), lengths) + 1)
-    full[at] = codes
+    full[at] = np.minimum(codes, _START - 1)
     g = np.zeros(len(codes), "u8")
     for j in range(pad, -1, -1):
         g = (g << np.uint64(16)) | full[at - j]
@@ -46,11 +50,15 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pack(texts: list[str]) -> bytes:
-    return zstandard.ZstdCompressor(level=9).compress("\0".join(t.replace("\0", " ") for t in texts).encode("utf-8", "surrogatepass"))
+    said = [t.encode("utf-8", "surrogatepass") for t in texts]
+    return zstandard.ZstdCompressor(level=9).compress(np.array([len(said), *map(len, said)], "<i8").tobytes() + b"".join(said))
 
 
 def _unpack(blob: bytes) -> list[str]:
-    return zstandard.ZstdDecompressor().decompress(blob).decode("utf-8", "surrogatepass").split("\0")
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    n = int.from_bytes(data[:8], "little")
+    ends = np.cumsum(np.frombuffer(data, "<i8", n, 8)) + 8 * (n + 1)
+    return [data[x:y].decode("utf-8", "surrogatepass") for x, y in zip([8 * (n + 1), *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +161,7 @@ def model(scratch: Scratch, text: DataFrame) -> list[tuple[DataFrame, DataFrame]
     text: lang, text. Counts are exact over all of it. Discounts follow from how many n-grams of a language and order occur
     once to four times; where that leaves none or an impossible one, 3/4 stands in.
     """
-    counts = scratch.write(text.mapInArrow(_count, "lang string, gram long, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c")), "counts-4")
+    counts = scratch.write(text.mapInArrow(lean(_count), "lang string, gram long, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c")), "counts-4")
     levels = []
     for order in range(ORDER, 0, -1):
         if order < ORDER:
@@ -169,6 +177,9 @@ def model(scratch: Scratch, text: DataFrame) -> list[tuple[DataFrame, DataFrame]
         back = scratch.write(rows.groupBy("lang", "context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("back")), f"back-{order}")
         share = rows.join(back, ["lang", "context"]).select("lang", "gram", ((F.col("c") - F.col("d")) / F.col("total")).alias("share"))
         levels.append((scratch.write(share, f"share-{order}"), back.select("lang", "context", "back")))
+        if order < ORDER:
+            scratch.drop(f"counts-{order + 1}")
+    scratch.drop("counts-1")
     return levels[::-1]
 
 
@@ -182,6 +193,7 @@ def probabilities(scratch: Scratch, levels: list[tuple[DataFrame, DataFrame]], w
         rows = rows.join(share, ["lang", "gram"], "left").join(back, ["lang", "context"], "left")
         p = F.coalesce("share", F.lit(0.0)) + F.coalesce("back", F.lit(1.0)) * F.col("p")
         below = scratch.write(rows.select("lang", "gram", p.alias("p")), f"p-{order}")
+        scratch.drop(f"share-{order}", f"back-{order}", f"p-{order - 1}")
     return below.select("lang", "gram", F.log("p").alias("log_p"))
 
 
@@ -215,14 +227,17 @@ def classify(docs: DataFrame, trusted: DataFrame, *, quantile: float = 0.995, id
             b = b.filter(pa.array(bits[np.mod(b.column(0).to_numpy(zero_copy_only=False).astype("i8"), FILTER)]))
             yield b.set_column(2, "text", pa.array([_pack([t]) for t in b.column(2).to_pylist()], pa.binary()))
 
-    text = docs.where("doc_id is not null and text is not null").mapInArrow(sift, "doc_id long, lang string, text binary").join(teach, "doc_id", "left_semi").select("lang", "text")
+    text = docs.where("doc_id is not null and text is not null").mapInArrow(lean(sift), "doc_id long, lang string, text binary").join(teach, "doc_id", "left_semi").select("lang", "text")
     levels = model(scratch, text)
-    chunks = scratch.write(docs.mapInArrow(_chunks, "chunk long, lang string, ids array<long>, texts binary"), "chunks")
-    listed = scratch.write(chunks.select("chunk", "lang", "texts").mapInArrow(_listed, "chunk long, lang string, gram long"), "listed")
+    # Chunks hold the texts: they are joined where they lie.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks = scratch.write_dealt(docs.mapInArrow(lean(_chunks), "chunk long, lang string, ids array<long>, texts binary"), "chunks", "chunk", parts)
+    listed = scratch.write(chunks.select("chunk", "lang", "texts").mapInArrow(lean(_listed), "chunk long, lang string, gram long"), "listed")
     p = probabilities(scratch, levels, listed.select("lang", "gram").distinct())
     values = listed.join(p, ["lang", "gram"]).groupBy("chunk").agg(F.collect_list(F.struct("gram", "log_p")).alias("known"))
-    scored = chunks.join(values, "chunk", "left").select("chunk", "lang", "ids", "texts", "known").mapInArrow(_scored, "doc_id long, lang string, n long, log_p double")
+    scored = chunks.join(values, "chunk", "left").select("chunk", "lang", "ids", "texts", "known").mapInArrow(lean(_scored), "doc_id long, lang string, n long, log_p double")
     scored = scratch.write(scored, "scored")
+    scratch.drop("chunks", "listed", f"p-{ORDER}")
 
     calibration = scored.join(trusted.where(held), "doc_id", "left_semi").where("n > 0")
     mean = calibration.groupBy("lang").agg((F.sum("log_p") / F.sum("n")).alias("mean"))
