@@ -15,10 +15,10 @@ from busframe.llm.common import Scratch, need
 
 #: What a word is: a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Parts of a (source, length) group; at most one of them is ranked row by row.
+#: Parts of a (source, length) group; one of them at most is ranked row by row.
 PARTS = 1 << 16
-#: Words of the budget that are left to the knapsack at least.
-EXACT = 8192
+#: Words of the budget that are left to the knapsack: the next if the last missed, the whole budget if that is less.
+WINDOWS = (1 << 14, 1 << 18, 1 << 22)
 
 
 def words(text: Column) -> Column:
@@ -28,23 +28,40 @@ def words(text: Column) -> Column:
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each size to take so that their words come to `budget`, or to as much below as can be.
 
-    The same share of every size first, then large sizes, while over EXACT words are left; the bounded knapsack does the rest.
+    The same share of every size comes first and the bounded knapsack does the rest, over a window of words that grows if it
+    misses the budget. The sum is the best there is if the budget is hit or at most the last of WINDOWS, in units of the
+    greatest common divisor of the sizes. Otherwise it misses by less than the smallest document left.
     """
-    total = int((sizes * counts).sum())
-    if budget >= total:
+    if budget >= int((sizes * counts).sum()):
         return counts.copy()
-    part = max(0, budget - EXACT)
+    unit = int(np.gcd.reduce(sizes[counts > 0]))
+    sizes, budget = sizes // unit, budget // unit
+    best, least = counts * 0, budget + 1
+    for window in WINDOWS:
+        taken = _fit(sizes, counts, budget, window)
+        if (missed := budget - int((taken * sizes).sum())) < least:
+            best, least = taken, missed
+        if not least or window >= budget:
+            break
+    return best
+
+
+def _fit(sizes: np.ndarray, counts: np.ndarray, budget: int, window: int) -> np.ndarray:
+    """fit() with a knapsack over about `window` words: the same share of every size, then large sizes, until so many are left."""
+    total = int((sizes * counts).sum())
+    part = max(0, budget - window)
     taken = np.array([int(c) * part // total for c in counts], "int64")
     rest = budget - int((taken * sizes).sum())
     order = np.argsort(-sizes, kind="stable")
     for i in order:
-        if rest <= EXACT:
+        if rest <= window:
             break
-        if sizes[i] > 0 and (n := min(int(counts[i] - taken[i]), (rest - EXACT) // int(sizes[i]))) > 0:
+        if sizes[i] > 0 and (n := min(int(counts[i] - taken[i]), (rest - window) // int(sizes[i]))) > 0:
             taken[i] += n
             rest -= n * int(sizes[i])
-    # The sums that the documents left can make, as the bits of one number; a copy after each step leads back.
+    # The sums that the documents left can make, as the bits of one number, and for each the step that made it first.
     mask, sums, steps = (1 << (rest + 1)) - 1, 1, []
+    made = np.full(rest + 1, -1, "int32")
     for i in order[::-1]:
         size, left = int(sizes[i]), int(counts[i] - taken[i])
         if not 0 < size <= rest:
@@ -52,16 +69,19 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         left, part = min(left, rest // size), 1
         while left:
             n = min(part, left)
-            steps.append((i, n, sums))
-            sums |= sums << (n * size) & mask
+            if new := (sums << (n * size)) & mask & ~sums:
+                bits = np.unpackbits(np.frombuffer(new.to_bytes(-(-(rest + 1) // 8), "little"), "u1"), count=rest + 1, bitorder="little")
+                made[bits.astype(bool)] = len(steps)
+                steps.append((i, n))
+                sums |= new
             left, part = left - n, part * 2
         if sums >> rest & 1:
             break
     at = sums.bit_length() - 1
-    for i, n, before in reversed(steps):
-        if not before >> at & 1:
-            taken[i] += n
-            at -= n * int(sizes[i])
+    while at:  # what a sum was made from was there before its step
+        i, n = steps[made[at]]
+        taken[i] += n
+        at -= n * int(sizes[i])
     return taken
 
 
@@ -108,13 +128,14 @@ def mix(docs: DataFrame, *, keep: list[str], text_col: str = "text", source_col:
 
     Returns the columns `keep` of `docs` plus size (words), source_size (words of its source), target (of its source,
     double) and copies (int, 0 to 2: whole copies of the document in the mix). Columns in `keep` that have one of these
-    names are replaced. Each source's taken words are its target, or the nearest sum of document sizes at or below it.
+    names are replaced. Each source's taken words are its target, or the nearest sum of document sizes at or below it (as
+    near as fit() says).
 
     Null and empty texts have size 0 and no copies' worth of words; a null source is a source of its own, ordered last.
     Repeated rows count each. The choice among documents of one source and length goes by a seeded hash of the id, ties
     by the id; rows that share an id are interchangeable. An empty table gives no rows. A source's counts by length are
     fitted in one task: as many rows as it has different lengths, however many documents. A (source, length) group is
-    never ranked whole: hash parts of it are taken whole, and only the one where the count runs out is ranked.
+    never ranked whole: hash parts of it are taken whole or left, and only the one where the count runs out is ranked.
     """
     need(docs, text_col, source_col, id_col, *keep)
     scratch = Scratch(docs.sparkSession, "mix")
@@ -127,10 +148,18 @@ def mix(docs: DataFrame, *, keep: list[str], text_col: str = "text", source_col:
     by_source = scratch.write(by_source.select("skey", "source_size", "target"), "targets")
     by_size = parts.groupBy("skey", "size").agg(F.sum("n").alias("n")).join(by_source.select("skey", "target"), "skey")
     plan = scratch.write(by_size.groupBy("skey").applyInPandas(_plan, "skey string, size long, base int, more long"), "plan")
+    # Parts before the edge are taken whole, those after it not at all; at the edge `few` documents are.
     earlier = F.coalesce(F.sum("n").over(Window.partitionBy("skey", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    quota = parts.select("skey", "size", "part", "n").join(plan, ["skey", "size"]).withColumn("quota", F.least("n", F.greatest(F.col("more") - earlier, F.lit(0))))
-    quota = quota.join(by_source, "skey").select("skey", "size", "part", "base", "quota", "source_size", "target")
-    place = F.row_number().over(Window.partitionBy("skey", "size", "part").orderBy(F.xxhash64(F.lit(seed), "id"), "id"))
-    out = rows.join(quota, ["skey", "size", "part"]).withColumn("copies", F.col("base") + (place <= F.col("quota")).cast("int"))
+    edges = parts.select("skey", "size", "part", "n", earlier.alias("earlier")).join(plan, ["skey", "size"]).where("earlier < more and more <= earlier + n")
+    edges = edges.select("skey", "size", F.col("part").alias("edge"), (F.col("more") - F.col("earlier")).alias("few"))
+    plan = plan.join(edges, ["skey", "size"], "left").join(by_source, "skey").select("skey", "size", "base", F.coalesce("edge", F.lit(-1)).alias("edge"), "few", "source_size", "target")
+    rows = rows.join(scratch.write(plan, "edges"), ["skey", "size"])
+    scratch.drop("parts", "sources", "ranked", "targets", "plan")
     new = ["size", "source_size", "target", "copies"]
-    return out.select(*[F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep) if c not in new], *new)
+
+    def result(rows: DataFrame, more: Column) -> DataFrame:
+        rows = rows.withColumn("copies", F.col("base") + more.cast("int"))
+        return rows.select(*[F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep) if c not in new], *new)
+
+    place = F.row_number().over(Window.partitionBy("skey", "size").orderBy(F.xxhash64(F.lit(seed), "id"), "id"))
+    return result(rows.where("part <> edge"), F.col("part") < F.col("edge")).unionByName(result(rows.where("part = edge"), place <= F.col("few")))
