@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from busframe.llm.common import need
+from busframe.llm.common import bound_batches, lean, need
 
 #: Lines in a window, and the sum that starts a surge (or a fifth of the largest sum, if that is less).
 WINDOW, SURGE = 3, 80
@@ -161,6 +161,7 @@ def extract(pages: DataFrame, *, keep: list[str], html_col: str = "html") -> Dat
     Columns of `keep` named text or n_chars are replaced. No shuffle; a task holds one batch of rows.
     """
     need(pages, html_col, *keep)
+    bound_batches(pages.sparkSession)
     keep = [c for c in keep if c not in ("text", "n_chars")]
     schema = pages.select(*keep).schema.add("text", "string").add("n_chars", "long")
 
@@ -171,4 +172,4 @@ def extract(pages: DataFrame, *, keep: list[str], html_col: str = "html") -> Dat
                 texts = [main_text(x) if x else "" for x in part.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=[f.name for f in schema.fields])
 
-    return pages.select(pages[html_col].alias("__html"), *[pages[c] for c in keep]).mapInArrow(run, schema)
+    return pages.select(pages[html_col].alias("__html"), *[pages[c] for c in keep]).mapInArrow(lean(run), schema)

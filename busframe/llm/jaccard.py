@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from busframe.llm.common import Scratch, connected_components, need, whole_runs
+from busframe.llm.common import connected_components, lean, need, whole_runs, Scratch
 
 WORDS = 5
 #: Least likeness, as a fraction.
@@ -387,7 +387,7 @@ def clusters_to_links(scratch: Scratch, sets: DataFrame, part_bytes: int) -> Dat
     def settle(rows: DataFrame, name: str) -> DataFrame:
         rows = rows.select("cluster", "part", "n", "node", "root", "asks", "hashes")
         rows = rows.repartition(parts, "cluster", "part").sortWithinPartitions("cluster", "part", "n", "node")
-        return scratch.write(rows.mapInArrow(_settle, "u long, v long"), name)
+        return scratch.write(rows.mapInArrow(lean(_settle), "u long, v long"), name)
 
     def cut(rows: DataFrame, salt: int) -> DataFrame:
         part = F.pmod(F.xxhash64("node", F.lit(salt)), F.coalesce("parts", F.lit(1))).cast("int")
@@ -420,7 +420,7 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", h
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
 
-    counts = texts.select("text").mapInArrow(_frequent, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= WIDESPREAD)
+    counts = texts.select("text").mapInArrow(lean(_frequent), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= WIDESPREAD)
     often = counts.select("bucket").toPandas()["bucket"].to_numpy("int64")  # COUNTERS at most
     late = None
     if len(often):
@@ -428,14 +428,14 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", h
         late[often] = True
         late = np.packbits(late)
     late = spark.sparkContext.broadcast(late)
-    nodes = scratch.write(texts.mapInArrow(partial(_nodes, late), "doc_id long, key long, n long, node long, prefix binary, bits binary"), "nodes")
+    nodes = scratch.write(texts.mapInArrow(lean(partial(_nodes, late)), "doc_id long, key long, n long, node long, prefix binary, bits binary"), "nodes")
     members, own = nodes.select("doc_id", "key", "n", "node"), nodes.where("prefix is not null")
-    index = own.select("node", "n", "prefix").mapInArrow(_tokens, "token long, node long, n int")
-    shared = scratch.write(index.repartition(parts, "token").sortWithinPartitions("token", "n", "node").mapInArrow(_shared, "token long, node long, n int"), "shared")
+    index = own.select("node", "n", "prefix").mapInArrow(lean(_tokens), "token long, node long, n int")
+    shared = scratch.write(index.repartition(parts, "token").sortWithinPartitions("token", "n", "node").mapInArrow(lean(_shared), "token long, node long, n int"), "shared")
     detail = own.groupBy("node").agg(F.min(F.struct("bits", "key")).alias("s"))
     detail = scratch.write(detail.join(shared.select("node").distinct(), "node", "left_semi").select("node", "s.*"), "detail")
     tiles = tile_blocks(shared, hot_rows).join(detail.select("node", "bits"), "node").select("token", "block", "node", "n", "bits")
-    met = tiles.repartition(parts, "token", "block").sortWithinPartitions("token", "block", "n", "node").mapInArrow(_met, "u long, v long")
+    met = tiles.repartition(parts, "token", "block").sortWithinPartitions("token", "block", "n", "node").mapInArrow(lean(_met), "u long, v long")
     met = scratch.write(met.distinct(), "met")
     roots = None
     if not met.isEmpty():
@@ -445,7 +445,7 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", h
         mask = np.zeros(FILTER, bool)
         mask[clusters.select(F.pmod("key", F.lit(FILTER)).alias("x")).distinct().toPandas()["x"].to_numpy("int64")] = True  # FILTER at most
         mask = spark.sparkContext.broadcast(np.packbits(mask))
-        sets = texts.select("key", "text").where("text is not null").mapInArrow(partial(_sets, mask), "node long, hashes binary").where("node is not null")
+        sets = texts.select("key", "text").where("text is not null").mapInArrow(lean(partial(_sets, mask)), "node long, hashes binary").where("node is not null")
         sets = sets.join(clusters.select("node", "cluster"), "node").groupBy("cluster", "node").agg(F.min("hashes").alias("hashes"))
         sets = scratch.write(sets.withColumn("n", (F.octet_length("hashes") / 8).cast("int")), "sets")
         roots = clusters_to_links(scratch, sets, part_bytes)

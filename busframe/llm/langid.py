@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from busframe.llm.common import need
+from busframe.llm.common import bound_batches, lean, need
 
 ORDERS, BUCKETS = (1, 2, 3), 1 << 16
 #: Learned from at most about so many documents a language, chosen by hash; more languages than this are refused, since the matrix is broadcast.
@@ -121,7 +121,7 @@ def train(labelled: DataFrame, *, lang_col: str = "lang", text_col: str = "text"
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"lang": pdf["lang"][:1], "v": [sum(np.frombuffer(v, "<i8") for v in pdf["v"]).tobytes()]})
 
-    found = chosen.mapInArrow(count, "lang string, v binary").groupBy("lang").applyInPandas(add, "lang string, v binary").collect()
+    found = chosen.mapInArrow(lean(count), "lang string, v binary").groupBy("lang").applyInPandas(add, "lang string, v binary").collect()
     vectors = {r["lang"]: np.frombuffer(r["v"], "<i8") for r in found}
     languages = sorted(vectors)
     if not languages:
@@ -138,6 +138,7 @@ def predict(docs: DataFrame, model: Model, *, keep: list[str], text_col: str = "
     learned. Columns of `keep` with these names are replaced. Repeated rows give repeated rows, an empty table none.
     """
     need(docs, text_col, *keep)
+    bound_batches(docs.sparkSession)
     keep = [c for c in keep if c not in ("lang_pred", "score")]
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -149,7 +150,7 @@ def predict(docs: DataFrame, model: Model, *, keep: list[str], text_col: str = "
                 names, sure = shared.value.score(part.column(0).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(names, pa.string()), pa.array(sure)], names=[f.name for f in schema.fields])
 
-    return docs.select(docs[text_col].alias("__text"), *[docs[c] for c in keep]).mapInArrow(run, schema)
+    return docs.select(docs[text_col].alias("__text"), *[docs[c] for c in keep]).mapInArrow(lean(run), schema)
 
 
 def held_out(id_col: str = "doc_id"):

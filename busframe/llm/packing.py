@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from busframe.llm.common import need
+from busframe.llm.common import bound_batches, kept, lean, need
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, class int, ids binary"
 #: Distinct words that a worker remembers with their ids.
-WORDS_KEPT = 800_000
+WORDS_KEPT = 400_000
 
 # Characters that normalisation leaves alone but for case; the apostrophe starts contractions and isn't among them.
 _ODD = re.compile(r"[^\t\n\r -&(-~À-ÖØ-öø-ÿ]")
@@ -38,8 +38,6 @@ class WordIds:
     pieces between white space by the tokenizer as it stands.
     """
 
-    _by_path: dict[str, "WordIds"] = {}
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -49,12 +47,6 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.words: dict[str, bytes] = {}
 
-    @classmethod
-    def at(cls, path: str) -> "WordIds":
-        if path not in cls._by_path:
-            cls._by_path[path] = cls(path)
-        return cls._by_path[path]
-
     def split(self, text: str) -> list[str]:
         if not _ODD.search(text):
             return _RUNS.findall(text.lower())
@@ -161,6 +153,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 2048, end_id:
     like any other; memory per task is bounded by one batch of rows plus one open bin per class.
     """
     need(docs, id_col, text_col)
+    bound_batches(docs.sparkSession)
     end = end_id.to_bytes(4, "little")
     names = [f.split()[0] for f in SCHEMA.split(", ")]
     kinds = [pa.int64()] * 6 + [pa.int32(), pa.binary()]
@@ -168,8 +161,10 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 2048, end_id:
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
+    words_of = f"words {tokenizer_path}"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordIds.at(tokenizer_path)
+        encoder = kept(words_of, lambda: WordIds(tokenizer_path))
         bins = Bins(capacity, TaskContext.get().partitionId() << 40)
         for b in batches:
             for i in range(0, b.num_rows, 500):
@@ -183,4 +178,4 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = 2048, end_id:
         if rows := bins.take():
             yield batch(rows)
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(lean(run, words_of), SCHEMA)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from busframe.llm.common import Scratch, need, whole_runs
+from busframe.llm.common import lean, need, whole_runs, Scratch
 
 LENGTH, GRAM = 200, 64
 HOT, BLOCK = 4096, 1 << 20
@@ -274,7 +274,7 @@ def dedup(docs: DataFrame, *, keep: list[str], text_col: str = "text") -> DataFr
     scratch = Scratch(spark, "suffix")
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.xxhash64(text).alias("key"), text.cast("binary").alias("text")).where(F.octet_length("text") >= LENGTH)
-    found = scratch.write(texts.select("text").mapInArrow(_anchor_rows, "key long, first long, last long, anchor long, around long"), "anchors")
+    found = scratch.write(texts.select("text").mapInArrow(lean(_anchor_rows), "key long, first long, last long, anchor long, around long"), "anchors")
     place = F.xxhash64("key", "first")
     around = found.groupBy("anchor", "around").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
     around = scratch.write(around, "around")
@@ -305,11 +305,11 @@ def dedup(docs: DataFrame, *, keep: list[str], text_col: str = "text") -> DataFr
                         seen.add(k)
                 yield b.filter(pa.array(take, pa.bool_()))
 
-        some = texts.mapInArrow(sift, "key long, text binary").groupBy("key").agg(F.min("text").alias("text"))
-        segments = scratch.write(some.join(open_, "key").select("key", "text", "found").mapInArrow(_segments, _SEGMENT), "segments")
+        some = texts.mapInArrow(lean(sift), "key long, text binary").groupBy("key").agg(F.min("text").alias("text"))
+        segments = scratch.write(some.join(open_, "key").select("key", "text", "found").mapInArrow(lean(_segments), _SEGMENT), "segments")
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spans = spans.unionByName(segments.where("not hot").repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_compare, "key long, start long, stop long"))
-        windows = segments.where("hot").mapInArrow(_windows, "anchor long, w long, key long, start long")
+        spans = spans.unionByName(segments.where("not hot").repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(lean(_compare), "key long, start long, stop long"))
+        windows = segments.where("hot").mapInArrow(lean(_windows), "anchor long, w long, key long, start long")
         twice = windows.groupBy("anchor", "w").agg(F.min(F.xxhash64("key", "start")).alias("x"), F.max(F.xxhash64("key", "start")).alias("y")).where("x <> y").select("anchor", "w")
         spans = spans.unionByName(windows.join(twice, ["anchor", "w"], "left_semi").select("key", "start", (F.col("start") + LENGTH).alias("stop")))
 
@@ -323,4 +323,4 @@ def dedup(docs: DataFrame, *, keep: list[str], text_col: str = "text") -> DataFr
     whole = F.array_contains("copies", F.struct(F.octet_length("__text").alias("n"), F.xxhash64(F.lit(9), F.col("__text")).alias("other")))
     rows = rows.select("__text", F.coalesce(whole, F.lit(False)).alias("whole"), "spans", *[F.col(f"__keep_{i}").alias(c) for i, c in enumerate(keep)])
     schema = docs.select(*keep).schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
-    return rows.mapInArrow(partial(_cut, [f.name for f in schema.fields]), schema)
+    return rows.mapInArrow(lean(partial(_cut, [f.name for f in schema.fields])), schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from busframe.llm.common import Scratch, need
+from busframe.llm.common import lean, need, Scratch
 
 NODES, QUERIES, BLOCK = 4, 4096, 4096
 _SCHEMA = "query_id long, vec_id long, score long"
@@ -124,11 +124,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, *, scale: int = 256
             same = sorted((x for x in part if len(x["v"]) == d), key=lambda x: x["vec_id"])
             by_width[d] = (np.array([x["vec_id"] for x in same], "int64"), np.array([x["v"] for x in same], "int64").reshape(len(same), d))
         queries = spark.sparkContext.broadcast(by_width)
-        first = _top(rows.mapInArrow(_scan(queries, k, None), _SCHEMA).distinct(), k)
+        first = _top(rows.mapInArrow(lean(_scan(queries, k, None)), _SCHEMA).distinct(), k)
         reached = first.where(F.col("rank") == k).select("query_id", "score").toPandas()  # a number a query
         limit = dict(zip(reached["query_id"].tolist(), reached["score"].tolist(), strict=True))
         cutoffs = spark.sparkContext.broadcast({d: np.array([limit.get(i, _NONE) for i in ids.tolist()], "int64") for d, (ids, _) in by_width.items()})
-        best = _top(rows.mapInArrow(_scan(queries, k, cutoffs), _SCHEMA), k)
+        best = _top(rows.mapInArrow(lean(_scan(queries, k, cutoffs)), _SCHEMA), k)
         if rounds > 1:
             best = scratch.write(best, f"round-{r}")
         found = best if found is None else found.unionByName(best)
