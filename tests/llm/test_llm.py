@@ -205,12 +205,24 @@ def test_mixing(docs, none):
             reach = {a + int(x) * k for a in reach for k in range(n + 1)}
         taken = fit(s, c, budget)
         assert (taken <= c).all() and (taken >= 0).all() and (taken * s).sum() == max(a for a in reach if a <= budget)
+    for _ in range(200):  # long documents: sums as the bits of a number
+        s = np.array(sorted(r.sample(range(1000, 30001), r.randrange(1, 7))))
+        c = np.array([r.randrange(1, 5) for _ in s])
+        budget = r.randrange(0, int((s * c).sum()) + 1)
+        sums = 1
+        for x, n in zip(s, c):
+            for _ in range(n):
+                sums |= sums << int(x)
+        taken = fit(s, c, budget)
+        assert (taken <= c).all() and (taken >= 0).all() and (taken * s).sum() == (sums & ((1 << budget + 1) - 1)).bit_length() - 1
 
 
 def test_kneser_ney(spark, docs, none):
     from busframe.llm.common import Scratch
-    from busframe.llm.kneser_ney import classify, grams, model, probabilities
+    from busframe.llm.kneser_ney import _pack, _unpack, classify, grams, model, probabilities
 
+    assert _unpack(_pack(odd := ["a\0b", "", "\U0001F600 \uD800", "é"])) == odd
+    assert not set(grams(["\U0001F600"])[0].tolist()) & set(grams(["\u0601"])[0].tolist()) and grams(odd)[1].tolist() == [3, 0, 4, 1]
     texts = ["abra cadabra", "abracadabra!", "a bra"]
     scratch = Scratch(spark, "test")
     levels = model(scratch, spark.createDataFrame([("=x", t) for t in texts], "lang string, text string"))
@@ -311,6 +323,37 @@ def test_jaccard(spark, docs, none):
     assert got == linked(items)
 
 
+@pytest.mark.parametrize("hot_rows, part_bytes", [(1 << 14, 1 << 23), (16, 1 << 23), (1 << 14, 4000), (16, 4000)])
+def test_jaccard_large_groups(spark, hot_rows, part_bytes):
+    """Tiles cut into blocks and clusters cut into parts lose no link of a large group of near copies."""
+    from busframe.llm.jaccard import groups
+
+    r = random.Random(4)
+    base, words = [f"b{i}" for i in range(60)], [f"v{i}" for i in range(50)]
+    items = []
+    for i in range(90):
+        t = list(base)
+        for _ in range(r.randrange(0, 4)):
+            t[r.randrange(len(t))] = r.choice(words)
+        items.append((500 - i, " ".join(t + base[: r.randrange(0, 12)])))
+    items += [(700 + i, " ".join(r.choice(words) for _ in range(40))) for i in range(20)]
+    docs = spark.createDataFrame(items, "doc_id long, text string").repartition(5)
+    found = groups(docs, hot_rows=hot_rows, part_bytes=part_bytes)
+    assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in found.collect()) == linked(items)
+
+
+def test_jaccard_long_texts(spark):
+    """Sets with more tokens than a signature has bits."""
+    from busframe.llm.jaccard import components
+
+    r = random.Random(5)
+    a = [f"w{r.randrange(10**6)}" for _ in range(20000)]
+    b = [w if r.random() > 0.02 else "x" for w in a]
+    c = [w if r.random() > 0.10 else "x" for w in a]
+    items = [(1, " ".join(a)), (2, " ".join(b)), (3, " ".join(c)), (4, " ".join(a[:15500])), (5, " ".join(a[:14000]))]
+    assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in components(spark.createDataFrame(items, "doc_id long, text string")).collect()) == linked(items)
+
+
 def test_chat(spark):
     from busframe.llm.chat import format_replies, read_back, thread
 
