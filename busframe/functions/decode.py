@@ -12,8 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _word(words: Column, offset: int, i: int = 0) -> Column:
-    return F.get(words, F.lit(offset + i)).cast("long")
+def _word(words: Column, offset: int | Column, i: int = 0) -> Column:
+    return F.get(words, offset + i if isinstance(offset, Column) else F.lit(offset + i)).cast("long")
 
 
 def bit_count(k: int, msb: int, lsb: int) -> int:
@@ -184,6 +184,8 @@ def _bits(schema: str, raw: Column, n: int, msb_val: float, partial: int, sign:
         return raw
     if schema == "SIGNMAG":
         return sign_magnitude(raw, n, msb_val)
+    if schema != "BCD":
+        raise ValueError(f"unknown encoding {schema}")
     value = bcd(raw, n, partial)
     return value if sign is None else value * sign
 
@@ -206,3 +208,32 @@ def decode32(schema: str, word: Column, msb: int, lsb: int, msb_val: float = 0.0
     """A 429 element, bits msb to lsb of a 32-bit word; sign multiplies BCD values."""
     n = lsb - msb + 1
     return _bits(schema, raw_field32(word, msb, lsb), n, msb_val, partial, sign).cast(output_type(schema, n))
+
+
+def decode_rows(words: Column) -> Column:
+    """The value as double of a 1553 element whose columns schema, offset, elem_word_count, bitmsb, bitlsb and msb_val stand in the same row.
+
+    One branch an encoding, however many elements there are. Bit fields of over three words give null, as do missing words.
+    """
+    schema, at, k, msb, lsb, weight = (F.col(c) for c in ("schema", "offset", "elem_word_count", "bitmsb", "bitlsb", "msb_val"))
+    w = [F.get(words, at + i).cast("long") for i in range(4)]
+    n = F.when(k == 1, lsb - msb + 1).otherwise(17 - msb + lsb + 16 * (k - 2))
+    power = lambda x: F.pow(F.lit(2.0), x.cast("double"))
+    scale = lambda bits: F.when(weight == 0, F.lit(1.0)).otherwise(weight / power(bits))
+    total = F.when(k == 1, w[0]).when(k == 2, w[0] * 65536 + w[1]).when(k == 3, (w[0] * 65536 + w[1]) * 65536 + w[2])
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), n) - 1
+    raw = F.call_function("shiftright", total, 16 - lsb).bitwiseAND(mask)
+
+    def signed(x: Column, bits: Column) -> Column:
+        return (x.cast("double") - F.when(x.cast("double") >= power(bits - 1), power(bits)).otherwise(F.lit(0.0))) * scale(bits - 2)
+
+    by_bits = F.when(schema == "UNSIGNEDBITS", F.when(n == 1, raw.cast("double")).otherwise(raw.cast("double") * scale(n - 1))).when(schema == "SIGNEDBITS", signed(raw, n)).when(schema == "ASCII", raw.cast("tinyint").cast("double"))
+    value = F.when(schema.isin("UNSIGNEDBITS", "SIGNEDBITS"), F.when((n < 25) & (n > 1), by_bits.cast("float").cast("double")).otherwise(by_bits)).when(schema == "ASCII", by_bits)
+    whole = {1: w[0], 2: w[0] * 65536 + w[1]}
+    for name, count in WORD_COUNTS.items():
+        if name in _FLOATS:
+            own = _FLOATS[name](words, at)
+        else:
+            own = whole[count].cast("double") * scale(F.lit(16 * count - 1)) if name.startswith("UNSIGNED") else signed(whole[count], F.lit(16 * count))
+        value = value.when(schema == name, own.cast(output_type(name, 16 * count)).cast("double"))
+    return value

@@ -13,13 +13,34 @@ def valid_fixes(fixes: DataFrame) -> DataFrame:
     return fixes.where("time_fmt <> 15 and src <> 15")
 
 
+#: Ranges that one task carries a fix over.
+BLOCK = 4096
+
+
+def _carried(known: DataFrame, by: list[str]) -> DataFrame:
+    """(by, __range, __last) to (by, __range, __before): the greatest __last of all earlier ranges.
+
+    Up to BLOCK ranges go by one window. More are cut into blocks of so many, and what comes before a block is carried over
+    the blocks in the same way.
+    """
+    least, most = known.agg(F.min("__range"), F.max("__range")).first()
+    earlier = lambda *keys: Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    if least is None or most - least < BLOCK:
+        return known.select(*by, "__range", F.max("__last").over(earlier(*by)).alias("__before"))
+    known = known.withColumn("__block", F.floor((F.col("__range") - least) / BLOCK))
+    near = known.select(*by, "__range", "__block", F.max("__last").over(earlier(*by, "__block")).alias("__inside"))
+    tops = known.groupBy(*by, F.col("__block").alias("__range")).agg(F.max("__last").alias("__last"))
+    before = _carried(tops, by).select(*by, F.col("__range").alias("__block"), F.col("__before").alias("__outside"))
+    return near.join(before, [*by, "__block"]).select(*by, "__range", F.greatest("__inside", "__outside").alias("__before"))
+
+
 def asof(packets: DataFrame, fixes: DataFrame, *, by: list[str], at: str, width: int) -> DataFrame:
     """Each packet with the latest fix at or before it, by equi joins only; packets before the first fix of their group go.
 
     by: columns both sides share (may be empty); at: the order column of both; width: of the ranges of `at` that packets and
     fixes are dealt into. In its range a packet takes the last fix before it by a window over packets and fixes together;
     where there is none, the last fix of an earlier range, known per range from the fixes alone. So no task sees more than
-    one range, and fixes are never broadcast whole.
+    one range, and fixes are never broadcast whole. Ranges are carried forward block by block, BLOCK of them at a time.
     """
     value = [c for c in fixes.columns if c not in (*by, at)]
     fix = F.struct(F.col(at), *value)
@@ -27,8 +48,7 @@ def asof(packets: DataFrame, fixes: DataFrame, *, by: list[str], at: str, width:
     ranges = packets.select(*by, F.floor(F.col(at) / width).alias("__range")).distinct()
     last = fixes.groupBy(*by, "__range").agg(F.max("__fix").alias("__last"))
     known = ranges.withColumn("__last", F.lit(None).cast(last.schema["__last"].dataType)).unionByName(last).groupBy(*by, "__range").agg(F.max("__last").alias("__last"))
-    earlier = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    known = known.select(*by, "__range", F.max("__last").over(earlier).alias("__before"))
+    known = _carried(known, by)
     p = packets.withColumns({"__range": F.floor(F.col(at) / width), "__row": F.struct(*packets.columns), "__at": F.col(at), "__kind": F.lit(1), "__fix": F.lit(None).cast(fixes.schema["__fix"].dataType)})
     f = fixes.withColumns({"__row": F.lit(None).cast(p.schema["__row"].dataType), "__at": F.col(f"__fix.{at}"), "__kind": F.lit(0)})
     columns = [*by, "__range", "__row", "__at", "__kind", "__fix"]
@@ -39,10 +59,20 @@ def asof(packets: DataFrame, fixes: DataFrame, *, by: list[str], at: str, width:
     return rows.select("__row.*", F.col(f"__use.{at}").alias(f"fix_{at}"), *[F.col(f"__use.{c}").alias(c if c not in packets.columns else f"fix_{c}") for c in value])
 
 
-def carry_forward(rows: DataFrame, value: str, *, by: list[str], order: list[str]) -> DataFrame:
-    """Column `value` filled with its last known value of the group."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn(value, F.last(value, ignorenulls=True).over(w))
+def carry_forward(rows: DataFrame, value: str, *, by: list[str], order: list[str], width: int | None = None) -> DataFrame:
+    """Column `value` filled with its last known value of the group.
+
+    width: of ranges of the first column of `order`, a number, that a group is dealt into; without it a group is one task's.
+    """
+    so_far = lambda *keys: Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    if width is None:
+        return rows.withColumn(value, F.last(value, ignorenulls=True).over(so_far(*by)))
+    least = rows.agg(F.min(F.floor(F.col(order[0]) / width))).first()[0] or 0
+    rows = rows.withColumn("__range", F.coalesce(F.floor(F.col(order[0]) / width), F.lit(least - 1)))  # nulls come first
+    last = F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("__value")))
+    known = _carried(rows.groupBy(*by, "__range").agg(F.max(last).alias("__last")), by)
+    rows = rows.withColumn("__near", F.last(value, ignorenulls=True).over(so_far(*by, "__range"))).join(known, [*by, "__range"])
+    return rows.select(*[F.coalesce("__near", "__before.__value").alias(c) if c == value else F.col(c) for c in rows.columns if c not in ("__range", "__near", "__before")])
 
 
 def packet_times(packets: DataFrame, fixes: DataFrame, *, by: list[str], at: str, width: int) -> DataFrame:

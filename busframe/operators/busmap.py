@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 #: Bits of a command word that a vote compares: address, direction and subaddress, not the word count.
 KEY_MASK = 0xFFE0
+MOST_WORDS = 10_000
 
 
 def message_key(tx: Column, rx: Column) -> Column:
@@ -74,8 +75,12 @@ def names_agree(winners: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def excluded(names: DataFrame, name_col: str, words: DataFrame) -> DataFrame:
-    """(channelid, word) of the channels whose name contains an excluded word, in any case. words: a short list."""
-    return names.join(words.select("word"), F.contains(F.upper(name_col), F.upper("word"))).select("channelid", "word").distinct()
+    """(channelid, word) of the channels whose name contains an excluded word, in any case. words: MOST_WORDS at most."""
+    listed = [r[0] for r in words.select("word").where("word is not null").distinct().limit(MOST_WORDS + 1).collect()]
+    if len(listed) > MOST_WORDS:
+        raise ValueError(f"more than {MOST_WORDS} excluded words")
+    held = F.filter(F.array(*map(F.lit, sorted(listed))).cast("array<string>"), lambda w: F.contains(F.upper(F.col(name_col)), F.upper(w)))
+    return names.select("channelid", F.explode(held).alias("word")).distinct()
 
 
 class BusMap(NamedTuple):
@@ -103,8 +108,9 @@ def resolve_bus_map(
         winners, label = vote_winners(commwords, votes, vote_threshold), "Vote Method"
         if check_tmats:
             agreed, label = names_agree(winners, sources).select("channelid", F.lit(True).alias("ok")), "Vote Method & TMATS"
-            differ = F.when(F.col("reason").isNull() & F.col("ok").isNull(), "Vote and TMATS differ").otherwise(F.col("reason"))
-            winners = winners.join(agreed, "channelid", "left").withColumn("reason", differ).select("channelid", F.when(F.col("reason").isNull(), F.col("bus")).alias("bus"), "reason")
+            named = sources.select("channelid", F.lit(True).alias("named")).distinct()
+            differ = F.when(F.col("reason").isNotNull(), F.col("reason")).when(F.col("named").isNull(), "Missing From TMATS").when(F.col("ok").isNull(), "TMATS Mismatch")
+            winners = winners.join(agreed, "channelid", "left").join(named, "channelid", "left").withColumn("reason", differ).select("channelid", F.when(F.col("reason").isNull(), F.col("bus")).alias("bus"), "reason")
     lost = winners.where("bus is null").select("channelid", "reason")
     out = lost if out is None else out.unionByName(lost)
     bus_map = winners.where("bus is not null").select("channelid", "bus", F.lit(label).alias("source"))

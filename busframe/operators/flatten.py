@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from busframe.functions.bits import header_429, octal_label, video_flags, word_429
+from busframe.sources.packets import located
 
 #: Enabled packet types and their codes; attributes and time packets are always read.
 TYPES = {"1553": 0x19, "429": 0x38, "ethernet": 0x68, "video": 0x40}
@@ -53,13 +54,18 @@ def parsed_429(words: DataFrame) -> DataFrame:
     return words.withColumns(head | data | {"label": octal_label(data["label_raw"])})
 
 
+def whole_units(size: Column, stamped: Column) -> Column:
+    """Whether a video packet's body of `size` bytes holds whole units, one at least and no more than allowed."""
+    unit = F.when(stamped, 196).otherwise(188)
+    return ((size - 4) % unit == 0) & ((size - 4) / unit).between(F.lit(1), F.when(stamped, MOST_STAMPED).otherwise(MOST_UNITS))
+
+
 def video_units(packets: DataFrame, body: str = "body") -> DataFrame:
     """188-byte units after a packet's 4-byte word, with unit_idx and, where the word says so, their own 8-byte time stamp."""
     flags = video_flags(uint(F.col(body), 0, 4))
     size = F.when(flags["IPH"], 196).otherwise(188)
     n = ((F.octet_length(body) - 4) / size).cast("int")
-    rows = packets.withColumns({"__size": size, "__n": n, "IPH": flags["IPH"]}).where("(octet_length(body) - 4) % __size = 0 and __n > 0" if body == "body" else F.lit(True))
-    rows = rows.where(F.col("__n") <= F.when(F.col("IPH"), MOST_STAMPED).otherwise(MOST_UNITS))
+    rows = packets.withColumns({"__size": size, "__n": n, "IPH": flags["IPH"]}).where(whole_units(F.octet_length(body), F.col("IPH")))
     rows = rows.select(*packets.columns, "IPH", "__size", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("unit_idx"))
     at = F.col("unit_idx") * F.col("__size") + 4
     stamp = F.when(F.col("IPH"), F.substring(F.col(body), at + 1, F.lit(8)))
@@ -72,9 +78,39 @@ def swap_bytes(data: Column) -> Column:
 
 
 def extract_video(video: DataFrame, order: list[str]) -> DataFrame:
-    """Transport-stream bytes of each channel in file order: (channelid, seq columns, chunk), sorted within partitions by channel."""
+    """Transport-stream bytes of each channel in file order: (channelid, seq columns, chunk), dealt into ranges and sorted within them by channel and order."""
     rows = video.select("channelid", *order, swap_bytes(F.col("data")).alias("chunk"))
-    return rows.repartition("channelid").sortWithinPartitions("channelid", *order)
+    return rows.repartitionByRange("channelid", *order).sortWithinPartitions("channelid", *order)
+
+
+def write_video(video: DataFrame, order: list[str], path: str) -> None:
+    """A stream for each channel: files `channel=<id>/<number>.ts` below path; in order of their names they are the stream.
+
+    A range of a channel is a file, written by the task that holds it, so a long stream isn't one task's. A task that is run
+    again writes the same files.
+    """
+    rows = extract_video(video, order)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, opened, channel, sizes = TaskContext.get().partitionId(), None, None, {}
+        for b in batches:
+            for c, chunk in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if opened is None or c != channel:
+                    if opened:
+                        opened.close()
+                    channel = c
+                    system, folder = located(f"{path}/channel={c}")
+                    system.create_dir(folder, recursive=True)
+                    opened = system.open_output_stream(f"{folder}/{part:08d}.ts")
+                opened.write(chunk)
+                sizes[c] = sizes.get(c, 0) + len(chunk)
+        if opened:
+            opened.close()
+        yield pa.RecordBatch.from_arrays([pa.array(list(sizes), pa.int64()), pa.array(list(sizes.values()), pa.int64())], names=["channelid", "bytes"])
+
+    rows.select(F.col("channelid").cast("long"), "chunk").mapInArrow(write, "channelid long, bytes long").agg(F.sum("bytes")).collect()
 
 
 _1553 = "packet long, msg_idx int, time binary, block_status int, gaps int, length int, words array<int>"

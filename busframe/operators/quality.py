@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import fnmatch
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from busframe.functions.decode import WORD_COUNTS
+from busframe.functions.decode import BIT_LEVEL, WORD_COUNTS
+from busframe.sources.tables import listing
 
 WORD_SCHEMAS = sorted(WORD_COUNTS)
 BIT_SCHEMAS = ["ASCII", "SIGNEDBITS", "UNSIGNEDBITS"]
@@ -30,10 +33,35 @@ def icd_rules() -> dict[str, Column]:
     return rules
 
 
+def _violations(icd: DataFrame, name: str, rules: dict[str, Column]) -> DataFrame:
+    broken = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in rules.items()]))
+    return icd.select(name, "elem_name", F.explode(broken).alias("rule"))
+
+
 def validate_icd(icd: DataFrame) -> DataFrame:
     """(msg_name, elem_name, rule) of every broken rule."""
-    broken = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in icd_rules().items()]))
-    return icd.select("msg_name", "elem_name", F.explode(broken).alias("rule"))
+    return _violations(icd, "msg_name", icd_rules())
+
+
+REQUIRED_429 = ["word_name", "elem_name", "label", "bus", "sdi", "schema", "bitmsb", "bitlsb", "bit_count", "msb_val"]
+
+
+def icd_rules_429() -> dict[str, Column]:
+    """Rule name to what breaks it, for 429 elements. Positions count from 1 over the 32 bits of a word as stored."""
+    msb, lsb = F.col("bitmsb"), F.col("bitlsb")
+    rules = {f"required {c}": F.col(c).isNull() for c in REQUIRED_429}
+    return rules | {
+        "unknown encoding": ~F.col("schema").isin(*BIT_LEVEL),
+        "label": ~F.col("label").between(0, 377) | (F.col("label") % 10 > 7) | (F.floor(F.col("label") / 10) % 10 > 7),
+        "sdi": ~F.col("sdi").between(-1, 3),
+        "bit positions": ~(msb.between(1, 32) & lsb.between(1, 32) & (msb <= lsb)),
+        "bit count": lsb - msb + 1 != F.col("bit_count"),
+    }
+
+
+def validate_icd_429(icd: DataFrame) -> DataFrame:
+    """(word_name, elem_name, rule) of every broken rule."""
+    return _violations(icd, "word_name", icd_rules_429())
 
 
 def duplicates(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -43,15 +71,21 @@ def duplicates(rows: DataFrame, columns: list[str]) -> DataFrame:
 def compare_tables(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
     """A row per column of either table: whether names and types agree, rows compared, rows that differ, and the verdict.
 
-    Rows are matched by `key` (unique in each table); a row that one side lacks counts as differing in every column. NaN equals
-    NaN and null equals null.
+    Rows are matched by `key`, a null with a null; rows that share a key are matched in order of their hashes (repeated_keys()
+    lists them), so a table never differs from itself. A row that one side lacks counts as differing in every column. NaN
+    equals NaN and null equals null.
     """
     types_a, types_b = dict(a.dtypes), dict(b.dtypes)
     names = [c for c in dict.fromkeys([*a.columns, *b.columns]) if c not in key]
     both = [c for c in names if types_a.get(c) == types_b.get(c)]
-    left = a.select(*key, F.struct(F.lit(True).alias("there"), *both).alias("__a"))
-    right = b.select(*key, F.struct(F.lit(True).alias("there"), *both).alias("__b"))
-    rows = left.join(right, key, "full")
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        hashed = [F.xxhash64(*[c for c in both if "map<" not in types_a[c]])] if both else list(key)
+        turn = F.row_number().over(Window.partitionBy(*key).orderBy(*hashed))
+        return df.select(*[F.col(k).alias(f"__{name}_{i}") for i, k in enumerate(key)], turn.alias(f"__{name}_turn"), F.struct(F.lit(True).alias("there"), *both).alias(f"__{name}"))
+
+    match = [F.col(f"__a_{i}").eqNullSafe(F.col(f"__b_{i}")) for i in range(len(key))] + [F.col("__a_turn") == F.col("__b_turn")]
+    rows = side(a, "a").join(side(b, "b"), match, "full")
     there = F.col("__a.there").eqNullSafe(F.col("__b.there"))
     counts = rows.agg(F.count("*").alias("n"), *[F.sum((~(there & F.col(f"__a.{c}").eqNullSafe(F.col(f"__b.{c}")))).cast("long")).alias(f"d_{i}") for i, c in enumerate(both)])
     place = {c: i for i, c in enumerate(both)}
@@ -60,17 +94,43 @@ def compare_tables(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
     return out.withColumn("passed", F.col("in_both") & F.col("same_type") & (F.col("different") == 0))
 
 
+def repeated_keys(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
+    """(side, key, n) of the keys that a table holds more than once."""
+    return duplicates(a, key).withColumn("side", F.lit("a")).unionByName(duplicates(b, key).withColumn("side", F.lit("b")))
+
+
+def compare_positions(spark: SparkSession, a: str, b: str) -> DataFrame:
+    """compare_tables() of two Parquet files or directories row by row in file order: rows are matched by file name and place in the file."""
+
+    def rows(path: str) -> DataFrame:
+        # A lone file is compared whatever its name.
+        one = len(listing(spark, path)) == 1
+        file = F.lit("") if one else F.col("_metadata.file_name")
+        return spark.read.parquet(path).select("*", file.alias("__file"), F.col("_metadata.row_index").alias("__row"))
+
+    return compare_tables(rows(a), rows(b), ["__file", "__row"])
+
+
 def compare_unordered(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows that one table has more often than the other, with the side that has them."""
     return a.exceptAll(b).withColumn("side", F.lit("a")).unionByName(b.exceptAll(a).withColumn("side", F.lit("b")))
 
 
 def compare_files(spark: SparkSession, a: str, b: str, glob: str = "*") -> DataFrame:
-    """(name, sha_a, sha_b, equal) of the files under two directories, by name. Spark lists no empty files."""
+    """(name, size_a, size_b, sha_a, sha_b, equal) of the files under two directories, by their path below each; empty files too.
+
+    glob: of file names. Contents are read on the executors, up to 2 GB a file, which is Spark's limit for a value.
+    """
 
     def listed(path: str, side: str) -> DataFrame:
+        names = [(n, size) for n, size in listing(spark, path) if fnmatch.fnmatch(n.rpartition("/")[2], glob)]
+        names = spark.createDataFrame(names, f"name string, size_{side} long")
+        fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        top = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(fs_path).toString().rstrip("/")
         files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
-        return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias(f"sha_{side}"))
+        files = files.select(F.substring("path", len(top) + 2, 1 << 30).alias("name"), F.sha2("content", 256).alias("sha"))
+        empty = F.when(F.col(f"size_{side}") == 0, F.sha2(F.lit("").cast("binary"), 256))
+        return names.join(files, "name", "left").select("name", f"size_{side}", F.coalesce("sha", empty).alias(f"sha_{side}"))
 
     rows = listed(a, "a").join(listed(b, "b"), "name", "full")
     return rows.withColumn("equal", F.coalesce(F.col("sha_a") == F.col("sha_b"), F.lit(False)))

@@ -1,7 +1,7 @@
 """Bus rows to engineering units: lookup joins with the interface document, then projections generated from it.
 
 The document is a dimension of thousands of rows at most; it is collected once to build expressions, and refused beyond
-MOST_ELEMENTS. Bus rows are joined to message keys by hash, so Spark broadcasts the keys where their size allows.
+MOST_ELEMENTS. Message keys are broadcast after a count of their rows, so bus rows, the side that grows, aren't shuffled.
 """
 
 from __future__ import annotations
@@ -10,16 +10,21 @@ from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from busframe.functions.bits import command_word
-from busframe.functions.decode import decode, decode32, output_type, ssm_sign
-from busframe.operators.quality import validate_icd
+from busframe.functions.decode import decode, decode32, decode_rows, output_type, ssm_sign
+from busframe.operators.quality import validate_icd, validate_icd_429
 from busframe.schemas import READ_1553, READ_429
 
 MOST_ELEMENTS = 200_000
 KEYS_1553 = ["channelid", "txrtaddr", "rxrtaddr", "txsubaddr", "rxsubaddr"]
 
 
+def dimension(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if it has at most MOST_ELEMENTS rows; a larger one is joined as Spark's statistics and skew handling say."""
+    return F.broadcast(df) if df.limit(MOST_ELEMENTS + 1).count() <= MOST_ELEMENTS else df
+
+
 def message_table(icd: DataFrame, order: str = "elem_name") -> DataFrame:
-    """One row per message: its attributes come from its first element by `order`."""
+    """One row per message: its attributes come from its first element by `order`, such as its place in the document."""
     first = Window.partitionBy("msg_name").orderBy(order)
     rows = icd.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n", "elem_name")
     return rows.join(icd.groupBy("msg_name").agg(F.count("*").alias("elements")), "msg_name")
@@ -36,7 +41,7 @@ def lookup_1553(icd: DataFrame, bus_map: DataFrame, select_msg: list[str] | None
 def match_1553(bus: DataFrame, lookup: DataFrame, ride_along: list[str] | None = None) -> DataFrame:
     """Bus rows with the messages they carry: one row may feed several, unmatched rows go. Reads the needed columns only."""
     columns = list(dict.fromkeys([*READ_1553, *(ride_along or [])]))
-    return bus.select(*columns).join(lookup, KEYS_1553)
+    return bus.select(*columns).join(dimension(lookup), KEYS_1553)
 
 
 def lookup_429(icd: DataFrame, channels: DataFrame) -> DataFrame:
@@ -54,7 +59,7 @@ def lookup_429(icd: DataFrame, channels: DataFrame) -> DataFrame:
 
 def match_429(bus: DataFrame, lookup: DataFrame, ride_along: list[str] | None = None) -> DataFrame:
     columns = list(dict.fromkeys([*READ_429, *(ride_along or [])]))
-    return bus.select(*columns).join(lookup, ["channelid", "bus", "label", "SDI"])
+    return bus.select(*columns).join(dimension(lookup), ["channelid", "bus", "label", "SDI"])
 
 
 def unmatched_words(icd: DataFrame, channels: DataFrame) -> DataFrame:
@@ -101,19 +106,25 @@ def translate_1553(bus: DataFrame, icd: DataFrame, bus_map: DataFrame, *, select
     return tables, violations
 
 
-def translate_429(bus: DataFrame, icd: DataFrame, channels: DataFrame, *, ride_along: tuple[str, ...] = ("time",)) -> dict[str, DataFrame]:
-    """{word: ride-along columns and one column per element}."""
-    matched = match_429(bus, lookup_429(icd, channels), list(ride_along))
-    return {w: matched.where(F.col("word_name") == w).select(*ride_along, *[element_429(e).alias(e["elem_name"]) for e in elements]) for w, elements in collect_elements(icd, "word_name", ["word_name", "elem_name"]).items()}
+def translate_429(bus: DataFrame, icd: DataFrame, channels: DataFrame, *, ride_along: tuple[str, ...] = ("time",)) -> tuple[dict[str, DataFrame], DataFrame]:
+    """({word: ride-along columns and one column per element}, violations). A word with a bad element is left out."""
+    violations = validate_icd_429(icd)
+    good = icd.join(violations.select("word_name").distinct(), "word_name", "left_anti")
+    matched = match_429(bus, lookup_429(good, channels), list(ride_along))
+    tables = {w: matched.where(F.col("word_name") == w).select(*ride_along, *[element_429(e).alias(e["elem_name"]) for e in elements]) for w, elements in collect_elements(good, "word_name", ["word_name", "elem_name"]).items()}
+    return tables, violations
 
 
 def translate_long(matched: DataFrame, icd: DataFrame, *, ride_along: tuple[str, ...] = ("time",)) -> DataFrame:
-    """All elements of all messages in one pass: ride-along columns, msg_name, elem_name, value (double)."""
-    cases = None
-    for msg, elements in collect_elements(icd, "msg_name", ["msg_name", "elem_name"]).items():
-        values = F.array(*[F.struct(F.lit(e["elem_name"]).alias("elem_name"), element_1553(e).cast("double").alias("value")) for e in elements])
-        cases = F.when(F.col("msg_name") == msg, values) if cases is None else cases.when(F.col("msg_name") == msg, values)
-    return matched.select(*ride_along, "msg_name", F.explode(cases).alias("e")).select(*ride_along, "msg_name", "e.elem_name", "e.value")
+    """All elements of all messages in one pass: ride-along columns, msg_name, elem_name, value (double).
+
+    Elements are rows that are joined to the bus rows, so the expression doesn't grow with the document. Messages with an
+    element that breaks a rule (validate_icd) are left out; bit fields of over three words have null values.
+    """
+    bad = validate_icd(icd).select("msg_name").distinct()
+    elements = icd.join(bad, "msg_name", "left_anti").select("msg_name", "elem_name", "schema", "offset", "elem_word_count", "bitmsb", "bitlsb", "msb_val")
+    rows = matched.select(*ride_along, "msg_name", "data").join(dimension(elements), "msg_name")
+    return rows.select(*ride_along, "msg_name", "elem_name", decode_rows(F.col("data")).alias("value"))
 
 
 def write_tables(matched: DataFrame, tables_of, names: list[str], path: str, name: str = "msg_name") -> None:
@@ -126,6 +137,8 @@ def write_tables(matched: DataFrame, tables_of, names: list[str], path: str, nam
     rows = matched.sparkSession.read.schema(matched.schema).parquet(staged)
     for n in names:
         tables_of(rows.where(F.col(name) == n), n).write.mode("overwrite").option("compression", "gzip").parquet(f"{path}/{n}.parquet")
+    folder = matched.sparkSession._jvm.org.apache.hadoop.fs.Path(staged)
+    folder.getFileSystem(matched.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def translated_names(matched: DataFrame, name: str = "msg_name") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,7 +65,8 @@ _decoded("DEC8", _FLOAT.format(f"{W[4]}::DOUBLE * (300.0::DOUBLE / 32768)"), "UN
 _decoded("DEC9", _FLOAT.format(f"({W[4]} - CASE WHEN {W[4]} >= 32768 THEN 65536 ELSE 0 END)::DOUBLE * (64.0::DOUBLE / 16384)"), "SIGNED16", 4, 1, msb_val=64.0)
 _decoded("DEC10", f"({W[6]} * 65536 + {W[7]})::DOUBLE * (1024.0::DOUBLE / 2147483648)", "UNSIGNED32", 6, 2, msb_val=1024.0)
 _decoded("DEC11", f"({W[6]} * 65536 + {W[7]} - CASE WHEN {W[6]} >= 32768 THEN 4294967296 ELSE 0 END)::DOUBLE * (1024.0::DOUBLE / 1073741824)", "SIGNED32", 6, 2, msb_val=1024.0)
-_decoded("DEC12", _FLOAT.format(_gps(f"({W[5]} >> 15)", f"(({W[5]} >> 7) & 255)", f"((({W[5]} & 127) * 65536 + {W[6]})::DOUBLE / pow(2.0::DOUBLE, 24))", f"{W[5]} + {W[6]} = 0")), "FLOAT32_GPS", 5, 2)
+_GPS32 = _FLOAT.format(_gps(f"({W[5]} >> 15)", f"(({W[5]} >> 7) & 255)", f"((({W[5]} & 127) * 65536 + {W[6]})::DOUBLE / pow(2.0::DOUBLE, 24))", f"{W[5]} + {W[6]} = 0"))
+_decoded("DEC12", _GPS32, "FLOAT32_GPS", 5, 2)
 _decoded("DEC13", _gps(f"({W[8]} >> 15)", f"(({W[8]} >> 7) & 255)", f"({W[8]} & 127)::DOUBLE / pow(2.0::DOUBLE, 8) + {W[9]}::DOUBLE / pow(2.0::DOUBLE, 24) + {W[10]}::DOUBLE / pow(2.0::DOUBLE, 40) + {W[11]}::DOUBLE / pow(2.0::DOUBLE, 56)", f"{W[8]} + {W[9]} + {W[10]} + {W[11]} = 0"), "FLOAT64_GPS", 8, 4)
 _decoded("DEC14", _gps(f"({W[14]} >> 15)", f"({W[12]} & 255)", f"((({W[14]} & 32767) * 16777216 + {W[13]} * 256 + ({W[12]} >> 8))::DOUBLE / pow(2.0::DOUBLE, 40))", f"{W[12]} + {W[13]} + {W[14]} = 0"), "CAPS", 12, 3)
 _decoded("DEC15", _FLOAT.format(f"CASE WHEN {W[15]} = 0 THEN 0.0::DOUBLE ELSE (CASE WHEN {W[15]} >= 32768 THEN -1 ELSE 1 END) * (({W[15]} >> 4) & 2047)::DOUBLE * pow(16.0::DOUBLE, ({W[15]} & 15)::DOUBLE) END"), "FLOAT16", 15, 1)
@@ -101,9 +103,12 @@ def _src2(spark, sf_dir):
     return fx.bus1553(spark, sf_dir).select(*READ_1553).withColumn("first_word", F.get("data", F.lit(0))).drop("data")
 
 
-@query("FLT1", f"WITH {fx.PACKETS} SELECT * FROM packets WHERE event_type IN ('click', 'view')")
+_TYPE = "CASE event_type WHEN 'click' THEN 25 WHEN 'view' THEN 56 WHEN 'error' THEN 17 WHEN 'signup' THEN 1 ELSE 104 END"
+
+
+@query("FLT1", f"WITH {fx.PACKETS} SELECT *, {_TYPE} AS data_type FROM packets WHERE event_type IN ('click', 'view', 'error', 'signup')")
 def _flt1(spark, sf_dir):
-    return fx.packets(spark, sf_dir).where(F.col("event_type").isin("click", "view"))
+    return flatten.only_types(fx.packets(spark, sf_dir).withColumn("data_type", F.expr(_TYPE)), ["1553", "429"])
 
 
 @query("FLT3", "SELECT event_id, user_id % 2 AS intrapkt_ts_source, event_id % 2 AS secondary_hdr FROM events WHERE user_id % 2 = event_id % 2")
@@ -133,11 +138,11 @@ def _flt6(spark, sf_dir):
     return alignment.until_error(rows, bad, by=["packet"], order=fx.WORD_ORDER).select("packet", "l_linenumber", "frame_length")
 
 
-@query("FLT7", "SELECT l_orderkey, l_linenumber, l_partkey % 4000 AS data_size FROM lineitem WHERE (l_partkey % 4000 - 4) % 188 = 0 AND (l_partkey % 4000 - 4) / 188 BETWEEN 1 AND 2788")
+@query("FLT7", """WITH p AS (SELECT l_orderkey, l_linenumber, l_orderkey % 2 = 1 AS stamped, (l_partkey * 3) % 3000 * CASE WHEN l_orderkey % 2 = 1 THEN 196 ELSE 188 END + l_suppkey % 3 * 2 + 2 AS data_size FROM lineitem)
+    SELECT * FROM p WHERE CASE WHEN stamped THEN (data_size - 4) % 196 = 0 AND (data_size - 4) / 196 BETWEEN 1 AND 2674 ELSE (data_size - 4) % 188 = 0 AND (data_size - 4) / 188 BETWEEN 1 AND 2788 END""")
 def _flt7(spark, sf_dir):
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("l_orderkey", "l_linenumber", "l_partkey % 4000 AS data_size")
-    units = (F.col("data_size") - 4) / 188
-    return rows.where(((F.col("data_size") - 4) % 188 == 0) & units.between(1, flatten.MOST_UNITS))
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("l_orderkey", "l_linenumber", "l_orderkey % 2 = 1 AS stamped", "(l_partkey * 3) % 3000 * if(l_orderkey % 2 = 1, 196, 188) + l_suppkey % 3 * 2 + 2 AS data_size")
+    return rows.where(flatten.whole_units(F.col("data_size"), F.col("stamped")))
 
 
 @query("FLT8", f"WITH {fx.FIXES} SELECT pkt_offset, rtc, fix_time FROM valid")
@@ -237,10 +242,20 @@ def _trn1(spark, sf_dir):
     return tables["NAV"].select("time", *[F.col(c).cast("double").alias(c) for c in ("alt", "turn", "vel")], "ok")
 
 
-@query("TRN2", f"WITH {_LOOKUP429} SELECT time, (({_BCD19}) * CASE WHEN SSM = 3 THEN -1 ELSE 1 END) AS one FROM matched WHERE word_name = 'W120X'")
+_WORD32 = "((CASE WHEN parity THEN 2147483648 ELSE 0 END)::BIGINT + SSM::BIGINT * 536870912 + data::BIGINT * 1024)"
+_RAW13 = f"(({_WORD32} >> 16) & 8191)"
+_VALUES429 = {
+    "W120": ("all", f"(({_WORD32} >> 20) & 4095)::DOUBLE"), "W120X": ("one", f"(({_BCD19}) * CASE WHEN SSM = 3 THEN -1 ELSE 1 END)"), "W121": ("temp", f"({_RAW13} - CASE WHEN {_RAW13} >= 4096 THEN 8192 ELSE 0 END)::DOUBLE * (512.0::DOUBLE / 2048)"),
+    "W122": ("mag", "(CASE WHEN data >= 262144 THEN -(data & 262143)::DOUBLE ELSE (data & 262143)::DOUBLE END) * (256.0::DOUBLE / 131072)"),
+}
+_CASES429 = " ".join(f"WHEN '{w}' THEN {{'elem_name': '{e}', 'value': {_FLOAT.format(v)}}}" for w, (e, v) in _VALUES429.items())
+
+
+@query("TRN2", f"WITH {_LOOKUP429} SELECT time, word_name, e.elem_name AS elem_name, e.value AS value FROM (SELECT time, word_name, CASE word_name {_CASES429} END AS e FROM matched)")
 def _trn2(spark, sf_dir):
-    icd = fx.icd_429(spark).withColumns({"bitmsb": F.when(F.col("word_name") == "W120X", 4).otherwise(F.col("bitmsb")), "bitlsb": F.when(F.col("word_name") == "W120X", 22).otherwise(F.col("bitlsb"))})
-    return translate.translate_429(fx.bus429(spark, sf_dir), icd, fx.channels(spark))["W120X"].select("time", F.col("one").cast("double").alias("one"))
+    """The tables of all words, one below the other."""
+    tables, _ = translate.translate_429(fx.bus429(spark, sf_dir), fx.icd_429(spark), fx.channels(spark))
+    return reduce(DataFrame.unionByName, [t.select("time", F.lit(w).alias("word_name"), F.lit(t.columns[1]).alias("elem_name"), F.col(t.columns[1]).cast("double").alias("value")) for w, t in tables.items()])
 
 
 @query("TRN3", f"WITH {_LOOKUP} SELECT time, l_orderkey, l_linenumber, (({W[6]} * 65536 + {W[7]})::DOUBLE * (1024.0::DOUBLE / 2147483648)) AS rpm FROM matched WHERE msg_name = 'ENG'")
@@ -266,12 +281,19 @@ def _trn5(spark, sf_dir):
     return out.where("rows > 0")
 
 
-@query("TRN6", f"""WITH {_LOOKUP} SELECT time, msg_name, e.elem_name AS elem_name, e.value AS value FROM (SELECT time, msg_name, unnest(CASE msg_name
-    WHEN 'ENG' THEN [{{'elem_name': 'rpm', 'value': ({W[6]} * 65536 + {W[7]})::DOUBLE * (1024.0::DOUBLE / 2147483648)}}]
-    WHEN 'ENG_A' THEN [{{'elem_name': 'temp', 'value': {_FLOAT.format(f"((({W[8]} >> 7) & 255) - CASE WHEN (({W[8]} >> 7) & 255) >= 128 THEN 256 ELSE 0 END)::DOUBLE * (128.0::DOUBLE / 64)")}}}] END) AS e FROM matched WHERE msg_name IN ('ENG', 'ENG_A'))""")
+_TURN = f"({W[4]} - CASE WHEN {W[4]} >= 32768 THEN 65536 ELSE 0 END)::DOUBLE * (64.0::DOUBLE / 16384)"
+_VEL = f"({_FIELD2} - CASE WHEN {_FIELD2} >= 4194304 THEN 8388608 ELSE 0 END)::DOUBLE * (512.0::DOUBLE / 2097152)"
+_TEMP = f"((({W[8]} >> 7) & 255) - CASE WHEN (({W[8]} >> 7) & 255) >= 128 THEN 256 ELSE 0 END)::DOUBLE * (128.0::DOUBLE / 64)"
+_VALUES = {
+    "NAV": {"alt": f"({W[0]} >> 4)::DOUBLE", "ok": f"(({W[3]} >> 11) & 1)::DOUBLE", "turn": _FLOAT.format(_TURN), "vel": _FLOAT.format(_VEL)}, "NAV_COPY": {"gps": _GPS32},
+    "ENG": {"rpm": f"({W[6]} * 65536 + {W[7]})::DOUBLE * (1024.0::DOUBLE / 2147483648)"}, "ENG_A": {"temp": _FLOAT.format(_TEMP)}, "IDLE": {"none": f"{W[0]}::DOUBLE"},
+}
+_CASES = " ".join(f"WHEN '{m}' THEN [" + ", ".join(f"{{'elem_name': '{e}', 'value': {v}}}" for e, v in own.items()) + "]" for m, own in _VALUES.items())
+
+
+@query("TRN6", f"WITH {_LOOKUP} SELECT time, msg_name, e.elem_name AS elem_name, e.value AS value FROM (SELECT time, msg_name, unnest(CASE msg_name {_CASES} END) AS e FROM matched)")
 def _trn6(spark, sf_dir):
-    wanted = ["ENG", "ENG_A"]
-    return translate.translate_long(_matched(spark, sf_dir, wanted), fx.icd_1553(spark).where(F.col("msg_name").isin(wanted)))
+    return translate.translate_long(_matched(spark, sf_dir), fx.icd_1553(spark))
 
 
 @query("FLT9", f"WITH {_LOOKUP} SELECT time, msg_name FROM matched WHERE msg_name IN ('NAV', 'ENG')")
@@ -559,12 +581,12 @@ def _win2(spark, sf_dir):
 @query("WIN3", f"WITH {fx.PACKETS} SELECT channelid, pkt_offset, coalesce(last_value(CASE WHEN pkt_offset % 7 = 0 THEN rtc END IGNORE NULLS) OVER (PARTITION BY channelid ORDER BY pkt_offset ROWS UNBOUNDED PRECEDING), -1) AS fix FROM packets")
 def _win3(spark, sf_dir):
     rows = fx.packets(spark, sf_dir).withColumn("fix", F.when(F.col("pkt_offset") % 7 == 0, F.col("rtc")))
-    return alignment.carry_forward(rows, "fix", by=["channelid"], order=["pkt_offset"]).select("channelid", "pkt_offset", F.coalesce("fix", F.lit(-1)).alias("fix"))
+    return alignment.carry_forward(rows, "fix", by=["channelid"], order=["pkt_offset"], width=4096).select("channelid", "pkt_offset", F.coalesce("fix", F.lit(-1)).alias("fix"))
 
 
 @query("SRT1", f"WITH {fx.PACKETS} SELECT channelid, pkt_offset, rtc FROM packets")
 def _srt1(spark, sf_dir):
-    return fx.packets(spark, sf_dir).select("channelid", "pkt_offset", "rtc").repartition("channelid").sortWithinPartitions("channelid", "pkt_offset")
+    return fx.packets(spark, sf_dir).select("channelid", "pkt_offset", "rtc").repartitionByRange("channelid", "pkt_offset").sortWithinPartitions("channelid", "pkt_offset")
 
 
 QUERIES["SRT2"], ORACLES["SRT2"] = QUERIES["AGG4"], ORACLES["AGG4"]

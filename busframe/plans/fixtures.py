@@ -91,7 +91,7 @@ def bus_map(spark: SparkSession) -> DataFrame:
 
 
 ICD429_ROWS = [
-    ("W120", "all", 120, "abc", -1, "UNSIGNEDBITS", 1, 12, 12, -1, 2048.0), ("W120X", "one", 120, "ABC", 1, "BCD", 1, 19, 19, -1, 0.0),
+    ("W120", "all", 120, "abc", -1, "UNSIGNEDBITS", 1, 12, 12, -1, 2048.0), ("W120X", "one", 120, "ABC", 2, "BCD", 4, 22, 19, -1, 0.0),
     ("W121", "temp", 121, "DEF", 2, "SIGNEDBITS", 4, 16, 13, -1, 512.0), ("W122", "mag", 122, "DEF", -1, "SIGNMAG", 4, 22, 19, -1, 256.0), ("LOST", "x", 130, "NOPE", -1, "UNSIGNEDBITS", 1, 8, 8, -1, 0.0),
 ]
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import os
+import io
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from busframe.schemas import PACKETS
@@ -16,6 +17,25 @@ HEADER, SECONDARY = 24, 12
 _CHECKSUM_BYTES = (0, 1, 2, 4)
 
 
+def located(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def recordings(path: str) -> list[tuple[str, int]]:
+    """(file, size) of a recording or of all in a directory, hidden ones left out; names only."""
+    system, at = located(path)
+    scheme = path[: path.index("://") + 3] if "://" in path and not path.startswith("file:") else ""
+    info = system.get_file_info(at)
+    if info.type == fs.FileType.File:
+        return [(path if scheme else at, info.size)]
+    found = [x for x in system.get_file_info(fs.FileSelector(at, recursive=True)) if x.type == fs.FileType.File]
+    shown = [x for x in found if not any(y[0] in "._" for y in x.path[len(at) :].strip("/").split("/"))]
+    return sorted((scheme + x.path, x.size) for x in shown)
+
+
 @dataclass
 class Range(InputPartition):
     file: str
@@ -46,10 +66,11 @@ def body_checksum_ok(payload: bytes, existence: int) -> bool:
     return total & (1 << 8 * n) - 1 == int.from_bytes(payload[-n:], "little")
 
 
-def packets(file: str, start: int, stop: int) -> Iterator[tuple]:
-    """Packets whose first byte lies in [start, stop); after a bad header the search goes on at the next byte."""
-    size = os.path.getsize(file)
-    with open(file, "rb") as f:
+def packets(file: str, start: int, stop: int, types: frozenset[int] | None = None) -> Iterator[tuple]:
+    """Packets whose first byte lies in [start, stop); after a bad header the search goes on at the next byte. Of `types` alone if given: others are skipped unread."""
+    system, path = located(file)
+    size = system.get_file_info(path).size
+    with io.BufferedReader(system.open_input_file(path), 1 << 20) as f:
         at = start
         while at < min(stop, size):
             f.seek(at)
@@ -62,6 +83,9 @@ def packets(file: str, start: int, stop: int) -> Iterator[tuple]:
                     return
                 at += 1 + (found if found >= 0 else len(window) - 1)
                 continue
+            if types is not None and h["data_type"] not in types:
+                at += h["pkt_size"]
+                continue
             rest = f.read(h["pkt_size"] - HEADER)
             sec, sec_ok = None, True
             if h["secondary_hdr"]:
@@ -73,7 +97,10 @@ def packets(file: str, start: int, stop: int) -> Iterator[tuple]:
 
 
 class PacketSource(DataSource):
-    """spark.read.format("ch10").load(path): one row per packet. Options: chunk (bytes of a range), maxChunks (first ranges only)."""
+    """spark.read.format("ch10").load(path): one row per packet, from any file system that pyarrow opens.
+
+    Options: chunk (bytes of a range), maxChunks (first ranges of a file only), types (codes, with commas: only such packets).
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -88,16 +115,16 @@ class PacketSource(DataSource):
 
 class _Reader(DataSourceReader):
     def __init__(self, options):
-        self.path, self.chunk = options["path"].removeprefix("file://"), int(options.get("chunk", 64 << 20))
+        self.path, self.chunk = options["path"], int(options.get("chunk", 64 << 20))
+        self.types = frozenset(int(x) for x in options["types"].split(",")) if "types" in options else None
         self.most = int(options["maxChunks"]) if "maxChunks" in options else None
 
     def partitions(self) -> list[Range]:
-        files = [self.path] if os.path.isfile(self.path) else sorted(os.path.join(d, x) for d, _, names in os.walk(self.path) for x in names if x[0] not in "._")
         out = []
-        for f in files:
-            own = [Range(f, at, at + self.chunk) for at in range(0, os.path.getsize(f), self.chunk)]
+        for f, size in recordings(self.path):
+            own = [Range(f, at, at + self.chunk) for at in range(0, size, self.chunk)]
             out += own if self.most is None else own[: self.most]
         return out
 
     def read(self, partition: Range) -> Iterator[tuple]:
-        return packets(partition.file, partition.start, partition.stop)
+        return packets(partition.file, partition.start, partition.stop, self.types)

@@ -3,6 +3,7 @@
 import json
 import math
 import os
+import random
 import struct
 
 import pytest
@@ -153,7 +154,92 @@ def test_compare(spark, tmp_path):
         (tmp_path / d / "same").write_bytes(b"0")
         (tmp_path / d / "other").write_bytes(x)
     (tmp_path / "p" / "only").write_bytes(b"3")
-    assert {r.name: r.equal for r in quality.compare_files(spark, f"{tmp_path}/p", f"{tmp_path}/q").collect()} == {"same": True, "other": False, "only": False}
+    for d, x in (("p", b"4"), ("q", b"5")):  # one base name in two directories, and empty files
+        for sub, content in (("x", b"0"), ("y", x), ("z", b"")):
+            os.makedirs(tmp_path / d / sub)
+            (tmp_path / d / sub / "001").write_bytes(content)
+    (tmp_path / "q" / "x" / "empty").write_bytes(b"")
+    want = {"same": True, "other": False, "only": False, "x/001": True, "y/001": False, "z/001": True, "x/empty": False}
+    assert {r.name: r.equal for r in quality.compare_files(spark, f"{tmp_path}/p", f"{tmp_path}/q").collect()} == want
+
+
+def test_compare_repeated_keys(spark, tmp_path):
+    a = spark.createDataFrame([(1, "x"), (1, "y"), (1, "y"), (None, "z"), (None, None)], "k long, s string")
+    assert [(r.rows, r.different, r.passed) for r in quality.compare_tables(a, a.repartition(3), ["k"]).collect()] == [(5, 0, True)]
+    b = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z"), (None, None)], "k long, s string")
+    assert quality.compare_tables(a, b, ["k"]).first().different in (1, 2) and quality.compare_tables(a.limit(0), a.limit(0), ["k"]).first().passed
+    assert {(r.side, r.k, r.n) for r in quality.repeated_keys(a, b, ["k"]).collect()} == {("a", 1, 3), ("a", None, 2), ("b", 1, 2), ("b", None, 2)}
+    for name, values in (("p", [3, 1, 2]), ("q", [3, 2, 1])):
+        spark.createDataFrame([(v,) for v in values], "v int").coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    assert quality.compare_positions(spark, f"{tmp_path}/p", f"{tmp_path}/p").first().passed
+    assert quality.compare_positions(spark, f"{tmp_path}/p", f"{tmp_path}/q").first().different == 2
+
+
+def test_bad_elements(spark):
+    """A bad element takes its message or word out of every kind of translation; no encoding is taken for another."""
+    bus = spark.createDataFrame([(i, [i] * 32, 0, 1, 2, 1, 0) for i in range(5)], "time long, data array<int>, channelid int, txrtaddr int, rxrtaddr int, txsubaddr int, rxsubaddr int")
+    bad = fx.icd_1553(spark).withColumn("schema", F.when(F.col("elem_name") == "gps", "NOPE").otherwise(F.col("schema")))
+    rows = translate.translate_long(translate.match_1553(bus, translate.lookup_1553(bad, fx.bus_map(spark))), bad)
+    assert {(r.msg_name, r.elem_name) for r in rows.collect()} == {("NAV", e) for e in ("alt", "ok", "turn", "vel")}
+    good = translate.translate_long(translate.match_1553(bus, translate.lookup_1553(fx.icd_1553(spark), fx.bus_map(spark))), fx.icd_1553(spark))
+    tables_, _ = translate.translate_1553(bus, fx.icd_1553(spark), fx.bus_map(spark))
+    found = {(r.time, r.msg_name, r.elem_name): r.value for r in good.collect()}
+    for name in ("NAV", "NAV_COPY"):
+        for r in tables_[name].collect():
+            for e in tables_[name].columns[1:]:
+                assert found[r.time, name, e] == pytest.approx(float(r[e]), nan_ok=True)
+    words = fx.icd_429(spark).withColumn("schema", F.when(F.col("word_name") == "W121", "NOPE").otherwise(F.col("schema"))).withColumn("bit_count", F.when(F.col("word_name") == "W122", 5).otherwise(F.col("bit_count")))
+    rows429 = spark.createDataFrame([(1, 0, 0, 120, 1, 7, 0, False)], "time long, channelid int, bus int, label int, SDI int, data int, SSM int, parity boolean")
+    found, violations = translate.translate_429(rows429, words, fx.channels(spark))
+    assert set(found) == {"W120", "W120X", "LOST"} and {(r.word_name, r.rule) for r in violations.collect()} == {("W121", "unknown encoding"), ("W122", "bit count")}
+    with pytest.raises(ValueError):
+        decode.decode32("NOPE", F.lit(1), 1, 4)
+
+
+def test_facts_are_not_shuffled(spark):
+    """Lookup joins broadcast the counted dimension; bus rows stay where they are."""
+    bus = spark.createDataFrame([(i, [i] * 32, 0, 1, 2, 1, 0) for i in range(5)], "time long, data array<int>, channelid int, txrtaddr int, rxrtaddr int, txsubaddr int, rxsubaddr int")
+    matched = translate.match_1553(bus, translate.lookup_1553(fx.icd_1553(spark), fx.bus_map(spark)))
+    plan = translate.translate_long(matched, fx.icd_1553(spark))._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.split("\n") if "Join [channelid" in x and "txrtaddr" in x or "Join [msg_name" in x and "BuildRight" in x]
+    assert len(joins) == 2 and all("BroadcastHashJoin" in x and "BuildRight" in x for x in joins) and "SortMergeJoin [channelid" not in plan
+
+
+def test_checked_vote(spark):
+    words = spark.createDataFrame([(0, 2048 * i, 0) for i in range(1, 3)] + [(1, 2048, 0), (2, 2048, 0), (3, 9, 9)], "channelid int, tx int, rx int")
+    keys = spark.createDataFrame([(i * 2048 * 65536, "A") for i in range(1, 3)], "key long, bus string")
+    tmats_ = spark.createDataFrame([(0, "BUS A"), (1, "other")], "channelid int, source string")
+    m = busmap.resolve_bus_map(words, keys, tmats_, check_tmats=True)
+    assert {tuple(r) for r in m.bus_map.collect()} == {(0, "A", "Vote Method & TMATS")}
+    assert {tuple(r) for r in m.excluded.collect()} == {(1, "TMATS Mismatch"), (2, "Missing From TMATS"), (3, "No Votes")}
+
+
+@pytest.mark.parametrize("block", [16, 4096])
+def test_carried_over_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(alignment, "BLOCK", block)
+    r = random.Random(block)
+    p = [(r.randrange(2), r.randrange(400), i) for i in range(200)]
+    f = [(r.randrange(2), x, x * 10) for x in r.sample(range(400), 12)]
+    for by in ([], ["g"]):
+        got = alignment.asof(spark.createDataFrame(p, "g int, at int, id int"), spark.createDataFrame(f, "g int, at int, v int").select(*by, "at", "v"), by=by, at="at", width=5)
+        want = {}
+        for g, at, i in p:
+            if fits := [(x, v) for k, x, v in f if x <= at and (not by or k == g)]:
+                want[i] = max(fits)[1]
+        assert {x.id: x.v for x in got.collect()} == want
+    rows = spark.createDataFrame([(g, at, i, i if i % 9 == 0 else None) for g, at, i in p] + [(0, None, 999, 5)], "g int, at int, id int, v int")
+    order = ["at", "id"]
+    a, b = (alignment.carry_forward(rows, "v", by=["g"], order=order, width=w).orderBy("id").collect() for w in (None, 5))
+    assert a == b
+
+
+def test_video_files(spark, tmp_path):
+    rows = spark.createDataFrame([(c, i, [c * 100 + i] * 4) for c in (1, 2) for i in range(50)], "channelid int, seq int, data array<int>").repartition(4)
+    flatten.write_video(rows, ["seq"], str(tmp_path))
+    for c in (1, 2):
+        names = sorted(os.listdir(tmp_path / f"channel={c}"))
+        stream = b"".join((tmp_path / f"channel={c}" / n).read_bytes() for n in names)
+        assert stream == b"".join(struct.pack(">H", c * 100 + i) * 4 for i in range(50))
 
 
 def test_parsed_tables(spark, tmp_path):
@@ -165,6 +251,9 @@ def test_parsed_tables(spark, tmp_path):
         tables.read_parsed(spark, f"{tmp_path}/t", "z long")
     with pytest.raises(TypeError):
         tables.read_parsed(spark, f"{tmp_path}/t", "a string")
+    spark.range(2).selectExpr("id AS m").write.parquet(f"{tmp_path}/t/rec_metadata.parquet")
+    spark.range(2).selectExpr("id AS m").write.parquet(f"{tmp_path}/t/x_TMATS.parquet")
+    assert tables.read_parsed(spark, f"{tmp_path}/t").columns == ["a", "b"] and tables.read_parsed(spark, f"{tmp_path}/t").count() == 3
     assert tables.same_schema(spark, [f"{tmp_path}/t", f"{tmp_path}/t"]) and not tables.same_schema(spark, [f"{tmp_path}/t", f"{tmp_path}/u"])
 
 
@@ -199,6 +288,7 @@ def test_recording(spark, tmp_path):
         whole = whole or got
         assert got == whole
     assert [(k, t, c, s) for _, k, t, c, s in whole] == [(1, 1, True, True), (0x19, 2, False, True), (0x38, 3, True, True), (0x68, 4, True, True), (0x40, 5, True, True), (0x19, 6, True, True)]
+    assert [r.rtc for r in spark.read.format("ch10").option("types", "1,56").load(f"file://{path}").collect()] == [1, 3]
     assert spark.read.format("ch10").option("chunk", 40).option("maxChunks", 1).load(str(path)).count() == 1
     df = df.cache()
     assert tmats.attributes(tmats.lines(tmats.read_tmats(df))).first().value == "rec"
@@ -241,10 +331,11 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
-@pytest.mark.parametrize("name", ["DEC3", "DEC13", "JN1", "JN4", "TRN1", "TRN6", "AGG8", "BUS1", "EXP2", "QLT1", "WIN2"])
+@pytest.mark.parametrize("name", ["DEC3", "DEC13", "JN1", "JN4", "TRN1", "TRN2", "TRN6", "AGG8", "BUS1", "EXP2", "QLT1", "WIN2", "WIN3", "SRC8", "SRC9", "SRC10", "SRC11", "LIM1", "QLT4", "SNK2", "SNK5", "SRC4", "SRC5", "QLT2_rules"])
 def test_queries(spark, name):
     import duckdb
 
+    import busframe.plans.files  # noqa: F401
     from busframe.plans.catalog import ORACLES, QUERIES
 
     con = duckdb.connect()
@@ -278,6 +369,7 @@ def test_whole_texts(spark, tmp_path, name):
 
 
 def test_every_query_has_sql():
+    import busframe.plans.files  # noqa: F401
     from busframe.plans.catalog import ORACLES, QUERIES
 
     assert set(QUERIES) == set(ORACLES)
