@@ -34,9 +34,21 @@ _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "for
 _BEFORE = r"(?:(?:site|page|main|top|left|right|bottom|global|user|reader|post|entry|article|blog|cookie|inline|google|text|sticky|mobile|js|the|primary|secondary)[-_]?)*"
 _NAMES = r"ads?|advert(?:s|isements?|ising|orial)?|adsense|banners?|sponsor(?:s|ed)?|promo(?:s|tions?|ted)?|side[-_]?bars?|comments?|comment[-_]?list|discussion|disqus|replies|responses|respond|cookies?|consent|gdpr|notices?|notifications?|alerts?|pop[-_]?ups?|modals?|overlay|newsletter|subscri(?:be|ption)|sign[-_]?up|log[-_]?in|menus?|nav|navbar|navigation|breadcrumbs?|toolbar|shar(?:e|ing)|social|related|recommend(?:ed|ations?)|widgets?|paginat(?:ion|or)|pager|skip[-_]?links?|footers?|masthead|topbar|copyright|disclaimer"
 _AFTER = r"(?:[-_]?(?:bar|box|block|list|section|area|container|wrapper|wrap|inner|menu|links?|widget|form|banner|notice|thread|content|unit|slot|item|text|message|posts?|buttons?|top|bottom|left|right|body|\d+))*"
+#: Words of a compound class that make it boilerplate wherever they stand; words at its start that make it say something about the layout.
+_PARTS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertisements", "advertising", "adsense", "adslot", "dfp", "sponsored", "promo", "cookie", "cookies", "gdpr", "consent", "popup", "modal", "newsletter", "comments", "disqus", "breadcrumb", "breadcrumbs", "navbar", "sidebar"}
+_LAYOUT = {"has", "with", "no", "without", "hide", "hides", "show", "is", "not", "page", "layout", "above", "below", "beside"}
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_FORM_END = re.compile(r"</form\b", re.I)
+_PAGE_PARTS = re.compile(r"<(?:article|main|nav|header|footer|h1)\b", re.I)
 _BOILERPLATE = re.compile(rf"{_BEFORE}(?:{_NAMES}){_AFTER}|(?:(?:site|page|main|top|global)[-_]?)?header(?:[-_]?(?:bar|wrap|wrapper|inner|top))*", re.I)
 
 
+def _compound(name: str) -> bool:
+    """Whether a class such as in-article-ad or cookiePolicyBox names boilerplate by one of its words."""
+    words = [w.lower() for w in _WORDS.findall(name)]
+    return bool(words) and words[0] not in _LAYOUT and not _PARTS.isdisjoint(words)
+
+
 def _dropped(name: str, attrs: str, in_article: bool) -> bool:
     if name in _DROP or name == "header" and not in_article:
         return True
@@ -45,7 +57,7 @@ def _dropped(name: str, attrs: str, in_article: bool) -> bool:
     for key, a, b, c in _ATTR.findall(attrs):
         key, value = key.lower(), a or b or c
         if key in ("class", "id"):
-            if any(_BOILERPLATE.fullmatch(x) for x in value.split()):
+            if any(_BOILERPLATE.fullmatch(x) or _compound(x) for x in value.split()):
                 return True
         elif key == "role" and value.lower() in _ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
@@ -76,7 +88,7 @@ def lines(page: str) -> list[tuple[str, int, tuple[int, ...], bool]]:
         end = m.start() if m else n
         if end > at:
             buf.append(page[at:end])
-            linked += (end - at) * in_link
+            linked += in_link and len(" ".join(html.unescape(page[at:end]).split()))
         if not m:
             break
         at = m.end()
@@ -111,7 +123,11 @@ def lines(page: str) -> list[tuple[str, int, tuple[int, ...], bool]]:
                 if name not in _VOID:
                     number += 1
                     inside = any(x in ("article", "main") for x, *_ in stack)
-                    stack.append((name, (number * 4 + {"article": 1, "main": 2, "body": 3}.get(name, 0)) if name in _HOLD else -1, _dropped(name, attrs, inside)))
+                    drop = _dropped(name, attrs, inside)
+                    if name == "form":  # a form around a page's parts is the page's, not a form to fill in
+                        close = _FORM_END.search(page, at)
+                        drop = drop and not _PAGE_PARTS.search(page, at, close.start() if close else n)
+                    stack.append((name, (number * 4 + {"article": 1, "main": 2, "body": 3}.get(name, 0)) if name in _HOLD else -1, drop))
     flush()
     return out
 

@@ -393,9 +393,9 @@ def clusters_to_links(scratch: Scratch, sets: DataFrame, part_bytes: int) -> Dat
         part = F.pmod(F.xxhash64("node", F.lit(salt)), F.coalesce("parts", F.lit(1))).cast("int")
         return rows.withColumns({"part": part, "root": F.col("node"), "asks": F.lit(True)})
 
-    if not split:
+    if not split:  # each cluster was settled whole: what it gave are the components
         found = settle(cut(sets.withColumn("parts", F.lit(1)), 0), "links-0")
-        return None if found.isEmpty() else connected_components(scratch, found, "roots")
+        return None if found.isEmpty() else scratch.write(found.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(found.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()), "roots")
     found = settle(cut(sets.join(large, "cluster", "left"), 0), "links-0").unionByName(settle(cut(sets.join(large, "cluster"), 1), "links-1"))
     roots = connected_components(scratch, found, "early")
     rows = sets.join(large, "cluster").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -69,6 +69,14 @@ def test_packing(docs, none):
         assert sum(x for x, _ in cuts(n, 2048)) == n and all(2048 / (k + 1) < x <= 2048 / k for x, k in cuts(n, 2048))
 
 
+def test_packing_clashing_columns(spark):
+    from busframe.llm.packing import pack
+
+    d = spark.createDataFrame([(1, "a b", "x", 5, b"y"), (1, "a b", None, 5, b"y"), (None, None, "z", None, None)], "doc_id long, text string, start string, length int, ids binary")
+    out = pack(d, tokenizer()).collect()
+    assert Counter((r.doc_id, r.doc_tokens) for r in out if r.start == 0) == {(1, 3): 2, (None, 1): 1} and sum(r.length for r in out) == 7
+
+
 def test_word_ids_match_tokenizer():
     from busframe.llm.packing import WordIds
 
@@ -122,6 +130,35 @@ def test_fingerprint_repeats(spark):
     assert min(wants[:8]) > 0.3 and max(wants[9:11]) < 0.1
 
 
+def test_fingerprint_long_text(spark):
+    """200,000 parts under ANSI arithmetic; half of them shared."""
+    from busframe.llm.fingerprint import PARTS, fingerprints
+
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    clauses = [f"clause {i}." for i in range(300_000)]
+    texts = {2: " ".join(clauses[:200_000]), 1: " ".join(clauses[100_000:]), 0: "x"}
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r.doc_id: r for r in fingerprints(d).collect()}
+    parts = d.select("doc_id", F.explode(F.filter(F.split("text", PARTS), lambda x: x != "")).alias("p")).groupBy("doc_id").agg(F.collect_list("p").alias("p")).collect()
+    parts = {r.doc_id: Counter(r.p) for r in parts}
+    want = {i: (parts[i] & parts[i - 1]).total() / (parts[i] | parts[i - 1]).total() for i in (1, 2)}
+    assert parts[2].total() >= 200_000 and abs(out[2].near_next - want[2]) < 0.15 and abs(out[1].near_next - want[1]) < 0.05 and 0.3 < out[2].near_edited < 0.9
+
+
+def test_fingerprint_edits(spark):
+    """Edited texts of all documents against a plain loop, over several ranges of ids."""
+    from busframe.llm.fingerprint import fingerprints
+
+    r = random.Random(8)
+    texts = {i: "".join(r.choice("ab é\n漢\U0001F600") for _ in range(r.choice([0, 1, 2, 3, 40, 200]))) for i in r.sample(range(-500, 500), 120)}
+    out = {x.doc_id: x for x in fingerprints(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(7)).collect()}
+    ids = sorted(texts, reverse=True)
+    for i, nxt in zip(ids, ids[1:] + ids[:1]):
+        n = len(texts[i])
+        assert out[i].n_chars == n and out[i].edited_text == texts[i][: n - n // 3] + texts[nxt][: n // 3]
+        assert out[i].near_edited == 1 or out[i].fingerprint != out[i].edited_fingerprint
+
+
 PAGE = """<!DOCTYPE html><html><head><title>Site</title><script>var x="</p><p>no";</script></head><body class="has-sidebar"><header>Site name</header><nav><ul><li><a href=/>Home</a><li><a href=/b>More</a></ul></nav>
 <div class="cookie-notice">We use cookies on this site, please accept all of them now.</div><div id="content"><h1>Title &amp; more</h1><div class="post-body"><p>First <b>para</b>graph with &eacute; and&nbsp;space,
 which is rather long so that it counts as text.<p>Second paragraph, also long enough to be taken as part of the main text, with a <a href="/x">link</a>.<br>After a break.</div></div><aside>Other things</aside>
@@ -137,6 +174,15 @@ def test_html():
     assert main_text("plain text") == "plain text"
     assert main_text("<nav>menu</nav><!-- x -->") == "" and main_text("<") == "<"
     assert main_text("<article><h1>Hi</h1><p>Short.</p></article><p>outside") == "Hi Short."
+    said = "Words of the article that are many enough to be told from what lies around them on the page."
+    for name in ("content-ad", "banner-ad", "video-ad", "in-article-ad", "ad-300x250", "fb-comments", "cookie-policy-popup", "cookiePolicyBox"):
+        assert main_text(f'<article><p>{said}</p><div class="{name}">Buy this thing now, it is cheap and good for everyone.</div><p>{said}</p></article>') == f"{said} {said}", name
+    for name in ("has-sidebar", "with-sidebar", "no-ads", "advice", "header-free", "promotion-theory", "commentary", "shadow"):
+        assert main_text(f'<body><div class="{name}"><p>{said}</p><p>{said}</p></div></body>') == f"{said} {said}", name
+    assert main_text(f'<body><form id="aspnet"><header>Site</header><div><h1>Title</h1><p>{said}</p></div><footer>end</footer></form></body>') == f"Title {said}"
+    plain = "This paragraph is long and mostly plain words, with a link at its end that has "
+    assert main_text(f"<body><div><p>{plain}<a href=x>{'&eacute;' * 12}</a></p><p>{said}</p></div></body>") == f"{plain}{'é' * 12} {said}"
+    assert len(main_text("<p>" + "word " * 400_000 + "</p>")) == 5 * 400_000 - 1
 
 
 def test_html_table(spark):
@@ -371,6 +417,15 @@ def test_chat(spark):
     assert format_replies(thread(rows.limit(0))).count() == 0
 
 
+def test_chat_clashing_columns(spark):
+    from busframe.llm.chat import format_replies, read_back, thread
+
+    long_text = "long </turn>\n### \\ " * 50_000
+    d = spark.createDataFrame([(1, 0, "user", long_text, "p", 1, "s"), (1, 1, "assistant", "ok", "p", 1, "s")], "conv_id long, turn long, role string, text string, path string, rank int, step string")
+    r = read_back(format_replies(thread(d))).first()
+    assert [tuple(x) for x in r.turns] == [("user", long_text), ("assistant", "ok")] and r.loss_text == "ok"
+
+
 def test_long_thread(spark):
     from busframe.llm.chat import format_replies, read_back, thread
 
