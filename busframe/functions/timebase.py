@@ -46,3 +46,8 @@ def absolute(rtc_count: Column, fix_rtc: Column, fix_time: Column) -> Column:
 def intra_packet(source: Column, form: Column, relative: Column, weighted: Column, ieee: Column, extended: Column) -> Column:
     """Time by source (0: relative counter; 1: secondary header) and the secondary header's format (0, 1, 2). Null otherwise."""
     return F.when(source == 0, relative).when((source == 1) & (form == 0), weighted).when((source == 1) & (form == 1), ieee).when((source == 1) & (form == 2), extended)
+
+
+def unit_time(own: Column, stamp: Column, packet: Column) -> Column:
+    """Time of a video unit: its own stamp's if it has one, else its packet's."""
+    return F.when(own, stamp).otherwise(packet)

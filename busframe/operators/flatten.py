@@ -179,6 +179,10 @@ def ethernet_headers(frames: DataFrame, frame: str = "frame") -> DataFrame:
     rows = frames.withColumns({"dstmac": mac(0), "srcmac": mac(6), "__type": _big(x, 12, 2)})
     llc = F.col("__type") <= 1500
     rows = rows.withColumns({"ethtype": F.when(~llc, F.col("__type")).cast("int"), "llcdsap": F.when(llc, _big(x, 14, 1)).cast("int"), "llcssap": F.when(llc, _big(x, 15, 1)).cast("int")})
+    # Control field: information frames have both sequence numbers, supervisory ones the received one, unnumbered none.
+    control = _big(x, 16, 1)
+    kind = F.when(control.bitwiseAND(F.lit(1)) == 0, 0).when(control.bitwiseAND(F.lit(3)) == 1, 1).otherwise(3)
+    rows = rows.withColumns({"llcfmt": F.when(llc, kind), "llcsndseqnum": F.when(llc, F.when(kind == 0, F.shiftright(control, 1)).otherwise(0)).cast("int"), "llcrcvseqnum": F.when(llc, F.when(kind < 3, F.shiftright(_big(x, 17, 1), 1)).otherwise(0)).cast("int")})
     ip = F.coalesce(F.col("ethtype") == 0x0800, F.lit(False))
     dotted = lambda at: F.when(ip, F.concat_ws(".", *[_big(x, at + i, 1).cast("string") for i in range(4)]))
     rows = rows.withColumns({"ipid": F.when(ip, _big(x, 18, 2)).cast("int"), "ipproto": F.when(ip, _big(x, 23, 1)).cast("int"), "ipoffset": F.when(ip, _big(x, 20, 2).bitwiseAND(F.lit(0x1FFF))).cast("int"), "srcip": dotted(26), "dstip": dotted(30), "__ihl": F.when(ip, _big(x, 14, 1).bitwiseAND(F.lit(15)) * 4).cast("int")})
@@ -186,5 +190,5 @@ def ethernet_headers(frames: DataFrame, frame: str = "frame") -> DataFrame:
     at = F.col("__ihl") + 14
     rows = rows.withColumns({"srcport": F.when(ported, _big(x, at, 2)).cast("int"), "dstport": F.when(ported, _big(x, at + 2, 2)).cast("int")})
     skip = F.when(F.col("ipproto") == 17, 8).when(F.col("ipproto") == 6, F.shiftright(_big(x, at + 12, 1), 4).cast("int") * 4)
-    start = F.when(ported, at + skip).when(ip, at).when(llc, F.lit(17)).otherwise(F.lit(14))
+    start = F.when(ported, at + skip).when(ip, at).when(llc, F.when(F.col("llcfmt") == 3, 17).otherwise(18)).otherwise(F.lit(14))
     return rows.withColumn("payload_sz", F.greatest(F.octet_length(x) - start, F.lit(0)).cast("long")).drop("__type", "__ihl")

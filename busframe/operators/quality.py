@@ -94,6 +94,18 @@ def compare_tables(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
     return out.withColumn("passed", F.col("in_both") & F.col("same_type") & (F.col("different") == 0))
 
 
+def profile_icd_lookup(icd_429: DataFrame, channels: DataFrame, excluded: DataFrame, votes: DataFrame) -> DataFrame:
+    """(kind, name, detail, n): 429 bus names that no recorded subchannel has, excluded channels with their reason, and votes of each channel by bus."""
+    names = icd_429.select(F.upper("bus").alias("name")).where("name <> ''").distinct()
+    missed = names.join(channels.select(F.upper("name").alias("name")).distinct(), "name", "left_anti")
+    parts = [
+        missed.select(F.lit("unmatched bus").alias("kind"), "name", F.lit("").alias("detail"), F.lit(0).cast("long").alias("n")),
+        excluded.select(F.lit("excluded channel").alias("kind"), F.col("channelid").cast("string").alias("name"), F.col("reason").alias("detail"), F.lit(0).cast("long").alias("n")),
+        votes.select(F.lit("votes").alias("kind"), F.col("channelid").cast("string").alias("name"), F.col("bus").alias("detail"), F.col("votes").cast("long").alias("n")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def repeated_keys(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
     """(side, key, n) of the keys that a table holds more than once."""
     return duplicates(a, key).withColumn("side", F.lit("a")).unionByName(duplicates(b, key).withColumn("side", F.lit("b")))

@@ -44,13 +44,27 @@ def match_1553(bus: DataFrame, lookup: DataFrame, ride_along: list[str] | None =
     return bus.select(*columns).join(dimension(lookup), KEYS_1553)
 
 
+def bus_channels(channels: DataFrame) -> DataFrame:
+    """(channelid, bus from 0, name in upper case) of recorded subchannels (channelid, subchannel from 1, name). A name that occurs twice is an error."""
+    named = channels.select("channelid", (F.col("subchannel") - 1).alias("bus"), F.upper("name").alias("name"))
+    if twice := named.where("name is not null").groupBy("name").count().where("count > 1").limit(10).collect():
+        raise ValueError(f"bus names of several subchannels: {', '.join(sorted(r['name'] for r in twice))}")
+    return named
+
+
+def versions(icd: DataFrame) -> DataFrame:
+    """(msg_name, elem_name, base, version) of multi-format elements, whose names are base@version. Each version is translated as an element of its own."""
+    rows = icd.where(F.contains("elem_name", F.lit("@")))
+    return rows.select("msg_name", "elem_name", F.substring_index("elem_name", "@", 1).alias("base"), F.substring_index("elem_name", "@", -1).cast("int").alias("version"))
+
+
 def lookup_429(icd: DataFrame, channels: DataFrame) -> DataFrame:
     """(channelid, bus, label, SDI, word_name) with sdi -1 spread over the SDIs that no exact entry takes.
 
     icd: word_name, label, bus (name), sdi. channels: channelid, subchannel (from 1), name. Words in the table count buses from 0.
     """
     words = icd.select("word_name", "label", F.upper("bus").alias("name"), "sdi").distinct()
-    words = words.join(channels.select("channelid", (F.col("subchannel") - 1).alias("bus"), F.upper("name").alias("name")), "name").drop("name")
+    words = words.join(bus_channels(channels), "name").drop("name")
     exact = words.where("sdi >= 0").withColumnRenamed("sdi", "SDI")
     wild = words.where("sdi = -1").drop("sdi").withColumn("SDI", F.explode(F.sequence(F.lit(0), F.lit(3))))
     wild = wild.join(exact, ["channelid", "bus", "label", "SDI"], "left_anti")

@@ -185,8 +185,10 @@ _split("PRJ11", f"WITH {fx.BUS1553}, l AS (SELECT data[1] * 65536 + data[2] AS x
 
 @query("PRJ12", f"WITH {fx.BUS1553} SELECT time, {_FLOAT.format('(data[1] >> 8)::DOUBLE')} AS \"u@01\", {_FLOAT.format('(data[1] >> 8)::DOUBLE * 2')} AS \"u@02\" FROM bus1553")
 def _prj12(spark, sf_dir):
-    versions = {"u@01": 128.0, "u@02": 256.0}
-    return fx.bus1553(spark, sf_dir).select("time", *[decode.decode("UNSIGNEDBITS", F.col("data"), 0, 1, 1, 8, v).cast("double").alias(k) for k, v in versions.items()])
+    """The versions of a document's multi-format element, each as a column."""
+    doc = spark.createDataFrame([("M", f"u@{i:02d}", 0, 1, "UNSIGNEDBITS", 1, 8, 128.0 * i) for i in (1, 2)] + [("M", "plain", 0, 1, "UNSIGNEDBITS", 1, 8, 1.0)], "msg_name string, elem_name string, offset int, elem_word_count int, schema string, bitmsb int, bitlsb int, msb_val double")
+    elements = doc.join(translate.versions(doc).select("msg_name", "elem_name"), ["msg_name", "elem_name"], "left_semi").orderBy("elem_name").collect()
+    return fx.bus1553(spark, sf_dir).select("time", *[translate.element_1553(e).cast("double").alias(e["elem_name"]) for e in elements])
 
 
 # --- joins and translation ------------------------------------------------------------------------------------------
@@ -219,7 +221,7 @@ def _jn2(spark, sf_dir):
 @query("JN3", f"WITH {_LOOKUP} SELECT b.channelid, b.time, l.msg_name FROM bus1553 b JOIN lookup l ON b.channelid = l.channelid WHERE b.txrtaddr = l.txrtaddr AND b.txsubaddr = l.txsubaddr")
 def _jn3(spark, sf_dir):
     lookup = translate.lookup_1553(fx.icd_1553(spark), fx.bus_map(spark)).select("channelid", "txrtaddr", "txsubaddr", "msg_name")
-    return fx.bus1553(spark, sf_dir).join(lookup, ["channelid", "txrtaddr", "txsubaddr"]).select("channelid", "time", "msg_name")
+    return fx.bus1553(spark, sf_dir).join(translate.dimension(lookup), ["channelid", "txrtaddr", "txsubaddr"]).select("channelid", "time", "msg_name")
 
 
 _LOOKUP429 = f"{fx.BUS429}, {fx.ICD429}, {fx.CHANNELS_SQL}, w AS (SELECT DISTINCT word_name, label, channelid, subchannel - 1 AS bus, sdi FROM icd429 JOIN channels ON upper(icd429.bus) = upper(name)), matched AS (SELECT b.*, w.word_name FROM bus429 b JOIN w ON w.channelid = b.channelid AND w.bus = b.bus AND w.label = b.label AND (w.sdi = b.SDI OR (w.sdi = -1 AND NOT EXISTS (SELECT 1 FROM w x WHERE x.channelid = b.channelid AND x.bus = b.bus AND x.label = b.label AND x.sdi = b.SDI))))"
@@ -232,8 +234,7 @@ def _jn4(spark, sf_dir):
 
 @query("JN5", f"WITH {fx.BUS429}, {fx.CHANNELS_SQL} SELECT packet, l_linenumber, upper(name) AS name FROM bus429 b JOIN channels c ON b.channelid = c.channelid AND b.bus + 1 = c.subchannel")
 def _jn5(spark, sf_dir):
-    names = fx.channels(spark).select("channelid", (F.col("subchannel") - 1).alias("bus"), F.upper("name").alias("name"))
-    return fx.bus429(spark, sf_dir).join(names, ["channelid", "bus"]).select("packet", "l_linenumber", "name")
+    return fx.bus429(spark, sf_dir).join(translate.dimension(translate.bus_channels(fx.channels(spark))), ["channelid", "bus"]).select("packet", "l_linenumber", "name")
 
 
 @query("TRN1", f"WITH {_LOOKUP} SELECT time, ({W[0]} >> 4)::DOUBLE AS alt, (({W[3]} >> 11) & 1) = 1 AS ok, ({W[4]} - CASE WHEN {W[4]} >= 32768 THEN 65536 ELSE 0 END)::DOUBLE * (64.0::DOUBLE / 16384) AS turn, {_FLOAT.format(f'({_FIELD2} - CASE WHEN {_FIELD2} >= 4194304 THEN 8388608 ELSE 0 END)::DOUBLE * (512.0::DOUBLE / 2097152)')} AS vel FROM matched WHERE msg_name = 'NAV'")
@@ -558,7 +559,7 @@ _timed("TIM4", "d * 655360000000 + l_orderkey % 65536 * 10000000 + ms * 1000", l
 _timed("TIM5", "l_orderkey * 1000000000 + ms", lambda: timebase.ieee_1588(_c("l_orderkey"), _c("ms")))
 _timed("TIM6", "ms * 4294967296 + l_orderkey", lambda: timebase.ertc(_c("ms"), _c("l_orderkey")))
 _timed("TIM7", "CASE WHEN s % 2 = 0 THEN l_orderkey * 100 WHEN h % 4 = 0 THEN d * 655360000000 + m * 10000000 + ms * 1000 WHEN h % 4 = 1 THEN l_orderkey * 1000000000 + ms WHEN h % 4 = 2 THEN ms * 4294967296 + l_orderkey ELSE -1 END", lambda: F.coalesce(timebase.intra_packet(_c("s") % 2, _c("h") % 4, timebase.rtc(_c("l_orderkey")), timebase.binary_weighted(_c("d"), _c("m"), _c("ms")), timebase.ieee_1588(_c("l_orderkey"), _c("ms")), timebase.ertc(_c("ms"), _c("l_orderkey"))), F.lit(-1)))
-_timed("TIM9", "CASE WHEN s % 2 = 0 THEN l_orderkey * 100 ELSE d * 1000 END", lambda: F.when(_c("s") % 2 == 0, timebase.rtc(_c("l_orderkey"))).otherwise(_c("d").cast("long") * 1000))
+_timed("TIM9", "CASE WHEN s % 2 = 0 THEN l_orderkey * 100 ELSE d * 1000 END", lambda: timebase.unit_time(_c("s") % 2 == 0, timebase.rtc(_c("l_orderkey")), _c("d").cast("long") * 1000))
 
 _GAP = "sum(gaptime) OVER (PARTITION BY packet ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice ROWS UNBOUNDED PRECEDING)"
 
@@ -679,6 +680,15 @@ def _qlt5(spark, sf_dir):
     return fx.bus429(spark, sf_dir).groupBy("channelid", "bus").agg(F.count("*").alias("words")).join(known, ["channelid", "bus"], "left_anti")
 
 
+@query("QLT5_profile", f"""WITH {_WINNERS}, {fx.ICD429}, {fx.CHANNELS_SQL}
+    SELECT DISTINCT 'unmatched bus' AS kind, upper(bus) AS name, '' AS detail, 0::BIGINT AS n FROM icd429 WHERE upper(bus) NOT IN (SELECT upper(name) FROM channels)
+    UNION ALL SELECT 'excluded channel', channelid::VARCHAR, reason, 0 FROM winners WHERE reason IS NOT NULL
+    UNION ALL SELECT 'votes', channelid::VARCHAR, bus, votes FROM votes""")
+def _qlt5_profile(spark, sf_dir):
+    m = busmap.resolve_bus_map(fx.commwords(spark, sf_dir), _keys(spark), fx.tmats(spark))
+    return quality.profile_icd_lookup(fx.icd_429(spark), fx.channels(spark), m.excluded, m.votes)
+
+
 @query("QLT6", f"WITH {fx.BUS429} SELECT time, channelid, bus, label, SDI AS \"SDI\", data, SSM AS \"SSM\", parity FROM bus429")
 def _qlt6(spark, sf_dir):
     rows = fx.bus429(spark, sf_dir)

@@ -37,13 +37,13 @@ COMMWORDS = BUS1553 + ", commwords AS (SELECT channelid, txrtaddr * 2048 + 1024
 
 def bus429(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey AS packet", *WORD_ORDER, "unix_micros(cast(l_shipdate as timestamp)) * 1000 AS time", "cast(l_suppkey % 2 as int) AS channelid", "cast(l_partkey % 4 as int) AS bus", "120 + l_linenumber % 3 AS label", "cast(l_partkey % 4 as int) AS SDI",
+        "l_orderkey AS packet", *WORD_ORDER, "unix_micros(cast(l_shipdate as timestamp)) * 1000 AS time", "cast(l_suppkey % 2 as int) AS channelid", "cast(l_partkey % 4 as int) AS bus", "120 + l_linenumber % 3 AS label", "cast(l_partkey div 4 % 4 as int) AS SDI",
         "cast((l_orderkey * 7919 + l_partkey * 104729) % 524288 as int) AS data", "cast(l_orderkey % 4 as int) AS SSM", "l_orderkey % 2 = 1 AS parity", "cast((l_partkey * 37) % 1000 as int) AS gaptime",
     )
 
 
 BUS429 = """bus429 AS (SELECT l_orderkey AS packet, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, epoch_us(l_shipdate) * 1000 AS time, (l_suppkey % 2)::INT AS channelid,
-    (l_partkey % 4)::INT AS bus, 120 + l_linenumber % 3 AS label, (l_partkey % 4)::INT AS SDI, ((l_orderkey * 7919 + l_partkey * 104729) % 524288)::BIGINT AS data, (l_orderkey % 4)::BIGINT AS SSM,
+    (l_partkey % 4)::INT AS bus, 120 + l_linenumber % 3 AS label, (l_partkey // 4 % 4)::INT AS SDI, ((l_orderkey * 7919 + l_partkey * 104729) % 524288)::BIGINT AS data, (l_orderkey % 4)::BIGINT AS SSM,
     l_orderkey % 2 = 1 AS parity, ((l_partkey * 37) % 1000)::BIGINT AS gaptime FROM lineitem)"""
 
 
@@ -101,7 +101,7 @@ def icd_429(spark: SparkSession) -> DataFrame:
 
 
 ICD429 = "icd429(word_name, label, bus, sdi) AS (VALUES " + ", ".join(f"('{r[0]}', {r[2]}, '{r[3]}', {r[4]})" for r in ICD429_ROWS) + ")"
-CHANNELS = [(0, 1, "ABC"), (0, 2, "DEF"), (1, 3, "ABC"), (1, 4, "GHI")]
+CHANNELS = [(0, 1, "ABC"), (0, 2, "DEF"), (1, 3, "JKL"), (1, 4, "GHI")]
 
 
 def channels(spark: SparkSession) -> DataFrame:

@@ -97,8 +97,7 @@ def parse_ethernet(packets: DataFrame) -> DataFrame:
     size = F.col("payload_sz").cast("int")
     data = F.expr("right(hex(frame), cast(payload_sz as int) * 2)")
     octets = F.when(size > 0, F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.conv(F.substring(data, i * 2 - 1, F.lit(2)), 16, 10).cast("int"))).otherwise(F.array().cast("array<int>"))
-    none = {c: F.lit(None) for c in ("llcfmt", "llcsndseqnum", "llcrcvseqnum")}
-    return _typed(f.withColumns({"time": _stamp(F.col("stamp")), "payload": text.padded(octets, MOST_PAYLOAD)} | none), ETHERNET)
+    return _typed(f.withColumns({"time": _stamp(F.col("stamp")), "payload": text.padded(octets, MOST_PAYLOAD)}), ETHERNET)
 
 
 def parse_video(packets: DataFrame) -> DataFrame:
@@ -107,7 +106,7 @@ def parse_video(packets: DataFrame) -> DataFrame:
     flags = {k: c for k, c in bits.video_flags(flatten.uint(F.col("body"), 0, 4)).items() if k not in ("BA", "IPH")}
     v = flatten.video_units(p.withColumns(flags))
     words = F.transform(F.sequence(F.lit(0), F.lit(VIDEO_WORDS - 1)), lambda i: flatten.uint(F.col("unit"), i * 2, 2).cast("int"))
-    time = F.when(F.col("IPH"), _stamp(F.col("stamp"))).otherwise(timebase.absolute(F.col("rtc"), F.col("fix_rtc"), F.col("fix_time")))
+    time = timebase.unit_time(F.col("IPH"), _stamp(F.col("stamp")), timebase.absolute(F.col("rtc"), F.col("fix_rtc"), F.col("fix_time")))
     return _typed(v.withColumns({"time": time, "data": words}), VIDEO + ", unit_idx int")
 
 
