@@ -15,6 +15,8 @@ def valid_fixes(fixes: DataFrame) -> DataFrame:
 
 #: Ranges that one task carries a fix over.
 BLOCK = 4096
+#: Fixes and ranges that are broadcast at most.
+MOST_FIXES = 200_000
 
 
 def _carried(known: DataFrame, by: list[str]) -> DataFrame:
@@ -34,17 +36,41 @@ def _carried(known: DataFrame, by: list[str]) -> DataFrame:
     return near.join(before, [*by, "__block"]).select(*by, "__range", F.greatest("__inside", "__outside").alias("__before"))
 
 
-def asof(packets: DataFrame, fixes: DataFrame, *, by: list[str], at: str, width: int) -> DataFrame:
+def _asof_few(packets: DataFrame, fixes: DataFrame, by: list[str], at: str, width: int, most: int) -> DataFrame | None:
+    """Packets with __use, their fix, by broadcasts of the fixes by range; None if there are over `most` fixes or ranges of them."""
+    spans = fixes.groupBy(*by).agg(F.count("*").alias("n"), F.min("__range").alias("a"), F.max("__range").alias("b"), F.max("__fix").alias("__latest"))
+    rows, ranges = spans.agg(F.sum("n"), F.sum(F.col("b") - F.col("a") + 1)).first()
+    if (rows or 0) > most or (ranges or 0) > most:
+        return None
+    listed = fixes.groupBy(*by, "__range").agg(F.array_sort(F.collect_list("__fix")).alias("__own"))
+    every = spans.select(*by, F.explode(F.sequence("a", "b")).alias("__range")).join(listed, [*by, "__range"], "left")
+    before = _carried(every.select(*by, "__range", F.element_at("__own", -1).alias("__last")), by)
+    every = every.join(before, [*by, "__range"])
+    # A group of its own stands for no columns.
+    keys, one = ([*by], {}) if by else (["__one"], {"__one": F.lit(1)})
+    packets = packets.withColumns({"__range": F.floor(F.col(at) / width)} | one)
+    packets = packets.join(F.broadcast(spans.withColumns(one).select(*keys, "__latest", F.col("b").alias("__top"))), keys).join(F.broadcast(every), [*by, "__range"], "left")
+    own = F.array_max(F.filter("__own", lambda x: x[at] <= F.col(at)))
+    return packets.withColumn("__use", F.when(F.col("__range") > F.col("__top"), F.col("__latest")).otherwise(F.coalesce(own, "__before"))).where("__use is not null")
+
+
+def asof(packets: DataFrame, fixes: DataFrame, *, by: list[str], at: str, width: int, most: int = MOST_FIXES) -> DataFrame:
     """Each packet with the latest fix at or before it, by equi joins only; packets before the first fix of their group go.
 
+    Up to `most` fixes, and ranges that they span, are broadcast, so packets stay where they are and are read once. Beyond
+    that both sides are dealt out.
+
     by: columns both sides share (may be empty); at: the order column of both; width: of the ranges of `at` that packets and
     fixes are dealt into. In its range a packet takes the last fix before it by a window over packets and fixes together;
     where there is none, the last fix of an earlier range, known per range from the fixes alone. So no task sees more than
-    one range, and fixes are never broadcast whole. Ranges are carried forward block by block, BLOCK of them at a time.
+    one range. Ranges are carried forward block by block, BLOCK of them at a time.
     """
     value = [c for c in fixes.columns if c not in (*by, at)]
     fix = F.struct(F.col(at), *value)
     fixes = fixes.withColumns({"__range": F.floor(F.col(at) / width), "__fix": fix}).select(*by, "__range", "__fix")
+    names = [c if c not in packets.columns else f"fix_{c}" for c in value]
+    if (few := _asof_few(packets, fixes, by, at, width, most)) is not None:
+        return few.select(*packets.columns, F.col(f"__use.{at}").alias(f"fix_{at}"), *[F.col(f"__use.{c}").alias(n) for c, n in zip(value, names, strict=True)])
     ranges = packets.select(*by, F.floor(F.col(at) / width).alias("__range")).distinct()
     last = fixes.groupBy(*by, "__range").agg(F.max("__fix").alias("__last"))
     known = ranges.withColumn("__last", F.lit(None).cast(last.schema["__last"].dataType)).unionByName(last).groupBy(*by, "__range").agg(F.max("__last").alias("__last"))
@@ -56,7 +82,7 @@ def asof(packets: DataFrame, fixes: DataFrame, *, by: list[str], at: str, width:
     so_far = Window.partitionBy(*by, "__range").orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("__near", F.last("__fix", ignorenulls=True).over(so_far)).where("__kind = 1")
     rows = rows.join(known, [*by, "__range"]).withColumn("__use", F.coalesce("__near", "__before")).where("__use is not null")
-    return rows.select("__row.*", F.col(f"__use.{at}").alias(f"fix_{at}"), *[F.col(f"__use.{c}").alias(c if c not in packets.columns else f"fix_{c}") for c in value])
+    return rows.select("__row.*", F.col(f"__use.{at}").alias(f"fix_{at}"), *[F.col(f"__use.{c}").alias(n) for c, n in zip(value, names, strict=True)])
 
 
 def carry_forward(rows: DataFrame, value: str, *, by: list[str], order: list[str], width: int | None = None) -> DataFrame:

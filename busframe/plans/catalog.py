@@ -12,6 +12,7 @@ from busframe.functions import bits, decode, text, timebase
 from busframe.operators import alignment, busmap, flatten, metadata, quality, translate
 from busframe.operators import tmats as attrs
 from busframe.plans import fixtures as fx
+from busframe.plans import parse
 from busframe.schemas import READ_1553, READ_429
 from busframe.sources.icd import bit_positions_429
 from busframe.sources.tables import read_parsed, require_columns
@@ -120,22 +121,34 @@ def _flt3(spark, sf_dir):
 _PREFIX = "max({bad}::INT) OVER (PARTITION BY packet ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice ROWS UNBOUNDED PRECEDING)"
 
 
-@query("FLT4", f"WITH {fx.BUS429}, m AS (SELECT *, {_PREFIX.format(bad='(gaptime % 80 > 72)')} AS bad FROM bus429) SELECT packet, l_linenumber, gaptime % 80 AS length FROM m WHERE bad = 0")
+@query("FLT4", """WITH p AS (SELECT o_orderkey AS packet FROM orders WHERE o_orderkey % 5 <> 0)
+    SELECT packet, 0 AS msg_idx, 4 AS length FROM p UNION ALL SELECT packet, 1, 4 FROM p WHERE packet % 3 <> 0""")
 def _flt4(spark, sf_dir):
-    rows = fx.bus429(spark, sf_dir).withColumn("length", F.col("gaptime") % 80)
-    return alignment.until_error(rows, F.col("length") > flatten.MOST_BYTES, by=["packet"], order=fx.WORD_ORDER).select("packet", "l_linenumber", "length")
+    """Every 5th packet announces 10,001 messages, in every 3rd the second message is of 80 bytes."""
+    message = lambda n: "00" * 12 + f"{n:02X}00" + "00" * n
+    body = F.concat(F.when(F.col("o_orderkey") % 5 == 0, "11270000").otherwise("02000000"), F.lit(message(4)), F.when(F.col("o_orderkey") % 3 == 0, message(80)).otherwise(message(4)))
+    packets = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.unhex(body).alias("body"))
+    return flatten.messages_1553(packets, "o_orderkey").select("packet", "msg_idx", "length")
 
 
-@query("FLT5", f"WITH {fx.BUS429}, m AS (SELECT *, {_PREFIX.format(bad='(gaptime > 900)')} AS bad FROM bus429) SELECT packet, l_linenumber, gaptime FROM m WHERE bad = 0")
+_BAD_WORD = "(l_partkey % 50 = 0 OR l_partkey % 70 = 0 OR gaptime * 2000 > 1000000)"
+
+
+@query("FLT5", f"WITH {fx.BUS429}, m AS (SELECT *, {_PREFIX.format(bad=_BAD_WORD)} AS bad FROM bus429) SELECT packet, l_linenumber, gaptime * 2000 AS gap FROM m WHERE bad = 0")
 def _flt5(spark, sf_dir):
-    return alignment.until_error(fx.bus429(spark, sf_dir), F.col("gaptime") > 900, by=["packet"], order=fx.WORD_ORDER).select("packet", "l_linenumber", "gaptime")
+    rows = fx.bus429(spark, sf_dir).withColumns({"PE": F.col("l_partkey") % 50 == 0, "FE": F.col("l_partkey") % 70 == 0, "gap": F.col("gaptime").cast("long") * 2000})
+    return parse.good_words(rows, by=["packet"], order=fx.WORD_ORDER).select("packet", "l_linenumber", "gap")
 
 
-@query("FLT6", f"WITH {fx.BUS429}, m AS (SELECT *, {_PREFIX.format(bad='(gaptime * 10 = 0 OR gaptime * 10 > 9000)')} AS bad FROM bus429) SELECT packet, l_linenumber, gaptime * 10 AS frame_length FROM m WHERE bad = 0")
+@query("FLT6", """WITH p AS (SELECT o_orderkey AS packet FROM orders WHERE o_orderkey % 5 <> 0)
+    SELECT packet, 0 AS frame_idx, 2 AS n FROM p UNION ALL SELECT packet, 1, 2 FROM p WHERE packet % 3 <> 0 AND packet % 7 <> 0""")
 def _flt6(spark, sf_dir):
-    rows = fx.bus429(spark, sf_dir).withColumn("frame_length", F.col("gaptime") * 10)
-    bad = (F.col("frame_length") == 0) | (F.col("frame_length") > flatten.MOST_FRAME)
-    return alignment.until_error(rows, bad, by=["packet"], order=fx.WORD_ORDER).select("packet", "l_linenumber", "frame_length")
+    """Every 5th packet announces 1,001 frames; in every 3rd the second frame is empty, in every 7th of 9,001 bytes."""
+    frame = lambda n, there: "00" * 8 + (n & 255).to_bytes(1, "big").hex() + (n >> 8).to_bytes(1, "big").hex() + "0000" + "00" * there
+    second = F.when(F.col("o_orderkey") % 3 == 0, frame(0, 0)).when(F.col("o_orderkey") % 7 == 0, frame(9001, 9001)).otherwise(frame(2, 2))
+    body = F.concat(F.when(F.col("o_orderkey") % 5 == 0, "E9030000").otherwise("02000000"), F.lit(frame(2, 2)), second)
+    packets = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.unhex(body).alias("body"))
+    return flatten.ethernet_frames(packets, "o_orderkey").select("packet", "frame_idx", F.octet_length("frame").alias("n"))
 
 
 @query("FLT7", """WITH p AS (SELECT l_orderkey, l_linenumber, l_orderkey % 2 = 1 AS stamped, (l_partkey * 3) % 3000 * CASE WHEN l_orderkey % 2 = 1 THEN 196 ELSE 188 END + l_suppkey % 3 * 2 + 2 AS data_size FROM lineitem)
@@ -315,6 +328,14 @@ def _agg12(spark, sf_dir):
     return translate.translated_names(_matched(spark, sf_dir))
 
 
+@query("AGG12_429", f"WITH {_LOOKUP429} SELECT channelid, bus, array_to_string(list_sort(list(DISTINCT label)), ',') AS v FROM matched GROUP BY channelid, bus")
+def _agg12_429(spark, sf_dir):
+    """Labels that are translated, by channel and bus."""
+    matched = translate.match_429(fx.bus429(spark, sf_dir), translate.lookup_429(fx.icd_429(spark), fx.channels(spark)))
+    rows = metadata.labels_by_bus(matched).select("channelid", F.explode("labels").alias("bus", "labels"))
+    return rows.select("channelid", "bus", F.array_join(F.transform("labels", lambda x: x.cast("string")), ",").alias("v"))
+
+
 # --- bus map --------------------------------------------------------------------------------------------------------
 
 _KEY = "(({tx} & 65504)::BIGINT * 65536 + ({rx} & 65504))"
@@ -480,6 +501,17 @@ def _jn6(spark, sf_dir):
     return attrs.map_attrs(_attrs(spark, sf_dir), r"R-x\TK1-n", r"R-x\DSI-n", ["x", "n"])
 
 
+@query("JN6_list", "SELECT (p_partkey % 16)::VARCHAR AS key, p_partkey::VARCHAR || ':' || p_name AS value FROM part")
+def _jn6_list(spark, sf_dir):
+    """Each key with its names by part number, a row for each entry."""
+    rows = _attrs(spark, sf_dir).select(F.when(F.col("code").rlike(r"TK1"), F.concat(F.lit("K-"), F.regexp_extract("code", r"R-(\d+)", 1))).when(F.col("code").rlike("DSI"), F.concat(F.lit("V-"), F.regexp_extract("code", r"R-(\d+)", 1))).alias("code"), "value").where("code is not null")
+    keyed = rows.where("code like 'K-%'").select(F.concat(F.lit("G-"), "value").alias("code"), "value").distinct()
+    parts = rows.where("code like 'K-%'").select(F.substring("code", 3, 20).alias("p"), F.col("value").alias("g")).join(rows.where("code like 'V-%'").select(F.substring("code", 3, 20).alias("p"), "value"), "p")
+    listed = keyed.unionByName(parts.select(F.concat(F.lit("G-"), "g", F.lit("\\N-"), "p").alias("code"), "value"))
+    found = attrs.map_attrs_list(listed, r"G-x", r"G-x\N-n", ["x"], ["n"])
+    return found.select("key", F.explode("by_index").alias("n", "name")).select("key", F.concat_ws(":", F.col("n").cast("string"), "name").alias("value"))
+
+
 @query("JN7", "SELECT p_partkey AS channelid, p_partkey % 16 AS subchannel, p_name AS name FROM part")
 def _jn7(spark, sf_dir):
     a = _attrs(spark, sf_dir)

@@ -80,12 +80,17 @@ def parse_1553(packets: DataFrame) -> DataFrame:
     return _typed(m, MILSTD1553)
 
 
+def good_words(words: DataFrame, *, by: list[str], order: list[str]) -> DataFrame:
+    """Words of a packet before its first one with a parity or format error or a gap over MOST_GAP."""
+    return alignment.until_error(words, F.col("PE") | F.col("FE") | (F.col("gap") > MOST_GAP), by=by, order=order)
+
+
 def parse_429(packets: DataFrame) -> DataFrame:
     """ARINC429 rows: words up to a packet's first bad one; a word's time is the packet's plus the gaps so far."""
     p = timed(packets, "429")
     keep = p.select("id", "channelid", "doy", "fix_rtc", "fix_time", "rtc", "body")
     w = flatten.parsed_429(flatten.words_429(keep))
-    w = alignment.until_error(w, F.col("PE") | F.col("FE") | (F.col("gap") > MOST_GAP), by=["id"], order=["idx"])
+    w = good_words(w, by=["id"], order=["idx"])
     time = timebase.absolute(F.col("rtc"), F.col("fix_rtc"), F.col("fix_time")) + alignment.running_sum(F.col("gap"), by=["id"], order=["idx"]) * 100
     return _typed(w.withColumns({"time": time, "gaptime": F.col("gap"), "parity": F.col("parity") == 1}), ARINC429)
 

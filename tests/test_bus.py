@@ -84,6 +84,8 @@ def test_asof(spark):
     out = {r.pos: r.fix_pos for r in alignment.asof(p, f, by=["file"], at="pos", width=100).collect()}
     assert out == {5: 5, 10: 5, 95: 90, 250: 90}
     assert out == {r.pos: r.fix_pos for r in alignment.asof(p, f, by=["file"], at="pos", width=3).collect()}
+    assert out == {r.pos: r.fix_pos for r in alignment.asof(p, f, by=["file"], at="pos", width=3, most=0).collect()}
+    assert alignment.asof(p, f.limit(0), by=["file"], at="pos", width=3).count() == 0
 
 
 def test_tmats(spark):
@@ -214,14 +216,14 @@ def test_checked_vote(spark):
     assert {tuple(r) for r in m.excluded.collect()} == {(1, "TMATS Mismatch"), (2, "Missing From TMATS"), (3, "No Votes")}
 
 
-@pytest.mark.parametrize("block", [16, 4096])
-def test_carried_over_blocks(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, most", [(16, 0), (4096, 0), (16, 10**6)])
+def test_carried_over_blocks(spark, monkeypatch, block, most):
     monkeypatch.setattr(alignment, "BLOCK", block)
     r = random.Random(block)
     p = [(r.randrange(2), r.randrange(400), i) for i in range(200)]
     f = [(r.randrange(2), x, x * 10) for x in r.sample(range(400), 12)]
     for by in ([], ["g"]):
-        got = alignment.asof(spark.createDataFrame(p, "g int, at int, id int"), spark.createDataFrame(f, "g int, at int, v int").select(*by, "at", "v"), by=by, at="at", width=5)
+        got = alignment.asof(spark.createDataFrame(p, "g int, at int, id int"), spark.createDataFrame(f, "g int, at int, v int").select(*by, "at", "v"), by=by, at="at", width=5, most=most)
         want = {}
         for g, at, i in p:
             if fits := [(x, v) for k, x, v in f if x <= at and (not by or k == g)]:
