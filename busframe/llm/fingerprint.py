@@ -108,7 +108,8 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     gives no rows; other columns are ignored.
 
     Documents are dealt once, by ranges of ids of about equal counts, and ordered within them; the first row of each range
-    is read apart and joined to the range before, so no task sees more than its range.
+    is read apart and joined to the range before, so no task sees more than its range. Rows that share an id, as null ids do,
+    are dealt by the hashes of their texts where they are many.
     """
     need(docs, id_col, text_col)
     spark = docs.sparkSession
@@ -124,9 +125,14 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         place = F.when(F.col("doc_id").isNull(), 1).otherwise(0)
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
     # The first row of each range, by its largest id.
-    tops = docs.select("doc_id").groupBy(place.alias("range")).agg(F.max("doc_id").alias("top")).collect()  # a row per range
-    if not tops:
-        tops = []
+    tops = docs.select("doc_id").groupBy(place.alias("range")).agg(F.max("doc_id").alias("top"), F.min("doc_id").alias("low"), F.count("*").alias("n")).collect()  # a row per range
+    even = sum(r["n"] for r in tops) // ranges + 1
+    if hot := {r["range"]: -(-r["n"] // even) for r in tops if r["top"] == r["low"] and r["n"] > 4 * even}:
+        # Ranges of one id, or of null ids, that hold many rows are cut by the texts' hashes, which order their rows.
+        share = F.xxhash64("text") / F.lit(2.0**64) + 0.5
+        parts = F.element_at(F.create_map(*[F.lit(x) for pair in hot.items() for x in pair]), place)
+        place = place * F.lit(1 << 16) + F.coalesce(F.least(F.floor(share * parts).cast("int"), parts - 1), F.lit(0))
+        tops = docs.groupBy(place.alias("range")).agg(F.max("doc_id").alias("top")).collect()
     tops.sort(key=lambda r: r["range"])
     is_top = F.col("doc_id").isin([r["top"] for r in tops if r["top"] is not None])
     if any(r["top"] is None for r in tops):
