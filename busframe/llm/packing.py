@@ -23,7 +23,7 @@ from busframe.llm.common import bound_batches, kept, lean, need
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, class int, ids binary"
 #: Distinct words that a worker remembers with their ids.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 600_000
 
 # Characters that normalisation leaves alone but for case; the apostrophe starts contractions and isn't among them.
 _ODD = re.compile(r"[^\t\n\r -&(-~À-ÖØ-öø-ÿ]")
