@@ -86,7 +86,25 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_multiset_fingerprint, op3_line_block_text, op4_threshold_topk, op5_budget_mix, op6_kneser_ney_quality, op7_language_id, op8_ngram_jaccard, op9_reply_tree_chat, op10_suffix_array_dedup)} | {"pipeline": run}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from busframe.llm.trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from busframe.llm.hamming import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op13_polarised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from busframe.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"), 4).withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
+QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_multiset_fingerprint, op3_line_block_text, op4_threshold_topk, op5_budget_mix, op6_kneser_ney_quality, op7_language_id, op8_ngram_jaccard, op9_reply_tree_chat, op10_suffix_array_dedup, op11_prefix_trie, op12_multi_index_hashing, op13_polarised_whitening)} | {"pipeline": run}
 #: Null texts and roles count as empty, as in the operator; an escaped character is one code point longer.
 ORACLES: dict[str, str] = {
     "op4_threshold_topk": """
@@ -144,6 +162,29 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
             sha256(unhex(CASE WHEN n IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
         FROM d LEFT JOIN cut USING (r)""",
+    "op11_prefix_trie": """
+        WITH rule AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step),
+        said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        named AS (SELECT *, sha256(length(role) || ':' || role || text) AS name FROM said),
+        own AS (SELECT conv_id, list({'name': name, 'size': length(text)} ORDER BY turn NULLS FIRST, role, name) AS t FROM named GROUP BY conv_id),
+        numbered AS (
+            SELECT conv_id, t, (xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+                lambda c, x: xor(c >> 8, step[xor(c & 255, x) + 1])), 4294967295) % 6)::BIGINT AS h FROM own, rule),
+        again AS (SELECT a.conv_id, list_concat(coalesce(b.t, [])[:a.h], a.t[a.h + 1:]) AS t FROM numbered a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+        places AS (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS depth FROM again),
+        members AS (
+            SELECT conv_id, depth, depth = len(t) AS ends, sha256(array_to_string(list_transform(t[:depth], lambda x: x.name), ',')) AS name,
+                CASE WHEN depth > 0 THEN sha256(array_to_string(list_transform(t[:depth - 1], lambda x: x.name), ',')) END AS parent, CASE WHEN depth > 0 THEN t[depth].size ELSE 0 END AS size FROM places),
+        nodes AS (
+            SELECT depth, name, parent, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM members GROUP BY depth, name, parent),
+        below AS (SELECT depth - 1 AS depth, parent AS name, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY depth, parent),
+        whole AS (SELECT n.*, coalesce(b.n, 0) AS n_children FROM nodes n LEFT JOIN below b ON b.depth = n.depth AND b.name = n.name),
+        up AS (
+            SELECT m.depth, m.name, sum(w.saved) AS saved_tokens, count(*) FILTER (w.n_children = 0) AS n_leaves
+            FROM whole w JOIN members m ON m.conv_id = w.conv_id AND m.depth <= w.depth GROUP BY m.depth, m.name)
+        SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, u.n_leaves, u.saved_tokens::BIGINT AS saved_tokens, w.ends_sha256
+        FROM whole w JOIN up u ON u.depth = w.depth AND u.name = w.name LEFT JOIN nodes p ON p.depth = w.depth - 1 AND p.name = w.parent""",
 }
 if ORACLE_SQL:
     ORACLES["pipeline"] = ORACLE_SQL
