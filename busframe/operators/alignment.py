@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from busframe.functions.timebase import absolute
 
@@ -15,7 +18,7 @@ def valid_fixes(fixes: DataFrame) -> DataFrame:
 
 #: Ranges that one task carries a fix over.
 BLOCK = 4096
-#: Fixes and ranges that are broadcast at most.
+#: Fixes that are broadcast at most.
 MOST_FIXES = 200_000
 
 
@@ -36,32 +39,48 @@ def _carried(known: DataFrame, by: list[str]) -> DataFrame:
     return near.join(before, [*by, "__block"]).select(*by, "__range", F.greatest("__inside", "__outside").alias("__before"))
 
 
-def _asof_few(packets: DataFrame, fixes: DataFrame, by: list[str], at: str, width: int, most: int) -> DataFrame | None:
-    """Packets with __use, their fix, by broadcasts of the fixes by range; None if there are over `most` fixes or ranges of them."""
-    spans = fixes.groupBy(*by).agg(F.count("*").alias("n"), F.min("__range").alias("a"), F.max("__range").alias("b"), F.max("__fix").alias("__latest"))
-    rows, ranges = spans.agg(F.sum("n"), F.sum(F.col("b") - F.col("a") + 1)).first()
-    if (rows or 0) > most or (ranges or 0) > most:
+def _asof_few(packets: DataFrame, fixes: DataFrame, by: list[str], at: str, most: int) -> DataFrame | None:
+    """Packets with __use, their fix; None if there are over `most` fixes.
+
+    The fixes' keys, sorted by group, are searched by halving in a vectorised function that sees nothing of a packet but by and
+    at; the fix itself comes by its number from a broadcast table.
+    """
+    fixes = fixes.groupBy(*by, at).agg(F.max("__fix").alias("__fix"))
+    rows = fixes.limit(most + 1).collect()
+    if len(rows) > most:
         return None
-    listed = fixes.groupBy(*by, "__range").agg(F.array_sort(F.collect_list("__fix")).alias("__own"))
-    every = spans.select(*by, F.explode(F.sequence("a", "b")).alias("__range")).join(listed, [*by, "__range"], "left")
-    before = _carried(every.select(*by, "__range", F.element_at("__own", -1).alias("__last")), by)
-    every = every.join(before, [*by, "__range"])
-    # A group of its own stands for no columns.
-    keys, one = ([*by], {}) if by else (["__one"], {"__one": F.lit(1)})
-    packets = packets.withColumns({"__range": F.floor(F.col(at) / width)} | one)
-    packets = packets.join(F.broadcast(spans.withColumns(one).select(*keys, "__latest", F.col("b").alias("__top"))), keys).join(F.broadcast(every), [*by, "__range"], "left")
-    own = F.array_max(F.filter("__own", lambda x: x[at] <= F.col(at)))
-    return packets.withColumn("__use", F.when(F.col("__range") > F.col("__top"), F.col("__latest")).otherwise(F.coalesce(own, "__before"))).where("__use is not null")
+    spark = packets.sparkSession
+    rows = sorted(rows, key=lambda r: (tuple((r[c] is None, r[c]) for c in by), r[at]))
+    places: dict[tuple, tuple[int, list]] = {}
+    for i, r in enumerate(rows):
+        places.setdefault(tuple(r[c] for c in by), (i, []))[1].append(r[at])
+    known = spark.sparkContext.broadcast({k: (i, np.array(v)) for k, (i, v) in places.items()})
+
+    @F.pandas_udf("long")
+    def latest(*columns: pd.Series) -> pd.Series:
+        place, keys = columns[0], columns[1:]
+        out = np.full(len(place), -1, "int64")
+        groups = [((), np.arange(len(place)))] if not keys else pd.DataFrame(dict(enumerate(keys))).groupby(list(range(len(keys))), dropna=False).indices.items()
+        for key, at_rows in groups:
+            key = tuple(None if pd.isna(k) else k for k in (key if isinstance(key, tuple) else (key,)))
+            if key in known.value:
+                first, own = known.value[key]
+                n = np.searchsorted(own, place.to_numpy()[at_rows], side="right")
+                out[at_rows] = np.where((n > 0) & place.notna().to_numpy()[at_rows], first + n - 1, -1)
+        return pd.Series(out)
+
+    numbered = spark.createDataFrame([(i, r["__fix"]) for i, r in enumerate(rows)], T.StructType([T.StructField("__number", T.LongType()), T.StructField("__use", fixes.schema["__fix"].dataType)]))
+    return packets.withColumn("__number", latest(F.col(at), *by)).join(F.broadcast(numbered), "__number").drop("__number")
 
 
 def asof(packets: DataFrame, fixes: DataFrame, *, by: list[str], at: str, width: int, most: int = MOST_FIXES) -> DataFrame:
     """Each packet with the latest fix at or before it, by equi joins only; packets before the first fix of their group go.
 
-    Up to `most` fixes, and ranges that they span, are broadcast, so packets stay where they are and are read once. Beyond
-    that both sides are dealt out.
+    Up to `most` fixes are broadcast, so packets stay where they are and are read once. Beyond that both sides are dealt out,
+    whole rows; packets of read_recording() need no join at all.
 
-    by: columns both sides share (may be empty); at: the order column of both; width: of the ranges of `at` that packets and
-    fixes are dealt into. In its range a packet takes the last fix before it by a window over packets and fixes together;
+    by: columns both sides share (may be empty); at: the order column of both (rows without it go); width: of the ranges of `at` that
+    packets and fixes are dealt into. In its range a packet takes the last fix before it by a window over packets and fixes together;
     where there is none, the last fix of an earlier range, known per range from the fixes alone. So no task sees more than
     one range. Ranges are carried forward block by block, BLOCK of them at a time.
     """
@@ -69,7 +88,7 @@ def asof(packets: DataFrame, fixes: DataFrame, *, by: list[str], at: str, width:
     fix = F.struct(F.col(at), *value)
     fixes = fixes.withColumns({"__range": F.floor(F.col(at) / width), "__fix": fix}).select(*by, "__range", "__fix")
     names = [c if c not in packets.columns else f"fix_{c}" for c in value]
-    if (few := _asof_few(packets, fixes, by, at, width, most)) is not None:
+    if (few := _asof_few(packets, fixes.withColumn(at, F.col(f"__fix.{at}")), by, at, most)) is not None:
         return few.select(*packets.columns, F.col(f"__use.{at}").alias(f"fix_{at}"), *[F.col(f"__use.{c}").alias(n) for c, n in zip(value, names, strict=True)])
     ranges = packets.select(*by, F.floor(F.col(at) / width).alias("__range")).distinct()
     last = fixes.groupBy(*by, "__range").agg(F.max("__fix").alias("__last"))

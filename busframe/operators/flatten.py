@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -113,57 +113,66 @@ def write_video(video: DataFrame, order: list[str], path: str) -> None:
     rows.select(F.col("channelid").cast("long"), "chunk").mapInArrow(write, "channelid long, bytes long").agg(F.sum("bytes")).collect()
 
 
-_1553 = "packet long, msg_idx int, time binary, block_status int, gaps int, length int, words array<int>"
+def _walked(packets: DataFrame, packet_id: str, body: str, keep: tuple[str, ...], own: str, walk: Callable[[bytes], Iterator[tuple]]) -> DataFrame:
+    """(packet, kept columns, columns `own`) of what walk() finds in each body. A packet's columns are repeated by its rows' places, so nothing is joined."""
+    kept = packets.select(F.col(packet_id).cast("long").alias("packet"), *keep)
+    types = [k for _, k in (x.split(" ", 1) for x in own.split(", "))]
+    names = [*kept.columns, *[x.split(" ", 1)[0] for x in own.split(", ")]]
+    arrow = {"int": pa.int32(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, rows = [], []
+            for i, x in enumerate(b.column(b.num_columns - 1)):
+                for row in walk(x.as_py() or b""):
+                    at.append(i)
+                    rows.append(row)
+            if rows:
+                place = pa.array(at, pa.int32())
+                yield pa.RecordBatch.from_arrays([*[c.take(place) for c in b.columns[:-1]], *[pa.array(c, arrow[k]) for c, k in zip(zip(*rows, strict=True), types, strict=True)]], names=names)
 
-def messages_1553(packets: DataFrame, packet_id: str, body: str = "body") -> DataFrame:
-    """Messages of 1553 packets: (packet, msg_idx, time stamp bytes, block_status, gaps, length in bytes, words).
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema], own])
+    return packets.select(F.col(packet_id).cast("long").alias("packet"), *keep, F.col(body).alias("__body")).mapInArrow(run, schema)
 
-    A packet that announces over MOST_MESSAGES messages is dropped; one ends before a message over MOST_BYTES.
-    """
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for packet, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                count, at = struct.unpack_from("<I", x)[0] & 0xFFFFFF if len(x) >= 4 else 0, 4
-                for i in range(count if count <= MOST_MESSAGES else 0):
-                    if at + 14 > len(x):
-                        break
-                    status, gaps, length = struct.unpack_from("<3H", x, at + 8)
-                    if length > MOST_BYTES or at + 14 + length > len(x):
-                        break
-                    rows.append((packet, i, x[at : at + 8], status, gaps, length, list(struct.unpack_from(f"<{length // 2}H", x, at + 14))))
-                    at += 14 + length
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32())), strict=True)], names=[f.split()[0] for f in _1553.split(", ")])
+def messages_1553(packets: DataFrame, packet_id: str, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Messages of 1553 packets: (packet, columns `keep` of it, msg_idx, time stamp bytes, block_status, gaps, length in bytes, words).
 
-    return packets.select(F.col(packet_id).cast("long"), body).mapInArrow(walk, _1553)
+    A packet that announces over MOST_MESSAGES messages is dropped; one ends before a message over MOST_BYTES.
+    """
 
+    def walk(x: bytes) -> Iterator[tuple]:
+        count, at = struct.unpack_from("<I", x)[0] & 0xFFFFFF if len(x) >= 4 else 0, 4
+        for i in range(count if count <= MOST_MESSAGES else 0):
+            if at + 14 > len(x):
+                break
+            status, gaps, length = struct.unpack_from("<3H", x, at + 8)
+            if length > MOST_BYTES or at + 14 + length > len(x):
+                break
+            yield i, x[at : at + 8], status, gaps, length, list(struct.unpack_from(f"<{length // 2}H", x, at + 14))
+            at += 14 + length
 
-_FRAMES = "packet long, frame_idx int, time binary, frame binary"
+    return _walked(packets, packet_id, body, keep, "msg_idx int, time binary, block_status int, gaps int, length int, words array<int>", walk)
 
 
-def ethernet_frames(packets: DataFrame, packet_id: str, body: str = "body") -> DataFrame:
-    """Frames of ethernet packets. A packet with over MOST_FRAMES is dropped; one ends before a frame of 0 or over MOST_FRAME bytes."""
+def ethernet_frames(packets: DataFrame, packet_id: str, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Frames of ethernet packets: (packet, columns `keep` of it, frame_idx, time stamp bytes, frame).
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for packet, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                count, at = struct.unpack_from("<I", x)[0] & 0xFFFF if len(x) >= 4 else 0, 4
-                for i in range(count if count <= MOST_FRAMES else 0):
-                    if at + 12 > len(x):
-                        break
-                    n = struct.unpack_from("<I", x, at + 8)[0] & 0x3FFF
-                    if not 0 < n <= MOST_FRAME or at + 12 + n > len(x):
-                        break
-                    rows.append((packet, i, x[at : at + 8], x[at + 12 : at + 12 + n]))
-                    at += 12 + n
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=[f.split()[0] for f in _FRAMES.split(", ")])
+    A packet with over MOST_FRAMES is dropped; one ends before a frame of 0 or over MOST_FRAME bytes.
+    """
 
-    return packets.select(F.col(packet_id).cast("long"), body).mapInArrow(walk, _FRAMES)
+    def walk(x: bytes) -> Iterator[tuple]:
+        count, at = struct.unpack_from("<I", x)[0] & 0xFFFF if len(x) >= 4 else 0, 4
+        for i in range(count if count <= MOST_FRAMES else 0):
+            if at + 12 > len(x):
+                break
+            n = struct.unpack_from("<I", x, at + 8)[0] & 0x3FFF
+            if not 0 < n <= MOST_FRAME or at + 12 + n > len(x):
+                break
+            yield i, x[at : at + 8], x[at + 12 : at + 12 + n]
+            at += 12 + n
+
+    return _walked(packets, packet_id, body, keep, "frame_idx int, time binary, frame binary", walk)
 
 
 def _big(frame: Column, at: Column | int, n: int) -> Column:

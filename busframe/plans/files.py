@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from busframe.functions import timebase
 from busframe.operators import flatten, metadata, quality, translate
 from busframe.operators import tmats as attrs
 from busframe.plans import fixtures as fx
@@ -35,11 +36,19 @@ def encode(kind: int, body: bytes, rtc: int = 0, channel: int = 1, flags: int =
     return head + struct.pack("<H", sum(struct.unpack("<11H", head)) & 0xFFFF) + secondary + body
 
 
-def write_recordings(spark: SparkSession, sf_dir: str, label: str, changed: int = 0) -> str:
+def _clock(n: int) -> bytes:
+    """A clock packet's body: n seconds after the year 2020 began, 28 days at most; of no known source if n is divisible by 350."""
+    day, rest = divmod(n % 2_419_200, 86_400)
+    digits = lambda x: x // 10 << 4 | x % 10
+    return struct.pack("<I4H", 0x200 | (15 if n % 350 == 0 else 0), digits(rest % 60) << 8, digits(rest // 3600) << 8 | digits(rest // 60 % 60), 1 << 8 | digits(day + 1), 0x2020)
+
+
+def write_recordings(spark: SparkSession, sf_dir: str, label: str, changed: int = 0, nested: bool = False) -> str:
     """The folder of recordings made of events, EVENTS of them to a file, written by Spark tasks. The rtc is the event's number.
 
     Each starts with an attribute packet. Every 11th event's body checksum is wrong, every 3rd has a secondary header with
     seven times its number as time, every 21st has a wrong one. changed: in recordings with an odd number, the channels are higher by it.
+    nested: a body also holds two whole packets, and every 50th event is a clock packet.
     """
     folder = shared_folder(spark, label)
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", F.floor(F.col("event_id") / EVENTS).alias("file"))
@@ -54,7 +63,10 @@ def write_recordings(spark: SparkSession, sf_dir: str, label: str, changed: int
                 second = struct.pack("<QH", 7 * n, 0)
                 second += struct.pack("<H", (sum(struct.unpack("<5H", second)) + (n % 21 == 0)) & 0xFFFF)
                 flags |= 0x80
-            made = encode(_CODES.get(e.event_type, 0x68), struct.pack("<III", 1, n & 0xFFFFF, n), n, int(e.user_id) % 4 + (changed if number % 2 else 0), flags, second, n % 256)
+            kind, body = _CODES.get(e.event_type, 0x68), struct.pack("<III", 1, n & 0xFFFFF, n)
+            if nested:
+                kind, body = (packets.CLOCK, _clock(n)) if n % 50 == 0 else (kind, body + encode(0x38, body, channel=9) + encode(packets.CLOCK, _clock(1), channel=9))
+            made = encode(kind, body, n, int(e.user_id) % 4 + (changed if number % 2 else 0), flags, second, n % 256)
             out.append(made[:-1] + bytes([made[-1] ^ 1]) if n % 11 == 0 else made)
         system, path = packets.located(f"{folder}/{number:08d}.ch10")
         system.create_dir(path.rpartition("/")[0], recursive=True)
@@ -79,6 +91,33 @@ def _src8(spark, sf_dir):
     return _recorded(spark, sf_dir, "src8", chunk=30_000).where("data_type <> 1").select("rtc", "channelid", "data_type", "data_size", "seq_num", "checksum_ok", "sec_ok")
 
 
+_NESTED_KIND = f"CASE WHEN event_id % 50 = 0 THEN 17 ELSE {_KIND} END"
+
+
+def _nested(spark: SparkSession, sf_dir: str, label: str, chunk: int) -> DataFrame:
+    return packets.read_recording(spark, write_recordings(spark, sf_dir, label, nested=True), chunk)
+
+
+@query("SRC8_nested", f"SELECT event_id AS rtc, user_id % 4 AS channelid, {_NESTED_KIND} AS data_type, CASE WHEN event_id % 50 = 0 THEN 12 ELSE 84 END AS data_size, event_id % 11 <> 0 AS checksum_ok FROM events")
+def _src8_nested(spark, sf_dir):
+    """Bodies hold packets, most ranges begin within a body."""
+    return _nested(spark, sf_dir, "src8", 4001).where("data_type <> 1").select("rtc", "channelid", "data_type", "data_size", "checksum_ok")
+
+
+@query("SRC8_pushed", f"SELECT event_id AS rtc, user_id % 4 AS channelid, {_NESTED_KIND} AS data_type FROM events WHERE {_NESTED_KIND} IN (17, 56) AND user_id % 4 = 2")
+def _src8_pushed(spark, sf_dir):
+    """The reader takes the conditions over and skips what they leave out."""
+    return _nested(spark, sf_dir, "src8", 30_000).where("data_type IN (17, 56) AND channelid = 2").select("rtc", "channelid", "data_type")
+
+
+@query("JN1_recording", f"""WITH p AS (SELECT event_id, event_id // {EVENTS} AS file, {_NESTED_KIND} AS data_type FROM events), f AS (SELECT event_id, file FROM p WHERE event_id % 50 = 0 AND event_id % 350 <> 0 AND event_id % 11 <> 0 AND event_id % 21 <> 0)
+    SELECT p.event_id AS rtc, f.event_id AS fix_rtc, (1577836800 + f.event_id % 2419200) * 1000000000 + (p.event_id - f.event_id) * 100 AS abs_time FROM p ASOF JOIN f ON p.file = f.file AND p.event_id >= f.event_id WHERE data_type <> 17""")
+def _jn1_recording(spark, sf_dir):
+    """The reader carries the fix from range to range."""
+    rows = _nested(spark, sf_dir, "jn1", 20_000).where("data_type NOT IN (1, 17) AND fix_time IS NOT NULL")
+    return rows.select("rtc", "fix_rtc", timebase.absolute(F.col("rtc"), F.col("fix_rtc"), F.col("fix_time")).alias("abs_time"))
+
+
 @query("SRC9", "SELECT event_id AS rtc FROM events WHERE event_id % 11 <> 0 AND event_id % 21 <> 0")
 def _src9(spark, sf_dir):
     return flatten.sound(_recorded(spark, sf_dir, "src9").where("data_type <> 1")).select("rtc")
@@ -92,7 +131,7 @@ def _src10(spark, sf_dir):
 
 @query("SRC11", f"SELECT DISTINCT 'R-1\\ID' AS code, 'rec' || printf('%08d', event_id // {EVENTS}) AS value FROM events")
 def _src11(spark, sf_dir):
-    return attrs.attributes(attrs.lines(attrs.read_tmats(_recorded(spark, sf_dir, "src11", types="1")))).select("code", "value")
+    return attrs.attributes(attrs.lines(attrs.read_tmats(packets.read_recording(spark, write_recordings(spark, sf_dir, "src11"), 30_000)))).select("code", "value")
 
 
 @query("LIM1", f"WITH s AS (SELECT event_id, 48 + coalesce(sum(40 + CASE WHEN event_id % 3 = 0 THEN 12 ELSE 0 END) OVER (PARTITION BY event_id // {EVENTS} ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM events) SELECT event_id AS rtc, place::BIGINT AS \"offset\" FROM s WHERE place < {FIRST}")

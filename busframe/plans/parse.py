@@ -41,10 +41,18 @@ def time_fixes(packets: DataFrame) -> DataFrame:
 
 
 def timed(packets: DataFrame, kind: str) -> DataFrame:
-    """Sound packets of a kind with the fix that holds for them (fix_rtc, fix_time, doy) and a packet number `id`."""
-    fixes = alignment.valid_fixes(time_fixes(packets)).select("file", "offset", F.col("rtc").alias("fix_rtc"), F.col("time").alias("fix_time"), (~F.col("date_fmt")).alias("doy"))
+    """Sound packets of a kind with the fix that holds for them (fix_rtc, fix_time, doy), and a packet number `id`.
+
+    Packets of read_recording() have it from the reader, so that they are read once and not shuffled; others are joined with
+    the fixes among them.
+    """
     rows = flatten.conclusive_time(flatten.sound(packets)).where(F.col("data_type") == flatten.TYPES[kind])
-    return alignment.asof(rows, fixes, by=["file"], at="offset", width=RANGE).withColumn("id", F.xxhash64("file", "offset"))
+    if "fix_time" in packets.columns:
+        rows = rows.where("fix_time is not null")
+    else:
+        fixes = alignment.valid_fixes(time_fixes(flatten.sound(packets))).select("file", "offset", F.col("rtc").alias("fix_rtc"), F.col("time").alias("fix_time"), (~F.col("date_fmt")).alias("doy"))
+        rows = alignment.asof(rows, fixes, by=["file"], at="offset", width=RANGE)
+    return rows.withColumn("id", F.xxhash64("file", "offset"))
 
 
 def _stamp(raw: Column) -> Column:
@@ -52,14 +60,17 @@ def _stamp(raw: Column) -> Column:
     return timebase.absolute(flatten.uint(raw, 0, 6), F.col("fix_rtc"), F.col("fix_time"))
 
 
-def _packet_columns(packets: DataFrame) -> DataFrame:
-    return packets.select("id", "file", "offset", "channelid", "doy", "fix_rtc", "fix_time", "rtc", flatten.uint(F.col("body"), 0, 4).alias("head"))
+#: What a message or frame needs of its packet.
+_OF_PACKET = ("channelid", "doy", "fix_rtc", "fix_time", "rtc", "head")
+
+
+def _with_head(packets: DataFrame) -> DataFrame:
+    return packets.withColumn("head", flatten.uint(F.col("body"), 0, 4))
 
 
 def parse_1553(packets: DataFrame) -> DataFrame:
     """MILSTD1553 rows of a recording's packets."""
-    p = timed(packets, "1553")
-    m = flatten.messages_1553(p, "id").withColumnRenamed("time", "stamp").withColumnRenamed("packet", "id").join(_packet_columns(p), "id")
+    m = flatten.messages_1553(_with_head(timed(packets, "1553")), "id", keep=_OF_PACKET).withColumnRenamed("time", "stamp")
     m = m.withColumns(bits.header_1553(F.col("block_status"), F.col("gaps")))
     word = lambda i: F.coalesce(F.get("words", i if isinstance(i, Column) else F.lit(i)), F.lit(0))
     first = {f"__{k}": c for k, c in bits.command_word(word(0)).items()}
@@ -97,8 +108,7 @@ def parse_429(packets: DataFrame) -> DataFrame:
 
 def parse_ethernet(packets: DataFrame) -> DataFrame:
     """ETHERNET rows; fields of layers that a frame lacks are null, its payload is zero-padded."""
-    p = timed(packets, "ethernet")
-    f = flatten.ethernet_headers(flatten.ethernet_frames(p, "id").withColumnRenamed("time", "stamp").withColumnRenamed("packet", "id")).join(_packet_columns(p), "id")
+    f = flatten.ethernet_headers(flatten.ethernet_frames(_with_head(timed(packets, "ethernet")), "id", keep=_OF_PACKET).withColumnRenamed("time", "stamp"))
     size = F.col("payload_sz").cast("int")
     data = F.expr("right(hex(frame), cast(payload_sz as int) * 2)")
     octets = F.when(size > 0, F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.conv(F.substring(data, i * 2 - 1, F.lit(2)), 16, 10).cast("int"))).otherwise(F.array().cast("array<int>"))

@@ -1,20 +1,42 @@
-"""Flight recordings as packet rows, by a Python data source over byte ranges."""
+"""Flight recordings as packet rows, by a Python data source over byte ranges.
+
+A file is a chain of packets: where one ends the next begins, and after what is no header the search goes on byte by byte.
+Bodies may hold whole packets (recorded network streams do), so a range can't tell by itself where the chain enters it.
+resolve() follows the chain through all ranges at once, each from the first header it sees, and walks a range again from
+where its predecessor really leaves off if that isn't on the chain it saw. Headers alone are read for that, and the clock
+packets, whose last valid fix is carried from range to range with the chain: so a row of a packet can hold the fix that is
+valid for it, without a join.
+"""
 
 from __future__ import annotations
 
+import datetime
 import io
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
-from busframe.schemas import PACKETS
+from busframe.schemas import FIX, PACKETS
+from busframe.sources.tables import shared_folder
 
 SYNC = b"\x25\xeb"
 HEADER, SECONDARY = 24, 12
+CLOCK = 0x11
+CHUNK = 64 << 20
 _CHECKSUM_BYTES = (0, 1, 2, 4)
+#: Bytes that a header walk, and a read of bodies, takes at once.
+_WALK, _READ = 1 << 13, 1 << 20
+_ROWS, _BYTES = 4096, 4 << 20
+_DAY0 = datetime.date(1970, 1, 1).toordinal()
 
 
 def located(path: str) -> tuple[fs.FileSystem, str]:
@@ -36,11 +58,19 @@ def recordings(path: str) -> list[tuple[str, int]]:
     return sorted((scheme + x.path, x.size) for x in shown)
 
 
+#: offset, counter and time of the last valid clock packet, and whether its day is of no known year.
+Fix = tuple[int, int, int, bool]
+
+
 @dataclass
 class Range(InputPartition):
+    """Bytes of a file. entry: where the chain enters it, None if no packet begins here; fix: the one that holds there."""
+
     file: str
     start: int
     stop: int
+    entry: int | None
+    fix: Fix | None = None
 
 
 def header(b: bytes) -> dict | None:
@@ -62,44 +92,190 @@ def body_checksum_ok(payload: bytes, existence: int) -> bool:
         return True
     data = payload[:-n]
     data += b"\0" * (-len(data) % n)
-    total = sum(struct.unpack(f"<{len(data) // n}{' BH I'[n]}", data))
-    return total & (1 << 8 * n) - 1 == int.from_bytes(payload[-n:], "little")
+    return int(np.frombuffer(data, f"<u{n}").sum(dtype="u8")) & (1 << 8 * n) - 1 == int.from_bytes(payload[-n:], "little")
+
+
+def first_header(f: io.BufferedReader, size: int, at: int, stop: int) -> tuple[int, dict] | None:
+    """The first sound header at or after `at` whose packet the file holds whole, if it begins before stop."""
+    stop = min(stop, size)
+    while at < stop:
+        f.seek(at)
+        if (h := header(f.read(HEADER))) and at + h["pkt_size"] <= size:
+            return at, h
+        f.seek(at + 1)
+        window = f.read(1 << 16)
+        found = window.find(SYNC)
+        if found < 0 and len(window) < 1 << 16:
+            return None
+        at += 1 + (found if found >= 0 else len(window) - 1)
+    return None
+
 
+def chain(f: io.BufferedReader, size: int, at: int, stop: int) -> Iterator[tuple[int, dict]]:
+    """(place, header) of the packets that begin before stop, from the first at or after `at`."""
+    while found := first_header(f, size, at, stop):
+        yield found
+        at = found[0] + found[1]["pkt_size"]
 
-def packets(file: str, start: int, stop: int, types: frozenset[int] | None = None) -> Iterator[tuple]:
-    """Packets whose first byte lies in [start, stop); after a bad header the search goes on at the next byte. Of `types` alone if given: others are skipped unread."""
+
+def _body(f: io.BufferedReader, at: int, h: dict) -> tuple[bytes | None, bool, bool, bytes]:
+    """(secondary header's time, whether its checksum is right, whether the body's is, body) of a packet."""
+    f.seek(at + HEADER)
+    rest, sec, sec_ok = f.read(h["pkt_size"] - HEADER), None, True
+    if h["secondary_hdr"]:
+        sec, sec_ok = rest[:8], sum(struct.unpack("<5H", rest[:10])) & 0xFFFF == struct.unpack_from("<H", rest, 10)[0]
+        rest = rest[SECONDARY:]
+    return sec, sec_ok, body_checksum_ok(rest, h["checksum_existence"]), rest[: h["data_size"]]
+
+
+def _digits(word: int, *widths: int) -> int:
+    """Decimal digits of a word, lowest first, of so many bits each."""
+    out, place = 0, 1
+    for w in widths:
+        out += (word & (1 << w) - 1) * place
+        word, place = word >> w, place * 10
+    return out
+
+
+def clock_fix(at: int, rtc: int, body: bytes) -> Fix | None:
+    """What a clock packet's body says, if its source and format are known and its date exists."""
+    if len(body) < 10:
+        return None
+    head, *w = struct.unpack_from("<I4H", body if len(body) >= 12 else body + b"\0\0")
+    if head & 15 == 15 or head >> 4 & 15 == 15:
+        return None
+    ms, second, minute, hour = 10 * _digits(w[0], 4, 4), _digits(w[0] >> 8, 4, 3), _digits(w[1], 4, 3), _digits(w[1] >> 8, 4, 2)
+    if dated := head >> 9 & 1:
+        try:
+            day = datetime.date(_digits(w[3], 4, 4, 4, 2), _digits(w[2] >> 8, 4, 1), _digits(w[2], 4, 4)).toordinal() - _DAY0
+        except ValueError:
+            return None
+    else:
+        day = max(1, _digits(w[2], 4, 4, 2)) - 1
+    return at, rtc, (((day * 24 + hour) * 60 + minute) * 60 + second) * 10**9 + ms * 10**6, not dated
+
+
+def _opened(file: str, buffer: int) -> tuple[io.BufferedReader, int]:
     system, path = located(file)
-    size = system.get_file_info(path).size
-    with io.BufferedReader(system.open_input_file(path), 1 << 20) as f:
-        at = start
-        while at < min(stop, size):
-            f.seek(at)
-            h = header(f.read(HEADER))
-            if h is None or at + h["pkt_size"] > size:
-                f.seek(at + 1)
-                window = f.read(1 << 16)
-                found = window.find(SYNC)
-                if found < 0 and len(window) < 1 << 16:
-                    return
-                at += 1 + (found if found >= 0 else len(window) - 1)
-                continue
-            if types is not None and h["data_type"] not in types:
-                at += h["pkt_size"]
-                continue
-            rest = f.read(h["pkt_size"] - HEADER)
-            sec, sec_ok = None, True
-            if h["secondary_hdr"]:
-                sec, rest_ = rest[:8], rest[SECONDARY:]
-                sec_ok = sum(struct.unpack("<5H", rest[:10])) & 0xFFFF == struct.unpack_from("<H", rest, 10)[0]
-                rest = rest_
-            yield (file, at, *list(h.values())[:6], *list(h.values())[6:], sec, sec_ok, body_checksum_ok(rest, h["checksum_existence"]), rest[: h["data_size"]])
-            at += h["pkt_size"]
+    return io.BufferedReader(system.open_input_file(path), buffer), system.get_file_info(path).size
+
+
+#: Where a walk of (file, start, stop) from an entry (None: from the start) finds its first header, where it leaves off, its last fix.
+Walk = tuple[int | None, int, Fix | None]
+
+
+def walk(file: str, start: int, stop: int, entry: int | None) -> Walk:
+    f, size = _opened(file, _WALK)
+    with f:
+        first, end, fix = None, stop, None
+        for at, h in chain(f, size, start if entry is None else entry, stop):
+            first = at if first is None else first
+            end = max(stop, at + h["pkt_size"])
+            if h["data_type"] == CLOCK:
+                _, sec_ok, ok, body = _body(f, at, h)
+                fix = sec_ok and ok and clock_fix(at, h["rtc"], body) or fix
+    return first, end, fix
+
+
+Asked = tuple[str, int, int, int | None]
+
+
+def resolve(files: list[tuple[str, int]], chunk: int, walks: Callable[[list[Asked]], list[Walk]]) -> list[Range]:
+    """The ranges of the files, with the chain's entry and the fix that holds there.
+
+    A range whose predecessor leaves off at or before the first header in it is entered there, so its first walk holds. Else
+    it is walked again from that place; as chains meet soon, what follows is taken to hold meanwhile, and the next round
+    asks again where it doesn't. Every round settles a file's first open range at least.
+    """
+    cut = {f: [(a, a + chunk) for a in range(0, size, chunk)] for f, size in files}
+    asked: list[Asked] = [(f, a, b, None) for f, own in cut.items() for a, b in own]
+    known: dict[Asked, Walk] = {}
+    while True:
+        known.update(zip(asked, walks(asked), strict=True))
+        out, asked = [], []
+        for f, own in cut.items():
+            at, fix = 0, None
+            for start, stop in own:
+                first, end, last = known[f, start, stop, None]
+                entry = None
+                if at < stop and first is not None:
+                    entry = max(at, first)
+                    if at > first:
+                        key = (f, start, stop, at)
+                        if key in known:
+                            entry, end, last = known[key]
+                        else:
+                            asked.append(key)
+                out.append(Range(f, start, stop, entry, fix))
+                if entry is not None:
+                    at, fix = max(at, end), last or fix
+        if not asked:
+            return out
+
+
+def _here(asked: list[Asked]) -> list[Walk]:
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(lambda x: walk(*x), asked))
+
+
+def _by_spark(spark: SparkSession) -> Callable[[list[Asked]], list[Walk]]:
+    def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(x.n, *walk(x.file, x.start, x.stop, None if x.entry < 0 else x.entry)) for x in b.itertuples()]
+            yield pd.DataFrame([(n, -1 if first is None else first, end, *(fix or (-1, 0, 0, False))) for n, first, end, fix in rows], columns=["n", "first", "end", "at", "rtc", "time", "doy"])
+
+    def walks(asked: list[Asked]) -> list[Walk]:
+        rows = [(i, f, a, b, -1 if e is None else e) for i, (f, a, b, e) in enumerate(asked)]
+        df = spark.createDataFrame(pd.DataFrame(rows, columns=["n", "file", "start", "stop", "entry"]), "n long, file string, start long, stop long, entry long").repartition(max(1, min(len(rows), 10_000)), "n")
+        found = df.mapInPandas(one, "n long, first long, end long, at long, rtc long, time long, doy boolean").collect()  # a row a range, as the scheduler has
+        return [(None if r["first"] < 0 else r["first"], r["end"], None if r["at"] < 0 else (r["at"], r["rtc"], r["time"], r["doy"])) for r in sorted(found, key=lambda r: r["n"])]
+
+    return walks
+
+
+_ENTRIES = pa.schema([("file", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("entry", pa.int64()), ("at", pa.int64()), ("rtc", pa.int64()), ("time", pa.int64()), ("doy", pa.bool_())])
+
+
+def write_entries(spark: SparkSession, path: str, chunk: int = CHUNK) -> str:
+    """A table of a recording's ranges, found by Spark jobs, for the option `entries`; its path."""
+    ranges = resolve(recordings(path), chunk, _by_spark(spark))
+    columns = zip(*[(r.file, r.start, r.stop, r.entry, *(r.fix or (None,) * 4)) for r in ranges], strict=True) if ranges else [[]] * 8
+    out = shared_folder(spark, "entries") + "/entries.parquet"
+    system, at = located(out)
+    system.create_dir(at.rpartition("/")[0], recursive=True)
+    with system.open_output_stream(at) as f:
+        pq.write_table(pa.Table.from_arrays([pa.array(c, k.type) for c, k in zip(columns, _ENTRIES, strict=True)], schema=_ENTRIES), f)
+    return out
+
+
+def read_entries(path: str) -> list[Range]:
+    system, at = located(path)
+    with system.open_input_file(at) as f:
+        rows = pq.read_table(f).to_pylist()
+    return [Range(r["file"], r["start"], r["stop"], r["entry"], None if r["at"] is None else (r["at"], r["rtc"], r["time"], r["doy"])) for r in rows]
+
+
+def read_recording(spark: SparkSession, path: str, chunk: int = CHUNK, **options) -> DataFrame:
+    """Packets of a recording, or of all in a directory, with the clock fix that holds for each (FIX columns; null before the first).
+
+    Spark jobs find where the chain of packets enters each range of `chunk` bytes. Conditions on data_type, channelid and
+    file are taken over by the reader, which skips other packets' bodies.
+    """
+    spark.dataSource.register(PacketSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return spark.read.format("ch10").options(entries=write_entries(spark, path, chunk), pushdown="true", fixes="true", **options).load(path)
+
+
+_PACKET_TYPES = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.bool_(), pa.bool_(), *[pa.int32()] * 3, pa.int64(), pa.binary(), pa.bool_(), pa.bool_(), pa.binary()]
+_FIX_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
 
 
 class PacketSource(DataSource):
     """spark.read.format("ch10").load(path): one row per packet, from any file system that pyarrow opens.
 
-    Options: chunk (bytes of a range), maxChunks (first ranges of a file only), types (codes, with commas: only such packets).
+    Options: entries (a table of write_entries(); without it the driver's threads follow the packets' headers), chunk (bytes of
+    a range; of no use with entries), maxChunks (first ranges of a file only), types (codes, with commas: only such packets),
+    fixes (true: with FIX columns), pushdown (true: takes conditions over; Spark's filterPushdown setting must be on).
     """
 
     @classmethod
@@ -107,24 +283,64 @@ class PacketSource(DataSource):
         return "ch10"
 
     def schema(self) -> str:
-        return PACKETS
+        return PACKETS + (", " + FIX if self.options.get("fixes") == "true" else "")
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options)
+        return (_PushingReader if self.options.get("pushdown") == "true" else _Reader)(self.options)
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options):
-        self.path, self.chunk = options["path"], int(options.get("chunk", 64 << 20))
-        self.types = frozenset(int(x) for x in options["types"].split(",")) if "types" in options else None
+        self.path, self.chunk, self.entries = options["path"], int(options.get("chunk", CHUNK)), options.get("entries")
+        self.kept: dict[str, set] = {"data_type": {int(x) for x in options["types"].split(",")}} if "types" in options else {}
         self.most = int(options["maxChunks"]) if "maxChunks" in options else None
+        self.fixes = options.get("fixes") == "true"
 
     def partitions(self) -> list[Range]:
-        out = []
-        for f, size in recordings(self.path):
-            own = [Range(f, at, at + self.chunk) for at in range(0, size, self.chunk)]
-            out += own if self.most is None else own[: self.most]
-        return out
-
-    def read(self, partition: Range) -> Iterator[tuple]:
-        return packets(partition.file, partition.start, partition.stop, self.types)
+        ranges = read_entries(self.entries) if self.entries else resolve(recordings(self.path), self.chunk, _here)
+        files = self.kept.get("file")
+        if self.most is not None:
+            ranges = [r for r in ranges if r.start < self.most * (r.stop - r.start)]
+        return [r for r in ranges if r.entry is not None and (files is None or r.file in files)] or [Range("", 0, 0, None)]
+
+    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+        return packet_batches(partition, self.kept.get("data_type"), self.kept.get("channelid"), self.fixes)
+
+
+class _PushingReader(_Reader):
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for x in filters:
+            name = x.attribute[0] if isinstance(x, (EqualTo, In)) and len(x.attribute) == 1 else None
+            if name not in ("data_type", "channelid", "file"):
+                yield x
+                continue
+            own = set(x.value) if isinstance(x, In) else {x.value}
+            self.kept[name] = self.kept[name] & own if name in self.kept else own
+
+
+def packet_batches(part: Range, types: set[int] | None = None, channels: set[int] | None = None, fixes: bool = False) -> Iterator[pa.RecordBatch]:
+    """Packets that begin in a range. Of given types and channels alone the bodies are read; of clock packets too where fixes are asked for."""
+    if part.entry is None:
+        return
+    names = [x.split()[0] for x in (PACKETS + (", " + FIX if fixes else "")).split(", ")]
+    kinds = _PACKET_TYPES + (_FIX_TYPES if fixes else [])
+    rows, held, fix = [], 0, part.fix
+    made = lambda: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+    f, size = _opened(part.file, _READ if types is None and channels is None else _WALK)
+    with f:
+        for at, h in chain(f, size, part.entry, part.stop):
+            wanted = (types is None or h["data_type"] in types) and (channels is None or h["channelid"] in channels)
+            clock = fixes and h["data_type"] == CLOCK
+            if not wanted and not clock:
+                continue
+            sec, sec_ok, ok, body = _body(f, at, h)
+            if clock and sec_ok and ok:
+                fix = clock_fix(at, h["rtc"], body) or fix
+            if wanted:
+                rows.append((part.file, at, *h.values(), sec, sec_ok, ok, body, *((fix or (None,) * 4) if fixes else ())))
+                held += len(body)
+                if len(rows) >= _ROWS or held >= _BYTES:
+                    yield made()
+                    rows, held = [], 0
+    if rows:
+        yield made()

@@ -306,6 +306,74 @@ def test_recording(spark, tmp_path):
     assert len(v) == 2 and v[0].stamp == b"\3" * 8 and v[0].unit == b"\x47" * 188
 
 
+def _nested_file(path, n=300):
+    """A recording whose bodies hold packets, some of which reach beyond the body; and garbage."""
+    import random
+
+    r, out, places = random.Random(3), [], []
+    for i in range(n):
+        inner = b"".join(encode(0x38, b"\1" * 4 * r.randrange(1, 30), rtc=i, channel=9) for _ in range(r.randrange(4)))
+        if i % 7 == 3:  # a header whose packet ends in a later body
+            inner += b"\x25\xeb" + struct.pack("<HIIBBBB", 9, 400, 8, 1, 0, 0, 0x38) + b"\0" * 6
+            inner += struct.pack("<H", sum(struct.unpack("<11H", inner[-22:])) & 0xFFFF)
+        junk = b"\x25\xeb" * (i % 5 == 0) + bytes(r.randrange(256) for _ in range(r.randrange(3)))
+        digits = struct.pack("<I4H", 0x200, i % 60 // 10 << 12 | i % 10 << 8, 0, 0x0101, 0x2020)
+        made = encode(0x11, digits, rtc=i) if i % 20 == 10 else encode((0x68, 0x19)[i % 2], struct.pack("<I", 0) + inner, rtc=i, flags=3)
+        out.append(junk + made)
+        places.append(sum(map(len, out)) - len(made))
+    path.write_bytes(b"".join(out))
+    return places
+
+
+@pytest.mark.parametrize("chunk", [20, 61, 500, 7777, 1 << 20])
+def test_packets_in_bodies(tmp_path, chunk):
+    places = _nested_file(tmp_path / "r.ch10")
+    files = packets.recordings(str(tmp_path))
+    ranges = packets.resolve(files, chunk, packets._here)
+    rows = [(o, t, f) for r in ranges for b in packets.packet_batches(r, fixes=True) for o, t, f in zip(*(b.column(b.schema.get_field_index(n)).to_pylist() for n in ("offset", "rtc", "fix_rtc")), strict=True)]
+    assert [o for o, _, _ in rows] == places and [t for _, t, _ in rows] == list(range(300))
+    assert [f for _, _, f in rows] == [None if i < 10 else i - (i - 10) % 20 for i in range(300)]
+
+
+def test_pushed_filters(spark, tmp_path, monkeypatch):
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In
+
+    _nested_file(tmp_path / "r.ch10")
+    reader = packets.PacketSource({"path": str(tmp_path), "pushdown": "true"}).reader(None)
+    left = GreaterThan(("rtc",), 4)
+    assert list(reader.pushFilters([In(("data_type",), (0x19, 0x11)), left, EqualTo(("data_type",), 0x19), EqualTo(("channelid",), 1)])) == [left]
+    assert reader.kept == {"data_type": {0x19}, "channelid": {1}}
+    bodies = []
+    body = packets._body
+    monkeypatch.setattr(packets, "_body", lambda f, at, h: bodies.append(h["data_type"]) or body(f, at, h))
+    ranges = reader.partitions()
+    bodies.clear()  # clock packets of the walk
+    rows = [t for r in ranges for b in reader.read(r) for t in b.column(b.schema.get_field_index("rtc")).to_pylist()]
+    assert rows == [i for i in range(300) if i % 2 and i % 20 != 10] and set(bodies) == {0x19}
+    df = packets.read_recording(spark, str(tmp_path), 1000)
+    plan = df.where("data_type = 25 and rtc > 5")._jdf.queryExecution().toString()
+    assert "rtc#" in plan and "= 25" not in plan[plan.index("Physical Plan") :]  # no such filter of Spark's is left above the scan
+    assert df.where("data_type = 25 and rtc > 5").count() == 147
+    assert df.where("data_type = 17").count() == 15 and df.where("file = 'x'").count() == 0
+    (tmp_path / "r.ch10").write_bytes(b"")
+    assert packets.read_recording(spark, str(tmp_path), 1000).count() == 0
+
+
+def test_parse_reads_once(spark, tmp_path):
+    """Packets of a recording are scanned once and neither joined nor shuffled."""
+    from busframe.plans import parse
+
+    _nested_file(tmp_path / "r.ch10")
+    df = packets.read_recording(spark, str(tmp_path), 1000)
+    for kind in ("1553", "ethernet", "video"):
+        plan = parse.PARSERS[kind](df)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BatchScan") == 1 and "Join" not in plan and "Exchange" not in plan
+    for kind in ("1553", "429", "ethernet", "video"):  # as the join of fixes has it
+        loaded = spark.read.format("ch10").load(str(tmp_path))
+        rows = [sorted(map(str, parse.PARSERS[kind](x).collect())) for x in (df, loaded)]
+        assert rows[0] == rows[1]
+
+
 def test_sinks(spark, tmp_path):
     bus = spark.createDataFrame([(i, [i] * 32, 0, 1, 2, 1, 0) for i in range(5)], "time long, data array<int>, channelid int, txrtaddr int, rxrtaddr int, txsubaddr int, rxsubaddr int")
     tabs, violations = translate.translate_1553(bus, fx.icd_1553(spark), fx.bus_map(spark))
@@ -333,7 +401,7 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
-@pytest.mark.parametrize("name", ["DEC3", "DEC13", "JN1", "JN4", "TRN1", "TRN2", "TRN6", "AGG8", "BUS1", "EXP2", "QLT1", "WIN2", "WIN3", "SRC8", "SRC9", "SRC10", "SRC11", "LIM1", "QLT4", "SNK2", "SNK5", "SRC4", "SRC5", "QLT2_rules"])
+@pytest.mark.parametrize("name", ["DEC3", "DEC13", "JN1", "JN4", "TRN1", "TRN2", "TRN6", "AGG8", "BUS1", "EXP2", "QLT1", "WIN2", "WIN3", "SRC8", "SRC8_nested", "SRC8_pushed", "JN1_recording", "SRC9", "SRC10", "SRC11", "LIM1", "QLT4", "SNK2", "SNK5", "SRC4", "SRC5", "QLT2_rules"])
 def test_queries(spark, name):
     import duckdb
 
