@@ -6,6 +6,8 @@ Bits are numbered from 1, the most significant. All results are double; `typed`
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -21,21 +23,23 @@ def bit_count(k: int, msb: int, lsb: int) -> int:
     return lsb - msb + 1 if k == 1 else 17 - msb + lsb + 16 * (k - 2)
 
 
+#: Bits of a field that a long, and a decimal, holds; wider ones are summed as doubles.
+LONG_BITS, DECIMAL_BITS = 62, 120
+
+
 def raw_field(words: Column, offset: int, k: int, msb: int, lsb: int) -> Column:
-    """The field as an unsigned number: long up to 62 bits, decimal beyond. Null where a word is missing."""
+    """The field as an unsigned number: long up to 62 bits, decimal up to 120, double beyond. Null where a word is missing."""
     n = bit_count(k, msb, lsb)
     if k == 1:
         return F.shiftright(_word(words, offset), 16 - lsb).bitwiseAND(F.lit((1 << n) - 1))
     parts = [(_word(words, offset).bitwiseAND(F.lit((1 << (17 - msb)) - 1)), 0)]
     parts += [(_word(words, offset, i), 16) for i in range(1, k - 1)]
     parts += [(F.shiftright(_word(words, offset, k - 1), 16 - lsb), lsb)]
-    total = parts[0][0] if n <= 62 else parts[0][0].cast("decimal(38,0)")
+    kind = "long" if n <= LONG_BITS else "decimal(38,0)" if n <= DECIMAL_BITS else "double"
+    total = parts[0][0].cast(kind)
     for value, bits in parts[1:]:
         factor = F.lit(1 << bits)
-        if n > 62:
-            total = (total * factor.cast("decimal(6,0)") + value).cast("decimal(38,0)")
-        else:
-            total = total * factor + value
+        total = (total * (factor.cast("decimal(6,0)") if kind.startswith("dec") else factor) + value).cast(kind)
     return total
 
 
@@ -59,7 +63,8 @@ def flag(raw: Column) -> Column:
 
 def twos_complement(raw: Column, n: int, msb_val: float = 0.0) -> Column:
     """msb_val is the weight of the bit after the sign."""
-    signed = raw.cast("double") - F.when(raw >= F.lit(2 ** (n - 1)), F.lit(2.0**n)).otherwise(F.lit(0.0))
+    half = F.lit(2 ** (n - 1)) if n <= LONG_BITS else F.lit(Decimal(2 ** (n - 1))) if n <= DECIMAL_BITS else F.lit(2.0 ** (n - 1))
+    signed = raw.cast("double") - F.when(raw >= half, F.lit(2.0**n)).otherwise(F.lit(0.0))
     return signed * F.lit(_scale(msb_val, n - 2))
 
 
@@ -89,7 +94,9 @@ def ssm_sign(ssm: Column) -> Column:
 
 
 def ascii_code(raw: Column) -> Column:
-    return raw.cast("tinyint")
+    """The last eight bits as a signed number."""
+    low = F.pmod(raw, F.lit(256)).cast("int")
+    return F.when(low > 127, low - 256).otherwise(low)
 
 
 def _two(exponent: Column) -> Column:
@@ -181,7 +188,7 @@ def _bits(schema: str, raw: Column, n: int, msb_val: float, partial: int, sign:
     if schema == "SIGNEDBITS":
         return twos_complement(raw, n, msb_val)
     if schema == "ASCII":
-        return raw
+        return ascii_code(raw)
     if schema == "SIGNMAG":
         return sign_magnitude(raw, n, msb_val)
     if schema != "BCD":
@@ -193,6 +200,8 @@ def _bits(schema: str, raw: Column, n: int, msb_val: float, partial: int, sign:
 def decode(schema: str, words: Column, offset: int, k: int = 1, msb: int = 1, lsb: int = 16, msb_val: float = 0.0, partial: int = 0) -> Column:
     """A 1553 element of any encoding, with its declared type."""
     if schema in BIT_LEVEL:
+        if schema == "ASCII" and k > 2:  # its eight bits lie in the last two words
+            offset, k, msb = offset + k - 2, 2, 1
         n = bit_count(k, msb, lsb)
         return _bits(schema, raw_field(words, offset, k, msb, lsb), n, msb_val, partial, None).cast(output_type(schema, n))
     if WORD_COUNTS[schema] != k:
@@ -210,30 +219,82 @@ def decode32(schema: str, word: Column, msb: int, lsb: int, msb_val: float = 0.0
     return _bits(schema, raw_field32(word, msb, lsb), n, msb_val, partial, sign).cast(output_type(schema, n))
 
 
-def decode_rows(words: Column) -> Column:
-    """The value as double of a 1553 element whose columns schema, offset, elem_word_count, bitmsb, bitlsb and msb_val stand in the same row.
+def _power(x: Column) -> Column:
+    return F.pow(F.lit(2.0), x.cast("double"))
 
-    One branch an encoding, however many elements there are. Bit fields of over three words give null, as do missing words.
-    """
-    schema, at, k, msb, lsb, weight = (F.col(c) for c in ("schema", "offset", "elem_word_count", "bitmsb", "bitlsb", "msb_val"))
-    w = [F.get(words, at + i).cast("long") for i in range(4)]
+
+def _rounded(value: Column, n: Column) -> Column:
+    """A bit field's value as its column type holds it."""
+    return F.when(n < 25, value.cast("float").cast("double")).otherwise(value)
+
+
+def _raw_rows(words: Column, at: Column, k: Column, msb: Column, lsb: Column) -> tuple[Column, Column]:
+    """(raw_field() as long, its value as double) of a field of any width; the long is null beyond 62 bits."""
+    first, last = F.get(words, at).cast("long"), F.get(words, at + k - 1).cast("long")
+    shift, mask = (lambda x, n: F.call_function("shiftright", x, n)), lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), n) - 1
     n = F.when(k == 1, lsb - msb + 1).otherwise(17 - msb + lsb + 16 * (k - 2))
-    power = lambda x: F.pow(F.lit(2.0), x.cast("double"))
-    scale = lambda bits: F.when(weight == 0, F.lit(1.0)).otherwise(weight / power(bits))
-    total = F.when(k == 1, w[0]).when(k == 2, w[0] * 65536 + w[1]).when(k == 3, (w[0] * 65536 + w[1]) * 65536 + w[2])
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), n) - 1
-    raw = F.call_function("shiftright", total, 16 - lsb).bitwiseAND(mask)
+    one = shift(first, 16 - lsb).bitwiseAND(mask(n))
+    head, tail = first.bitwiseAND(mask(17 - msb)), shift(last, 16 - lsb)
+    middle = F.slice(words, at + 2, F.greatest(k - 2, F.lit(0)))
+
+    def total(kind: str) -> Column:
+        wide = (lambda x: x.cast("decimal(6,0)")) if kind.startswith("dec") else lambda x: x
+        inner = F.aggregate(middle, head.cast(kind), lambda a, x: (a * wide(F.lit(65536)) + x).cast(kind))
+        return (inner * wide(F.call_function("shiftleft", F.lit(1), lsb)) + tail).cast(kind)
 
-    def signed(x: Column, bits: Column) -> Column:
-        return (x.cast("double") - F.when(x.cast("double") >= power(bits - 1), power(bits)).otherwise(F.lit(0.0))) * scale(bits - 2)
+    whole = at + k <= F.size(words)
+    long = F.when(k == 1, one).when((n <= LONG_BITS) & whole, total("long"))
+    return long, F.when(n <= LONG_BITS, long.cast("double")).when((n <= DECIMAL_BITS) & whole, total("decimal(38,0)").cast("double")).when(whole, total("double"))
 
-    by_bits = F.when(schema == "UNSIGNEDBITS", F.when(n == 1, raw.cast("double")).otherwise(raw.cast("double") * scale(n - 1))).when(schema == "SIGNEDBITS", signed(raw, n)).when(schema == "ASCII", raw.cast("tinyint").cast("double"))
-    value = F.when(schema.isin("UNSIGNEDBITS", "SIGNEDBITS"), F.when((n < 25) & (n > 1), by_bits.cast("float").cast("double")).otherwise(by_bits)).when(schema == "ASCII", by_bits)
+
+def decode_rows(words: Column, of: Callable[[str], Column] = F.col) -> Column:
+    """The value as double of a 1553 element whose fields schema, offset, elem_word_count, bitmsb, bitlsb and msb_val `of` gives, by default columns of the row.
+
+    One branch an encoding, however many elements there are. Missing words give null.
+    """
+    schema, at, k, msb, lsb, weight = (of(c) for c in ("schema", "offset", "elem_word_count", "bitmsb", "bitlsb", "msb_val"))
+    w = [F.get(words, at + i).cast("long") for i in range(2)]
+    n = F.when(k == 1, lsb - msb + 1).otherwise(17 - msb + lsb + 16 * (k - 2))
+    scale = lambda bits: F.when(weight == 0, F.lit(1.0)).otherwise(weight / _power(bits))
+    long, double = _raw_rows(words, at, k, msb, lsb)
+    negative = F.call_function("shiftright", w[0], 16 - msb).bitwiseAND(F.lit(1)) == 1
+
+    def signed(x: Column, bits: Column, below: Column) -> Column:
+        return (x.cast("double") - F.when(below, _power(bits)).otherwise(F.lit(0.0))) * scale(bits - 2)
+
+    value = F.when(schema == "UNSIGNEDBITS", F.when(n == 1, double).otherwise(_rounded(double * scale(n - 1), n)))
+    value = value.when(schema == "SIGNEDBITS", _rounded(signed(double, n, negative), n))
+    code = F.pmod(F.call_function("shiftright", F.get(words, at + k - 1).cast("long") + F.when(k > 1, F.get(words, at + k - 2).cast("long") * 65536).otherwise(0), 16 - lsb), F.lit(256))
+    code = F.when(n < 8, long).otherwise(code)  # the last eight bits lie in the last two words
+    value = value.when(schema == "ASCII", F.when(code > 127, code - 256).otherwise(code).cast("double"))
     whole = {1: w[0], 2: w[0] * 65536 + w[1]}
     for name, count in WORD_COUNTS.items():
         if name in _FLOATS:
             own = _FLOATS[name](words, at)
         else:
-            own = whole[count].cast("double") * scale(F.lit(16 * count - 1)) if name.startswith("UNSIGNED") else signed(whole[count], F.lit(16 * count))
+            own = whole[count].cast("double") * scale(F.lit(16 * count - 1)) if name.startswith("UNSIGNED") else signed(whole[count], F.lit(16 * count), w[0] >= 32768)
         value = value.when(schema == name, own.cast(output_type(name, 16 * count)).cast("double"))
     return value
+
+
+def decode32_rows(of: Callable[[str], Column] = F.col) -> Column:
+    """The value as double of a 429 element whose fields schema, bitmsb, bitlsb, msb_val and bcd_partial, and whose word's data, SSM, SDI and parity, `of` gives."""
+    schema, msb, lsb, weight, partial = (of(c) for c in ("schema", "bitmsb", "bitlsb", "msb_val", "bcd_partial"))
+    word = of("parity").cast("long") * F.lit(1 << 31) + of("SSM").cast("long") * F.lit(1 << 29) + of("data").cast("long") * F.lit(1 << 10)
+    shift, bit = (lambda x, n: F.call_function("shiftright", x, n)), lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), n)
+    n = lsb - msb + 1
+    scale = lambda bits: F.when(weight == 0, F.lit(1.0)).otherwise(weight / _power(bits))
+    raw = shift(word, 32 - lsb).bitwiseAND(bit(n) - 1)
+    signed = (raw.cast("double") - F.when(raw >= bit(n - 1), _power(n)).otherwise(F.lit(0.0))) * scale(n - 2)
+    size = raw.bitwiseAND(bit(n - 1) - 1).cast("double") * scale(n - 2)
+    magnitude = F.when(raw.bitwiseAND(bit(n - 1)) != 0, -size).otherwise(size)
+    rest, digits = n % 4, F.floor(n / 4).cast("int")
+    lead, trail = F.when(partial < 0, rest).otherwise(F.lit(0)), F.when(partial > 0, rest).otherwise(F.lit(0))
+    ten = lambda x: F.pow(F.lit(10.0), x.cast("double"))
+    own = [F.when(F.lit(j) < digits, shift(raw, F.greatest(n - lead - 4 * (j + 1), F.lit(0))).bitwiseAND(F.lit(15)).cast("double") * ten(digits - 1 - j + F.when(trail > 0, 1).otherwise(0))).otherwise(F.lit(0.0)) for j in range(8)]
+    decimal = F.when(lead > 0, shift(raw, n - lead).cast("double") * ten(digits)).otherwise(F.lit(0.0)) + _add(*own) + F.when(trail > 0, raw.bitwiseAND(bit(trail) - 1).cast("double")).otherwise(F.lit(0.0))
+    value = F.when(schema == "UNSIGNEDBITS", F.when(n == 1, raw.cast("double")).otherwise(_rounded(raw.cast("double") * scale(n - 1), n)))
+    value = value.when(schema == "SIGNEDBITS", _rounded(signed, n)).when(schema == "ASCII", ascii_code(raw).cast("double"))
+    value = value.when(schema == "SIGNMAG", _rounded(magnitude, n)).when(schema == "BCD", _rounded(decimal * ssm_sign(of("SSM")), n))
+    sdi = shift(of("SDI").cast("long"), F.greatest(24 - lsb, F.lit(0))).bitwiseAND(bit(n) - 1).cast("double")
+    return F.when((msb >= 23) & (lsb <= 24), F.when(n == 1, (sdi != 0).cast("double")).otherwise(sdi)).otherwise(value)

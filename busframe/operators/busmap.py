@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bits of a command word that a vote compares: address, direction and subaddress, not the word count.
@@ -42,12 +42,20 @@ def vote_counts(commwords: DataFrame, keys: DataFrame) -> DataFrame:
     return seen.join(keys.select("key", "bus").distinct(), "key").groupBy("channelid", "bus").agg(F.count("*").alias("votes"))
 
 
+def arg_max(rows: DataFrame, by: list[str], score: str, value: str) -> DataFrame:
+    """(by, value, score, tied): a group's greatest score, the least value that has it, and whether others have it too.
+
+    Greatest and least value at the top differ where there is a tie, so two mergeable extremes do: one shuffle of a row a
+    group and task, whatever the size of a group. Null scores and values don't count.
+    """
+    top = rows.where(F.col(score).isNotNull() & F.col(value).isNotNull()).groupBy(*by).agg(F.max(F.struct(score, value)).alias("__last"), F.min(F.struct((-F.col(score)).alias("down"), F.col(value).alias("value"))).alias("__first"))
+    return top.select(*by, F.col("__first.value").alias(value), F.col(f"__last.{score}").alias(score), (F.col("__first.value") != F.col(f"__last.{value}")).alias("tied"))
+
+
 def vote_winners(commwords: DataFrame, votes: DataFrame, threshold: int = 1) -> DataFrame:
     """(channelid, bus, reason): the bus with most votes, or the reason why there is none."""
-    best = Window.partitionBy("channelid")
-    top = votes.withColumn("top", F.max("votes").over(best)).where("votes = top")
-    top = top.groupBy("channelid").agg(F.count("*").alias("tied"), F.min("bus").alias("bus"), F.first("votes").alias("votes"))
-    reason = F.when(F.col("tied").isNull(), "No Votes").when(F.col("votes") < threshold, "Vote count not >= vote_threshold").when(F.col("tied") > 1, "Tie Vote")
+    top = arg_max(votes, ["channelid"], "votes", "bus")
+    reason = F.when(F.col("tied").isNull(), "No Votes").when(F.col("votes") < threshold, "Vote count not >= vote_threshold").when(F.col("tied"), "Tie Vote")
     out = commwords.select("channelid").distinct().join(top, "channelid", "left").withColumn("reason", reason)
     return out.select("channelid", F.when(F.col("reason").isNull(), F.col("bus")).alias("bus"), "reason")
 

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import fnmatch
+import hashlib
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from busframe.functions.decode import BIT_LEVEL, WORD_COUNTS
-from busframe.sources.tables import listing
+from busframe.sources.packets import located
+from busframe.sources.tables import listing, shared_folder
 
 WORD_SCHEMAS = sorted(WORD_COUNTS)
 BIT_SCHEMAS = ["ASCII", "SIGNEDBITS", "UNSIGNEDBITS"]
@@ -68,6 +72,11 @@ def duplicates(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.groupBy(*columns).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def _plain(df: DataFrame, column: str) -> Column:
+    """A column that can be compared: a map as its sorted entries."""
+    return (F.array_sort(F.map_entries(column)) if df.schema[column].dataType.typeName() == "map" else F.col(column)).alias(column)
+
+
 def compare_tables(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
     """A row per column of either table: whether names and types agree, rows compared, rows that differ, and the verdict.
 
@@ -80,9 +89,10 @@ def compare_tables(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
     both = [c for c in names if types_a.get(c) == types_b.get(c)]
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        hashed = [F.xxhash64(*[c for c in both if "map<" not in types_a[c]])] if both else list(key)
+        cells = [_plain(df, c) for c in both]
+        hashed = [F.xxhash64(*cells)] if both else list(key)
         turn = F.row_number().over(Window.partitionBy(*key).orderBy(*hashed))
-        return df.select(*[F.col(k).alias(f"__{name}_{i}") for i, k in enumerate(key)], turn.alias(f"__{name}_turn"), F.struct(F.lit(True).alias("there"), *both).alias(f"__{name}"))
+        return df.select(*[F.col(k).alias(f"__{name}_{i}") for i, k in enumerate(key)], turn.alias(f"__{name}_turn"), F.struct(F.lit(True).alias("there"), *cells).alias(f"__{name}"))
 
     match = [F.col(f"__a_{i}").eqNullSafe(F.col(f"__b_{i}")) for i in range(len(key))] + [F.col("__a_turn") == F.col("__b_turn")]
     rows = side(a, "a").join(side(b, "b"), match, "full")
@@ -111,16 +121,49 @@ def repeated_keys(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
     return duplicates(a, key).withColumn("side", F.lit("a")).unionByName(duplicates(b, key).withColumn("side", F.lit("b")))
 
 
-def compare_positions(spark: SparkSession, a: str, b: str) -> DataFrame:
-    """compare_tables() of two Parquet files or directories row by row in file order: rows are matched by file name and place in the file."""
+#: Rows of a block that compare_positions() takes as one, and bytes of a block of a file.
+BLOCK_ROWS, BLOCK_BYTES = 65_536, 8 << 20
+#: Children of a node in a file's tree of hashes.
+_FAN = 1024
+
+
+def _positions(spark: SparkSession, path: str) -> DataFrame:
+    """Rows with __file (its name, less the part of it that Spark makes up for each job), __block and __row. A lone file is compared whatever its name."""
+    one = len(listing(spark, path)) == 1
+    file = F.lit("") if one else F.regexp_replace("_metadata.file_name", r"^(part-\d+)-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", "$1")
+    row = F.col("_metadata.row_index")
+    return spark.read.parquet(path).select("*", file.alias("__file"), F.floor(row / BLOCK_ROWS).alias("__block"), row.alias("__row"))
+
+
+def differing_blocks(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
+    """(__file, __block, rows, differs) of both sides' blocks, by digests of their rows that are summed where the rows lie."""
 
-    def rows(path: str) -> DataFrame:
-        # A lone file is compared whatever its name.
-        one = len(listing(spark, path)) == 1
-        file = F.lit("") if one else F.col("_metadata.file_name")
-        return spark.read.parquet(path).select("*", file.alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    def digests(df: DataFrame, side: str) -> DataFrame:
+        sums = [F.sum(F.xxhash64(F.lit(seed), "__row", *[_plain(df, c) for c in columns]).cast("decimal(20,0)")) for seed in (0, 1)]
+        return df.groupBy("__file", "__block").agg(F.struct(F.count("*").alias("n"), *[x.alias(f"s{i}") for i, x in enumerate(sums)]).alias(side))
 
-    return compare_tables(rows(a), rows(b), ["__file", "__row"])
+    rows = digests(a, "a").join(digests(b, "b"), ["__file", "__block"], "full")
+    return rows.select("__file", "__block", F.greatest("a.n", "b.n").alias("rows"), (~F.col("a").eqNullSafe(F.col("b"))).alias("differs"))
+
+
+def compare_positions(spark: SparkSession, a: str, b: str) -> DataFrame:
+    """compare_tables() of two Parquet files or directories row by row in file order: rows are matched by file name and place in the file.
+
+    Both tables are read twice: blocks of BLOCK_ROWS rows are told apart by digests, of which a few numbers a block are
+    shuffled, and only rows of blocks that differ are matched.
+    """
+    sides = _positions(spark, a), _positions(spark, b)
+    types = [dict(x.dtypes) for x in sides]
+    names = [c for c in dict.fromkeys([*sides[0].columns, *sides[1].columns]) if not c.startswith("__")]
+    blocks = differing_blocks(*sides, [c for c in names if types[0].get(c) == types[1].get(c)])
+    folder = shared_folder(spark, "blocks")
+    blocks.write.parquet(folder)
+    blocks = spark.read.parquet(folder)
+    same = blocks.where("not differs").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("same"))
+    found = compare_tables(*[x.join(blocks.where("differs").select("__file", "__block"), ["__file", "__block"], "left_semi").drop("__block") for x in sides], ["__file", "__row"])
+    rows = found.crossJoin(F.broadcast(same))  # of one row
+    whole = F.when(F.col("in_both") & F.col("same_type"), 0).otherwise(F.col("same"))
+    return rows.select("column", "in_both", "same_type", (F.col("rows") + F.col("same")).alias("rows"), (F.col("different") + whole).cast("long").alias("different"), (F.col("passed") & (whole == 0)).alias("passed"))
 
 
 def compare_unordered(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -128,21 +171,59 @@ def compare_unordered(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("a")).unionByName(b.exceptAll(a).withColumn("side", F.lit("b")))
 
 
-def compare_files(spark: SparkSession, a: str, b: str, glob: str = "*") -> DataFrame:
-    """(name, size_a, size_b, sha_a, sha_b, equal) of the files under two directories, by their path below each; empty files too.
-
-    glob: of file names. Contents are read on the executors, up to 2 GB a file, which is Spark's limit for a value.
+def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(path, start, length) to sha256 of these bytes, read a part at a time."""
+    for b in batches:
+        out = []
+        for x in b.itertuples():
+            system, path = located(x.path)
+            sha, left = hashlib.sha256(), x.length
+            with system.open_input_file(path) as f:
+                f.seek(x.start)
+                while left and (part := f.read(min(left, 1 << 20))):
+                    sha.update(part)
+                    left -= len(part)
+            out.append(sha.hexdigest())
+        yield b.assign(sha=out)[["name", "block", "sha"]]
+
+
+def file_blocks(spark: SparkSession, path: str, files: list[tuple[str, int]], block: int) -> DataFrame:
+    """(name, block, sha) of the blocks of files below path; a task holds a megabyte at a time, however long the files."""
+    lone = len(files) == 1 and path.rstrip("/").endswith("/" + files[0][0]) and listing(spark, path) == files
+    names = spark.createDataFrame([(n, path if lone else f"{path.rstrip('/')}/{n}", size) for n, size in files], "name string, path string, size long")
+    parts = names.where("size > 0").select("name", "path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / block))).alias("block"))
+    parts = parts.select("name", "path", "block", (F.col("block") * block).alias("start"), F.least(F.lit(block), F.col("size") - F.col("block") * block).alias("length"))
+    return parts.repartition("name", "block").mapInPandas(_hashed, "name string, block long, sha string")
+
+
+def root_hashes(blocks: DataFrame, most: int) -> DataFrame:
+    """(name, sha): blocks' hashes joined in order, _FAN at a time, and hashed again until a file has one. most: blocks of the longest file."""
+    rows, n = blocks, most
+    while True:
+        n = -(-n // _FAN)
+        rows = rows.groupBy("name", F.floor(F.col("block") / _FAN).alias("parent")).agg(F.sha2(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("block", "sha"))), lambda x: x["sha"])), 256).alias("sha"))
+        rows = rows.withColumnRenamed("parent", "block")
+        if n <= 1:
+            return rows.select("name", "sha")
+
+
+def compare_files(spark: SparkSession, a: str, b: str, glob: str = "*", block: int = BLOCK_BYTES) -> DataFrame:
+    """(name, size_a, size_b, sha_a, sha_b, equal, first_difference) of the files under two directories, by their path below each; empty files too.
+
+    glob: of file names. Files of any size are cut into blocks that are hashed where they are read; sha is the root of a tree
+    of these hashes; first_difference is where the first block starts that differs or that one side lacks.
     """
-
-    def listed(path: str, side: str) -> DataFrame:
-        names = [(n, size) for n, size in listing(spark, path) if fnmatch.fnmatch(n.rpartition("/")[2], glob)]
-        names = spark.createDataFrame(names, f"name string, size_{side} long")
-        fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        top = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(fs_path).toString().rstrip("/")
-        files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
-        files = files.select(F.substring("path", len(top) + 2, 1 << 30).alias("name"), F.sha2("content", 256).alias("sha"))
-        empty = F.when(F.col(f"size_{side}") == 0, F.sha2(F.lit("").cast("binary"), 256))
-        return names.join(files, "name", "left").select("name", f"size_{side}", F.coalesce("sha", empty).alias(f"sha_{side}"))
-
-    rows = listed(a, "a").join(listed(b, "b"), "name", "full")
-    return rows.withColumn("equal", F.coalesce(F.col("sha_a") == F.col("sha_b"), F.lit(False)))
+    sides = []
+    for path, side in ((a, "a"), (b, "b")):
+        files = [(n, size) for n, size in listing(spark, path) if fnmatch.fnmatch(n.rpartition("/")[2], glob)]
+        folder = shared_folder(spark, "hashes")
+        file_blocks(spark, path, files, block).write.parquet(folder)
+        blocks = spark.read.schema("name string, block long, sha string").parquet(folder)
+        roots = root_hashes(blocks, max([1, *[-(-size // block) for _, size in files]]))
+        names = spark.createDataFrame(files, f"name string, size_{side} long").join(roots, "name", "left")
+        sides.append((names.select("name", f"size_{side}", F.coalesce("sha", F.sha2(F.lit("").cast("binary"), 256)).alias(f"sha_{side}")), blocks.withColumnRenamed("sha", f"block_{side}")))
+    rows = sides[0][0].join(sides[1][0], "name", "full")
+    parts = sides[0][1].join(sides[1][1], ["name", "block"], "full").where("not (block_a <=> block_b)").groupBy("name").agg((F.min("block") * block).alias("first_difference"))
+    equal = F.coalesce((F.col("size_a") == F.col("size_b")) & (F.col("sha_a") == F.col("sha_b")), F.lit(False))
+    rows = rows.join(parts, "name", "left").withColumn("equal", equal)
+    return rows.select("name", "size_a", "size_b", "sha_a", "sha_b", "equal", F.when(F.col("size_a").isNotNull() & F.col("size_b").isNotNull(), F.col("first_difference")).alias("first_difference"))

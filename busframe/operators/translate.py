@@ -6,13 +6,22 @@ MOST_ELEMENTS. Message keys are broadcast after a count of their rows, so bus ro
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from busframe.functions.bits import command_word
-from busframe.functions.decode import decode, decode32, decode_rows, output_type, ssm_sign
+from busframe.functions.decode import BIT_LEVEL, bit_count, decode, decode32, decode32_rows, decode_rows, output_type, ssm_sign
 from busframe.operators.quality import validate_icd, validate_icd_429
 from busframe.schemas import READ_1553, READ_429
+from busframe.sources.packets import located
 
 MOST_ELEMENTS = 200_000
 KEYS_1553 = ["channelid", "txrtaddr", "rxrtaddr", "txsubaddr", "rxsubaddr"]
@@ -133,7 +142,7 @@ def translate_long(matched: DataFrame, icd: DataFrame, *, ride_along: tuple[str,
     """All elements of all messages in one pass: ride-along columns, msg_name, elem_name, value (double).
 
     Elements are rows that are joined to the bus rows, so the expression doesn't grow with the document. Messages with an
-    element that breaks a rule (validate_icd) are left out; bit fields of over three words have null values.
+    element that breaks a rule (validate_icd) are left out.
     """
     bad = validate_icd(icd).select("msg_name").distinct()
     elements = icd.join(bad, "msg_name", "left_anti").select("msg_name", "elem_name", "schema", "offset", "elem_word_count", "bitmsb", "bitlsb", "msb_val")
@@ -141,18 +150,103 @@ def translate_long(matched: DataFrame, icd: DataFrame, *, ride_along: tuple[str,
     return rows.select(*ride_along, "msg_name", "elem_name", decode_rows(F.col("data")).alias("value"))
 
 
-def write_tables(matched: DataFrame, tables_of, names: list[str], path: str, name: str = "msg_name") -> None:
-    """One directory per message, from one pass over the matched rows: staged by message, then projected and written.
+def translate_long_429(matched: DataFrame, icd: DataFrame, *, ride_along: tuple[str, ...] = ("time",)) -> DataFrame:
+    """All elements of all words in one pass: ride-along columns, word_name, elem_name, value (double). Words with a bad element are left out."""
+    bad = validate_icd_429(icd).select("word_name").distinct()
+    elements = icd.join(bad, "word_name", "left_anti").select("word_name", "elem_name", "schema", "bitmsb", "bitlsb", "msb_val", "bcd_partial")
+    rows = matched.select(*dict.fromkeys([*ride_along, "word_name", "data", "SSM", "SDI", "parity"])).join(dimension(elements), "word_name")
+    return rows.select(*ride_along, "word_name", "elem_name", decode32_rows().alias("value"))
 
-    tables_of(staged rows of a message, message) gives its table.
+
+_FIELDS = ["elem_name", "schema", "offset", "elem_word_count", "bitmsb", "bitlsb", "msb_val"]
+_ARROW = {"boolean": pa.bool_(), "tinyint": pa.int8(), "float": pa.float32(), "double": pa.float64()}
+#: Rows of a row group, at most.
+GROUP_ROWS = 10_000
+
+
+def element_type(e: Row) -> str:
+    return output_type(e["schema"], bit_count(e["elem_word_count"], e["bitmsb"], e["bitlsb"]) if e["schema"] in BIT_LEVEL else 16 * e["elem_word_count"])
+
+
+def wide_rows(matched: DataFrame, icd: DataFrame, *, ride_along: tuple[str, ...] = ("time",)) -> DataFrame:
+    """Ride-along columns, msg_name and values: a message's elements by name, as an array of doubles. Messages with a bad element are left out."""
+    bad = validate_icd(icd).select("msg_name").distinct()
+    own = icd.join(bad, "msg_name", "left_anti").groupBy("msg_name").agg(F.sort_array(F.collect_list(F.struct(*_FIELDS))).alias("elements"))
+    rows = matched.select(*ride_along, "msg_name", "data").join(dimension(own), "msg_name")
+    return rows.select(*ride_along, "msg_name", F.transform("elements", lambda e: decode_rows(F.col("data"), lambda c: e[c])).alias("values"))
+
+
+def write_tables(matched: DataFrame, icd: DataFrame, path: str, *, ride_along: tuple[str, ...] = ("time",)) -> DataFrame:
+    """A directory `<message>.parquet` per message, of ride-along columns and one column per element: all by one job.
+
+    Rows are dealt into ranges of message and ride-along columns, sorted within them; a task writes a file for each message
+    that it holds, so there are at most as many files as tasks and messages together. A file gets its name, which message and
+    range make, when it is whole: a task that is run again leaves no second one. Row groups hold GROUP_ROWS rows at most.
+    Returns (msg_name, file, rows) of the files. The messages' directories of an earlier write go first.
     """
-    staged = f"{path}/_staged"
-    matched.write.mode("overwrite").partitionBy(name).parquet(staged)
-    rows = matched.sparkSession.read.schema(matched.schema).parquet(staged)
-    for n in names:
-        tables_of(rows.where(F.col(name) == n), n).write.mode("overwrite").option("compression", "gzip").parquet(f"{path}/{n}.parquet")
-    folder = matched.sparkSession._jvm.org.apache.hadoop.fs.Path(staged)
-    folder.getFileSystem(matched.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+    rows = wide_rows(matched, icd, ride_along=ride_along)
+    jvm, conf = matched.sparkSession._jvm, matched.sparkSession._jsc.hadoopConfiguration()
+    for r in icd.select("msg_name").distinct().limit(MOST_ELEMENTS).collect():
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{r['msg_name']}.parquet")
+        folder.getFileSystem(conf).delete(folder, True)
+    types = matched.sparkSession.sparkContext.broadcast({m: [(e["elem_name"], _ARROW[element_type(e)]) for e in own] for m, own in collect_elements(icd, "msg_name", ["msg_name", "elem_name"]).items()})
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        number, attempt = task.partitionId(), task.taskAttemptId()
+        opened: list = []  # message, rows, file system, temporary name, stream, writer
+        held: list[pa.Table] = []
+
+        def flush(least: int) -> None:
+            if opened and held and sum(map(len, held)) >= least:
+                whole = pa.concat_tables(held)
+                n = len(whole) if least == 1 else len(whole) // GROUP_ROWS * GROUP_ROWS
+                opened[5].write_table(whole.slice(0, n), row_group_size=GROUP_ROWS)
+                held[:] = [whole.slice(n)] if n < len(whole) else []
+
+        def close() -> tuple:
+            flush(1)
+            opened[5].close()
+            opened[4].close()
+            name = opened[3].replace(f"_{attempt}-", "")
+            if opened[2].get_file_info(name).type != fs.FileType.NotFound:
+                opened[2].delete_file(name)
+            opened[2].move(opened[3], name)
+            return opened[0], name.rpartition("/")[2], opened[1]
+
+        for b in batches:
+            names, done = b.column(len(ride_along)), []
+            ends = [*(np.flatnonzero(np.asarray(pc.not_equal(names.slice(1), names.slice(0, len(names) - 1)))) + 1).tolist(), len(names)]
+            for start, end in zip([0, *ends[:-1]], ends, strict=True):
+                message = names[start].as_py()
+                if opened and opened[0] != message:
+                    done.append(close())
+                    opened.clear()
+                part = b.slice(start, end - start)
+                values = part.column(len(ride_along) + 1)
+                k = len(types.value[message])
+                cells = pa.array(np.asarray(values.flatten().to_numpy(zero_copy_only=False), "f8").reshape(-1, k).T.ravel(), from_pandas=False)
+                missing = values.flatten().is_null().to_numpy(zero_copy_only=False).reshape(-1, k)
+                columns = [pa.array(np.asarray(cells.slice(i * len(part), len(part))), mask=missing[:, i]) for i in range(k)]
+                columns = [c.cast(pa.int8()) if t == pa.int8() else pc.not_equal(c, 0.0) if t == pa.bool_() else c.cast(t, safe=False) for c, (_, t) in zip(columns, types.value[message], strict=True)]
+                table = pa.Table.from_arrays([*part.columns[: len(ride_along)], *columns], names=[*ride_along, *[n for n, _ in types.value[message]]])
+                if not opened:
+                    system, folder = located(f"{path}/{message}.parquet")
+                    system.create_dir(folder, recursive=True)
+                    temporary = f"{folder}/_{attempt}-part-{number:05d}.parquet"
+                    stream = system.open_output_stream(temporary)
+                    opened[:] = [message, 0, system, temporary, stream, pq.ParquetWriter(stream, table.schema, compression="gzip")]
+                opened[1] += len(table)
+                held.append(table)
+                flush(GROUP_ROWS)
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done, strict=True)], names=["msg_name", "file", "rows"])
+        if opened:
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in close()], names=["msg_name", "file", "rows"])
+
+    dealt = rows.select(*ride_along, "msg_name", "values").repartitionByRange("msg_name", *ride_along).sortWithinPartitions("msg_name", *ride_along)
+    files = dealt.mapInArrow(write, "msg_name string, file string, rows long").collect()  # a row a file
+    return matched.sparkSession.createDataFrame(files, "msg_name string, file string, rows long")
 
 
 def translated_names(matched: DataFrame, name: str = "msg_name") -> DataFrame:

@@ -250,10 +250,13 @@ def _jn5(spark, sf_dir):
     return fx.bus429(spark, sf_dir).join(translate.dimension(translate.bus_channels(fx.channels(spark))), ["channelid", "bus"]).select("packet", "l_linenumber", "name")
 
 
-@query("TRN1", f"WITH {_LOOKUP} SELECT time, ({W[0]} >> 4)::DOUBLE AS alt, (({W[3]} >> 11) & 1) = 1 AS ok, ({W[4]} - CASE WHEN {W[4]} >= 32768 THEN 65536 ELSE 0 END)::DOUBLE * (64.0::DOUBLE / 16384) AS turn, {_FLOAT.format(f'({_FIELD2} - CASE WHEN {_FIELD2} >= 4194304 THEN 8388608 ELSE 0 END)::DOUBLE * (512.0::DOUBLE / 2097152)')} AS vel FROM matched WHERE msg_name = 'NAV'")
-def _trn1(spark, sf_dir):
-    tables, _ = translate.translate_1553(fx.bus1553(spark, sf_dir), fx.icd_1553(spark), fx.bus_map(spark))
-    return tables["NAV"].select("time", *[F.col(c).cast("double").alias(c) for c in ("alt", "turn", "vel")], "ok")
+def _below(tables, along):
+    """The tables of all messages, elements as rows, one below the other."""
+    out = []
+    for m, t in tables.items():
+        cells = F.array(*[F.struct(F.lit(c).alias("elem_name"), F.col(c).cast("double").alias("value")) for c in t.columns if c not in along])
+        out.append(t.select(*along, F.lit(m).alias("msg_name"), F.explode(cells).alias("e")).select(*along, "msg_name", "e.*"))
+    return reduce(DataFrame.unionByName, out)
 
 
 _WORD32 = "((CASE WHEN parity THEN 2147483648 ELSE 0 END)::BIGINT + SSM::BIGINT * 536870912 + data::BIGINT * 1024)"
@@ -272,12 +275,6 @@ def _trn2(spark, sf_dir):
     return reduce(DataFrame.unionByName, [t.select("time", F.lit(w).alias("word_name"), F.lit(t.columns[1]).alias("elem_name"), F.col(t.columns[1]).cast("double").alias("value")) for w, t in tables.items()])
 
 
-@query("TRN3", f"WITH {_LOOKUP} SELECT time, l_orderkey, l_linenumber, (({W[6]} * 65536 + {W[7]})::DOUBLE * (1024.0::DOUBLE / 2147483648)) AS rpm FROM matched WHERE msg_name = 'ENG'")
-def _trn3(spark, sf_dir):
-    tables, _ = translate.translate_1553(fx.bus1553(spark, sf_dir), fx.icd_1553(spark), fx.bus_map(spark), ride_along=("time", "l_orderkey", "l_linenumber"))
-    return tables["ENG"]
-
-
 @query("TRN4", f"WITH {_LOOKUP}, m AS (SELECT msg_name, min(elem_name) AS first_elem, count(*) AS elements FROM icd GROUP BY msg_name) SELECT matched.msg_name, elements, count(*) AS rows FROM matched JOIN m USING (msg_name) GROUP BY ALL")
 def _trn4(spark, sf_dir):
     messages = translate.message_table(fx.icd_1553(spark)).select("msg_name", "elements")
@@ -310,6 +307,36 @@ def _trn6(spark, sf_dir):
     return translate.translate_long(_matched(spark, sf_dir), fx.icd_1553(spark))
 
 
+@query("TRN1", ORACLES["TRN6"])
+def _trn1(spark, sf_dir):
+    tables, _ = translate.translate_1553(fx.bus1553(spark, sf_dir), fx.icd_1553(spark), fx.bus_map(spark))
+    return _below(tables, ["time"])
+
+
+@query("TRN3", ORACLES["TRN6"].replace("time, msg_name", "time, l_orderkey, l_linenumber, msg_name"))
+def _trn3(spark, sf_dir):
+    along = ("time", "l_orderkey", "l_linenumber")
+    tables, _ = translate.translate_1553(fx.bus1553(spark, sf_dir), fx.icd_1553(spark), fx.bus_map(spark), ride_along=along)
+    return _below(tables, list(along))
+
+
+@query("TRN6_429", ORACLES["TRN2"])
+def _trn6_429(spark, sf_dir):
+    return translate.translate_long_429(translate.match_429(fx.bus429(spark, sf_dir), translate.lookup_429(fx.icd_429(spark), fx.channels(spark))), fx.icd_429(spark))
+
+
+_FOUR = "(data[1]::HUGEINT * 281474976710656 + data[2]::HUGEINT * 4294967296 + data[3]::HUGEINT * 65536 + data[4]::HUGEINT)"
+
+
+@query("TRN6_wide", f"WITH {fx.BUS1553} SELECT time, l_orderkey, l_linenumber, 'NAV' AS msg_name, u.e AS elem_name, CASE u.e WHEN 'four' THEN {_FOUR}::DOUBLE ELSE ((({_FOUR} >> 4) & 1152921504606846975::HUGEINT)::DOUBLE - CASE WHEN data[1] >= 32768 THEN 1152921504606846976.0::DOUBLE ELSE 0.0::DOUBLE END) END AS value FROM bus1553, (VALUES ('four'), ('signed')) u(e)")
+def _trn6_wide(spark, sf_dir):
+    """Fields of four words."""
+    doc = fx.icd_1553(spark).where("elem_name = 'alt'").withColumns({"elem_word_count": F.lit(4), "msb_val": F.lit(0.0), "bitmsb": F.lit(1)})
+    doc = doc.withColumns({"elem_name": F.lit("four"), "bitlsb": F.lit(16), "bit_count": F.lit(64)}).unionByName(doc.withColumns({"elem_name": F.lit("signed"), "bitlsb": F.lit(12), "bit_count": F.lit(60), "schema": F.lit("SIGNEDBITS")}))
+    along = ("time", "l_orderkey", "l_linenumber")
+    return translate.translate_long(fx.bus1553(spark, sf_dir).withColumn("msg_name", F.lit("NAV")), doc, ride_along=along)
+
+
 @query("FLT9", f"WITH {_LOOKUP} SELECT time, msg_name FROM matched WHERE msg_name IN ('NAV', 'ENG')")
 def _flt9(spark, sf_dir):
     return _matched(spark, sf_dir, ["NAV", "ENG"]).select("time", "msg_name")
@@ -397,7 +424,11 @@ def _agg8(spark, sf_dir):
     return busmap.vote_winners(words, busmap.vote_counts(words, _keys(spark)))
 
 
-QUERIES["WIN4"], ORACLES["WIN4"] = QUERIES["AGG8"], ORACLES["AGG8"]
+@query("WIN4", "WITH t AS (SELECT l_partkey, l_suppkey, sum(l_quantity)::BIGINT AS total FROM lineitem GROUP BY ALL), r AS (SELECT *, rank() OVER (PARTITION BY l_partkey ORDER BY total DESC) AS r FROM t) SELECT l_partkey, min(l_suppkey) AS l_suppkey, min(total) AS total, count(*) > 1 AS tied FROM r WHERE r = 1 GROUP BY l_partkey")
+def _win4(spark, sf_dir):
+    """The supplier of most pieces of each part."""
+    totals = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_partkey", "l_suppkey").agg(F.sum("l_quantity").cast("long").alias("total"))
+    return busmap.arg_max(totals, ["l_partkey"], "total", "l_suppkey")
 
 
 @query("AGG9", f"WITH {_VOTES} SELECT s.channelid, s.key, array_to_string(list_sort(list(DISTINCT bus)), ',') AS v FROM seen s JOIN keys USING (key) GROUP BY ALL")
@@ -423,6 +454,16 @@ def _bus1(spark, sf_dir):
     return busmap.resolve_bus_map(fx.commwords(spark, sf_dir), _keys(spark), fx.tmats(spark), overrides=overrides).bus_map
 
 
+@query("BUS1_checked", f"WITH {_WINNERS}, {fx.TMATS_SQL}, s AS (SELECT channelid, CASE source WHEN 'spare' THEN 'A and more' ELSE source END AS source FROM tmats) SELECT w.channelid, w.bus, CASE WHEN upper(source) LIKE '%LEFT%' THEN 'Excluded' WHEN w.bus IS NULL THEN w.reason WHEN source IS NULL THEN 'Missing From TMATS' WHEN contains(w.bus, source) OR contains(source, w.bus) THEN 'Vote Method & TMATS' ELSE 'TMATS Mismatch' END AS verdict FROM winners w LEFT JOIN s USING (channelid)")
+def _bus1_checked(spark, sf_dir):
+    """A vote that attributes must agree with, after corrections of their names, without excluded channels."""
+    words, keys = fx.commwords(spark, sf_dir), _keys(spark)
+    found = busmap.resolve_bus_map(words, keys, fx.tmats(spark), check_tmats=True, exclusions=spark.createDataFrame([("left",)], "word string"), corrections=spark.createDataFrame([("spare", "A and more")], "old string, new string"))
+    verdicts = found.bus_map.select("channelid", F.col("source").alias("verdict")).unionByName(found.excluded.select("channelid", F.col("reason").alias("verdict")))
+    winners = busmap.vote_winners(words, busmap.vote_counts(words, keys)).select("channelid", "bus")
+    return winners.join(verdicts, "channelid").select("channelid", "bus", "verdict")
+
+
 @query("BUS2", f"WITH {fx.COMMWORDS}, {fx.TMATS_SQL}, {fx.ICD1553}, r AS (SELECT DISTINCT channelid FROM commwords) SELECT r.channelid, b.bus_name AS bus, CASE WHEN source IS NULL THEN 'Missing From TMATS' WHEN b.bus_name IS NULL THEN 'TMATS Bus Name Not in DTS File' END AS reason FROM r LEFT JOIN tmats USING (channelid) LEFT JOIN (SELECT DISTINCT bus_name FROM icd) b ON source = bus_name")
 def _bus2(spark, sf_dir):
     words = fx.commwords(spark, sf_dir)
@@ -536,23 +577,12 @@ def _str3(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", F.upper("p_name").alias("up"), F.lower("p_type").alias("low"), F.contains("p_name", F.lit("a")).alias("has"), F.replace("p_brand", F.lit("#"), F.lit("-")).alias("rep"), F.array_join(F.split("p_type", " "), "/").alias("parts"), F.rtrim("p_name", F.lit("ety")).alias("trimmed"))
 
 
-@query("STR4", r"SELECT doc_id, regexp_matches(left(text, 3), '^[+-]?[0-9]+$') AS is_int, strlen(text) = length(text) AS is_ascii FROM documents WHERE text IS NOT NULL")
-def _str4(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null").select("doc_id", text.is_integer(F.substring("text", 1, 3)).alias("is_int"), text.is_ascii(F.col("text")).alias("is_ascii"))
-
-
-@query("STR5", "SELECT doc_id, sha256(sha256(text) || '2020-01-01' || '1.0' || source) AS uid FROM documents WHERE text IS NOT NULL AND source IS NOT NULL")
-def _str5(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null and source is not null")
-    return docs.select("doc_id", text.uid(F.sha2("text", 256), F.lit("2020-01-01"), F.lit("1.0"), F.col("source")).alias("uid"))
-
-
 _VALUES = "(SELECT doc_id, 'text' AS kind, text AS value FROM documents UNION ALL SELECT doc_id, 'int', (-n_chars)::VARCHAR FROM documents UNION ALL SELECT doc_id, 'float', n_chars::VARCHAR || '.5e-2' FROM documents)"
 _VALID = "CASE WHEN {0} IS NOT NULL THEN octet_length({0}) > 0 AND TRY(decode({0})) IS NOT NULL END"
 
 
-@query("STR4_whole", rf"SELECT doc_id, kind, regexp_matches(value, '^[+-]?[0-9]+$') AS is_int, regexp_matches(value, '^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$') AS is_float, value <> '' AND strlen(value) = length(value) AS is_ascii, {_VALID.format('encode(value)')} AS is_utf8, {_VALID.format('encode(value)[1:50]')} AS is_utf8_cut FROM {_VALUES}")
-def _str4_whole(spark, sf_dir):
+@query("STR4", rf"SELECT doc_id, kind, regexp_matches(value, '^[+-]?[0-9]+$') AS is_int, regexp_matches(value, '^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$') AS is_float, value <> '' AND strlen(value) = length(value) AS is_ascii, {_VALID.format('encode(value)')} AS is_utf8, {_VALID.format('encode(value)[1:50]')} AS is_utf8_cut FROM {_VALUES}")
+def _str4(spark, sf_dir):
     """All predicates over whole texts and numbers as text; is_utf8_cut is that of the first 50 bytes, which may end within a character."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     number = F.col("n_chars").cast("string")
@@ -562,8 +592,8 @@ def _str4_whole(spark, sf_dir):
     return rows.select("doc_id", "kind", text.is_integer(value).alias("is_int"), text.is_number(value).alias("is_float"), ((value != "") & text.is_ascii(value)).alias("is_ascii"), text.is_valid_utf8(data).alias("is_utf8"), text.is_valid_utf8(F.substring(data, 1, 50)).alias("is_utf8_cut"))
 
 
-@query("STR5_nulls", "SELECT doc_id, sha256(sha256(text) || '2020-01-01' || '1.0' || source) AS uid FROM documents")
-def _str5_nulls(spark, sf_dir):
+@query("STR5", "SELECT doc_id, sha256(sha256(text) || '2020-01-01' || '1.0' || source) AS uid FROM documents")
+def _str5(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return docs.select("doc_id", text.uid(F.sha2("text", 256), F.lit("2020-01-01"), F.lit("1.0"), F.col("source")).alias("uid"))
 
@@ -622,7 +652,11 @@ def _srt1(spark, sf_dir):
     return fx.packets(spark, sf_dir).select("channelid", "pkt_offset", "rtc").repartitionByRange("channelid", "pkt_offset").sortWithinPartitions("channelid", "pkt_offset")
 
 
-QUERIES["SRT2"], ORACLES["SRT2"] = QUERIES["AGG4"], ORACLES["AGG4"]
+@query("SRT2", "SELECT l_orderkey AS channelid, array_to_string(list_sort(list(DISTINCT l_partkey)), ',') AS labels FROM lineitem GROUP BY l_orderkey")
+def _srt2(spark, sf_dir):
+    """Sets of a great many groups, each sorted; repeats go before the sets are gathered."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_orderkey").alias("channelid"), F.col("l_partkey").alias("label"))
+    return metadata.labels(rows).select("channelid", F.array_join(F.transform("labels", lambda x: x.cast("string")), ",").alias("labels"))
 
 # --- flattening -----------------------------------------------------------------------------------------------------
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 import struct
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from busframe.functions import timebase
@@ -139,10 +139,23 @@ def _lim1(spark, sf_dir):
     return _recorded(spark, sf_dir, "lim1", chunk=FIRST, maxChunks=1).where("data_type <> 1").select("rtc", "offset")
 
 
-@query("QLT4", f"SELECT DISTINCT printf('%08d', event_id // {EVENTS}) || '.ch10' AS name, (event_id // {EVENTS}) % 2 = 0 AS equal FROM events")
+@query("QLT4", f"SELECT DISTINCT printf('%08d', event_id // {EVENTS}) || '.ch10' AS name, (event_id // {EVENTS}) % 2 = 0 AS equal, CASE WHEN (event_id // {EVENTS}) % 2 = 1 THEN 0 ELSE -1 END AS first_difference FROM events")
 def _qlt4(spark, sf_dir):
+    """Files of many blocks; in those that differ every event does."""
     a, b = (write_recordings(spark, sf_dir, "qlt4", x) for x in (0, 4))
-    return quality.compare_files(spark, a, b).select("name", "equal")
+    return quality.compare_files(spark, a, b, block=4096).select("name", "equal", F.coalesce("first_difference", F.lit(-1)).cast("int").alias("first_difference"))
+
+
+@query("QLT1_positions", "SELECT c AS \"column\", true AS in_both, true AS same_type, n AS rows, (c = 'o_totalprice')::BIGINT AS different, c <> 'o_totalprice' AS passed FROM (SELECT count(*) AS n FROM orders), (VALUES ('o_orderkey'), ('o_custkey'), ('o_totalprice')) t(c)")
+def _qlt1_positions(spark, sf_dir):
+    """Two written tables in which one value differs: rows of its block alone are matched."""
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
+    least = rows.agg(F.min("o_orderkey")).first()[0]
+    folders = [shared_folder(spark, f"qlt1{x}") for x in "ab"]
+    for folder, more in zip(folders, (0.0, 1.0), strict=True):
+        price = F.when(F.col("o_orderkey") == F.lit(least), F.col("o_totalprice") + more).otherwise(F.col("o_totalprice"))
+        rows.select("o_orderkey", "o_custkey", price.alias("o_totalprice")).repartition(8, "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(folder)
+    return quality.compare_positions(spark, *folders)
 
 
 _429 = "time, channelid, bus, label, SDI, data, SSM, parity"
@@ -159,6 +172,17 @@ def _snk1(spark, sf_dir):
     return read_parsed(spark, f"{folder}/429.parquet", "time long, channelid int, bus int, label int, SDI int, data int, SSM int, parity boolean")
 
 
+@query("SNK1_groups", f"WITH {fx.BUS429} SELECT count(*) AS rows, true AS bounded, true AS sorted FROM bus429")
+def _snk1_groups(spark, sf_dir):
+    """Row groups as their footers have them: none over 10,000 rows, each with statistics that begin where the one before ends."""
+    folder = shared_folder(spark, "snk1")
+    _parsed_429(spark, sf_dir, folder)
+    groups = parse.row_groups(spark, folder, "time")
+    before = F.lag("greatest").over(Window.partitionBy("file").orderBy("row_group"))
+    groups = groups.withColumn("follows", F.coalesce(F.col("least") >= before, F.col("least").isNotNull()))
+    return groups.agg(F.sum("rows").alias("rows"), (F.max("rows") <= 10_000).alias("bounded"), F.min("follows").alias("sorted"))
+
+
 @query("SRC3", f"WITH {fx.BUS429} SELECT {_429} FROM bus429")
 def _src3(spark, sf_dir):
     """Two tables of side files lie in the same directory, and a text file."""
@@ -237,7 +261,8 @@ def _snk2(spark, sf_dir):
     """A directory per message; all are read back, elements as rows."""
     folder, elements = shared_folder(spark, "snk2"), translate.collect_elements(fx.icd_1553(spark), "msg_name", ["msg_name", "elem_name"])
     matched = translate.match_1553(fx.bus1553(spark, sf_dir), translate.lookup_1553(fx.icd_1553(spark), fx.bus_map(spark)))
-    translate.write_tables(matched, lambda rows, n: rows.select("time", *[translate.element_1553(e).alias(e["elem_name"]) for e in elements[n]]), list(elements), folder)
+    written = {r["msg_name"] for r in translate.write_tables(matched, fx.icd_1553(spark), folder).collect()}
+    elements = {n: own for n, own in elements.items() if n in written}
     out = None
     for n, own in elements.items():
         cells = F.array(*[F.struct(F.lit(e["elem_name"]).alias("elem_name"), F.col(e["elem_name"]).cast("double").alias("value")) for e in own])
@@ -261,6 +286,28 @@ def _snk4(spark, sf_dir):
     return spark.read.json(folder)
 
 
+_UIDS = "(SELECT sha256(string_agg(uid, '' ORDER BY path) || '2020-01-01' || '1.0' || 'parsed_429') FROM (SELECT r_name AS path, sha256(lower(r_name)) AS uid FROM region))"
+
+
+@query("SNK4_document", f"""WITH {fx.BUS429}, c AS (SELECT channelid, list_sort(list(DISTINCT label)) AS labels, list_sort(list(DISTINCT bus)) AS buses FROM bus429 GROUP BY channelid), b AS (SELECT channelid, bus, list_sort(list(DISTINCT label)) AS labels FROM bus429 GROUP BY ALL)
+    SELECT b.channelid::VARCHAR AS channelid, b.bus::VARCHAR AS bus, 'parsed_429' AS type, {_UIDS} AS uid, '1.0' AS version, (SELECT count(*) FROM region) AS resources, 'abc' AS setting, array_to_string(b.labels, ',') AS bus_labels, array_to_string(c.labels, ',') AS labels, array_to_string(c.buses, ',') AS buses FROM b JOIN c USING (channelid)""")
+def _snk4_document(spark, sf_dir):
+    """The document of a written table, read back from its JSON and laid out by channel and bus."""
+    folder = shared_folder(spark, "snk4")
+    _parsed_429(spark, sf_dir, f"{folder}/429.parquet")
+    words = read_parsed(spark, f"{folder}/429.parquet", "channelid int, bus int, label int")
+    resources = spark.read.parquet(f"{sf_dir}/region.parquet").select(F.lit("recording").alias("type"), F.col("r_name").alias("path"), F.sha2(F.lower("r_name"), 256).alias("uid"))
+    metadata.write_metadata(metadata.document("429", words, resources, {"chunk": "abc"}, time="2020-01-01", version="1.0"), f"{folder}/document")
+    kind = "type string, uid string, provenance struct<time: string, version: string, resource: array<struct<type: string, path: string, uid: string>>>, config map<string, string>, runtime struct<chanid_to_labels: map<string, array<int>>, chanid_to_bus_numbers: map<string, array<int>>, chanid_to_bus_numbers_to_labels: map<string, map<string, array<int>>>>"
+    read = spark.read.schema(kind).json(f"{folder}/document")
+    shown = lambda x: F.array_join(F.transform(x, lambda v: v.cast("string")), ",")
+    rows = read.select("*", F.explode("runtime.chanid_to_bus_numbers_to_labels").alias("channelid", "own")).select("*", F.explode("own").alias("bus", "of_bus"))
+    return rows.select(
+        "channelid", "bus", "type", "uid", "provenance.version", F.size("provenance.resource").cast("long").alias("resources"), F.element_at("config", "chunk").alias("setting"), shown(F.col("of_bus")).alias("bus_labels"),
+        shown(F.element_at("runtime.chanid_to_labels", F.col("channelid"))).alias("labels"), shown(F.element_at("runtime.chanid_to_bus_numbers", F.col("channelid"))).alias("buses"),
+    )
+
+
 @query("SNK5", f"WITH {fx.BUS1553} SELECT channelid::VARCHAR AS channelid, array_to_string(list_transform(data, lambda w: lower(printf('%04X', w))), '') AS chunk FROM bus1553")
 def _snk5(spark, sf_dir):
     """The streams' files, read back as chunks of 64 bytes."""

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from busframe.functions import bits, text, timebase
 from busframe.operators import alignment, flatten
 from busframe.schemas import ARINC429, ETHERNET, MILSTD1553, TIME_FIXES, VIDEO
+from busframe.sources.packets import located
+from busframe.sources.tables import listing
 
 TIME_TYPE = 0x11
 #: Bytes of a recording in one range of the as-of join.
@@ -128,9 +134,31 @@ def parse_video(packets: DataFrame) -> DataFrame:
 PARSERS = {"1553": parse_1553, "429": parse_429, "ethernet": parse_ethernet, "video": parse_video}
 
 
-def write_parsed(rows: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """A parsed table as gzip Parquet, in `order` within each file."""
-    (rows.sortWithinPartitions(*order) if order else rows).write.mode("overwrite").option("compression", "gzip").parquet(path)
+def write_parsed(rows: DataFrame, path: str, order: list[str] | None = None, group_rows: int = 10_000) -> None:
+    """A parsed table as gzip Parquet, in `order` within each file, at most so many rows in a row group."""
+    rows = rows.sortWithinPartitions(*order) if order else rows
+    rows.write.mode("overwrite").option("compression", "gzip").option("parquet.block.row.count.limit", group_rows).parquet(path)
+
+
+def row_groups(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """(file, row_group, rows, least, greatest) of a table's row groups by their footers, which tasks read; least and greatest of a column of whole numbers, null without statistics."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for name in b["name"]:
+                system, at = located(f"{path.rstrip('/')}/{name}")
+                with system.open_input_file(at) as f:
+                    meta = pq.ParquetFile(f).metadata
+                for i in range(meta.num_row_groups):
+                    group = meta.row_group(i)
+                    own = next(c for c in map(group.column, range(group.num_columns)) if c.path_in_schema == column)
+                    known = own.statistics is not None and own.statistics.has_min_max
+                    out.append((name, i, group.num_rows, own.statistics.min if known else None, own.statistics.max if known else None))
+            yield pd.DataFrame(out, columns=["file", "row_group", "rows", "least", "greatest"])
+
+    names = spark.createDataFrame([(n,) for n, _ in listing(spark, path) if n.endswith(".parquet")], "name string")
+    return names.repartition("name").mapInPandas(read, "file string, row_group int, rows long, least long, greatest long")
 
 
 def write_attributes(texts: DataFrame, path: str) -> None:
