@@ -51,7 +51,8 @@ def uid(content_hash: Column, time: Column, version: Column, label: Column) -> C
 
 def _mapped(rows: DataFrame, value: Column | str, name: str) -> DataFrame:
     """One row: a map of channelid (as text, as JSON's keys are) to a value, in order of the channels."""
-    entries = F.array_sort(F.collect_list(F.struct("channelid", (F.col(value) if isinstance(value, str) else value).alias("v"))))
+    by_channel = lambda a, b: F.when(a["channelid"] < b["channelid"], -1).when(a["channelid"] > b["channelid"], 1).otherwise(0)
+    entries = F.array_sort(F.collect_list(F.struct("channelid", (F.col(value) if isinstance(value, str) else value).alias("v"))), by_channel)
     return rows.agg(F.map_from_entries(F.transform(entries, lambda e: F.struct(e["channelid"].cast("string"), e["v"]))).alias(name))
 
 
