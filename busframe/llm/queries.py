@@ -109,13 +109,13 @@ QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_multiset_fingerprin
 ORACLES: dict[str, str] = {
     "op4_threshold_topk": """
         WITH whole AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
-            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
-        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+            SELECT q.r, q.vec_id AS query_id, c.vec_id, coalesce(list_inner_product(q.v, c.v), 0)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op9_reply_tree_chat": r"""
         WITH said AS (

@@ -198,6 +198,35 @@ def test_html():
     assert len(main_text("<p>" + "word " * 400_000 + "</p>")) == 5 * 400_000 - 1
 
 
+@pytest.mark.parametrize("page", ["<div>x", "<form>x", '<a b="', '<a x=">"', "<svg>x", "<p>x", "<ul><li>x", '<div class="cookies-recipe">x', "<a '\">", "<!--", "<a", '<div class="in-article-ad">x'])
+def test_html_deep(page):
+    """Time grows with the page, whatever is left open in it."""
+    import time
+
+    from busframe.llm.html_text import main_text
+
+    began = time.process_time()
+    main_text(page * 200_000)
+    for closing in ("</section>", "</p>", "</a>", "-->"):
+        main_text(page * 20_000 + closing * 20_000)
+    assert time.process_time() - began < 20
+
+
+def test_html_boxes():
+    """A name decides where it says nothing else; where it does, what the box holds."""
+    from busframe.llm.html_text import main_text
+
+    say = lambda x: f"The {x} of this matter is told here at some length, in plain words, so that it reads as any paragraph does."
+    page = lambda box: f"<body><nav><a href=x>Home</a></nav><article><h1>Title</h1><p>{say('first')}</p>{box}<p>{say('last')}</p></article><footer>(c)</footer></body>"
+    plain = f"Title {say('first')} {say('last')}"
+    for name in ("outbrain", "taboola-feed", "dianomi", "paywall-prompt", "author-bio", "tag-cloud", "talkback", "guestbook", "privacy-bar", "you-may-like", "more-stories", "popular-posts", "trending", "mpu", "leaderboard", "share-this", "in-article-ad", "cookiePolicyBox", "comments", "notice"):
+        assert main_text(page(f'<div class="{name}"><p>{say("box")}</p></div>')) == plain, name
+    for name in ("consent-theory", "cookies-recipe", "sidebar-note", "promo-theory"):
+        assert main_text(page(f'<div class="{name}"><p>{say("box")}</p></div>')) == f"Title {say('first')} {say('box')} {say('last')}", name
+        assert main_text(page(f'<div class="{name}"><p>Buy it now</p></div>')) == plain, name
+        assert main_text(page(f'<div class="{name}"><p><a href=x>{say("box")}</a></p></div>')) == plain, name
+
+
 def test_html_table(spark):
     from busframe.llm.html_text import extract
 
@@ -207,21 +236,24 @@ def test_html_table(spark):
     assert extract(p.limit(0), keep=["page_id"]).count() == 0
 
 
-def test_topk(spark):
+@pytest.mark.parametrize("queries", [16_384, 3])
+def test_topk(spark, monkeypatch, queries):
     from busframe.llm import topk
 
+    monkeypatch.setattr(topk, "QUERIES", queries)
+    monkeypatch.setattr(topk, "BLOCK", 40)
     r = np.random.default_rng(1)
-    v = [(i, r.normal(size=8).astype("f4").tolist(), 0) for i in range(300)] + [(300, None, 1), (301, [], 1), (302, [1.0, None] + [0.0] * 6, 1), (303, [float("nan")] * 8, 1), (304, [float("inf")] * 8, 1), (305, [0.5, 0.25], 1), (350, [1.0, 2.0], 1), (None, [1.0] * 8, 1)]
-    v += [(i + 1000, v[7][1], 2) for i in range(8)]
-    out = topk.search(spark.createDataFrame(v, "vec_id long, embedding array<float>, rank int"), F.col("vec_id") % 50 == 0, 5)
-    got = sorted(map(tuple, out.select("query_id", "rank", "vec_id", "score").collect()))
-    whole = {i: np.floor(256 * np.array(x, "f4").astype("f8")).astype("i8") for i, x, _ in v if i is not None and x and None not in x and np.isfinite(x).all()}
-    want = []
-    for q in whole:
+    v = [(i, r.normal(size=8).astype("f4").tolist(), 0) for i in range(300)] + [(300, None, 1), (301, [], 1), (450, [], 1), (302, [1.0, None] + [0.0] * 6, 1), (303, [float("nan")] * 8, 1), (304, [float("inf")] * 8, 1), (305, [0.5, 0.25], 1), (350, [1.0, 2.0], 1), (None, [1.0] * 8, 1)]
+    v += [(i + 1000, v[7][1], 2) for i in range(8)] + [(50, [1.0, 1.0], 1), (50, [3.0, 3.0], 1), (50, [3.0, 3.0], 1), (100, v[100][1], 1)]  # repeated ids and rows
+    out = topk.search(spark.createDataFrame(v, "vec_id long, embedding array<float>, rank int").repartition(3), F.col("vec_id") % 50 == 0, 5)
+    got = Counter(map(tuple, out.select("query_id", "rank", "vec_id", "score").collect()))
+    whole = [(i, np.floor(256 * np.array(x, "f4").astype("f8")).astype("i8")) for i, x, _ in v if i is not None and x is not None and None not in x and np.isfinite(x).all()]
+    want = Counter()
+    for a, (q, x) in enumerate(whole):
         if q % 50 == 0:
-            best = sorted((-int(whole[q] @ x), i) for i, x in whole.items() if i != q and len(x) == len(whole[q]))[:5]
-            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
-    assert got == sorted(want)
+            best = sorted((-int(x @ y), i) for b, (i, y) in enumerate(whole) if a != b and len(x) == len(y))[:5]
+            want.update((q, k + 1, i, -s) for k, (s, i) in enumerate(best))
+    assert got == want
     assert topk.search(out.select(F.col("vec_id"), F.array("score").cast("array<float>").alias("embedding")).limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
