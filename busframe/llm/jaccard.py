@@ -362,15 +362,33 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return groups(docs, id_col=id_col, text_col=text_col).select("doc_id", "n_shingles", "component_id")
 
 
-def tile_blocks(rows: DataFrame, hot_rows: int) -> DataFrame:
-    """Adds `block` to (token, ...). A tile of over hot_rows rows is cut by node into parts, and each pair of parts is a block, so that any two nodes meet in one."""
-    hot = rows.groupBy("token").count().where(F.col("count") > hot_rows).select("token", F.ceil(F.col("count") / hot_rows).cast("int").alias("parts"))
-    if hot.isEmpty():
-        return rows.withColumn("block", F.lit(0))
-    rows = rows.join(hot, "token", "left")
-    mine = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.least(x, mine) * F.col("parts") + F.greatest(x, mine))
-    return rows.withColumn("block", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(pairs))).drop("parts")
+def hot_tiles(rows: DataFrame, hot_rows: int) -> DataFrame:
+    """(token, parts) of the tiles of over hot_rows rows: how many parts of about so many they are cut into."""
+    return rows.groupBy("token").count().where(F.col("count") > hot_rows).select("token", F.ceil(F.col("count") / hot_rows).cast("int").alias("parts"))
+
+
+def cut_tiles(rows: DataFrame, hot: DataFrame, salts: int = 2) -> DataFrame:
+    """Adds `block` to (token, ...): 0, and in a hot tile one of `salts` numbers for each row, by as many cuts of its nodes into parts."""
+    cold = rows.join(hot, "token", "left_anti").withColumn("block", F.lit(0))
+    mine = F.array(*[F.lit(i) * F.col("parts") + F.pmod(F.xxhash64("node", F.lit(i)), F.col("parts")).cast("int") for i in range(salts)])
+    return cold.unionByName(rows.join(hot, "token").withColumn("block", F.explode(mine)).drop("parts"))
+
+
+def open_tiles(rows: DataFrame, hot: DataFrame, roots: DataFrame, hot_rows: int) -> DataFrame:
+    """Blocks in which each node outside a hot tile's largest component meets all others of the tile; roots: (node, root) as far as known.
+
+    Where the tile is one component, as one of near copies is after its first cuts, there is none. A tile whose nodes don't link
+    keeps as many rows as its nodes' pairs, divided by the size of a block.
+    """
+    rows = rows.join(hot, "token").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    by_root = rows.groupBy("token", "root").agg(F.count("*").alias("n"))
+    outside = by_root.groupBy("token").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"))
+    outside = outside.select("token", F.col("most.root").alias("major"), F.ceil((F.col("n") - F.col("most.n")) / hot_rows).cast("int").alias("asking")).where("asking > 0")
+    rows = rows.join(outside, "token")
+    own, target = F.pmod(F.xxhash64("node", F.lit(2)), F.col("asking")).cast("int"), F.pmod(F.xxhash64("node", F.lit(3)), F.col("parts")).cast("int")
+    asks = rows.where("root <> major").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("block", own * F.col("parts") + F.col("part"))
+    told = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("asking") - 1))).withColumn("block", F.col("part") * F.col("parts") + target)
+    return asks.unionByName(told).select("token", "block", "node", "n").distinct()
 
 
 def clusters_to_links(scratch: Scratch, sets: DataFrame, part_bytes: int) -> DataFrame | None:
@@ -434,13 +452,22 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", h
     shared = scratch.write(index.repartition(parts, "token").sortWithinPartitions("token", "n", "node").mapInArrow(lean(_shared), "token long, node long, n int"), "shared")
     detail = own.groupBy("node").agg(F.min(F.struct("bits", "key")).alias("s"))
     detail = scratch.write(detail.join(shared.select("node").distinct(), "node", "left_semi").select("node", "s.*"), "detail")
-    tiles = tile_blocks(shared, hot_rows).join(detail.select("node", "bits"), "node").select("token", "block", "node", "n", "bits")
-    met = tiles.repartition(parts, "token", "block").sortWithinPartitions("token", "block", "n", "node").mapInArrow(lean(_met), "u long, v long")
-    met = scratch.write(met.distinct(), "met")
+
+    def meet(tiles: DataFrame, name: str) -> DataFrame:
+        tiles = tiles.join(detail.select("node", "bits"), "node").select("token", "block", "node", "n", "bits")
+        met = tiles.repartition(parts, "token", "block").sortWithinPartitions("token", "block", "n", "node").mapInArrow(lean(_met), "u long, v long")
+        return scratch.write(met.distinct(), name)
+
+    hot = scratch.write(hot_tiles(shared, hot_rows), "hot")
+    if hot.isEmpty():
+        met = meet(shared.withColumn("block", F.lit(0)), "met")
+    else:
+        met = meet(cut_tiles(shared, hot), "met")
+        met = met.unionByName(meet(open_tiles(shared, hot, connected_components(scratch, met, "tiles"), hot_rows), "met-open"))
     roots = None
     if not met.isEmpty():
         clusters = connected_components(scratch, met, "clusters")
-        scratch.drop("shared", "met")
+        scratch.drop("shared", "met", "met-open", "hot")
         clusters = scratch.write(clusters.join(detail.select("node", "key"), "node").select("node", "key", F.col("root").alias("cluster")), "cluster")
         mask = np.zeros(FILTER, bool)
         mask[clusters.select(F.pmod("key", F.lit(FILTER)).alias("x")).distinct().toPandas()["x"].to_numpy("int64")] = True  # FILTER at most

@@ -433,6 +433,24 @@ def test_jaccard_large_groups(spark, hot_rows, part_bytes):
     assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in found.collect()) == linked(items)
 
 
+def test_jaccard_tiles_are_linear(spark):
+    """Rows of a tile's blocks, of near copies: twice the tile, whatever its size; what lies outside meets all."""
+    from busframe.llm import jaccard
+
+    for n in (2000, 10_000):
+        rows = spark.range(n).selectExpr("7L AS token", "id AS node", "cast(100 + id % 3 AS int) AS n").unionByName(spark.range(5).selectExpr("8L AS token", "id AS node", "100 AS n"))
+        hot = jaccard.hot_tiles(rows, 100)
+        assert [tuple(r) for r in hot.collect()] == [(7, n // 100)] and jaccard.cut_tiles(rows, hot).count() == 2 * n + 5
+        most = jaccard.cut_tiles(rows, hot).where("token = 7").groupBy("block").count().agg(F.max("count")).first()[0]
+        assert most < 200
+        roots = spark.range(n).selectExpr("id AS node", "0L AS root")
+        assert jaccard.open_tiles(rows, hot, roots, 100).count() == 0
+        some = jaccard.open_tiles(rows, hot, roots.where("node >= 30"), 100)  # 30 nodes without links ask all parts, all rows are told once
+        assert some.select("node").distinct().count() == n and some.count() <= 30 * n // 100 + n
+        met = some.groupBy("block").agg(F.collect_set("node").alias("x")).collect()
+        assert len(set().union(*[set(r.x) for r in met if 1 in r.x])) == n
+
+
 def test_jaccard_long_texts(spark):
     """Sets with more tokens than a signature has bits."""
     from busframe.llm.jaccard import components
