@@ -19,6 +19,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 PARTS = 1 << 16
 #: Words of the budget that are left to the knapsack: the next if the last missed, the whole budget if that is less.
 WINDOWS = (1 << 14, 1 << 18, 1 << 22)
+#: Sums of each half of the documents that are left to the last attempt.
+HALF = 1 << 20
 
 
 def words(text: Column) -> Column:
@@ -29,8 +31,10 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each size to take so that their words come to `budget`, or to as much below as can be.
 
     The same share of every size comes first and the bounded knapsack does the rest, over a window of words that grows if it
-    misses the budget. The sum is the best there is if the budget is hit or at most the last of WINDOWS, in units of the
-    greatest common divisor of the sizes. Otherwise it misses by less than the smallest document left.
+    misses the budget. If the last window misses too, sums of two halves of the documents are matched, whatever their size.
+    The sum is the best there is if it hits the budget, if that is at most the last of WINDOWS in units of the greatest
+    common divisor of the sizes, or if the documents make two halves of at most HALF sums each, as any 40 do. Of more, some
+    are chosen whose sums are so many (HALF squared) that a miss is as good as ruled out.
     """
     if budget >= int((sizes * counts).sum()):
         return counts.copy()
@@ -42,8 +46,52 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         if (missed := budget - int((taken * sizes).sum())) < least:
             best, least = taken, missed
         if not least or window >= budget:
-            break
-    return best
+            return best
+    taken = _halves(sizes, counts, budget)
+    return taken if budget - int((taken * sizes).sum()) < least else best
+
+
+def _sums(items: list[tuple[int, int]]) -> np.ndarray:
+    """Sums of all choices of (size, documents); a sum's place says how many of each, the first item's number changing fastest."""
+    out = np.zeros(1, "int64")
+    for size, n in items:
+        out = (np.arange(n + 1)[:, None] * size + out[None, :]).ravel()
+    return out
+
+
+def _halves(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """fit() by sums of two halves of as many documents as make HALF sums each, different sizes first; others are taken by size until half of these is left."""
+    open_, rooms, half = np.zeros(len(sizes), "int64"), [1, 1], np.zeros(len(sizes), int)
+    alive = [i for i in np.argsort(-sizes, kind="stable") if sizes[i] > 0 and counts[i] > 0 and sizes[i] <= budget]
+    turn = 0
+    while alive:
+        left = []
+        for i in alive:
+            side = int(half[i]) if open_[i] else turn % 2
+            if rooms[side] // (int(open_[i]) + 1) * (int(open_[i]) + 2) <= HALF:
+                rooms[side] = rooms[side] // (int(open_[i]) + 1) * (int(open_[i]) + 2)
+                half[i], turn = side, turn + (not open_[i])
+                open_[i] += 1
+                if open_[i] < min(int(counts[i]), budget // int(sizes[i])):
+                    left.append(i)
+        alive = left
+    taken, rest = np.zeros(len(sizes), "int64"), budget
+    aim = budget - int((open_ * sizes).sum()) // 2
+    for i in np.argsort(-sizes, kind="stable"):
+        if sizes[i] > 0 and (n := min(int(counts[i] - open_[i]), (aim - (budget - rest)) // int(sizes[i]))) > 0:
+            taken[i] += n
+            rest -= n * int(sizes[i])
+    sides = [[i for i in range(len(sizes)) if open_[i] and half[i] == side] for side in (0, 1)]
+    a, b = (_sums([(int(sizes[i]), int(open_[i])) for i in own]) for own in sides)
+    order = np.argsort(b, kind="stable")
+    fits = np.flatnonzero(a <= rest)
+    at = np.searchsorted(b[order], rest - a[fits], side="right") - 1  # the empty choice always fits
+    best = int(np.argmax(a[fits] + b[order][at]))
+    for own, place in zip(sides, (int(fits[best]), int(order[at[best]])), strict=True):
+        for i in own:
+            place, n = divmod(place, int(open_[i]) + 1)
+            taken[i] += n
+    return taken
 
 
 def _fit(sizes: np.ndarray, counts: np.ndarray, budget: int, window: int) -> np.ndarray:

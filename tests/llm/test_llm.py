@@ -308,6 +308,29 @@ def test_mixing(docs, none):
         assert (taken <= c).all() and (taken >= 0).all() and (taken * s).sum() == (sums & ((1 << budget + 1) - 1)).bit_length() - 1
 
 
+def test_mixing_long_documents():
+    """Budgets far beyond the knapsack's window: the best sum of few long documents, of many as good as the budget."""
+    import itertools
+
+    from busframe.llm.mixing import WINDOWS, fit
+
+    r = random.Random(8)
+    for n in (1, 2, 7, 12, 14):
+        sizes = np.array(sorted(r.randrange(2 << 20, 3 << 22) for _ in range(n)))
+        budget = int(sizes.sum() * r.uniform(0.3, 0.8))
+        best = max(s for k in range(n + 1) for c in itertools.combinations(sizes.tolist(), k) if (s := sum(c)) <= budget)
+        assert int((fit(sizes, np.ones(n, "int64"), budget) * sizes).sum()) == best
+    sizes, counts = np.array([WINDOWS[-1] + 1, WINDOWS[-1] + 7, 5 * WINDOWS[-1]]), np.array([6, 5, 4])
+    for budget in (7 * WINDOWS[-1], 20 * WINDOWS[-1] + 40, 30 * WINDOWS[-1]):
+        taken = fit(sizes, counts, budget)
+        assert (taken <= counts).all() and int((taken * sizes).sum()) == max(s for c in itertools.product(*[range(x + 1) for x in counts]) if (s := int((np.array(c) * sizes).sum())) <= budget)
+    sizes = np.array(sorted({r.randrange(5 << 20, 9 << 22) for _ in range(300)}))
+    counts = np.array([r.randrange(1, 4) for _ in sizes])
+    budget = int((sizes * counts).sum() * 0.6)
+    taken = fit(sizes, counts, budget)
+    assert (taken <= counts).all() and 0 <= budget - int((taken * sizes).sum()) < 10
+
+
 def test_kneser_ney(spark, docs, none):
     from busframe.llm.common import Scratch
     from busframe.llm.kneser_ney import _pack, _unpack, classify, grams, model, probabilities
