@@ -197,6 +197,14 @@ def probabilities(scratch: Scratch, levels: list[tuple[DataFrame, DataFrame]], w
     return below.select("lang", "gram", F.log("p").alias("log_p"))
 
 
+def own_bucket(chunks: DataFrame, parts: int) -> DataFrame:
+    """Chunks numbered anew, so that all of a task fall into one of `parts` buckets by their numbers: a task writes one file, not one a bucket."""
+    task, count = F.shiftright("chunk", 32), F.col("chunk").bitwiseAND((1 << 32) - 1)
+    first = task * F.lit(1 << 40) + count * F.lit(1 << 20)
+    fits = F.filter(F.sequence(first, first + F.lit(min(40 * parts, (1 << 20) - 1))), lambda x: F.pmod(F.hash(x), F.lit(parts)) == F.pmod(task, F.lit(parts)))
+    return chunks.withColumn("chunk", F.coalesce(F.get(fits, F.lit(0)), first))
+
+
 def classify(docs: DataFrame, trusted: DataFrame, *, quantile: float = 0.995, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """Perplexity of every document under its language's model, and whether it is kept.
 
@@ -231,13 +239,17 @@ def classify(docs: DataFrame, trusted: DataFrame, *, quantile: float = 0.995, id
     levels = model(scratch, text)
     # Chunks hold the texts: they are joined where they lie.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = scratch.write_dealt(docs.mapInArrow(lean(_chunks), "chunk long, lang string, ids array<long>, texts binary"), "chunks", "chunk", parts)
-    listed = scratch.write(chunks.select("chunk", "lang", "texts").mapInArrow(lean(_listed), "chunk long, lang string, gram long"), "listed")
-    p = probabilities(scratch, levels, listed.select("lang", "gram").distinct())
-    values = listed.join(p, ["lang", "gram"]).groupBy("chunk").agg(F.collect_list(F.struct("gram", "log_p")).alias("known"))
-    scored = chunks.join(values, "chunk", "left").select("chunk", "lang", "ids", "texts", "known").mapInArrow(lean(_scored), "doc_id long, lang string, n long, log_p double")
-    scored = scratch.write(scored, "scored")
-    scratch.drop("chunks", "listed", f"p-{ORDER}")
+    numbered = own_bucket(docs.mapInArrow(lean(_chunks), "chunk long, lang string, ids array<long>, texts binary"), parts)
+    try:
+        chunks = scratch.write_dealt(numbered, "chunks", "chunk", parts)
+        listed = scratch.write(chunks.select("chunk", "lang", "texts").mapInArrow(lean(_listed), "chunk long, lang string, gram long"), "listed")
+        p = probabilities(scratch, levels, listed.select("lang", "gram").distinct())
+        values = listed.join(p, ["lang", "gram"]).groupBy("chunk").agg(F.collect_list(F.struct("gram", "log_p")).alias("known"))
+        scored = chunks.join(values, "chunk", "left").select("chunk", "lang", "ids", "texts", "known").mapInArrow(lean(_scored), "doc_id long, lang string, n long, log_p double")
+        scored = scratch.write(scored, "scored")
+    finally:  # the session's catalog holds the buckets
+        scratch.drop("chunks")
+    scratch.drop("listed", f"p-{ORDER}")
 
     calibration = scored.join(trusted.where(held), "doc_id", "left_semi").where("n > 0")
     mean = calibration.groupBy("lang").agg((F.sum("log_p") / F.sum("n")).alias("mean"))

@@ -373,6 +373,20 @@ def test_kneser_ney(spark, docs, none):
     assert classify(none, trusted).count() == 0
 
 
+def test_chunks_of_a_task_share_a_bucket(spark, tmp_path):
+    import os
+
+    from busframe.llm.kneser_ney import own_bucket
+
+    rows = spark.range(40).selectExpr("(id div 4) * 4294967296 + id % 4 + 1 AS chunk", "id div 4 AS task").repartition(10, "task").sortWithinPartitions("task")
+    out = own_bucket(rows, 200)
+    assert out.select("chunk").distinct().count() == 40 and out.selectExpr("task", "pmod(hash(chunk), 200) AS b").distinct().count() == 10
+    out.write.format("parquet").option("path", f"{tmp_path}/t").bucketBy(200, "chunk").saveAsTable("busframe_test_buckets")
+    files = [f for f in os.listdir(tmp_path / "t") if f.endswith(".parquet")]
+    spark.sql("DROP TABLE busframe_test_buckets")
+    assert len(files) == 10  # one a task and bucket, of 10 tasks' 200 buckets
+
+
 def test_language(spark, docs, none):
     from busframe.llm.langid import UNKNOWN, predict, train
 
