@@ -4,12 +4,12 @@ A text is a multiset of paragraphs (lines). Each paragraph is hashed to a wide v
 its paragraphs' vectors, lane by lane modulo 2^48. So the order of paragraphs doesn't matter, equal multisets have equal
 fingerprints, and a paragraph is added or removed by adding or subtracting its vector (add, subtract).
 
-Lanes: EQUAL lanes with hashes of the whole paragraph; the count of the paragraph's parts; and GROUPS * WIDE lanes for
-likeness. A part is a piece of a few words that ends where its own characters say so (PARTS), whatever stands before it. A
+Lanes: EQUAL lanes with hashes of the whole paragraph; the count of the paragraph's parts; GROUPS * WIDE lanes that count the
+parts that fall on each; and as many for likeness. A part is a piece of a few words that ends where its own characters say so (PARTS), whatever stands before it. A
 part's hash picks its group, and gives a number of a Cauchy distribution for each lane of it. A weighted sum of such numbers
 is Cauchy distributed again, its scale the sum of absolute weights. So the lanes of two texts, subtracted, are spread by how
 many parts the two multisets don't share, also where a part occurs many times; hence a likeness from 0 to 1 that needs the
-fingerprints alone. The hashes are not keyed; the fingerprint isn't meant to withstand forgery.
+fingerprints alone. Where few parts differ, as in short texts, the counts tell them one by one. The hashes are not keyed; the fingerprint isn't meant to withstand forgery.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from busframe.llm.common import need
 
 EQUAL, GROUPS, WIDE = 4, 8, 16
 _48 = (1 << 48) - 1
+#: Parts not shared, up to which the counts tell their number: of so many, few meet in one of the GROUPS * WIDE counts.
+FEW = 32
 #: Cuts: line ends; white space after punctuation or a letter of about half the alphabet; in unbroken runs after vowels and
 #: the like, and after each character of scripts without spaces; 48 characters after the last cut at the latest.
 PARTS = r"\n|(?<=[.,;:!?|a-mA-M0-4])[ \t]+|(?<=\S{16}[aeiouAEIOU0-3])|(?<=[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uD7A3\uF900-\uFAFF])|(?<=\G.{48})"
@@ -33,7 +35,7 @@ _FACTORS = [float((7919 * (j + 1) * (j + 3)) % 32749 | 1) for j in range(WIDE)]
 
 
 def with_lanes(df: DataFrame, text_col: str, out: str) -> DataFrame:
-    """Adds column `out`, the fingerprint of a text: array<long> of EQUAL + 1 + GROUPS * WIDE lanes modulo 2^48.
+    """Adds column `out`, the fingerprint of a text: array<long> of EQUAL + 1 + 2 * GROUPS * WIDE lanes modulo 2^48.
 
     The steps are columns of their own, so that a text is split and hashed once.
     """
@@ -43,22 +45,28 @@ def with_lanes(df: DataFrame, text_col: str, out: str) -> DataFrame:
     def equal(column: str) -> Column:
         return F.aggregate(column, F.lit(0).cast("long"), lambda a, x: (a + x.bitwiseAND(F.lit(_48))).bitwiseAND(F.lit(_48)))
 
-    def angles(g: int) -> Column:
-        own = F.filter("__c", lambda x: x.bitwiseAND(F.lit(GROUPS - 1)) == g)
+    def angles(own: Column) -> Column:
         return F.transform(own, lambda x: F.shiftrightunsigned(x, 8).bitwiseAND(F.lit((1 << 24) - 1)).cast("double") * (math.pi / 2**24) + math.pi / 2**25)
 
     def spread(own: Column) -> Column:
         # An odd multiple of pi / 2^25 isn't near a pole: whole numbers below 2^32, whose sum is exact in any order.
         return F.transform(F.lit(_FACTORS), lambda k: F.aggregate(own, F.lit(0.0), lambda a, x: a + F.rint(F.tan(x * k) * F.lit(UNIT))))
 
+    def counts(own: Column) -> Column:
+        places = F.transform(own, lambda x: F.shiftright(x, 3).bitwiseAND(F.lit(WIDE - 1)))
+        return F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda j: F.size(F.filter(places, lambda x: x == j)).cast("long"))
+
     def hashed(seed: int) -> Column:
         return F.transform("__p", lambda x: F.xxhash64(x, F.lit(seed)))
 
-    df = df.withColumns({f"__q{i}": hashed(i) for i in range(EQUAL)})
+    def group(g: int) -> Column:
+        return F.filter("__c", lambda x: x.bitwiseAND(F.lit(GROUPS - 1)) == g)
+
+    df = df.withColumns({f"__q{i}": hashed(i) for i in range(EQUAL)} | {"__g": F.array(*map(group, range(GROUPS)))})
     # A group's angles are a lambda's argument, so that they are made once, not for each factor.
-    lanes = F.transform(F.flatten(F.transform(F.array(*map(angles, range(GROUPS))), spread)), lambda v: v.cast("long").bitwiseAND(F.lit(_48)))
-    df = df.withColumn(out, F.concat(F.array(*[equal(f"__q{i}") for i in range(EQUAL)], F.size("__c").cast("long")), lanes))
-    return df.drop("__p", "__c", *[f"__q{i}" for i in range(EQUAL)])
+    lanes = F.transform(F.flatten(F.transform(F.transform("__g", angles), spread)), lambda v: v.cast("long").bitwiseAND(F.lit(_48)))
+    df = df.withColumn(out, F.concat(F.array(*[equal(f"__q{i}") for i in range(EQUAL)], F.size("__c").cast("long")), F.flatten(F.transform("__g", counts)), lanes))
+    return df.drop("__p", "__c", "__g", *[f"__q{i}" for i in range(EQUAL)])
 
 
 def add(a: Column, b: Column) -> Column:
@@ -79,21 +87,22 @@ def text_form(fingerprint: Column) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: estimated shared parts over all parts of two texts as multisets, from their lanes; 1 for equal fingerprints.
 
-    A group's share of what isn't shared is the geometric mean of its lanes' distances, made unbiased.
+    The counts' distances are never more than what isn't shared; they are it, but for parts that meet in one count, up to FEW.
+    Beyond, a group's share of what isn't shared is the geometric mean of its lanes' distances, made unbiased.
     """
-    m, n = F.element_at(a, EQUAL + 1), F.element_at(b, EQUAL + 1)
+    m, n, all_ = F.element_at(a, EQUAL + 1), F.element_at(b, EQUAL + 1), GROUPS * WIDE
 
     def log_gap(x: Column, y: Column) -> Column:
         d = F.shiftright(F.shiftleft(x - y, 16), 16)  # the difference modulo 2^48, signed
         return F.log(F.greatest(F.abs(d).cast("double") / UNIT, F.lit(0.5 / UNIT)))
 
     def unshared(g: int) -> Column:
-        x, y = (F.slice(v, EQUAL + 2 + g * WIDE, WIDE) for v in (a, b))
+        x, y = (F.slice(v, EQUAL + 2 + all_ + g * WIDE, WIDE) for v in (a, b))
         mean = F.aggregate(F.zip_with(x, y, log_gap), F.lit(0.0), lambda s, v: s + v) / WIDE
         return F.when(x == y, F.lit(0.0)).otherwise(F.exp(mean) * math.cos(math.pi / (2 * WIDE)) ** WIDE)
 
-    apart = reduce(Column.__add__, [unshared(g) for g in range(GROUPS)])
-    apart = F.least(F.greatest(apart, F.abs(m - n).cast("double")), (m + n).cast("double"))
+    counted = F.aggregate(F.zip_with(F.slice(a, EQUAL + 2, all_), F.slice(b, EQUAL + 2, all_), lambda x, y: F.abs(F.shiftright(F.shiftleft(x - y, 16), 16))), F.lit(0).cast("long"), lambda s, v: s + v).cast("double")
+    apart = F.when(counted <= FEW, counted).otherwise(F.least(F.greatest(reduce(Column.__add__, [unshared(g) for g in range(GROUPS)]), counted), (m + n).cast("double")))
     return F.when(a == b, F.lit(1.0)).when(m + n == 0, F.lit(0.0)).otherwise((m + n - apart) / (m + n + apart))
 
 

@@ -159,6 +159,29 @@ def test_fingerprint_edits(spark):
         assert out[i].near_edited == 1 or out[i].fingerprint != out[i].edited_fingerprint
 
 
+def test_fingerprint_likeness(spark):
+    """Short and long texts' likeness against counts of the parts that they share."""
+    from busframe.llm.fingerprint import PARTS, likeness, with_lanes
+
+    r = random.Random(6)
+    say = lambda n: [r.choice("alpha bravo carbon delta, echo fox. golf hotel india july kilo lima mike".split()) + str(r.randrange(60)) for _ in range(n)]
+    pairs = []
+    for n in (3, 6, 10, 20, 20, 40, 40, 90, 400, 3000):
+        for part in (0.1, 0.3, 0.7, 1.0):
+            a, b = say(n), say(n)
+            pairs.append((n, " ".join(a), " ".join(b[: int(part * n)] + a[int(part * n) :])))
+    d = with_lanes(with_lanes(spark.createDataFrame(pairs, "n int, a string, b string"), "a", "_a"), "b", "_b")
+    cut = lambda c: F.filter(F.split(c, PARTS), lambda x: x != "")
+    off = {}
+    for x in d.select("n", cut("a").alias("a"), cut("b").alias("b"), likeness(F.col("_a"), F.col("_b")).alias("near"), likeness(F.col("_b"), F.col("_a")).alias("back")).collect():
+        a, b = Counter(x.a), Counter(x.b)
+        true = sum((a & b).values()) / sum((a | b).values())
+        off.setdefault(x.n, []).append(abs(x.near - true))
+        assert x.near == x.back
+    short = [x for n, v in off.items() if n <= 20 for x in v]
+    assert sum(short) / len(short) < 0.03 and max(max(v) for v in off.values()) < 0.25, off  # two parts that meet in a count hide each other
+
+
 def test_fingerprint_hot_ids(spark):
     """A third of the rows without an id and a third with one id: every row has its next one, by the texts' hashes."""
     import xxhash
