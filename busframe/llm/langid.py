@@ -45,12 +45,18 @@ def features(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray
     place = np.cumsum(keep) - 1
     has = np.add.reduceat(letter, starts, dtype="i8") > 0
     starts, codes = place[starts], codes[keep]
-    padded = np.concatenate((codes, np.full(max(ORDERS), 32, "u4")))
+    # What follows a text's end is white space, whatever text stands next to it.
+    after = []
+    for j in range(max(ORDERS)):
+        c = np.concatenate((codes[j:], np.full(min(j, len(codes)), 32, "u4")))
+        for k in range(j):
+            c[np.maximum(np.append(starts[1:], len(codes)) - 1 - k, starts)] = 32
+        after.append(c)
     grams = []
     for order in ORDERS:
         h = np.full(len(codes), order * 0x9E3779B1 & 0xFFFFFFFF, "u4")
         for j in range(order):
-            h = (h ^ padded[j : j + len(codes)]) * np.uint32(0x85EBCA6B)
+            h = (h ^ after[j]) * np.uint32(0x85EBCA6B)
             h ^= h >> np.uint32(15)
         grams.append(h & np.uint32(BUCKETS - 1))
     return grams, starts, has

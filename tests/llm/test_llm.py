@@ -425,6 +425,61 @@ def test_language(spark, docs, none):
     assert {r.lang_pred for r in predict(docs, train(teach.limit(0)), keep=["doc_id"]).collect()} == {UNKNOWN}
 
 
+def _grams(text):
+    """Buckets of a text's n-grams, one by one."""
+    from busframe.llm.langid import BUCKETS, ORDERS
+
+    said = " " + "".join(c if c.isalpha() else " " for c in (text or "").lower()) + " "
+    kept = [c for i, c in enumerate(said) if c != " " or not i or said[i - 1] != " "]
+    out = []
+    for order in ORDERS:
+        for i in range(len(kept)):
+            h = order * 0x9E3779B1 & 0xFFFFFFFF
+            for j in range(order):
+                h = (h ^ ord(kept[i + j] if i + j < len(kept) else " ")) * 0x85EBCA6B & 0xFFFFFFFF
+                h ^= h >> 15
+            out.append(h & BUCKETS - 1)
+    return out
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_language_held_out(spark):
+    """Against naive Bayes by plain loops, and how often held-out labels are met."""
+    import math
+
+    from busframe.llm.langid import BUCKETS, held_out, predict, train, train_fold
+
+    data = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    longest = data.agg(F.max("doc_id")).first()[0]
+    odd = [(longest + 1, "ß漢字 " * 40_000, None), (longest + 2, "Iİ ı", None), (longest + 3, "a" * 300_000, None)]
+    data = data.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(odd, "doc_id long, text string, lang string")).withColumns({"lang_pred": F.lit("x"), "score": F.lit(9)})
+    model = train(train_fold(data))
+    found = {r.doc_id: r for r in predict(data.repartition(5), model, keep=["doc_id", "score"]).collect()}
+    assert found.keys() == {r.doc_id for r in data.select("doc_id").collect()}
+    rows_ = data.withColumn("held", held_out()).collect()
+    counts, docs_ = {}, Counter()
+    for r in rows_:
+        if not r.held and r.lang is not None and r.text is not None:
+            counts.setdefault(r.lang, Counter()).update(_grams(r.text))
+            docs_[r.lang] += 1
+    assert model.languages == sorted(counts)
+    log = {x: {g: math.log((n + 0.5) / (c.total() + 0.5 * BUCKETS)) for g, n in c.items()} for x, c in counts.items()}
+    none_ = {x: math.log(0.5 / (c.total() + 0.5 * BUCKETS)) for x, c in counts.items()}
+    hit = total = 0
+    for r in rows_:
+        said = _grams(r.text)
+        best = {x: math.log(docs_[x] / docs_.total()) + sum(log[x].get(g, none_[x]) for g in said) for x in counts}
+        first, second = sorted(best.values(), reverse=True)[:2]
+        if any(c.isalpha() for c in r.text or "") and first - second > 0.1:
+            assert found[r.doc_id].lang_pred == max(best, key=best.get)
+            assert len(said) > 10_000 or found[r.doc_id].score == pytest.approx(1 / sum(math.exp(v - first) for v in best.values()), abs=1e-3)
+        if r.held and r.lang is not None and any(c.isalpha() for c in r.text or ""):
+            hit, total = hit + (found[r.doc_id].lang_pred == r.lang), total + 1
+    assert total > 20 and hit >= 0.95 * total
+    alone = {r.doc_id: r for r in predict(data.repartition(40), model, keep=["doc_id"]).collect()}
+    assert all(alone[i].lang_pred == found[i].lang_pred and abs(alone[i].score - found[i].score) < 1e-9 for i in found)  # whatever its neighbours
+
+
 def sets(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} - {()}
@@ -549,6 +604,21 @@ def test_chat_clashing_columns(spark):
     assert [tuple(x) for x in r.turns] == [("user", long_text), ("assistant", "ok")] and r.loss_text == "ok"
 
 
+def test_many_branches(spark):
+    """A tree of one message with very many replies, and of a long line beside it: every leaf is a path, ranked by score."""
+    from busframe.llm.chat import format_replies, read_back
+
+    n = 3000
+    rows = [("t", 0, None, "user", "root", 0.0)] + [("t", i, 0, "assistant", f"reply {i}", float(i % 1000)) for i in range(1, n)] + [("t", n + i, n + i - 1 if i else 0, "ua"[i % 2], f"m{i}", 0.0) for i in range(40)]
+    m = spark.createDataFrame(rows, "tree_id string, msg_id long, parent_id long, role string, text string, score double")
+    out = read_back(format_replies(m, branches=None)).collect()
+    assert len(out) == n and {r.leaf_id for r in out} == {*range(1, n), n + 39}
+    by = {r.leaf_id: r for r in out}
+    assert [tuple(x) for x in by[17].turns] == [("user", "root"), ("assistant", "reply 17")] and len(by[n + 39].turns) == 41
+    best = [r.path_score for r in sorted(out, key=lambda r: r["rank"])]
+    assert best == sorted(best, reverse=True)
+
+
 def test_long_thread(spark):
     from busframe.llm.chat import format_replies, read_back, thread
 
@@ -620,6 +690,16 @@ def test_pipeline(spark, tmp_path):
     assert counts[0] < len(rows()) and counts[-1] > 0
 
 
+@pytest.mark.parametrize("rows_", [[], [(None, None, None, None, None), (None, None, None, None, None)]])
+def test_pipeline_without_texts(spark, tmp_path, rows_):
+    """An empty table, and one of nulls alone, go through all stages."""
+    import corpus_pipeline
+
+    spark.createDataFrame(rows_, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and "sequence_id" in out.columns
+
+
 def test_near_duplicates_ids(spark):
     from corpus_pipeline import COLUMNS, near_duplicates
 
