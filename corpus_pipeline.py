@@ -11,7 +11,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language, labelled by it. Learned from labelled ones; texts without a letter go."""
+    """Documents in a known language, labelled by it. Learned from labelled ones; null texts and those without a letter go.
+
+    Rows with null ids and repeated rows stay, each as it is; without labelled documents, and of an empty table, none do.
+    """
     from busframe.llm.langid import UNKNOWN, predict, train, train_fold
 
     found = predict(docs, train(train_fold(docs)), keep=COLUMNS).where(F.col("lang_pred") != UNKNOWN)
@@ -48,7 +51,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources: each document as often as it is taken."""
+    """The mix of sources: each document as often as it is taken, whole.
+
+    Null and empty texts have no words and aren't taken; a null source is one of its own; repeated rows count each; an empty
+    table gives none.
+    """
     from busframe.llm.mixing import mix
 
     mixed = mix(docs, keep=COLUMNS)
@@ -56,7 +63,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences."""
+    """Token sequences: a row a piece of a document, as pack() says. Null texts are empty; repeated rows are packed each; an empty table gives none."""
     import public_tokenizers
 
     from busframe.llm.packing import pack
