@@ -22,6 +22,7 @@ from busframe.functions.decode import BIT_LEVEL, bit_count, decode, decode32, de
 from busframe.operators.quality import validate_icd, validate_icd_429
 from busframe.schemas import READ_1553, READ_429
 from busframe.sources.packets import located
+from busframe.sources.tables import shared_folder
 
 MOST_ELEMENTS = 200_000
 KEYS_1553 = ["channelid", "txrtaddr", "rxrtaddr", "txsubaddr", "rxsubaddr"]
@@ -117,25 +118,39 @@ def element_429(e: Row):
     return decode32(e["schema"], word, e["bitmsb"], e["bitlsb"], e["msb_val"], e["bcd_partial"], ssm_sign(F.col("SSM")) if e["schema"] == "BCD" else None)
 
 
+def staged(matched: DataFrame, name: str) -> DataFrame:
+    """Matched rows written once, each message apart: a message's table reads its own rows alone, so many tables cost one scan of the bus rows.
+
+    Rows are dealt into ranges of message and time first, so that a task writes few messages and a large one is several tasks'.
+    """
+    folder = shared_folder(matched.sparkSession, "staged")
+    order = [name, *(["time"] if "time" in matched.columns else [])]
+    matched.repartitionByRange(*order).write.option("compression", "zstd").partitionBy(name).parquet(folder)
+    return matched.sparkSession.read.schema(matched.schema).parquet(folder)
+
+
 def translate_1553(bus: DataFrame, icd: DataFrame, bus_map: DataFrame, *, select_msg: list[str] | None = None, ride_along: tuple[str, ...] = ("time",)) -> tuple[dict[str, DataFrame], DataFrame]:
-    """({message: ride-along columns and one column per element}, violations). A message with a bad element is left out."""
+    """({message: ride-along columns and one column per element}, violations). A message with a bad element is left out.
+
+    Of several messages the matched rows are staged, by one job.
+    """
     violations = validate_icd(icd)
     good = icd.join(violations.select("msg_name").distinct(), "msg_name", "left_anti")
-    matched = match_1553(bus, lookup_1553(good, bus_map, select_msg), list(ride_along))
     wanted = good if not select_msg else good.where(F.col("msg_name").isin(select_msg))
-    tables = {}
-    for msg, elements in collect_elements(wanted, "msg_name", ["msg_name", "elem_name"]).items():
-        tables[msg] = matched.where(F.col("msg_name") == msg).select(*ride_along, *[element_1553(e).alias(e["elem_name"]) for e in elements])
-    return tables, violations
+    elements = collect_elements(wanted, "msg_name", ["msg_name", "elem_name"])
+    matched = match_1553(bus, lookup_1553(good, bus_map, select_msg), list(ride_along)).select(*dict.fromkeys([*ride_along, "data", "msg_name"]))
+    matched = staged(matched, "msg_name") if len(elements) > 1 else matched
+    return {m: matched.where(F.col("msg_name") == m).select(*ride_along, *[element_1553(e).alias(e["elem_name"]) for e in own]) for m, own in elements.items()}, violations
 
 
 def translate_429(bus: DataFrame, icd: DataFrame, channels: DataFrame, *, ride_along: tuple[str, ...] = ("time",)) -> tuple[dict[str, DataFrame], DataFrame]:
-    """({word: ride-along columns and one column per element}, violations). A word with a bad element is left out."""
+    """({word: ride-along columns and one column per element}, violations). A word with a bad element is left out. Of several words the matched rows are staged."""
     violations = validate_icd_429(icd)
     good = icd.join(violations.select("word_name").distinct(), "word_name", "left_anti")
-    matched = match_429(bus, lookup_429(good, channels), list(ride_along))
-    tables = {w: matched.where(F.col("word_name") == w).select(*ride_along, *[element_429(e).alias(e["elem_name"]) for e in elements]) for w, elements in collect_elements(good, "word_name", ["word_name", "elem_name"]).items()}
-    return tables, violations
+    elements = collect_elements(good, "word_name", ["word_name", "elem_name"])
+    matched = match_429(bus, lookup_429(good, channels), list(ride_along)).select(*dict.fromkeys([*ride_along, "data", "SSM", "SDI", "parity", "word_name"]))
+    matched = staged(matched, "word_name") if len(elements) > 1 else matched
+    return {w: matched.where(F.col("word_name") == w).select(*ride_along, *[element_429(e).alias(e["elem_name"]) for e in own]) for w, own in elements.items()}, violations
 
 
 def translate_long(matched: DataFrame, icd: DataFrame, *, ride_along: tuple[str, ...] = ("time",)) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from busframe.schemas import ICD_1553, ICD_429, MESSAGE_KEYS
+from busframe.sources.tables import shared_folder
 
 _BAD = "_malformed"
 
@@ -18,7 +19,10 @@ def read_icd_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     head = spark.read.text(path).first()
     if not head or not head[0].startswith("msg_name,elem_name"):
         raise ValueError("the header must begin with msg_name,elem_name")
-    rows = spark.read.csv(path, schema=f"{ICD_1553}, {_BAD} string", header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, enforceSchema=True).cache()  # thousands of rows; Spark can't select malformed lines alone unless parsed rows are kept
+    rows = spark.read.csv(path, schema=f"{ICD_1553}, {_BAD} string", header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD, enforceSchema=True)
+    folder = shared_folder(spark, "icd")  # Spark can't select malformed lines alone of a file that it parses
+    rows.write.parquet(folder)
+    rows = spark.read.schema(rows.schema).parquet(folder)
     return rows.where(F.col(_BAD).isNull()).drop(_BAD), rows.where(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
 
 
