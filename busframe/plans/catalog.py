@@ -647,11 +647,6 @@ def _win3(spark, sf_dir):
     return alignment.carry_forward(rows, "fix", by=["channelid"], order=["pkt_offset"], width=4096).select("channelid", "pkt_offset", F.coalesce("fix", F.lit(-1)).alias("fix"))
 
 
-@query("SRT1", f"WITH {fx.PACKETS} SELECT channelid, pkt_offset, rtc FROM packets")
-def _srt1(spark, sf_dir):
-    return fx.packets(spark, sf_dir).select("channelid", "pkt_offset", "rtc").repartitionByRange("channelid", "pkt_offset").sortWithinPartitions("channelid", "pkt_offset")
-
-
 @query("SRT2", "SELECT l_orderkey AS channelid, array_to_string(list_sort(list(DISTINCT l_partkey)), ',') AS labels FROM lineitem GROUP BY l_orderkey")
 def _srt2(spark, sf_dir):
     """Sets of a great many groups, each sorted; repeats go before the sets are gathered."""
@@ -677,11 +672,17 @@ def _exp2(spark, sf_dir):
     return flatten.parsed_429(flatten.words_429(packets.select("packet", body.alias("body")))).select("packet", "gap", "label_raw", "SDI", "data", "SSM")
 
 
-@query("EXP5", "SELECT p_partkey, (p_size % 3 + 1) AS units, u.i AS unit_idx FROM part, (VALUES (0), (1), (2)) u(i) WHERE u.i < p_size % 3 + 1")
+_UNIT = "'47' || lower(printf('%02X', p_partkey % 256)) || repeat('ab', 185) || '0' || u.i"
+
+
+@query("EXP5", f"SELECT p_partkey, u.i AS unit_idx, p_partkey % 2 = 1 AS \"IPH\", {_UNIT} AS unit, CASE WHEN p_partkey % 2 = 1 THEN repeat('0' || u.i, 8) ELSE '' END AS stamp FROM part, (VALUES (0), (1), (2)) u(i) WHERE u.i < p_size % 3 + 1")
 def _exp5(spark, sf_dir):
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", (F.col("p_size") % 3 + 1).alias("units"))
-    packets = parts.withColumn("body", F.unhex(F.concat(F.lit("00000000"), F.repeat(F.lit("47" + "00" * 187), F.col("units")))))
-    return flatten.video_units(packets).select("p_partkey", "units", "unit_idx")
+    """Units with and without stamps of their own, byte by byte."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", (F.col("p_size") % 3).alias("last"), (F.col("p_partkey") % 2 == 1).alias("stamped"))
+    unit = lambda i: F.concat(F.when(F.col("stamped"), F.repeat(F.concat(F.lit("0"), i.cast("string")), 8)).otherwise(""), F.lit("47"), _HEX(F.col("p_partkey") % 256, 1), F.lit("AB" * 185 + "0"), i.cast("string"))
+    body = F.concat(F.when(F.col("stamped"), "00000040").otherwise("00000000"), F.array_join(F.transform(F.sequence(F.lit(0), F.col("last")), unit), ""))
+    units = flatten.video_units(parts.select("p_partkey", F.unhex(body).alias("body")))
+    return units.select("p_partkey", "unit_idx", "IPH", F.lower(F.hex("unit")).alias("unit"), F.coalesce(F.lower(F.hex("stamp")), F.lit("")).alias("stamp"))
 
 
 @query("EXP4", "SELECT l_orderkey, l_linenumber, '00:11:22:33:44:55' AS dstmac, 2048 AS ethtype, 17 AS ipproto, '10.0.' || l_partkey % 256 || '.' || l_suppkey % 256 AS srcip, (l_orderkey % 65536)::BIGINT AS srcport, (l_partkey % 65536)::BIGINT AS dstport, 6::BIGINT AS payload_sz FROM lineitem")
@@ -693,6 +694,24 @@ def _exp4(spark, sf_dir):
     return flatten.ethernet_headers(frames).select("l_orderkey", "l_linenumber", "dstmac", "ethtype", "ipproto", "srcip", "srcport", "dstport", "payload_sz")
 
 
+@query("EXP4_kinds", """WITH f AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (l_orderkey + l_linenumber) % 5 AS k FROM lineitem)
+    SELECT l_orderkey, l_linenumber, CASE WHEN k < 3 THEN 2048 WHEN k = 3 THEN 2054 ELSE -1 END AS ethtype, CASE WHEN k = 4 THEN 3 ELSE -1 END AS llcfmt, CASE WHEN k = 4 THEN l_partkey % 256 ELSE -1 END::INT AS llcdsap, CASE k WHEN 0 THEN 17 WHEN 1 THEN 6 WHEN 2 THEN 17 ELSE -1 END AS ipproto,
+        CASE WHEN k < 3 THEN '10.0.' || l_partkey % 256 || '.' || l_suppkey % 256 ELSE '' END AS srcip, CASE k WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 2 THEN 100 ELSE -1 END AS ipoffset, CASE WHEN k < 2 THEN l_orderkey % 65536 ELSE -1 END::INT AS srcport,
+        CASE WHEN k < 2 THEN l_partkey % 65536 ELSE -1 END::INT AS dstport, CASE k WHEN 0 THEN 6 WHEN 1 THEN 5 WHEN 2 THEN 8 WHEN 3 THEN 7 ELSE 4 END::BIGINT AS payload_sz FROM f""")
+def _exp4_kinds(spark, sf_dir):
+    """UDP, TCP behind IP options, a fragment without ports, another type of payload, and 802.3 with LLC."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("k", (F.col("l_orderkey") + F.col("l_linenumber")) % 5)
+    ip = lambda first, offset, proto, more: F.concat(F.lit(first + "0000220001" + offset + "40" + proto + "00000A00"), _HEX(F.col("l_partkey") % 256, 1), _HEX(F.col("l_suppkey") % 256, 1), F.lit("0A000001" + more))
+    ports = F.concat(_HEX(F.col("l_orderkey") % 65536, 2), _HEX(F.col("l_partkey") % 65536, 2))
+    frame = F.when(F.col("k") == 0, F.concat(F.lit("0800"), ip("45", "0000", "11", ""), ports, F.lit("000E0000" + "AA" * 6)))
+    frame = frame.when(F.col("k") == 1, F.concat(F.lit("0800"), ip("46", "4000", "06", "01010101"), ports, F.lit("00" * 8 + "80" + "00" * 19 + "BB" * 5)))
+    frame = frame.when(F.col("k") == 2, F.concat(F.lit("0800"), ip("45", "2064", "11", ""), F.lit("CC" * 8)))
+    frame = frame.when(F.col("k") == 3, F.lit("0806" + "DD" * 7)).otherwise(F.concat(F.lit("0007"), _HEX(F.col("l_partkey") % 256, 1), F.lit("AA03" + "EE" * 4)))
+    found = flatten.ethernet_headers(rows.select("l_orderkey", "l_linenumber", F.unhex(F.concat(F.lit("001122334455" + "66778899AABB"), frame)).alias("frame")))
+    numbers = [F.coalesce(F.col(c), F.lit(-1)).cast("int").alias(c) for c in ("ethtype", "llcfmt", "llcdsap", "ipproto", "ipoffset", "srcport", "dstport")]
+    return found.select("l_orderkey", "l_linenumber", *numbers, F.coalesce("srcip", F.lit("")).alias("srcip"), "payload_sz")
+
+
 def _le_sql(parts: list[tuple[str, int]]) -> str:
     return " || ".join(f"lower(printf('%02X', (({x}) >> {8 * i}) & 255))" for x, n in parts for i in range(n))
 
@@ -740,17 +759,17 @@ def _qlt3(spark, sf_dir):
     return quality.duplicates(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), ["l_orderkey", "l_linenumber"])
 
 
-@query("QLT5", f"WITH {fx.BUS429}, {fx.CHANNELS_SQL} SELECT channelid, bus, count(*) AS words FROM bus429 b WHERE NOT EXISTS (SELECT 1 FROM channels c WHERE c.channelid = b.channelid AND c.subchannel = b.bus + 1) GROUP BY ALL")
-def _qlt5(spark, sf_dir):
+@query("QLT5_words", f"WITH {fx.BUS429}, {fx.CHANNELS_SQL} SELECT channelid, bus, count(*) AS words FROM bus429 b WHERE NOT EXISTS (SELECT 1 FROM channels c WHERE c.channelid = b.channelid AND c.subchannel = b.bus + 1) GROUP BY ALL")
+def _qlt5_words(spark, sf_dir):
     known = fx.channels(spark).select("channelid", (F.col("subchannel") - 1).alias("bus"))
     return fx.bus429(spark, sf_dir).groupBy("channelid", "bus").agg(F.count("*").alias("words")).join(known, ["channelid", "bus"], "left_anti")
 
 
-@query("QLT5_profile", f"""WITH {_WINNERS}, {fx.ICD429}, {fx.CHANNELS_SQL}
+@query("QLT5", f"""WITH {_WINNERS}, {fx.ICD429}, {fx.CHANNELS_SQL}
     SELECT DISTINCT 'unmatched bus' AS kind, upper(bus) AS name, '' AS detail, 0::BIGINT AS n FROM icd429 WHERE upper(bus) NOT IN (SELECT upper(name) FROM channels)
     UNION ALL SELECT 'excluded channel', channelid::VARCHAR, reason, 0 FROM winners WHERE reason IS NOT NULL
     UNION ALL SELECT 'votes', channelid::VARCHAR, bus, votes FROM votes""")
-def _qlt5_profile(spark, sf_dir):
+def _qlt5(spark, sf_dir):
     m = busmap.resolve_bus_map(fx.commwords(spark, sf_dir), _keys(spark), fx.tmats(spark))
     return quality.profile_icd_lookup(fx.icd_429(spark), fx.channels(spark), m.excluded, m.votes)
 

@@ -183,6 +183,14 @@ def _snk1_groups(spark, sf_dir):
     return groups.agg(F.sum("rows").alias("rows"), (F.max("rows") <= 10_000).alias("bounded"), F.min("follows").alias("sorted"))
 
 
+@query("SRT1", f"WITH {fx.PACKETS} SELECT channelid, pkt_offset, rtc, row_number() OVER (ORDER BY channelid, pkt_offset) - 1 AS place FROM packets")
+def _srt1(spark, sf_dir):
+    """Rows as written files hold them, each with its place in all files."""
+    folder = shared_folder(spark, "srt1")
+    parse.write_ordered(fx.packets(spark, sf_dir).select("channelid", "pkt_offset", "rtc"), folder, ["channelid", "pkt_offset"])
+    return parse.read_ordered(spark, folder)
+
+
 @query("SRC3", f"WITH {fx.BUS429} SELECT {_429} FROM bus429")
 def _src3(spark, sf_dir):
     """Two tables of side files lie in the same directory, and a text file."""

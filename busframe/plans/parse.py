@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from busframe.functions import bits, text, timebase
@@ -140,6 +140,19 @@ def write_parsed(rows: DataFrame, path: str, order: list[str] | None = None, gro
     rows.write.mode("overwrite").option("compression", "gzip").option("parquet.block.row.count.limit", group_rows).parquet(path)
 
 
+def write_ordered(rows: DataFrame, path: str, order: list[str]) -> None:
+    """write_parsed() in one order over all files: each holds a range, and their names are in the order of the ranges."""
+    write_parsed(rows.repartitionByRange(*order), path, order)
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a table of write_ordered() with `place`, their number from 0 in the order of files and of rows within them. A count a file is gathered, no rows."""
+    rows = spark.read.parquet(path).select("*", F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int").alias("__part"), F.col("_metadata.row_index").alias("__row"))
+    counts = rows.groupBy("__part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(F.broadcast(counts.select("__part", before.alias("__before"))), "__part").withColumn("place", F.col("__before") + F.col("__row")).drop("__part", "__row", "__before")
+
+
 def row_groups(spark: SparkSession, path: str, column: str) -> DataFrame:
     """(file, row_group, rows, least, greatest) of a table's row groups by their footers, which tasks read; least and greatest of a column of whole numbers, null without statistics."""
 

@@ -504,7 +504,7 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
-@pytest.mark.parametrize("name", ["DEC3", "DEC13", "JN1", "JN4", "TRN1", "TRN2", "TRN6", "AGG8", "BUS1", "EXP2", "QLT1", "WIN2", "WIN3", "SRC8", "SRC8_nested", "SRC8_pushed", "JN1_recording", "SRC9", "SRC10", "SRC11", "LIM1", "QLT4", "QLT1_positions", "TRN3", "TRN6_429", "TRN6_wide", "WIN4", "SRT2", "BUS1_checked", "SNK1_groups", "SNK4_document", "SNK2", "SNK5", "SRC4", "SRC5", "QLT2_rules"])
+@pytest.mark.parametrize("name", ["DEC3", "DEC13", "JN1", "JN4", "TRN1", "TRN2", "TRN6", "AGG8", "BUS1", "EXP2", "QLT1", "WIN2", "WIN3", "SRC8", "SRC8_nested", "SRC8_pushed", "JN1_recording", "SRC9", "SRC10", "SRC11", "LIM1", "QLT4", "QLT1_positions", "TRN3", "TRN6_429", "TRN6_wide", "WIN4", "SRT1", "SRT2", "EXP1", "EXP3", "EXP4", "EXP4_kinds", "EXP5", "QLT5", "BUS1_checked", "SNK1_groups", "SNK4_document", "SNK2", "SNK5", "SRC4", "SRC5", "QLT2_rules"])
 def test_queries(spark, name):
     import duckdb
 
