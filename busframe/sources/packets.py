@@ -6,6 +6,10 @@ resolve() follows the chain through all ranges at once, each from the first head
 where its predecessor really leaves off if that isn't on the chain it saw. Headers alone are read for that, and the clock
 packets, whose last valid fix is carried from range to range with the chain: so a row of a packet can hold the fix that is
 valid for it, without a join.
+
+A range costs a task's share and a row on the driver, so ranges that would be over RANGES are put together, neighbours of a
+file; a file that is one range is entered at its beginning and not walked before it is read. A task reads as many ranges as
+make up a share of all bytes.
 """
 
 from __future__ import annotations
@@ -15,7 +19,8 @@ import io
 import struct
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -36,6 +41,8 @@ _CHECKSUM_BYTES = (0, 1, 2, 4)
 #: Bytes that a header walk, and a read of bodies, takes at once.
 _WALK, _READ = 1 << 13, 1 << 20
 _ROWS, _BYTES = 4096, 4 << 20
+#: Ranges that files are cut into at most, besides one a file, unless they have CHUNK bytes. Tasks that a recording is shared by, unless a share were under LEAST or over CHUNK bytes; opening a file counts as _OPEN.
+RANGES, TASKS, LEAST, _OPEN = 1024, 1024, 1 << 20, 1 << 16
 _DAY0 = datetime.date(1970, 1, 1).toordinal()
 
 
@@ -73,6 +80,26 @@ class Range(InputPartition):
     fix: Fix | None = None
 
 
+@dataclass
+class Share(InputPartition):
+    """What one task reads."""
+
+    ranges: list[Range]
+
+
+def shares(ranges: list[Range], most: int = CHUNK) -> list[Share]:
+    """Ranges in order, dealt into shares of about the same number of bytes."""
+    sizes = [r.stop - r.start + _OPEN for r in ranges]
+    size, out, held = min(max(LEAST, sum(sizes) // TASKS), most), [], 0
+    for r, n in zip(ranges, sizes, strict=True):
+        if not out or held + n > size:
+            out.append(Share([]))
+            held = 0
+        out[-1].ranges.append(r)
+        held += n
+    return out
+
+
 def header(b: bytes) -> dict | None:
     """Fields of a packet header, or None if its checksum or sizes are wrong."""
     if len(b) < HEADER or b[:2] != SYNC or sum(struct.unpack("<11H", b[:22])) & 0xFFFF != struct.unpack_from("<H", b, 22)[0]:
@@ -164,14 +191,15 @@ def _opened(file: str, buffer: int) -> tuple[io.BufferedReader, int]:
 Walk = tuple[int | None, int, Fix | None]
 
 
-def walk(file: str, start: int, stop: int, entry: int | None) -> Walk:
+def walk(file: str, start: int, stop: int, entry: int | None, fixes: bool = True) -> Walk:
+    """fixes: whether to read clock packets."""
     f, size = _opened(file, _WALK)
     with f:
         first, end, fix = None, stop, None
         for at, h in chain(f, size, start if entry is None else entry, stop):
             first = at if first is None else first
             end = max(stop, at + h["pkt_size"])
-            if h["data_type"] == CLOCK:
+            if fixes and h["data_type"] == CLOCK:
                 _, sec_ok, ok, body = _body(f, at, h)
                 fix = sec_ok and ok and clock_fix(at, h["rtc"], body) or fix
     return first, end, fix
@@ -180,20 +208,30 @@ def walk(file: str, start: int, stop: int, entry: int | None) -> Walk:
 Asked = tuple[str, int, int, int | None]
 
 
+def joined(files: list[tuple[str, int]], chunk: int) -> int:
+    """Bytes of a range: so many times `chunk`, up to CHUNK bytes, that files are cut into about RANGES, besides one a file."""
+    n = sum(-(-size // chunk) for _, size in files if size > chunk)
+    return chunk * max(1, min(-(-n // RANGES), CHUNK // chunk))
+
+
 def resolve(files: list[tuple[str, int]], chunk: int, walks: Callable[[list[Asked]], list[Walk]]) -> list[Range]:
     """The ranges of the files, with the chain's entry and the fix that holds there.
 
     A range whose predecessor leaves off at or before the first header in it is entered there, so its first walk holds. Else
     it is walked again from that place; as chains meet soon, what follows is taken to hold meanwhile, and the next round
-    asks again where it doesn't. Every round settles a file's first open range at least.
+    asks again where it doesn't. Every round settles a file's first open range at least. A file of one range is entered at
+    its beginning, unwalked.
     """
-    cut = {f: [(a, a + chunk) for a in range(0, size, chunk)] for f, size in files}
-    asked: list[Asked] = [(f, a, b, None) for f, own in cut.items() for a, b in own]
+    cut = {f: [(a, min(a + chunk, size)) for a in range(0, size, chunk)] for f, size in files}
+    asked: list[Asked] = [(f, a, b, None) for f, own in cut.items() if len(own) > 1 for a, b in own]
     known: dict[Asked, Walk] = {}
     while True:
-        known.update(zip(asked, walks(asked), strict=True))
+        known.update(zip(asked, walks(asked) if asked else [], strict=True))
         out, asked = [], []
         for f, own in cut.items():
+            if len(own) == 1:
+                out.append(Range(f, *own[0], 0))
+                continue
             at, fix = 0, None
             for start, stop in own:
                 first, end, last = known[f, start, stop, None]
@@ -213,9 +251,9 @@ def resolve(files: list[tuple[str, int]], chunk: int, walks: Callable[[list[Aske
             return out
 
 
-def _here(asked: list[Asked]) -> list[Walk]:
+def _here(asked: list[Asked], fixes: bool = True) -> list[Walk]:
     with ThreadPoolExecutor(16) as pool:
-        return list(pool.map(lambda x: walk(*x), asked))
+        return list(pool.map(lambda x: walk(*x, fixes), asked))
 
 
 def _by_spark(spark: SparkSession) -> Callable[[list[Asked]], list[Walk]]:
@@ -226,7 +264,9 @@ def _by_spark(spark: SparkSession) -> Callable[[list[Asked]], list[Walk]]:
 
     def walks(asked: list[Asked]) -> list[Walk]:
         rows = [(i, f, a, b, -1 if e is None else e) for i, (f, a, b, e) in enumerate(asked)]
-        df = spark.createDataFrame(pd.DataFrame(rows, columns=["n", "file", "start", "stop", "entry"]), "n long, file string, start long, stop long, entry long").repartition(max(1, min(len(rows), 10_000)), "n")
+        df = spark.createDataFrame(pd.DataFrame(rows, columns=["n", "file", "start", "stop", "entry"]), "n long, file string, start long, stop long, entry long")
+        tasks = max(spark.sparkContext.defaultParallelism, sum(b - a for _, a, b, _ in asked) // LEAST)
+        df = df.repartition(max(1, min(len(rows), tasks)), "n")
         found = df.mapInPandas(one, "n long, first long, end long, at long, rtc long, time long, doy boolean").collect()  # a row a range, as the scheduler has
         return [(None if r["first"] < 0 else r["first"], r["end"], None if r["at"] < 0 else (r["at"], r["rtc"], r["time"], r["doy"])) for r in sorted(found, key=lambda r: r["n"])]
 
@@ -237,8 +277,9 @@ _ENTRIES = pa.schema([("file", pa.string()), ("start", pa.int64()), ("stop", pa.
 
 
 def write_entries(spark: SparkSession, path: str, chunk: int = CHUNK) -> str:
-    """A table of a recording's ranges, found by Spark jobs, for the option `entries`; its path."""
-    ranges = resolve(recordings(path), chunk, _by_spark(spark))
+    """A table of a recording's ranges, found by Spark jobs, for the option `entries`; its path. Ranges have `chunk` bytes, or some times as many (joined())."""
+    files = recordings(path)
+    ranges = resolve(files, joined(files, chunk), _by_spark(spark))
     columns = zip(*[(r.file, r.start, r.stop, r.entry, *(r.fix or (None,) * 4)) for r in ranges], strict=True) if ranges else [[]] * 8
     out = shared_folder(spark, "entries") + "/entries.parquet"
     system, at = located(out)
@@ -258,12 +299,12 @@ def read_entries(path: str) -> list[Range]:
 def read_recording(spark: SparkSession, path: str, chunk: int = CHUNK, **options) -> DataFrame:
     """Packets of a recording, or of all in a directory, with the clock fix that holds for each (FIX columns; null before the first).
 
-    Spark jobs find where the chain of packets enters each range of `chunk` bytes. Conditions on data_type, channelid and
+    Spark jobs find where the chain of packets enters each range of `chunk` bytes (of more, where there would be over RANGES). Conditions on data_type, channelid and
     file are taken over by the reader, which skips other packets' bodies.
     """
     spark.dataSource.register(PacketSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("ch10").options(entries=write_entries(spark, path, chunk), pushdown="true", fixes="true", **options).load(path)
+    return spark.read.format("ch10").options(entries=write_entries(spark, path, chunk), chunk=chunk, pushdown="true", fixes="true", **options).load(path)
 
 
 _PACKET_TYPES = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.bool_(), pa.bool_(), *[pa.int32()] * 3, pa.int64(), pa.binary(), pa.bool_(), pa.bool_(), pa.binary()]
@@ -274,7 +315,7 @@ class PacketSource(DataSource):
     """spark.read.format("ch10").load(path): one row per packet, from any file system that pyarrow opens.
 
     Options: entries (a table of write_entries(); without it the driver's threads follow the packets' headers), chunk (bytes of
-    a range; of no use with entries), maxChunks (first ranges of a file only), types (codes, with commas: only such packets),
+    a range; joined() puts ranges together where there are very many), maxChunks (a file's packets that begin in so many first chunks only), types (codes, with commas: only such packets),
     fixes (true: with FIX columns), pushdown (true: takes conditions over; Spark's filterPushdown setting must be on).
     """
 
@@ -296,15 +337,19 @@ class _Reader(DataSourceReader):
         self.most = int(options["maxChunks"]) if "maxChunks" in options else None
         self.fixes = options.get("fixes") == "true"
 
-    def partitions(self) -> list[Range]:
-        ranges = read_entries(self.entries) if self.entries else resolve(recordings(self.path), self.chunk, _here)
+    def partitions(self) -> list[Share]:
+        size = lambda n: n if self.most is None else min(n, self.most * self.chunk)
+        if self.entries:
+            ranges = [replace(r, stop=size(r.stop)) for r in read_entries(self.entries)]
+        else:
+            files = [(f, size(n)) for f, n in recordings(self.path)]
+            ranges = resolve(files, joined(files, self.chunk), partial(_here, fixes=self.fixes))
         files = self.kept.get("file")
-        if self.most is not None:
-            ranges = [r for r in ranges if r.start < self.most * (r.stop - r.start)]
-        return [r for r in ranges if r.entry is not None and (files is None or r.file in files)] or [Range("", 0, 0, None)]
+        return shares([r for r in ranges if r.entry is not None and r.start < r.stop and (files is None or r.file in files)]) or [Share([])]
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        return packet_batches(partition, self.kept.get("data_type"), self.kept.get("channelid"), self.fixes)
+    def read(self, partition: Share) -> Iterator[pa.RecordBatch]:
+        for r in partition.ranges:
+            yield from packet_batches(r, self.kept.get("data_type"), self.kept.get("channelid"), self.fixes)
 
 
 class _PushingReader(_Reader):

@@ -425,6 +425,25 @@ def test_packets_in_bodies(tmp_path, chunk):
     assert [f for _, _, f in rows] == [None if i < 10 else i - (i - 10) % 20 for i in range(300)]
 
 
+def test_few_ranges_and_shares(spark, tmp_path, monkeypatch):
+    """However small `chunk` is: a bounded number of ranges is walked, and tasks take many of them."""
+    walked = []
+    many = packets.resolve([(str(i), 224_000) for i in range(3000)], packets.joined([("", 224_000)] * 3000, 4001), lambda x: walked.extend(x) or [])
+    assert not walked and len(many) == 3000 and len(packets.shares(many)) <= 1000
+    assert packets.joined([("", 10**6)], 4001) == 4001 and packets.joined([("", 1 << 40)], 4001) > 60 << 20 and packets.joined([("", 1 << 40)], 1 << 30) == 1 << 30
+    places = _nested_file(tmp_path / "r.ch10")
+    _nested_file(tmp_path / "s.ch10")
+    monkeypatch.setattr(packets, "RANGES", 8)
+    for most, kept in ((None, places), (100, [p for p in places if p < 2000])):
+        options = {"path": str(tmp_path), "chunk": "20", "fixes": "true"} | ({"maxChunks": str(most)} if most else {})
+        reader = packets.PacketSource(options).reader(None)
+        dealt = reader.partitions()
+        rows = [x for p in dealt for b in reader.read(p) for x in b.column(b.schema.get_field_index("offset")).to_pylist()]
+        assert rows == kept + kept and len(dealt) == 1 and 2 < len(dealt[0].ranges) <= 10
+    df = packets.read_recording(spark, str(tmp_path), 20)
+    assert df.rdd.getNumPartitions() == 1 and df.count() == 600
+
+
 def test_pushed_filters(spark, tmp_path, monkeypatch):
     from pyspark.sql.datasource import EqualTo, GreaterThan, In
 
