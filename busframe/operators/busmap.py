@@ -102,13 +102,15 @@ def resolve_bus_map(
     exclusions: DataFrame | None = None, corrections: DataFrame | None = None, overrides: DataFrame | None = None,
 ) -> BusMap:
     """Channel to bus: by attributes or by vote (checked against attributes if asked), exclusions before and after, overrides last."""
+    # A row a channel and key from here on: joins by channel move no command words, of which a channel may have all.
+    commwords = commwords.select("channelid", *[F.col(c).cast("long").bitwiseAND(F.lit(KEY_MASK)).alias(c) for c in ("tx", "rx")]).distinct()
     recorded = commwords.select("channelid").distinct()
     sources = correct_sources(tmats, recorded, corrections)
     out = None
     if exclusions is not None:
         out = excluded(sources, "source", exclusions).select("channelid", F.lit("Excluded").alias("reason"))
         recorded = recorded.join(out, "channelid", "left_anti")
-        commwords = commwords.join(out, "channelid", "left_anti")
+        commwords = commwords.join(F.broadcast(out.select("channelid")), "channelid", "left_anti")  # a row a channel
     votes = vote_counts(commwords, keys)
     if use_tmats:
         winners, label = attribute_winners(sources, recorded, keys), "TMATS"

@@ -307,6 +307,23 @@ def test_checked_vote(spark):
     assert {tuple(r) for r in m.excluded.collect()} == {(1, "TMATS Mismatch"), (2, "Missing From TMATS"), (3, "No Votes")}
 
 
+def test_exclusions_move_no_command_words(spark):
+    """Joins by channel take a row a channel and key: exchanges by channel come after those that make them distinct."""
+    words = spark.createDataFrame([(i % 2, 2048 * (i % 3) + i % 32, 0) for i in range(3000)], "channelid int, tx int, rx int")
+    keys = spark.createDataFrame([(2048 << 16, "A")], "key long, bus string")
+    tmats_ = spark.createDataFrame([(0, "A"), (1, "x left")], "channelid int, source string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = busmap.resolve_bus_map(words, keys, tmats_, exclusions=spark.createDataFrame([("LEFT",)], "word string"))
+        assert [tuple(r) for r in m.bus_map.collect()] == [(0, "A", "Vote Method")] and [tuple(r) for r in m.excluded.collect()] == [(1, "Excluded")]
+        plan = m.votes._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin [channelid" in plan and "LeftAnti" in plan and not any("SortMergeJoin" in x and "LeftAnti" in x for x in plan.split("\n"))
+    assert [tuple(r) for r in m.votes.collect()] == [(0, "A", 1)]
+
+
 @pytest.mark.parametrize("block, most", [(16, 0), (4096, 0), (16, 10**6)])
 def test_carried_over_blocks(spark, monkeypatch, block, most):
     monkeypatch.setattr(alignment, "BLOCK", block)
