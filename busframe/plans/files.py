@@ -228,10 +228,10 @@ def _src4(spark, sf_dir):
 
 
 def _documents(rows: DataFrame, head: str, folder: str) -> None:
-    """YAML documents, a hundred entries of column `entry` to a file."""
+    """YAML documents, a hundred entries of column `entry` to a file, all in one directory."""
     n = F.floor(F.col("p_partkey") / 100)
     docs = rows.groupBy(n.alias("n")).agg(F.concat(F.lit(head + "\n"), F.array_join(F.sort_array(F.collect_list("entry")), "\n")).alias("value"))
-    docs.repartition("n").write.partitionBy("n").text(folder)
+    docs.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, "n").select("value").write.option("maxRecordsPerFile", 1).text(folder)
 
 
 @query("SRC5", f"SELECT {_PART}, p_size % 16 + 1 AS bitlsb FROM part")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,8 @@ from busframe.schemas import ICD_1553, ICD_429, MESSAGE_KEYS
 from busframe.sources.tables import shared_folder
 
 _BAD = "_malformed"
+#: Rows that a batch of several documents' rows has at most.
+_ROWS = 5000
 
 
 def read_icd_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -26,8 +28,28 @@ def read_icd_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return rows.where(F.col(_BAD).isNull()).drop(_BAD), rows.where(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
 
 
-def _documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True)
+def load(text: str) -> dict:
+    """A YAML document, by libyaml where it is installed."""
+    import yaml
+
+    return yaml.load(text, Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader)) or {}
+
+
+def _documents(spark: SparkSession, path: str, found: Callable[[dict], Iterable[tuple]], schema: str) -> DataFrame:
+    """What is found in each YAML document, rows of small ones together in a batch."""
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []
+        for b in batches:
+            for text in b["value"]:
+                held.extend(found(load(text)))
+                if len(held) >= _ROWS:
+                    yield pd.DataFrame(held, columns=names)
+                    held = []
+        yield pd.DataFrame(held, columns=names)
+
+    return spark.read.text(path, wholetext=True).select("value").mapInPandas(rows, schema)
 
 
 def _elements_1553(doc: dict) -> Iterator[tuple]:
@@ -48,50 +70,30 @@ def _elements_1553(doc: dict) -> Iterator[tuple]:
 
 def read_icd_yaml_1553(spark: SparkSession, path: str) -> DataFrame:
     """Element rows of the messages in one or many YAML documents; a message without its three maps is skipped."""
-    names = [x.split()[0] for x in ICD_1553.split(", ")]
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import yaml
-
-        for b in batches:
-            for text in b["value"]:
-                yield pd.DataFrame(list(_elements_1553(yaml.safe_load(text) or {})), columns=names)
-
-    return _documents(spark, path).mapInPandas(rows, ICD_1553)
+    return _documents(spark, path, _elements_1553, ICD_1553)
 
 
 def read_supplemental_keys(spark: SparkSession, path: str) -> DataFrame:
     """(key, bus) of the command words that documents list for the vote alone."""
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import yaml
-
-        for b in batches:
-            for text in b["value"]:
-                listed = (yaml.safe_load(text) or {}).get("supplemental_bus_map_command_words") or {}
-                yield pd.DataFrame([(tx * 65536 + rx, bus) for bus, pairs in listed.items() for tx, rx in pairs], columns=["key", "bus"])
+    def listed(doc: dict) -> Iterator[tuple]:
+        for bus, pairs in (doc.get("supplemental_bus_map_command_words") or {}).items():
+            yield from ((tx * 65536 + rx, bus) for tx, rx in pairs)
 
-    return _documents(spark, path).mapInPandas(rows, MESSAGE_KEYS)
+    return _documents(spark, path, listed, MESSAGE_KEYS)
 
 
 def read_icd_yaml_429(spark: SparkSession, path: str) -> DataFrame:
     """Element rows of the words in one or many YAML documents, bit positions counted from 1 at the most significant."""
     raw = "word_name string, elem_name string, label int, bus string, sdi int, rate double, lru_name string, schema string, lsb int, bitcnt int, msb_val double, description string, uom string, classification int"
-    names = [x.split()[0] for x in raw.split(", ")]
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import yaml
+    def elements(doc: dict) -> Iterator[tuple]:
+        for word, body in (doc.get("translatable_word_definitions") or {}).items():
+            d = body["wrd_data"]
+            for elem, e in (body.get("elem") or {}).items():
+                yield word, elem, d["label"], d["bus"], d.get("sdi", -1), float(d["rate"]), d.get("lru_name"), e["schema"], e["lsb"], e["bitcnt"], float(e["msbval"]), e.get("desc"), e.get("uom"), e.get("class")
 
-        for b in batches:
-            for text in b["value"]:
-                found = []
-                for word, body in ((yaml.safe_load(text) or {}).get("translatable_word_definitions") or {}).items():
-                    d = body["wrd_data"]
-                    for elem, e in (body.get("elem") or {}).items():
-                        found.append((word, elem, d["label"], d["bus"], d.get("sdi", -1), float(d["rate"]), d.get("lru_name"), e["schema"], e["lsb"], e["bitcnt"], float(e["msbval"]), e.get("desc"), e.get("uom"), e.get("class")))
-                yield pd.DataFrame(found, columns=names)
-
-    return bit_positions_429(_documents(spark, path).mapInPandas(rows, raw))
+    return bit_positions_429(_documents(spark, path, elements, raw))
 
 
 def bit_positions_429(rows: DataFrame) -> DataFrame:

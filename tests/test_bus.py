@@ -442,6 +442,24 @@ def test_packets_in_bodies(tmp_path, chunk):
     assert [f for _, _, f in rows] == [None if i < 10 else i - (i - 10) % 20 for i in range(300)]
 
 
+def test_many_documents(spark, tmp_path, monkeypatch):
+    """Small documents lie in one directory, are parsed by libyaml, and their rows share batches."""
+    import yaml
+
+    from busframe.plans import files
+
+    used = []
+    monkeypatch.setattr(yaml, "load", lambda text, Loader, of=yaml.load: used.append(Loader) or of(text, Loader=Loader))
+    assert icd.load("a: [off, 1e3, 012, 1_0, ~]") == yaml.safe_load("a: [off, 1e3, 012, 1_0, ~]") and icd.load("") == {}
+    assert used[0] is (yaml.CSafeLoader if yaml.__with_libyaml__ else yaml.SafeLoader)
+    parts = spark.range(1, 1201).selectExpr("id AS p_partkey", "format_string('  B%d:\\n    - [%d, 1]', id, id) AS entry")
+    files._documents(parts, "supplemental_bus_map_command_words:", f"{tmp_path}/docs")
+    assert len([x for x in (tmp_path / "docs").glob("part-*.txt") if x.stat().st_size]) == 13 and not [x for x in (tmp_path / "docs").iterdir() if x.is_dir()]
+    monkeypatch.setattr(icd, "_ROWS", 150)
+    got = icd.read_supplemental_keys(spark, f"{tmp_path}/docs")
+    assert {tuple(r) for r in got.collect()} == {(i * 65536 + 1, f"B{i}") for i in range(1, 1201)} and got.count() == 1200
+
+
 def test_few_ranges_and_shares(spark, tmp_path, monkeypatch):
     """However small `chunk` is: a bounded number of ranges is walked, and tasks take many of them."""
     walked = []
