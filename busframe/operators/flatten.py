@@ -5,7 +5,9 @@ from __future__ import annotations
 import struct
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,9 +74,22 @@ def video_units(packets: DataFrame, body: str = "body") -> DataFrame:
     return rows.withColumns({"stamp": stamp, "unit": F.substring(F.col(body), at + F.col("__size") - 188 + 1, F.lit(188))}).drop(body, "__size")
 
 
+def _swapped(words: pa.Array) -> pa.Array:
+    values = words.flatten()
+    sizes = 2 * np.bincount(pc.list_parent_indices(words).to_numpy()[values.is_valid().to_numpy(zero_copy_only=False)], minlength=len(words))
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("i4")
+    data = (values.drop_null().to_numpy() & 0xFFFF).astype(">u2").tobytes()
+    out = pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+    return pc.if_else(words.is_valid(), out, pa.scalar(None, pa.binary()))
+
+
 def swap_bytes(data: Column) -> Column:
-    """array<int> of 16-bit words to bytes, each word's high byte first."""
-    return F.unhex(F.array_join(F.transform(data, lambda w: F.lpad(F.hex(w.bitwiseAND(F.lit(0xFFFF)).cast("long")), 4, "0")), ""))
+    """array<int> of 16-bit words to bytes, each word's high byte first; missing words are left out. In Arrow batches: Spark interprets a lambda word by word."""
+
+    def swapped(words: pa.Array) -> pa.Array:
+        return _swapped(words)
+
+    return F.arrow_udf(swapped, "binary")(data)
 
 
 def extract_video(video: DataFrame, order: list[str]) -> DataFrame:
