@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,6 +44,44 @@ def _clock(n: int) -> bytes:
     return struct.pack("<I4H", 0x200 | (15 if n % 350 == 0 else 0), digits(rest % 60) << 8, digits(rest // 3600) << 8 | digits(rest // 60 % 60), 1 << 8 | digits(day + 1), 0x2020)
 
 
+def _words(kind: str, *columns: np.ndarray | int) -> np.ndarray:
+    """Bytes of rows of numbers of one type, a row a packet."""
+    return np.stack(np.broadcast_arrays(*columns), axis=1).astype(kind).view("u1")
+
+
+def _heads(kind: np.ndarray, size: np.ndarray, data: np.ndarray, rtc: np.ndarray, channel: np.ndarray | int = 1, flags: np.ndarray | int = 0, seq: np.ndarray | int = 0) -> np.ndarray:
+    """Packet headers as encode() makes them."""
+    cells = [int.from_bytes(packets.SYNC, "little"), channel, size & 0xFFFF, size >> 16, data & 0xFFFF, data >> 16, 1 | seq << 8, flags | kind << 8, rtc & 0xFFFF, rtc >> 16 & 0xFFFF, rtc >> 32 & 0xFFFF]
+    return _words("<u2", *cells, sum(cells) & 0xFFFF)
+
+
+def _clocks(n: np.ndarray) -> np.ndarray:
+    """_clock() of many."""
+    day, rest = n % 2_419_200 // 86_400, n % 2_419_200 % 86_400
+    digits = lambda x: x // 10 << 4 | x % 10
+    return _words("<u2", np.where(n % 350 == 0, 0x20F, 0x200), 0, digits(rest % 60) << 8, digits(rest // 3600) << 8 | digits(rest // 60 % 60), 1 << 8 | digits(day + 1), 0x2020)
+
+
+def recorded(n: np.ndarray, kind: np.ndarray, channel: np.ndarray, nested: bool) -> bytes:
+    """The packets of a recording's events, see write_recordings(), in the order given: a matrix of bytes, of which a packet has those of its parts."""
+    if len(n) and (n.min() < 0 or n.max() >> 32):
+        raise ValueError("an event's number must fit 32 bits")
+    clock, second, zero = (n % 50 == 0) & nested, n % 3 == 0, np.zeros_like(n)
+    body = _words("<u4", 1, n & 0xFFFFF, n)
+    parts = [(body, ~clock)]
+    if nested:
+        inner = [_heads(zero + k, zero + packets.HEADER + 12, zero + 12, zero, 9) for k in (0x38, packets.CLOCK)]
+        parts = [(np.hstack([body, inner[0], body, inner[1], _clocks(zero + 1)]), ~clock), (_clocks(n), clock)]
+    lengths = sum(x.shape[1] * own for x, own in parts)
+    total = sum(x.view("<u4").sum(axis=1, dtype="u8") * own for x, own in parts) & 0xFFFFFFFF
+    time = [7 * n & 0xFFFF, 7 * n >> 16 & 0xFFFF, 7 * n >> 32 & 0xFFFF, zero, zero]
+    time = _words("<u2", *time, (sum(time) + (n % 21 == 0)) & 0xFFFF)
+    heads = _heads(np.where(clock, packets.CLOCK, kind), packets.HEADER + packets.SECONDARY * second + lengths + 4, lengths, n, channel, np.where(second, 0x83, 3), n % 256)
+    checksums = _words("<u4", total ^ np.where(n % 11 == 0, 1 << 24, 0).astype("u8"))
+    parts = [(heads, zero == 0), (time, second), *parts, (checksums, zero == 0)]
+    return np.hstack([x for x, _ in parts])[np.hstack([np.repeat(own[:, None], x.shape[1], axis=1) for x, own in parts])].tobytes()
+
+
 def write_recordings(spark: SparkSession, sf_dir: str, label: str, changed: int = 0, nested: bool = False) -> str:
     """The folder of recordings made of events, EVENTS of them to a file, written by Spark tasks. The rtc is the event's number.
 
@@ -55,24 +94,14 @@ def write_recordings(spark: SparkSession, sf_dir: str, label: str, changed: int
 
     def write(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         number = int(key[0])
-        out = [encode(0x01, struct.pack("<I", 0) + b"R-1\\ID:rec%08d;\n" % number)]
-        for e in rows.sort_values("event_id").itertuples():
-            n = int(e.event_id)
-            second, flags = b"", 3
-            if n % 3 == 0:
-                second = struct.pack("<QH", 7 * n, 0)
-                second += struct.pack("<H", (sum(struct.unpack("<5H", second)) + (n % 21 == 0)) & 0xFFFF)
-                flags |= 0x80
-            kind, body = _CODES.get(e.event_type, 0x68), struct.pack("<III", 1, n & 0xFFFFF, n)
-            if nested:
-                kind, body = (packets.CLOCK, _clock(n)) if n % 50 == 0 else (kind, body + encode(0x38, body, channel=9) + encode(packets.CLOCK, _clock(1), channel=9))
-            made = encode(kind, body, n, int(e.user_id) % 4 + (changed if number % 2 else 0), flags, second, n % 256)
-            out.append(made[:-1] + bytes([made[-1] ^ 1]) if n % 11 == 0 else made)
+        rows = rows.sort_values("event_id")
+        n, user = rows["event_id"].astype("int64").to_numpy(), rows["user_id"].astype("int64").to_numpy()
+        kind = rows["event_type"].map(_CODES).fillna(0x68).astype("int64").to_numpy()
         system, path = packets.located(f"{folder}/{number:08d}.ch10")
         system.create_dir(path.rpartition("/")[0], recursive=True)
         with system.open_output_stream(path) as f:
-            f.write(b"".join(out))
-        return pd.DataFrame({"file": [number], "packets": [len(out)]})
+            f.write(encode(0x01, struct.pack("<I", 0) + b"R-1\\ID:rec%08d;\n" % number) + recorded(n, kind, user % 4 + (changed if number % 2 else 0), nested))
+        return pd.DataFrame({"file": [number], "packets": [len(n) + 1]})
 
     events.groupBy("file").applyInPandas(write, "file long, packets long").agg(F.sum("packets")).collect()
     return folder

@@ -38,7 +38,7 @@ HEADER, SECONDARY = 24, 12
 CLOCK = 0x11
 CHUNK = 64 << 20
 _CHECKSUM_BYTES = (0, 1, 2, 4)
-#: Bytes that a header walk, and a read of bodies, takes at once.
+#: Bytes that a walk over headers takes at first, and that any read takes at most, at once.
 _WALK, _READ = 1 << 13, 1 << 20
 _ROWS, _BYTES = 4096, 4 << 20
 #: Ranges that files are cut into at most, besides one a file, unless they have CHUNK bytes. Tasks that a recording is shared by, unless a share were under LEAST or over CHUNK bytes; opening a file counts as _OPEN.
@@ -100,59 +100,104 @@ def shares(ranges: list[Range], most: int = CHUNK) -> list[Share]:
     return out
 
 
-def header(b: bytes) -> dict | None:
-    """Fields of a packet header, or None if its checksum or sizes are wrong."""
-    if len(b) < HEADER or b[:2] != SYNC or sum(struct.unpack("<11H", b[:22])) & 0xFFFF != struct.unpack_from("<H", b, 22)[0]:
-        return None
-    channel, size, data = struct.unpack_from("<HII", b, 2)
-    version, seq, flags, kind = struct.unpack_from("<4B", b, 12)
-    extra = SECONDARY if flags >> 7 else 0
-    if size < HEADER + extra or data > size - HEADER - extra:
-        return None
-    return {"channelid": channel, "pkt_size": size, "data_size": data, "data_type_ver": version, "seq_num": seq, "checksum_existence": flags & 3, "time_format": flags >> 2 & 3, "overflow_err": bool(flags >> 4 & 1), "sync_err": bool(flags >> 5 & 1), "intrapkt_ts_source": flags >> 6 & 1, "secondary_hdr": flags >> 7, "data_type": kind, "rtc": int.from_bytes(b[16:22], "little")}
-
-
-def body_checksum_ok(payload: bytes, existence: int) -> bool:
-    """payload: what follows the headers, with filler and checksum."""
-    n = _CHECKSUM_BYTES[existence]
-    if not n:
-        return True
-    data = payload[:-n]
-    data += b"\0" * (-len(data) % n)
-    return int(np.frombuffer(data, f"<u{n}").sum(dtype="u8")) & (1 << 8 * n) - 1 == int.from_bytes(payload[-n:], "little")
-
-
-def first_header(f: io.BufferedReader, size: int, at: int, stop: int) -> tuple[int, dict] | None:
-    """The first sound header at or after `at` whose packet the file holds whole, if it begins before stop."""
-    stop = min(stop, size)
-    while at < stop:
-        f.seek(at)
-        if (h := header(f.read(HEADER))) and at + h["pkt_size"] <= size:
-            return at, h
-        f.seek(at + 1)
-        window = f.read(1 << 16)
-        found = window.find(SYNC)
-        if found < 0 and len(window) < 1 << 16:
-            return None
-        at += 1 + (found if found >= 0 else len(window) - 1)
-    return None
+@dataclass
+class Window:
+    """Bytes of a file from `base` on."""
+
+    file: io.BufferedReader
+    base: int
+    data: bytes
+
 
+#: Fields of packets, an array each.
+Headers = dict[str, np.ndarray]
+
+
+def headers(data: bytes) -> tuple[np.ndarray, Headers]:
+    """Places and fields of all that are packet headers by their checksum and sizes, whether on the chain or not."""
+    u = np.frombuffer(data, "u1")
+    last = max(0, len(u) - HEADER + 1)
+    at = np.flatnonzero((u[:last] == SYNC[0]) & (u[1 : last + 1] == SYNC[1]))
+    w = u[at[:, None] + np.arange(HEADER)].view("<u2").astype("i8")
+    sound = w[:, :11].sum(axis=1) & 0xFFFF == w[:, 11]
+    at, w = at[sound], w[sound]
+    flags, size, data_size = w[:, 7] & 0xFF, w[:, 2] | w[:, 3] << 16, w[:, 4] | w[:, 5] << 16
+    held = size - HEADER - SECONDARY * (flags >> 7)
+    h = {"channelid": w[:, 1], "pkt_size": size, "data_size": data_size, "data_type_ver": w[:, 6] & 0xFF, "seq_num": w[:, 6] >> 8, "checksum_existence": flags & 3, "time_format": flags >> 2 & 3, "overflow_err": flags >> 4 & 1, "sync_err": flags >> 5 & 1, "intrapkt_ts_source": flags >> 6 & 1, "secondary_hdr": flags >> 7, "data_type": w[:, 7] >> 8, "rtc": w[:, 8] | w[:, 9] << 16 | w[:, 10] << 32}
+    sound = (held >= 0) & (data_size <= held)
+    return at[sound], {k: x[sound] for k, x in h.items()}
+
+
+def chain(file: str, at: int, stop: int, least: int = _WALK) -> Iterator[tuple[Window, np.ndarray, Headers]]:
+    """Packets that begin before stop, each the first at or after the end of the one before (of the first: `at`) that the file holds whole.
+
+    A window of the file at a time, with the places in the file and the fields of its packets. Windows have `least` bytes, and
+    twice as many each time, up to _READ, as long as the chain doesn't lead far beyond them.
+    """
+    f, size = _opened(file, _WALK)
+    stop, n = min(stop, size), least
+    with f:
+        while at < stop:
+            f.seek(at)
+            w = Window(f, at, f.read(min(n, stop - at + HEADER - 1)))
+            places, h = headers(w.data)
+            places += at
+            whole = places + h["pkt_size"] <= size
+            places, h = places[whole], {k: x[whole] for k, x in h.items()}
+            after, found, i = np.searchsorted(places, places + h["pkt_size"]).tolist(), [], 0
+            while i < len(after):
+                found.append(i)
+                i = after[i]
+            end = at + len(w.data)
+            if found:
+                at = int(places[found[-1]] + h["pkt_size"][found[-1]])
+                yield w, places[found], {k: x[found] for k, x in h.items()}
+            if end >= size:
+                return
+            at = max(at, end - HEADER + 1)
+            n = min(2 * n, _READ) if at <= end + n else least
+
+
+def _checksums_ok(u: np.ndarray, start: np.ndarray, stop: np.ndarray, n: int) -> np.ndarray:
+    """Whether the last n bytes are the sum of those before, as numbers of n bytes, of what lies from start to stop: payloads in order, with filler and checksum."""
+    end = np.maximum(stop - n, start)
+    whole = start + (end - start) // n * n
+    total = np.zeros(len(start), "u8")
+    if len(start) == 1:
+        total[0] = u[start[0] : whole[0]].view(f"<u{n}").sum(dtype="u8")
+    else:
+        for phase in range(n):
+            own = start % n == phase
+            if own.any():
+                words = u[phase : phase + (len(u) - phase) // n * n].view(f"<u{n}")
+                sums = np.zeros(len(words) + 1, "u8")
+                np.cumsum(words, dtype="u8", out=sums[1:])
+                total[own] = sums[(whole[own] - phase) // n] - sums[(start[own] - phase) // n]
+    number = lambda a, b: sum(np.where(a + k < b, u[np.minimum(a + k, len(u) - 1)], 0).astype("u8") << np.uint64(8 * k) for k in range(n))
+    return (total + number(whole, end)) & np.uint64((1 << 8 * n) - 1) == number(end, stop)
 
-def chain(f: io.BufferedReader, size: int, at: int, stop: int) -> Iterator[tuple[int, dict]]:
-    """(place, header) of the packets that begin before stop, from the first at or after `at`."""
-    while found := first_header(f, size, at, stop):
-        yield found
-        at = found[0] + found[1]["pkt_size"]
 
+def _body(f: Window, at: np.ndarray, h: dict) -> tuple[list[bytes | None], np.ndarray, np.ndarray, list[bytes]]:
+    """(secondary headers' times, whether their checksums are right, whether the bodies' are, bodies) of a window's packets of one type.
 
-def _body(f: io.BufferedReader, at: int, h: dict) -> tuple[bytes | None, bool, bool, bytes]:
-    """(secondary header's time, whether its checksum is right, whether the body's is, body) of a packet."""
-    f.seek(at + HEADER)
-    rest, sec, sec_ok = f.read(h["pkt_size"] - HEADER), None, True
-    if h["secondary_hdr"]:
-        sec, sec_ok = rest[:8], sum(struct.unpack("<5H", rest[:10])) & 0xFFFF == struct.unpack_from("<H", rest, 10)[0]
-        rest = rest[SECONDARY:]
-    return sec, sec_ok, body_checksum_ok(rest, h["checksum_existence"]), rest[: h["data_size"]]
+    Of a chain's packets the last one alone can reach beyond the window; it is read by itself then.
+    """
+    if at[-1] + h["pkt_size"][-1] > f.base + len(f.data):
+        f.file.seek(int(at[-1]))
+        alone = Window(f.file, int(at[-1]), f.file.read(int(h["pkt_size"][-1])))
+        parts = [_body(w, at[x], {k: v[x] if isinstance(v, np.ndarray) else v for k, v in h.items()}) for w, x in ((f, slice(-1)), (alone, slice(-1, None))) if len(at[x])]
+        return [y for x in parts for y in x[0]], np.concatenate([x[1] for x in parts]), np.concatenate([x[2] for x in parts]), [y for x in parts for y in x[3]]
+    u, start, second = np.frombuffer(f.data, "u1"), at - f.base + HEADER, h["secondary_hdr"] == 1
+    secs = [f.data[a : a + 8] if s else None for a, s in zip(start.tolist(), second.tolist(), strict=True)]
+    sec_ok, ok = np.ones(len(at), bool), np.ones(len(at), bool)
+    w = u[start[second][:, None] + np.arange(SECONDARY)].view("<u2").astype("i8")
+    sec_ok[second] = w[:, :5].sum(axis=1) & 0xFFFF == w[:, 5]
+    start, stop = start + SECONDARY * second, start - HEADER + h["pkt_size"]
+    for code in np.unique(h["checksum_existence"]).tolist():
+        if n := _CHECKSUM_BYTES[code]:
+            own = h["checksum_existence"] == code
+            ok[own] = _checksums_ok(u, start[own], stop[own], n)
+    return secs, sec_ok, ok, [f.data[a:b] for a, b in zip(start.tolist(), (start + h["data_size"]).tolist(), strict=True)]
 
 
 def _digits(word: int, *widths: int) -> int:
@@ -193,18 +238,29 @@ Walk = tuple[int | None, int, Fix | None]
 
 def walk(file: str, start: int, stop: int, entry: int | None, fixes: bool = True) -> Walk:
     """fixes: whether to read clock packets."""
-    f, size = _opened(file, _WALK)
-    with f:
-        first, end, fix = None, stop, None
-        for at, h in chain(f, size, start if entry is None else entry, stop):
-            first = at if first is None else first
-            end = max(stop, at + h["pkt_size"])
-            if fixes and h["data_type"] == CLOCK:
-                _, sec_ok, ok, body = _body(f, at, h)
-                fix = sec_ok and ok and clock_fix(at, h["rtc"], body) or fix
+    first, end, fix = None, stop, None
+    for f, at, h in chain(file, start if entry is None else entry, stop):
+        first = int(at[0]) if first is None else first
+        end = max(stop, int(at[-1] + h["pkt_size"][-1]))
+        if fixes:
+            fix = ([x for _, x in _fixes(f, at, h)] or [fix])[-1]
     return first, end, fix
 
 
+def _of_type(at: np.ndarray, h: Headers, own: np.ndarray, kind: int) -> tuple[np.ndarray, dict]:
+    return at[own], {k: x[own] for k, x in h.items()} | {"data_type": kind}
+
+
+def _fixes(f: Window, at: np.ndarray, h: Headers) -> list[tuple[int, Fix]]:
+    """(number among the packets, fix) of a window's valid clock packets."""
+    own = np.flatnonzero(h["data_type"] == CLOCK)
+    if not len(own):
+        return []
+    _, sec_ok, ok, bodies = _body(f, *_of_type(at, h, own, CLOCK))
+    found = [(i, clock_fix(int(at[i]), int(h["rtc"][i]), b)) for i, b, s in zip(own.tolist(), bodies, (sec_ok & ok).tolist(), strict=True) if s]
+    return [(i, x) for i, x in found if x]
+
+
 Asked = tuple[str, int, int, int | None]
 
 
@@ -369,23 +425,34 @@ def packet_batches(part: Range, types: set[int] | None = None, channels: set[int
         return
     names = [x.split()[0] for x in (PACKETS + (", " + FIX if fixes else "")).split(", ")]
     kinds = _PACKET_TYPES + (_FIX_TYPES if fixes else [])
-    rows, held, fix = [], 0, part.fix
-    made = lambda: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-    f, size = _opened(part.file, _READ if types is None and channels is None else _WALK)
-    with f:
-        for at, h in chain(f, size, part.entry, part.stop):
-            wanted = (types is None or h["data_type"] in types) and (channels is None or h["channelid"] in channels)
-            clock = fixes and h["data_type"] == CLOCK
-            if not wanted and not clock:
-                continue
-            sec, sec_ok, ok, body = _body(f, at, h)
-            if clock and sec_ok and ok:
-                fix = clock_fix(at, h["rtc"], body) or fix
-            if wanted:
-                rows.append((part.file, at, *h.values(), sec, sec_ok, ok, body, *((fix or (None,) * 4) if fixes else ())))
-                held += len(body)
-                if len(rows) >= _ROWS or held >= _BYTES:
-                    yield made()
-                    rows, held = [], 0
-    if rows:
-        yield made()
+    held, rows, size, fix = [], 0, 0, part.fix
+    merged = lambda: pa.Table.from_batches(held).combine_chunks().to_batches(_ROWS)
+    for f, at, h in chain(part.file, part.entry, part.stop, _READ if types is None and channels is None else _WALK):
+        wanted = np.ones(len(at), bool)
+        for name, own in (("data_type", types), ("channelid", channels)):
+            if own is not None:
+                wanted &= np.isin(h[name], [x for x in own if x is not None])
+        known = [(-1, fix), *(_fixes(f, at, h) if fixes else [])]
+        fix = known[-1][1]
+        if not wanted.any():
+            continue
+        secs, bodies, sec_ok, ok = [None] * len(at), [None] * len(at), np.ones(len(at), bool), np.ones(len(at), bool)
+        for kind in np.unique(h["data_type"][wanted]).tolist():
+            own = np.flatnonzero(wanted & (h["data_type"] == kind))
+            of_sec, sec_ok[own], ok[own], of_body = _body(f, *_of_type(at, h, own, kind))
+            for i, sec, body in zip(own.tolist(), of_sec, of_body, strict=True):
+                secs[i], bodies[i] = sec, body
+        own = np.flatnonzero(wanted)
+        taken = [[x[i] for i in own.tolist()] for x in (secs, bodies)]
+        cells = [at, *h.values(), taken[0], sec_ok, ok, taken[1]]
+        columns = [pa.repeat(pa.scalar(part.file, pa.string()), len(own)), *[pa.array(x if isinstance(x, list) else x[own].astype(k.to_pandas_dtype()), k) for x, k in zip(cells, _PACKET_TYPES[1:], strict=True)]]
+        if fixes:
+            holds = np.searchsorted([i for i, _ in known], own, "right") - 1
+            columns += [pa.array([None if x is None else x[j] for _, x in known], k).take(pa.array(holds)) for j, k in enumerate(_FIX_TYPES)]
+        held.append(pa.RecordBatch.from_arrays(columns, names=names))
+        rows, size = rows + len(own), size + sum(map(len, taken[1]))
+        if rows >= _ROWS or size >= _BYTES:
+            yield from merged()
+            held, rows, size = [], 0, 0
+    if held:
+        yield from merged()

@@ -442,6 +442,67 @@ def test_packets_in_bodies(tmp_path, chunk):
     assert [f for _, _, f in rows] == [None if i < 10 else i - (i - 10) % 20 for i in range(300)]
 
 
+@pytest.mark.parametrize("reading", [True, False])
+def test_packets_by_windows(tmp_path, monkeypatch, reading):
+    """Headers and bodies are taken a window at a time: Python calls grow with windows, not with packets; windows grow while the chain stays near, and skip bodies where it doesn't."""
+    n = 5000
+    small = b"".join(encode(0x38, struct.pack("<I", i), rtc=i, flags=3) for i in range(n))
+    (tmp_path / "small.ch10").write_bytes(small)
+    large = b"".join(encode(0x38, bytes(200_000), rtc=i) for i in range(20))
+    (tmp_path / "large.ch10").write_bytes(large)
+    seen = []
+    headers, body = packets.headers, packets._body
+    monkeypatch.setattr(packets, "headers", lambda data: seen.append(len(data)) or headers(data))
+    monkeypatch.setattr(packets, "_body", lambda f, at, h: seen.append(0) or body(f, at, h))
+    if reading:
+        rows = [x for b in packets.packet_batches(packets.Range(f"{tmp_path}/small.ch10", 0, len(small), 0)) for x in zip(*(b.column(k).to_pylist() for k in ("rtc", "checksum_ok")), strict=True)]
+        assert rows == [(i, True) for i in range(n)] and len(seen) < 10
+    else:
+        assert packets.walk(f"{tmp_path}/small.ch10", 0, len(small), None) == (0, len(small), None) and len(seen) < 10
+    seen.clear()
+    assert packets.walk(f"{tmp_path}/large.ch10", 0, len(large), None)[:2] == (0, len(large)) and sum(seen) <= 20 * packets._WALK
+
+
+@pytest.mark.parametrize("width", [0, 1, 2, 4])
+def test_body_checksums(tmp_path, width):
+    """Checksums of each width, of bodies of any length and place; a packet that ends beyond its window; a body shorter than its checksum."""
+    r, out, want = random.Random(width), [], []
+    for i in range(400):
+        data = bytes(r.randrange(256) for _ in range(r.randrange(40) if i != 200 else 3 << 20))
+        padded, right = data + b"\0" * (-len(data) % width if width else 0), r.random() < 0.7
+        total = sum(int.from_bytes(padded[k : k + width], "little") for k in range(0, len(padded), width)) if width else 0
+        body = data + ((total + (not right)) & (1 << 8 * width) - 1).to_bytes(width, "little")
+        if i % 50 == 7:
+            body, data, right = b"\0" * (width // 2), b"", True
+        head = b"\x25\xeb" + struct.pack("<HIIBBBB", 1, 24 + len(body), len(data), 1, 0, {0: 0, 1: 1, 2: 2, 4: 3}[width], 0x38) + i.to_bytes(6, "little")
+        out.append(b"\7" * r.randrange(4) + head + struct.pack("<H", sum(struct.unpack("<11H", head)) & 0xFFFF) + body)
+        want.append((i, right or not width, data))
+    (tmp_path / "r.ch10").write_bytes(b"".join(out))
+    rows = [x for b in packets.packet_batches(packets.Range(f"{tmp_path}/r.ch10", 0, 1 << 40, 0)) for x in zip(*(b.column(k).to_pylist() for k in ("rtc", "checksum_ok", "body")), strict=True)]
+    assert rows == want
+
+
+@pytest.mark.parametrize("nested", [False, True])
+def test_recorded_events(nested):
+    """Recordings are made a file at a time, with the bytes that packets made one by one have."""
+    import numpy as np
+
+    from busframe.plans import files
+
+    n = np.array([*range(2100), *range(36_000_000, 36_000_700), (1 << 32) - 1])
+    kind, channel, out = np.array([0x19, 0x38, 0x68])[n % 3], n % 8, b""
+    for i, k, c in zip(n.tolist(), kind.tolist(), channel.tolist(), strict=True):
+        second, body = struct.pack("<QH", 7 * i, 0), struct.pack("<III", 1, i & 0xFFFFF, i)
+        second = second + struct.pack("<H", (sum(struct.unpack("<5H", second)) + (i % 21 == 0)) & 0xFFFF) if i % 3 == 0 else b""
+        if nested:
+            k, body = (packets.CLOCK, files._clock(i)) if i % 50 == 0 else (k, body + files.encode(0x38, body, channel=9) + files.encode(packets.CLOCK, files._clock(1), channel=9))
+        made = files.encode(k, body, i, c, 0x83 if second else 3, second, i % 256)
+        out += made[:-1] + bytes([made[-1] ^ (i % 11 == 0)])
+    assert files.recorded(n, kind, channel, nested) == out and files.recorded(n[:0], n[:0], n[:0], nested) == b""
+    with pytest.raises(ValueError, match="32 bits"):
+        files.recorded(np.array([1 << 32]), np.array([1]), np.array([1]), nested)
+
+
 def test_many_documents(spark, tmp_path, monkeypatch):
     """Small documents lie in one directory, are parsed by libyaml, and their rows share batches."""
     import yaml
