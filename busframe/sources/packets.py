@@ -42,7 +42,7 @@ _CHECKSUM_BYTES = (0, 1, 2, 4)
 _WALK, _READ = 1 << 13, 1 << 20
 _ROWS, _BYTES = 4096, 4 << 20
 #: Ranges that files are cut into at most, besides one a file, unless they have CHUNK bytes. Tasks that a recording is shared by, unless a share were under LEAST or over CHUNK bytes; opening a file counts as _OPEN.
-RANGES, TASKS, LEAST, _OPEN = 1024, 1024, 1 << 20, 1 << 16
+RANGES, TASKS, LEAST, _OPEN = 1024, 1024, 8 << 20, 1 << 16
 _DAY0 = datetime.date(1970, 1, 1).toordinal()
 
 

@@ -503,6 +503,12 @@ def test_recorded_events(nested):
         files.recorded(np.array([1 << 32]), np.array([1]), np.array([1]), nested)
 
 
+def test_shares_of_small_files():
+    """Thousands of small files are no task each, nor each megabyte: what a task costs by itself would be most of its time."""
+    many = packets.shares([packets.Range(str(i), 0, 260_000, 0) for i in range(3000)])
+    assert len(many) < 150 and sum(len(x.ranges) for x in many) == 3000 and len(packets.shares([packets.Range("", i << 26, i + 1 << 26, 0) for i in range(100)])) == 100
+
+
 def test_many_documents(spark, tmp_path, monkeypatch):
     """Small documents lie in one directory, are parsed by libyaml, and their rows share batches."""
     import yaml
