@@ -194,12 +194,15 @@ def wide_rows(matched: DataFrame, icd: DataFrame, *, ride_along: tuple[str, ...]
 def write_tables(matched: DataFrame, icd: DataFrame, path: str, *, ride_along: tuple[str, ...] = ("time",)) -> DataFrame:
     """A directory `<message>.parquet` per message, of ride-along columns and one column per element: all by one job.
 
-    Rows are dealt into ranges of message and ride-along columns, sorted within them; a task writes a file for each message
-    that it holds, so there are at most as many files as tasks and messages together. A file gets its name, which message and
+    Rows are dealt into ranges of message and ride-along columns, decoded and sorted within them (sampling for the ranges runs
+    what lies below once more, so decoding doesn't); a task writes a file for each message that it holds, so there are at most as many files as tasks and messages together. A file gets its name, which message and
     range make, when it is whole: a task that is run again leaves no second one. Row groups hold GROUP_ROWS rows at most.
     Returns (msg_name, file, rows) of the files. The messages' directories of an earlier write go first.
     """
-    rows = wide_rows(matched, icd, ride_along=ride_along)
+    bad = validate_icd(icd).select("msg_name").distinct()
+    own = icd.join(bad, "msg_name", "left_anti").select("msg_name").distinct()
+    dealt = matched.select(*ride_along, "msg_name", "data").join(dimension(own), "msg_name", "left_semi").repartitionByRange("msg_name", *ride_along)
+    rows = wide_rows(dealt, icd, ride_along=ride_along)
     jvm, conf = matched.sparkSession._jvm, matched.sparkSession._jsc.hadoopConfiguration()
     for r in icd.select("msg_name").distinct().limit(MOST_ELEMENTS).collect():
         folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{r['msg_name']}.parquet")
@@ -259,8 +262,8 @@ def write_tables(matched: DataFrame, icd: DataFrame, path: str, *, ride_along: t
         if opened:
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in close()], names=["msg_name", "file", "rows"])
 
-    dealt = rows.select(*ride_along, "msg_name", "values").repartitionByRange("msg_name", *ride_along).sortWithinPartitions("msg_name", *ride_along)
-    files = dealt.mapInArrow(write, "msg_name string, file string, rows long").collect()  # a row a file
+    ordered = rows.select(*ride_along, "msg_name", "values").sortWithinPartitions("msg_name", *ride_along)
+    files = ordered.mapInArrow(write, "msg_name string, file string, rows long").collect()  # a row a file
     return matched.sparkSession.createDataFrame(files, "msg_name string, file string, rows long")
 
 

@@ -619,6 +619,18 @@ def test_sinks(spark, tmp_path):
     assert json.loads((tmp_path / "md" / name).read_text()) == {"type": "parsed", "uid": "abc"}
 
 
+def test_tables_are_decoded_once(spark, tmp_path, monkeypatch):
+    """Rows are dealt into ranges before they are decoded, as sampling for the ranges runs what lies below a second time; words of the bus rows are compiled, not a lambda's."""
+    plans, wide = [], translate.wide_rows
+    monkeypatch.setattr(translate, "wide_rows", lambda matched, icd, **k: plans.append(matched._jdf.queryExecution().executedPlan().toString()) or wide(matched, icd, **k))
+    bus = fx.bus1553(spark, SF)
+    assert "transform" not in bus._jdf.queryExecution().executedPlan().toString() and len(bus.first().data) == 32
+    matched = translate.match_1553(bus, translate.lookup_1553(fx.icd_1553(spark), fx.bus_map(spark)))
+    files = translate.write_tables(matched, fx.icd_1553(spark), f"{tmp_path}/out")
+    assert len(plans) == 1 and "rangepartitioning" in plans[0]
+    assert files.agg(F.sum("rows")).first()[0] == matched.count()
+
+
 def test_stream(spark, tmp_path):
     from busframe.streaming.translate import stream_long, write_stream
 
