@@ -16,6 +16,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from busframe.llm.common import lean, need, whole_runs, Scratch
 
 LENGTH, GRAM = 200, 64
-HOT, BLOCK = 4096, 1 << 20
+HOT, BLOCK = 4096, 1 << 18
 FILTER = 1 << 20
 #: Bytes of a text that are hashed at once.
 CHUNK = 1 << 22
@@ -206,9 +207,22 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["anchor", "hot", "key", "first", "segment"])
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in order of their anchors, so many whole groups at once that their surroundings are BLOCK bytes or so, however large the batches."""
+    for part in whole_runs(batches, ("anchor",), BLOCK):
+        anchor = part.column("anchor").to_numpy()
+        ends = np.append(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, len(anchor))
+        sizes = np.cumsum(pc.binary_length(part.column("segment")).to_numpy().astype("i8"))
+        at = done = 0
+        while at < len(anchor):
+            end = int(ends[min(np.searchsorted(sizes[ends - 1], done + BLOCK), len(ends) - 1)])
+            yield part.slice(at, end - at)
+            at, done = end, int(sizes[end - 1])
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Surroundings in order of their anchors to the stretches that repeat; a suffix array is of BLOCK bytes or so, and of whole groups."""
-    for part in whole_runs(batches, ("anchor",), BLOCK):
+    for part in _blocks(batches):
         pieces = [x.as_py() for x in part.column("segment")]
         starts = np.concatenate(([0], np.cumsum([len(x) for x in pieces])))
         text = np.frombuffer(b"".join(pieces), "u1")

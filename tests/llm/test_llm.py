@@ -656,6 +656,25 @@ def test_suffix_dedup(spark, docs, none, monkeypatch, hot):
     assert suffix_dedup.dedup(none, keep=["doc_id"]).count() == 0
 
 
+def test_suffix_compare_blocks(monkeypatch):
+    """A suffix array is of BLOCK bytes and a group at most, however many rows come in a batch; repeats are those of one array for all."""
+    import pyarrow as pa
+
+    from busframe.llm import suffix_dedup as S
+
+    r = random.Random(11)
+    groups = [[r.randbytes(r.randrange(100)) + core + r.randbytes(r.randrange(100)) for _ in range(r.randrange(1, 4))] for core in (r.randbytes(r.choice([150, 230])) for _ in range(4000))]
+    rows = [(a, 10 * a + i, 7, x) for a, g in enumerate(groups) for i, x in enumerate(g) if len(x) >= S.LENGTH]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["anchor", "key", "first", "segment"])
+    sizes, own = [], S.repeated
+    monkeypatch.setattr(S, "repeated", lambda text, wanted: (sizes.append(len(text)), own(text, wanted))[1])
+    found = lambda: {tuple(x.values()) for b in S._compare(iter([batch.slice(0, 5000), batch.slice(5000)])) for x in b.to_pylist()}
+    got = found()
+    assert sum(sizes) == sum(len(x[3]) for x in rows) > 4 * S.BLOCK and max(sizes) < S.BLOCK + 2000
+    monkeypatch.setattr(S, "BLOCK", 1 << 30)
+    assert got == found() and len(got) > 1000
+
+
 def test_suffix_array():
     from busframe.llm import suffix_dedup as S
 
