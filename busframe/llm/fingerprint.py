@@ -9,12 +9,13 @@ parts that fall on each; and as many for likeness. A part is a piece of a few wo
 part's hash picks its group, and gives a number of a Cauchy distribution for each lane of it. A weighted sum of such numbers
 is Cauchy distributed again, its scale the sum of absolute weights. So the lanes of two texts, subtracted, are spread by how
 many parts the two multisets don't share, also where a part occurs many times; hence a likeness from 0 to 1 that needs the
-fingerprints alone. Where few parts differ, as in short texts, the counts tell them one by one. The hashes are not keyed; the fingerprint isn't meant to withstand forgery.
+fingerprints alone. Where the texts differ in few counts, as short texts and those of few different parts do, the counts tell what isn't shared. The hashes are not keyed; the fingerprint isn't meant to withstand forgery.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,13 +23,15 @@ from pyspark.sql import functions as F
 
 from busframe.llm.common import need
 
-EQUAL, GROUPS, WIDE = 4, 8, 16
+EQUAL, GROUPS, WIDE = 4, 16, 8
 _48 = (1 << 48) - 1
-#: Parts not shared, up to which the counts tell their number: of so many, few meet in one of the GROUPS * WIDE counts.
+#: Counts that differ, up to which they tell what isn't shared: of so many, few hold parts of both texts.
 FEW = 32
 #: Cuts: line ends; white space after punctuation or a letter of about half the alphabet; in unbroken runs after vowels and
-#: the like, and after each character of scripts without spaces; 48 characters after the last cut at the latest.
-PARTS = r"\n|(?<=[.,;:!?|a-mA-M0-4])[ \t]+|(?<=\S{16}[aeiouAEIOU0-3])|(?<=[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uD7A3\uF900-\uFAFF])|(?<=\G.{48})"
+#: the like, and after each character of scripts without spaces; 48 characters after the last cut at the latest. What can be
+#: told from one character comes first, so that most places are passed over at once.
+_WHOLE = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uD7A3\uF900-\uFAFF"
+PARTS = r"\n|(?=[ \t])(?<=[.,;:!?|a-mA-M0-4])[ \t]+|(?<=[aeiouAEIOU0-3" + _WHOLE + r"])(?:(?<=\S{17})|(?<=[" + _WHOLE + r"]))|(?<=\G.{48})"
 #: Lane values are whole multiples of 1 / UNIT. A lane's number is the tangent of its factor times the hash as an angle.
 UNIT = 256.0
 _FACTORS = [float((7919 * (j + 1) * (j + 3)) % 32749 | 1) for j in range(WIDE)]
@@ -53,20 +56,24 @@ def with_lanes(df: DataFrame, text_col: str, out: str) -> DataFrame:
         return F.transform(F.lit(_FACTORS), lambda k: F.aggregate(own, F.lit(0.0), lambda a, x: a + F.rint(F.tan(x * k) * F.lit(UNIT))))
 
     def counts(own: Column) -> Column:
-        places = F.transform(own, lambda x: F.shiftright(x, 3).bitwiseAND(F.lit(WIDE - 1)))
+        places = F.transform(own, lambda x: F.shiftright(x, 4).bitwiseAND(F.lit(WIDE - 1)))
         return F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda j: F.size(F.filter(places, lambda x: x == j)).cast("long"))
 
     def hashed(seed: int) -> Column:
         return F.transform("__p", lambda x: F.xxhash64(x, F.lit(seed)))
 
-    def group(g: int) -> Column:
-        return F.filter("__c", lambda x: x.bitwiseAND(F.lit(GROUPS - 1)) == g)
+    def fourth(own: Column | str, shift: int, g: int) -> Column:
+        return F.filter(own, lambda x: x.bitwiseAND(F.lit(3 << shift)) == g << shift)
 
-    df = df.withColumns({f"__q{i}": hashed(i) for i in range(EQUAL)} | {"__g": F.array(*map(group, range(GROUPS)))})
+    def fourths(own: Column | str, shift: int) -> Column:
+        return F.array(*[fourth(own, shift, g) for g in range(4)])
+
+    df = df.withColumns({f"__q{i}": hashed(i) for i in range(EQUAL)} | {"__h": fourths("__c", 0)})
+    df = df.withColumn("__g", F.flatten(F.transform("__h", lambda x: fourths(x, 2))))  # GROUPS: by four bits
     # A group's angles are a lambda's argument, so that they are made once, not for each factor.
     lanes = F.transform(F.flatten(F.transform(F.transform("__g", angles), spread)), lambda v: v.cast("long").bitwiseAND(F.lit(_48)))
     df = df.withColumn(out, F.concat(F.array(*[equal(f"__q{i}") for i in range(EQUAL)], F.size("__c").cast("long")), F.flatten(F.transform("__g", counts)), lanes))
-    return df.drop("__p", "__c", "__g", *[f"__q{i}" for i in range(EQUAL)])
+    return df.drop("__p", "__c", "__h", "__g", *[f"__q{i}" for i in range(EQUAL)])
 
 
 def add(a: Column, b: Column) -> Column:
@@ -84,26 +91,43 @@ def text_form(fingerprint: Column) -> Column:
     return F.lower(F.array_join(F.transform(fingerprint, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where the value is made once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: estimated shared parts over all parts of two texts as multisets, from their lanes; 1 for equal fingerprints.
 
-    The counts' distances are never more than what isn't shared; they are it, but for parts that meet in one count, up to FEW.
-    Beyond, a group's share of what isn't shared is the geometric mean of its lanes' distances, made unbiased.
+    The counts' distances are never more than what isn't shared; they are it, but for parts that meet in one count, where up to
+    FEW counts differ. Beyond, a group's share of what isn't shared is the geometric mean of its lanes' distances, made unbiased,
+    but not less than its counts' distances, nor more than the parts that it holds of both.
     """
     m, n, all_ = F.element_at(a, EQUAL + 1), F.element_at(b, EQUAL + 1), GROUPS * WIDE
 
+    def gap(x: Column, y: Column) -> Column:
+        return F.abs(F.shiftright(F.shiftleft(x - y, 16), 16))  # the difference modulo 2^48, signed
+
     def log_gap(x: Column, y: Column) -> Column:
-        d = F.shiftright(F.shiftleft(x - y, 16), 16)  # the difference modulo 2^48, signed
-        return F.log(F.greatest(F.abs(d).cast("double") / UNIT, F.lit(0.5 / UNIT)))
+        return F.log(F.greatest(gap(x, y).cast("double") / UNIT, F.lit(0.5 / UNIT)))
+
+    def total(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0).cast("long"), lambda s, v: s + v).cast("double")
 
-    def unshared(g: int) -> Column:
+    def unshared(g: int, gaps: Column) -> Column:
         x, y = (F.slice(v, EQUAL + 2 + all_ + g * WIDE, WIDE) for v in (a, b))
         mean = F.aggregate(F.zip_with(x, y, log_gap), F.lit(0.0), lambda s, v: s + v) / WIDE
-        return F.when(x == y, F.lit(0.0)).otherwise(F.exp(mean) * math.cos(math.pi / (2 * WIDE)) ** WIDE)
+        held = F.zip_with(*[F.slice(v, EQUAL + 2 + g * WIDE, WIDE) for v in (a, b)], lambda s, v: s + v)
+        bounded = F.least(F.greatest(F.exp(mean) * math.cos(math.pi / (2 * WIDE)) ** WIDE, total(F.slice(gaps, 1 + g * WIDE, WIDE))), total(held))
+        return F.when(x == y, F.lit(0.0)).otherwise(bounded)
+
+    def apart(gaps: Column) -> Column:
+        differ = F.size(F.array_remove(gaps, F.lit(0).cast("long")))
+        return F.when(differ <= FEW, total(gaps)).otherwise(reduce(Column.__add__, [unshared(g, gaps) for g in range(GROUPS)]))
 
-    counted = F.aggregate(F.zip_with(F.slice(a, EQUAL + 2, all_), F.slice(b, EQUAL + 2, all_), lambda x, y: F.abs(F.shiftright(F.shiftleft(x - y, 16), 16))), F.lit(0).cast("long"), lambda s, v: s + v).cast("double")
-    apart = F.when(counted <= FEW, counted).otherwise(F.least(F.greatest(reduce(Column.__add__, [unshared(g) for g in range(GROUPS)]), counted), (m + n).cast("double")))
-    return F.when(a == b, F.lit(1.0)).when(m + n == 0, F.lit(0.0)).otherwise((m + n - apart) / (m + n + apart))
+    gaps = F.zip_with(F.slice(a, EQUAL + 2, all_), F.slice(b, EQUAL + 2, all_), gap)
+    near = _let(_let(gaps, apart), lambda x: (m + n - x) / (m + n + x))
+    return F.when(a == b, F.lit(1.0)).when(m + n == 0, F.lit(0.0)).otherwise(near)
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

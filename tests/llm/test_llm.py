@@ -182,6 +182,26 @@ def test_fingerprint_likeness(spark):
     assert sum(short) / len(short) < 0.03 and max(max(v) for v in off.values()) < 0.25, off  # two parts that meet in a count hide each other
 
 
+def test_fingerprint_heavy_parts(spark):
+    """One part of each text outweighs its many others; each part costs one tangent a lane of its group, eight at most."""
+    from busframe.llm.fingerprint import PARTS, WIDE, likeness, with_lanes
+
+    assert WIDE <= 8
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("bcdfghjklm") for _ in range(7)) + "."
+    pairs = []
+    for _ in range(30):
+        heavy, own, both = (word(), word()), ([word() for _ in range(40)], [word() for _ in range(40)]), [word() for _ in range(r.choice([100, 400]))]
+        pairs.append(tuple(" ".join([heavy[i]] * 150 + own[i] + both) for i in range(2)))
+    d = spark.createDataFrame(pairs, "a string, b string").withColumns({c + "p": F.filter(F.split(c, PARTS), lambda x: x != "") for c in "ab"})
+    d = with_lanes(with_lanes(d, "a", "_a"), "b", "_b").withColumn("like", likeness(F.col("_a"), F.col("_b")))
+    off = []
+    for x in d.select("ap", "bp", "like").collect():
+        a, b = Counter(x.ap), Counter(x.bp)
+        off.append(abs(x.like - (a & b).total() / (a | b).total()))
+    assert max(off) < 0.15, off
+
+
 def test_fingerprint_hot_ids(spark):
     """A third of the rows without an id and a third with one id: every row has its next one, by the texts' hashes."""
     import xxhash
